@@ -9,6 +9,18 @@ from pyspark.sql import types as T
 from starlot.functions.scalars import col
 
 
+_KINDS = {
+    "string": T.StringType(), "int": T.IntegerType(), "bigint": T.LongType(), "double": T.DoubleType(),
+    "timestamp_ntz": T.TimestampNTZType(),
+}
+
+
+def layout(columns: str) -> T.StructType:
+    """A flat schema from ``"name type, name type"``; needs no running session."""
+    pairs = [column.split() for column in columns.split(",")]
+    return T.StructType([T.StructField(name, _KINDS[kind]) for name, kind in pairs])
+
+
 def conform_to(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Exactly the columns and types of ``schema``; an absent column is a typed null."""
     have = set(df.columns)

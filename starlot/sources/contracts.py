@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import types as T
+
+from starlot.operators.columns import layout
 
 # Columns each source must have, names as they are after header
 # normalisation (and after the renames below).
@@ -80,10 +81,10 @@ OPTIONAL = {
     "lead_corrections", "lead_links", "stock_brands", "sale_brands", "commissions", "financing",
 }
 
-COMMISSIONS = T.StructType.fromDDL(
+COMMISSIONS = layout(
     "id_venda bigint, comissao double, impostos double, lucro double, retorno double"
 )
-FINANCING = T.StructType.fromDDL(
+FINANCING = layout(
     "placa string, id_data int, valor_financiado double, tipo_retorno bigint, financeira string"
 )
 
