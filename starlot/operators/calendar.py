@@ -15,7 +15,8 @@ CALENDAR_END = "2027-12-31"
 def date_spine(spark: SparkSession, start: str, end: str) -> DataFrame:
     """One row per day, both ends included."""
     bounds = spark.range(1).select(F.lit(start).cast("date").alias("a"), F.lit(end).cast("date").alias("b"))
-    return bounds.select(F.explode(F.sequence("a", "b")).cast("timestamp_ntz").alias("data"))
+    days = bounds.select(F.explode(F.sequence("a", "b")).alias("day"))
+    return days.select(F.col("day").cast("timestamp_ntz").alias("data"))
 
 
 def with_calendar(days: DataFrame, day: str = "data") -> DataFrame:
