@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -226,57 +228,142 @@ def csv_source(spark, d) -> DataFrame:
     return read_file(spark, path, "csv", schema).select("c_custkey", "c_mktsegment", "c_acctbal")
 
 
-# --- feeds -------------------------------------------------------------------
+# --- the star ----------------------------------------------------------------
 
 
-def _channels(spark):
-    return feeds.channel_map(roles.channel_map(spark))
+class Star:
+    """Feeds, sides and tables of one query; what several builders use is prepared once."""
 
+    def __init__(self, spark, d):
+        self.spark, self.d = spark, d
 
-def _leads(spark, d):
-    return feeds.conform_leads(roles.leads(spark, d), _channels(spark), roles.lead_corrections(spark, d))
+    def written(self, df: DataFrame, name: str) -> DataFrame:
+        """A table as the refresh leaves it: facts read it back, not its lineage."""
+        return materialise(df, shared_folder(self.spark, name))
 
+    @cached_property
+    def channel_codes(self):
+        return feeds.channel_map(roles.channel_map(self.spark))
 
-def _sale_channels(spark, d):
-    return feeds.conform_sale_channels(roles.sale_channels(spark, d), _channels(spark))
+    @cached_property
+    def leads(self):
+        return feeds.conform_leads(
+            roles.leads(self.spark, self.d), self.channel_codes, roles.lead_corrections(self.spark, self.d)
+        )
 
+    @cached_property
+    def sales(self):
+        return feeds.conform_sales(roles.sales(self.spark, self.d))
 
-def _commissions(spark, d):
-    return feeds.conform_commissions(roles.commissions(spark, d))
+    @cached_property
+    def sale_channels(self):
+        return feeds.conform_sale_channels(roles.sale_channels(self.spark, self.d), self.channel_codes)
 
+    @cached_property
+    def appointments(self):
+        return feeds.conform_appointments(roles.appointments(self.spark, self.d), self.channel_codes)
 
-def _financing(spark, d):
-    return feeds.conform_financing(
-        roles.financing(spark, d), feeds.financier_map(roles.financier_map(spark))
-    )
+    @cached_property
+    def commissions(self):
+        return feeds.conform_commissions(roles.commissions(self.spark, self.d))
 
+    @cached_property
+    def financing(self):
+        codes = feeds.financier_map(roles.financier_map(self.spark))
+        return feeds.conform_financing(roles.financing(self.spark, self.d), codes)
 
-def _vehicles(spark, d):
-    return feeds.conform_vehicles(
-        roles.vehicles(spark, d), feeds.stock_brands(roles.stock_brands(spark, d)),
-        feeds.sale_brands(roles.sale_brands(spark, d)),
-    )
+    @cached_property
+    def vehicles(self):
+        return feeds.conform_vehicles(
+            roles.vehicles(self.spark, self.d), feeds.stock_brands(roles.stock_brands(self.spark, self.d)),
+            feeds.sale_brands(roles.sale_brands(self.spark, self.d)),
+        )
+
+    @cached_property
+    def history(self):
+        return feeds.conform_history(roles.history(self.spark, self.d))
+
+    @cached_property
+    def costs(self):
+        return feeds.conform_channel_costs(roles.channel_costs(self.spark, self.d))
+
+    @cached_property
+    def mapped_costs(self):
+        return feeds.conform_channel_costs(roles.channel_costs(self.spark, self.d), self.channel_codes)
+
+    @cached_property
+    def dim_canal(self):
+        return dims.channel_dim(self.leads, self.sale_channels, ["id"], ["codigo"])
+
+    @cached_property
+    def channels(self):
+        return as_side(self.written(self.dim_canal, "dim-canal"))
+
+    @cached_property
+    def dim_vendedores(self):
+        return dims.seller_dim(feeds.conform_users(roles.users(self.spark, self.d)))
+
+    @cached_property
+    def dim_veiculos(self):
+        return dims.vehicle_dim(self.vehicles)
+
+    @cached_property
+    def dim_estagio(self):
+        return dims.stage_dim(self.leads, ["id"])
+
+    @cached_property
+    def dim_vendedor_periodo(self):
+        return dims.seller_month_dim(self.history)
+
+    @cached_property
+    def sellers(self):
+        codes = feeds.seller_map(roles.seller_map(self.spark, self.d))
+        return facts.seller_sides(self.dim_vendedores, self.history, codes)
+
+    @cached_property
+    def fato_agendamentos(self):
+        return facts.appointments_fact(self.appointments, self.channels, self.sellers)
+
+    @cached_property
+    def fato_leads(self):
+        links = feeds.conform_links(roles.lead_links(self.spark, self.d))
+        return facts.leads_fact(
+            self.leads, self.channels, self.dim_estagio, self.sellers, self.fato_agendamentos, links
+        )
+
+    @cached_property
+    def fato_vendas(self):
+        vehicles = roles.vehicles(self.spark, self.d).withColumnRenamed("codigo", "id_veiculo")
+        return facts.sales_fact(
+            self.sales, self.sale_channels, self.channels, self.sellers, vehicles,
+            self.written(self.commissions, "commissions"), self.written(self.financing, "financing"),
+        )
 
+    @cached_property
+    def fato_custos_canal(self):
+        return facts.channel_costs_fact(self.costs, self.channels)
 
-def _appointments(spark, d):
-    return feeds.conform_appointments(roles.appointments(spark, d), _channels(spark))
+    @cached_property
+    def kpi_inputs(self):
+        leads = feeds.conform_leads(roles.order_leads(self.spark, self.d), self.channel_codes)
+        return facts.channel_costs_fact(self.mapped_costs, self.channels), facts.with_channel(leads, self.channels)
 
 
 def feed_leads(spark, d):
-    return _leads(spark, d).select(
+    return Star(spark, d).leads.select(
         "id", "cliente", "canal", "atendente", "conversao", "motivo", "data_criacao", "estagio",
         "convertido_flag", "perdido_flag", "id_data", "id_data_ultima_integracao",
     )
 
 
 def feed_sales(spark, d):
-    return feeds.conform_sales(roles.sales(spark, d)).select(
+    return Star(spark, d).sales.select(
         "id_venda", "data_venda", "nome_vendedor", "valor_venda", "valor_compra", "id_data", "ano_mes"
     )
 
 
 def feed_appointments(spark, d):
-    return _appointments(spark, d).select(
+    return Star(spark, d).appointments.select(
         "id", "responsavel_agendamento", "canal", "id_data_agendamento", "id_data_visita",
         "flag_agendamento", "flag_visita",
     )
@@ -287,75 +374,64 @@ def feed_users(spark, d):
 
 
 def feed_channel_costs(spark, d):
-    return feeds.conform_channel_costs(roles.channel_costs(spark, d), _channels(spark))
+    return Star(spark, d).mapped_costs
 
 
-# --- dimensions --------------------------------------------------------------
+def feed_sale_channels(spark, d):
+    return Star(spark, d).sale_channels
 
 
-def dim_canal(spark, d):
-    return dims.channel_dim(_leads(spark, d), _sale_channels(spark, d), ["id"], ["codigo"])
+def feed_commissions(spark, d):
+    return Star(spark, d).commissions
 
 
-def dim_vendedores(spark, d):
-    return dims.seller_dim(feeds.conform_users(roles.users(spark, d)))
+def feed_financing(spark, d):
+    return Star(spark, d).financing
 
 
-def dim_lojas(spark, d):
-    return dims.store_dim(feeds.conform_history(roles.history(spark, d)))
+def feed_vehicles(spark, d):
+    return Star(spark, d).vehicles
 
 
-def dim_veiculos(spark, d):
-    return dims.vehicle_dim(_vehicles(spark, d))
+def dim_canal(spark, d):
+    return Star(spark, d).dim_canal
 
 
-def dim_estagio(spark, d):
-    return dims.stage_dim(_leads(spark, d), ["id"])
+def dim_vendedores(spark, d):
+    return Star(spark, d).dim_vendedores
 
 
-def dim_vendedor_periodo(spark, d):
-    return dims.seller_month_dim(feeds.conform_history(roles.history(spark, d)))
+def dim_lojas(spark, d):
+    return dims.store_dim(Star(spark, d).history)
 
 
-# --- facts -------------------------------------------------------------------
+def dim_veiculos(spark, d):
+    return Star(spark, d).dim_veiculos
 
 
-def _sellers(spark, d):
-    return facts.seller_sides(
-        dim_vendedores(spark, d), feeds.conform_history(roles.history(spark, d)),
-        feeds.seller_map(roles.seller_map(spark, d)),
-    )
+def dim_estagio(spark, d):
+    return Star(spark, d).dim_estagio
 
 
-def _channel_dim(spark, d) -> DataFrame:
-    """The channel dimension as written once: facts read the table, not its lineage."""
-    return materialise(dim_canal(spark, d), shared_folder(spark, "dim-canal"))
+def dim_vendedor_periodo(spark, d):
+    return Star(spark, d).dim_vendedor_periodo
 
 
 def fato_agendamentos(spark, d):
-    return facts.appointments_fact(_appointments(spark, d), as_side(_channel_dim(spark, d)), _sellers(spark, d))
+    return Star(spark, d).fato_agendamentos
 
 
 def fato_leads(spark, d):
-    channels, sellers = as_side(_channel_dim(spark, d)), _sellers(spark, d)
-    meetings = facts.appointments_fact(_appointments(spark, d), channels, sellers)
-    return facts.leads_fact(
-        _leads(spark, d), channels, dim_estagio(spark, d), sellers, meetings,
-        feeds.conform_links(roles.lead_links(spark, d)),
-    )
+    return Star(spark, d).fato_leads
 
 
 def fato_vendas(spark, d):
-    return facts.sales_fact(
-        feeds.conform_sales(roles.sales(spark, d)), _sale_channels(spark, d), as_side(_channel_dim(spark, d)),
-        _sellers(spark, d), roles.vehicles(spark, d).withColumnRenamed("codigo", "id_veiculo"),
-        _commissions(spark, d), _financing(spark, d),
-    )
+    return Star(spark, d).fato_vendas
 
 
 def fato_meta_vendedor(spark, d):
     targets = feeds.conform_targets(roles.seller_targets(spark, d), "seller_targets")
-    return facts.seller_targets_fact(targets, dim_vendedor_periodo(spark, d))
+    return facts.seller_targets_fact(targets, Star(spark, d).dim_vendedor_periodo)
 
 
 def fato_meta_loja(spark, d):
@@ -363,30 +439,19 @@ def fato_meta_loja(spark, d):
 
 
 def fato_custos_canal(spark, d):
-    costs = feeds.conform_channel_costs(roles.channel_costs(spark, d))
-    return facts.channel_costs_fact(costs, _channel_dim(spark, d))
-
-
-# --- KPIs --------------------------------------------------------------------
-
-
-def _kpi_inputs(spark, d):
-    channels = _channel_dim(spark, d)
-    costs = feeds.conform_channel_costs(roles.channel_costs(spark, d), _channels(spark))
-    leads = feeds.conform_leads(roles.order_leads(spark, d), _channels(spark))
-    return facts.channel_costs_fact(costs, channels), facts.with_channel(leads, channels)
+    return Star(spark, d).fato_custos_canal
 
 
 def cost_per_lead(spark, d):
-    return kpis.cost_per_lead(*_kpi_inputs(spark, d))
+    return kpis.cost_per_lead(*Star(spark, d).kpi_inputs)
 
 
 def cost_per_sale(spark, d):
-    return kpis.cost_per_sale(*_kpi_inputs(spark, d))
+    return kpis.cost_per_sale(*Star(spark, d).kpi_inputs)
 
 
 def total_cost(spark, d):
-    return kpis.total_cost(_kpi_inputs(spark, d)[0])
+    return kpis.total_cost(Star(spark, d).kpi_inputs[0])
 
 
 # --- quality and publish -----------------------------------------------------
@@ -394,29 +459,28 @@ def total_cost(spark, d):
 
 def quality_report(spark, d):
     """All checks on the star of the given tables; the calendar spans the orders."""
+    star = Star(spark, d)
     orders = table(spark, d, "orders").agg(F.min("o_orderdate").alias("a"), F.max("o_orderdate").alias("b")).first()
     span = str(orders["a"].date()), str(orders["b"].date())
     return quality.quality_report(
         {
-            "dim_veiculos": dim_veiculos(spark, d), "fato_vendas": fato_vendas(spark, d),
-            "dim_data": dims.calendar_dim(spark, *span), "fato_custos_canal": fato_custos_canal(spark, d),
+            "dim_veiculos": star.dim_veiculos, "fato_vendas": star.written(star.fato_vendas, "fato-vendas"),
+            "dim_data": dims.calendar_dim(spark, *span), "fato_custos_canal": star.fato_custos_canal,
         },
         roles.sales(spark, d), span,
     )
 
 
 def match_rates(spark, d):
+    star = Star(spark, d)
     return quality.match_rates(
-        {
-            "fato_leads": fato_leads(spark, d), "fato_vendas": fato_vendas(spark, d),
-            "fato_agendamentos": fato_agendamentos(spark, d),
-        }
+        {name: getattr(star, name) for name in ("fato_leads", "fato_vendas", "fato_agendamentos")}
     )
 
 
 def unmatched_channels(spark, d):
-    costs = feeds.conform_channel_costs(roles.channel_costs(spark, d))
-    return facts.unmatched_channels(costs, _channel_dim(spark, d))
+    star = Star(spark, d)
+    return facts.unmatched_channels(star.costs, star.channels.df)
 
 
 def row_counts(spark, d):
@@ -426,8 +490,8 @@ def row_counts(spark, d):
 
 def publish_reconcile(spark, d):
     """Facts written and counted, then compared with what is read back."""
-    folder = shared_folder(spark, "publish")
-    tables = {"fato_vendas": fato_vendas(spark, d), "fato_agendamentos": fato_agendamentos(spark, d)}
+    folder, star = shared_folder(spark, "publish"), Star(spark, d)
+    tables = {"fato_vendas": star.fato_vendas, "fato_agendamentos": star.fato_agendamentos}
     counts = {name: save_counted(df, f"{folder}/{name}") for name, df in tables.items()}
     return reconcile(spark, counts, {name: read_saved(spark, f"{folder}/{name}", name) for name in tables})
 
@@ -445,13 +509,10 @@ QUERIES = {
         corrections_overlay, keep_first_event, keep_latest_event, brand_fill, unpivot_costs, expand_months,
         calendar_orders, channel_keys, customer_keys, flags_and_date_keys, lenient_casts, unknown_store,
         tolerant_projection, yearly_files, csv_source, feed_leads, feed_sales, feed_appointments, feed_users,
-        feed_channel_costs, dim_canal, dim_vendedores, dim_lojas, dim_veiculos, dim_estagio,
+        feed_channel_costs, feed_sale_channels, feed_commissions, feed_financing, feed_vehicles,
+        dim_canal, dim_vendedores, dim_lojas, dim_veiculos, dim_estagio,
         dim_vendedor_periodo, fato_agendamentos, fato_leads, fato_vendas, fato_meta_vendedor, fato_meta_loja,
         fato_custos_canal, cost_per_lead, cost_per_sale, total_cost, quality_report, match_rates,
         unmatched_channels, row_counts, publish_reconcile, full_star,
     )
 }
-QUERIES["feed_sale_channels"] = _sale_channels
-QUERIES["feed_commissions"] = _commissions
-QUERIES["feed_financing"] = _financing
-QUERIES["feed_vehicles"] = _vehicles

@@ -12,6 +12,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starlot.sources.scan import spread
+
 CHANNEL_MAP = [
     ("ECONOMY", "Econômico"), ("PROMO", "Promoção"), ("view", "Visualização"), ("Tv  Aberta", "TV"),
 ]
@@ -19,7 +21,7 @@ FINANCIER_MAP = [("F", "Banco Ação"), ("Ó", "Outro")]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def channel_map(spark: SparkSession) -> DataFrame:

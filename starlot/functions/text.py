@@ -10,7 +10,11 @@ from functools import lru_cache
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Separators of the fold table's text; no character of a fold.
+_IS, _NEXT = "=", ";"
+
 _KEPT = frozenset(string.ascii_lowercase + string.digits + " ")
+_DROPPED = "".join(chr(code) for code in range(0x80) if chr(code) not in _KEPT)
 
 
 @lru_cache(maxsize=1)
@@ -36,25 +40,29 @@ def fold_tables() -> tuple[dict[str, str], dict[str, str]]:
 
 
 @lru_cache(maxsize=1)
-def _several_literals() -> tuple[str, tuple[tuple[str, str], ...]]:
-    several = fold_tables()[1]
-    return "".join(several), tuple(several.items())
+def _fold_texts() -> tuple[str, str, str, str]:
+    """The tables as few long texts, which keep plans small."""
+    one, several = fold_tables()
+    pairs = _NEXT.join(char + _IS + fold for char, fold in several.items())
+    return "".join(one), "".join(one.values()), "".join(several), pairs
 
 
-def _fold_accents(text: Column) -> Column:
-    one, _ = fold_tables()
-    marks, pairs = _several_literals()
-    lookup = F.create_map(*[F.lit(part) for pair in pairs for part in pair])
+def _widen(text: Column) -> Column:
+    _, _, marks, pairs = _fold_texts()
+    lookup = F.str_to_map(F.lit(pairs), F.lit(_NEXT), F.lit(_IS))
     # Characters such as ligatures and fractions become more than one letter; they
     # are rare, so the per-character walk runs only on texts that hold one.
-    widened = F.when(
+    return F.when(
         F.translate(text, marks, "") != text,
         F.array_join(
             F.transform(F.split(text, ""), lambda ch: F.coalesce(F.try_element_at(lookup, ch), ch)),
             "",
         ),
     ).otherwise(text)
-    return F.translate(widened, "".join(one), "".join(one.values()))
+
+
+def _is_ascii(text: Column) -> Column:
+    return F.octet_length(text) == F.char_length(text)
 
 
 def normalise_text(text: Column) -> Column:
@@ -63,11 +71,14 @@ def normalise_text(text: Column) -> Column:
     Null becomes the empty string.  Tabs and line breaks are deleted, not turned
     into blanks, so ``"a\\tb"`` gives ``"ab"`` while ``"a - b"`` gives ``"a b"``.
     """
+    chars, folds, _, _ = _fold_texts()
     base = F.lower(F.trim(F.coalesce(text.cast("string"), F.lit(""))))
-    is_ascii = F.octet_length(base) == F.char_length(base)
-    folded = F.when(is_ascii, base).otherwise(_fold_accents(base))
-    letters = F.regexp_replace(folded, "[^a-z0-9 ]", "")
-    return F.trim(F.regexp_replace(letters, " +", " "))
+    widened = F.when(_is_ascii(base), base).otherwise(_widen(base))
+    # One table walk folds accents and deletes the other ASCII characters: a negated
+    # character class would do the latter, but does not scale over a task's threads.
+    folded = F.translate(widened, chars + _DROPPED, folds)
+    letters = F.when(_is_ascii(folded), folded).otherwise(F.regexp_replace(folded, "[^ -~]", ""))
+    return F.trim(F.regexp_replace(letters, " {2,}", " "))
 
 
 def normalise_header(name: str) -> str:

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from starlot.functions.scalars import col
-from starlot.session import setting
+from starlot.session import materialise, setting, shared_folder
 
 ONE_TASK_SETTING = "starlot.keys.maxRowsInOneTask"
 MAX_ROWS_IN_ONE_TASK = 200_000
@@ -19,13 +19,18 @@ _MAX_RANGES = 200
 
 
 def first_appearance(df: DataFrame, values: list[str], order: list[str]) -> DataFrame:
-    """Distinct members with the smallest position at which each occurs."""
+    """Distinct members with the smallest position at which each occurs.
+
+    Written to the shared folder, since numbering reads the members more than once
+    while what they come from may be the largest table of all.
+    """
     position = F.struct(*[col(n) for n in order]) if order else F.struct(*[col(n) for n in values])
-    return df.groupBy(*[col(v) for v in values]).agg(F.min(position).alias("__position"))
+    members = df.groupBy(*[col(v) for v in values]).agg(F.min(position).alias("__position"))
+    return materialise(members, shared_folder(df.sparkSession, "members"))
 
 
 def dense_keys(members: DataFrame, out: str, tie: list[str], start: int = 1) -> DataFrame:
-    """Number members ``start, start+1, ...`` by ``__position``, which is then dropped.
+    """Number written members ``start, start+1, ...`` by ``__position``, which is then dropped.
 
     Up to a counted bound one task numbers them all.  Beyond it, members are cut at
     sampled positions into ranges numbered side by side, each from the size of the

@@ -22,18 +22,15 @@ def channel_dim(
 ) -> DataFrame:
     """``(canal, id_canal)`` of all channels of leads, then of sales, by first appearance.
 
-    Each source is reduced to its distinct channels before the two meet.
+    Each source is scanned once and reduced to its distinct channels.
     """
 
-    def members(df: DataFrame, order: list[str] | None) -> DataFrame:
-        known = df.select("canal", *(order or [])).dropna(subset=["canal"])
-        return first_appearance(known, ["canal"], order or [])
-
-    first = members(leads, lead_order)
-    numbered = dense_keys(first, "id_canal", ["canal"]).select("canal", "id_canal")
-    more = members(sale_channels, sale_order).join(first.select("canal"), "canal", "left_anti")
-    later = dense_keys(more, "id_canal", ["canal"], start=first.count() + 1).select("canal", "id_canal")
-    return numbered.unionByName(later)
+    first = first_appearance(leads.dropna(subset=["canal"]), ["canal"], lead_order or [])
+    unseen = sale_channels.dropna(subset=["canal"]).join(first.select("canal"), "canal", "left_anti")
+    more = first_appearance(unseen, ["canal"], sale_order or [])
+    numbered = dense_keys(first, "id_canal", ["canal"])
+    later = dense_keys(more, "id_canal", ["canal"], start=first.count() + 1)
+    return numbered.unionByName(later).select("canal", "id_canal")
 
 
 def calendar_dim(spark: SparkSession, start: str = CALENDAR_START, end: str = CALENDAR_END) -> DataFrame:

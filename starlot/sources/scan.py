@@ -65,6 +65,19 @@ def read_yearly(
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
+def spread(df: DataFrame, least_bytes: int = 1 << 20) -> DataFrame:
+    """Deal the rows of a scan with fewer splits than cores out to all cores.
+
+    For exports that come as one file with one row group, which a single task would
+    have to clean alone.  A scan with splits enough, or a tiny one, stays as it is.
+    """
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if size < least_bytes or df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)
+
+
 def read_optional(
     spark: SparkSession, pattern: str, fmt: str = "parquet", empty: T.StructType | None = None, **options: str
 ) -> DataFrame | None:
@@ -87,13 +100,12 @@ def read_landing(
                 continue
             raise FileNotFoundError(f"{source}: no file matches {pattern}")
         if "*" in stem:
-            feeds[source] = read_yearly(spark, pattern, source, fmt, **options)
+            feeds[source] = spread(read_yearly(spark, pattern, source, fmt, **options))
         elif source == "channel_costs":
             feeds[source] = read_file(spark, pattern, fmt, **options)
         else:
-            feeds[source] = normalise_headers(read_file(spark, pattern, fmt, **options)).withColumnsRenamed(
-                RENAMES.get(source, {})
-            )
+            one = normalise_headers(spread(read_file(spark, pattern, fmt, **options)))
+            feeds[source] = one.withColumnsRenamed(RENAMES.get(source, {}))
     return feeds
 
 
