@@ -334,9 +334,10 @@ class Star:
     @cached_property
     def fato_vendas(self):
         vehicles = roles.vehicles(self.spark, self.d).withColumnRenamed("codigo", "id_veiculo")
+        attributes = facts.sale_attributes(self.sale_channels, vehicles, self.commissions)
         return facts.sales_fact(
-            self.sales, self.sale_channels, self.channels, self.sellers, vehicles,
-            self.written(self.commissions, "commissions"), self.written(self.financing, "financing"),
+            self.sales, self.written(attributes, "sale-attributes"), self.channels, self.sellers,
+            self.written(self.financing, "financing"),
         )
 
     @cached_property

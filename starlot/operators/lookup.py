@@ -1,8 +1,8 @@
 """Left lookups that neither lose nor multiply rows.
 
 A side is broadcast only after its rows and bytes were counted.  Beyond the
-bound the lookup shuffles, and keys that hold a large share of the facts, as
-well as null keys, are kept out of that shuffle (see ``left_lookup``).
+bound the lookup shuffles, in a shape whose skewed partitions (one hot key, all
+null keys) adaptive execution can split (see ``left_lookup``).
 """
 
 from __future__ import annotations
@@ -24,11 +24,6 @@ BYTES_SETTING = "starlot.broadcast.maxBytes"
 MAX_ROWS = 1_000_000
 MAX_BYTES = 64 * 1024 * 1024
 
-# A key with more than 1 / HEAVY_SHARE of the rows is joined without a shuffle, so
-# at most HEAVY_SHARE keys, hence as many side rows, are broadcast for it.
-HEAVY_SHARE = 500
-_SKETCH_ITEMS = 10_000
-
 
 class Side(NamedTuple):
     """The right side of a lookup, unique on its key, with its size verdict."""
@@ -64,30 +59,6 @@ def as_side(side: DataFrame | Side) -> Side:
     return Side(side, fits)
 
 
-def _key_hash(keys: list[Column]) -> Column:
-    return F.xxhash64(*keys)
-
-
-def _heavy_keys(facts: DataFrame, keys: list[Column]) -> tuple[list[int], int]:
-    """Hashes of over-full keys and the number of rows with a null key.
-
-    A frequent-items sketch merged from all tasks: one pass over the key columns,
-    no shuffle of the facts.  It only chooses the join strategy.
-    """
-    has_null = reduce(lambda a, b: a | b, [key.isNull() for key in keys])
-    found = (
-        facts.select(_key_hash(keys).alias("h"), has_null.alias("is_null"))
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.count_if("is_null").alias("nulls"),
-            F.expr(f"approx_top_k(h, {HEAVY_SHARE}, {_SKETCH_ITEMS})").alias("top"),
-        )
-        .first()
-    )
-    floor = found["n"] / HEAVY_SHARE
-    return [item["item"] for item in (found["top"] or []) if item["count"] > floor], found["nulls"]
-
-
 def _same_types(facts: DataFrame, side: DataFrame, on: dict[str, str]) -> dict[str, str]:
     """Common key type per fact column; text never meets number silently."""
     kinds = {}
@@ -112,10 +83,11 @@ def left_lookup(
     side column (an existing fact column of that name is replaced).  ``side`` must
     be unique on its key.
 
-    Small side: broadcast hash join, the facts do not move.  Large side: rows with
-    an over-full or null key are joined to the few side rows of those keys by
-    broadcast, where they lie; all others go through a shuffle join, in which no
-    key can dominate any more.
+    Small side: broadcast hash join, the facts do not move.  Large side: one shuffle
+    join on the key and its hash.  The hash adds nothing to the match, but a join on
+    both cannot reuse a partitioning by the key alone, such as that of a side just
+    deduplicated.  So both inputs are plain shuffles, the only shape in which adaptive
+    execution splits a partition that one hot key, or the null key, has filled.
     """
     side = as_side(side)
     kinds = _same_types(facts, side.df, on)
@@ -136,20 +108,8 @@ def left_lookup(
     if side.small:
         joined = facts.join(F.broadcast(right), condition, "left")
     else:
-        heavy, nulls = _heavy_keys(facts, left_keys)
-        stays = F.lit(False)
-        if heavy:
-            stays = _key_hash(left_keys).isin(heavy)
-        if nulls and not null_safe:
-            stays = stays | reduce(lambda a, b: a | b, [key.isNull() for key in left_keys])
-        joined = facts
-        if heavy or (nulls and not null_safe):
-            few = right.filter(_key_hash([col(k) for k in joined_keys]).isin(heavy) if heavy else F.lit(False))
-            joined = facts.filter(~stays).join(right, condition, "left").unionByName(
-                facts.filter(stays).join(F.broadcast(few), condition, "left")
-            )
-        else:
-            joined = facts.join(right, condition, "left")
+        same_hash = F.hash(*left_keys) == F.hash(*[col(key) for key in joined_keys])
+        joined = facts.join(right, condition & same_hash, "left")
 
     outputs = list(take.values())
     return joined.select(

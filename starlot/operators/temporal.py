@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from starlot.functions.scalars import UNKNOWN, col, known_or, month_key
 from starlot.operators.dedup import keep_first
 from starlot.operators.lookup import Side, as_side, left_lookup, measure
-from starlot.session import setting
+from starlot.session import materialise, setting, shared_folder
 
 # Fixed value: the last day of a period without an end.
 OPEN_END = "2099-12-31"
@@ -148,7 +148,8 @@ def value_at(
 
     Every event comes back exactly once.  Small history: one broadcast hash join
     against disjoint segments, so nothing is shuffled, expanded or deduplicated.
-    Large history: each distinct (key, time) is resolved, then looked up.
+    Large history: the distinct (key, time) pairs are written, resolved, then looked
+    up; the events are read twice, the first time for those two columns.
     """
     moment = col(at).cast("timestamp_ntz")
     if by_date:
@@ -166,6 +167,7 @@ def value_at(
         found = timed.join(F.broadcast(segments), covers, "left")
     else:
         moments = timed.select(F.col("__who").alias("key"), F.col("__at").alias("at")).dropna().distinct()
+        moments = materialise(moments, shared_folder(events.sparkSession, "moments"))
         found = left_lookup(
             timed, _value_by_moment(moments, side.df), {"__who": "key", "__at": "at"}, {"value": "__value"}
         )

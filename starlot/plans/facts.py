@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
@@ -16,6 +17,7 @@ from starlot.operators.lookup import (
     Side, apply_code_map, as_side, left_lookup, lookup_key, unmatched,
 )
 from starlot.operators.temporal import period_side, value_at
+from starlot.sources.contracts import COMMISSION_COLUMNS
 from starlot.plans.schemas import FACT_APPOINTMENTS, FACT_LEADS, FACT_SALES
 
 
@@ -72,27 +74,48 @@ def leads_fact(
     return conform_to(fact, FACT_LEADS)
 
 
+def sale_attributes(
+    sale_channels: DataFrame, vehicles: DataFrame, commissions: DataFrame
+) -> DataFrame:
+    """What is known per sale code: channel, vehicle and commission in one row.
+
+    The three tables are stacked and grouped, so the sales meet them in one join
+    instead of three.  Each has one row per code, hence ``max`` picks its only value.
+    """
+    codes = [
+        sale_channels.select(col("codigo").alias("code"), "canal"),
+        vehicles.select(col("id_veiculo").alias("code"), "id_veiculo"),
+        commissions.select(col("id_venda").alias("code"), *COMMISSION_COLUMNS),
+    ]
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), codes).dropna(subset=["code"])
+    values = [name for name in stacked.columns if name != "code"]
+    return stacked.groupBy("code").agg(*[F.max(name).alias(name) for name in values])
+
+
 def sales_fact(
-    sales: DataFrame, sale_channels: DataFrame | Side, channels: DataFrame | Side, sellers: Sellers,
-    vehicles: DataFrame, commissions: DataFrame | Side, financing: DataFrame | Side,
+    sales: DataFrame, attributes: DataFrame | Side, channels: DataFrame | Side, sellers: Sellers,
+    financing: DataFrame | Side,
 ) -> DataFrame:
-    """One row per sale with channel, seller, store, vehicle, commission and financing."""
-    fact = sales.withColumn("id_venda", S.lenient_number(col("id_venda"), "bigint"))
-    fact = left_lookup(fact, sale_channels, {"id_venda": "codigo"}, {"canal": "canal"})
-    fact = with_channel(fact.withColumn("canal", normalise_text(col("canal"))), channels)
-    fact = with_seller_and_store(fact, "nome_vendedor", "data_venda", sellers)
-    vehicle_ids = vehicles.select("id_veiculo").dropna().distinct()
-    fact = left_lookup(fact, vehicle_ids, {"id_venda": "id_veiculo"}, {"id_veiculo": "id_veiculo"})
-    names = ["comissao", "impostos", "lucro", "retorno"]
-    fact = left_lookup(fact, commissions, {"id_venda": "id_venda"}, {n: f"__{n}" for n in names})
+    """One row per sale with channel, seller, store, vehicle, commission and financing.
+
+    The seller comes first: only that step may read its input twice.
+    """
+    fact = with_seller_and_store(sales, "nome_vendedor", "data_venda", sellers)
+    fact = fact.withColumn("id_venda", S.lenient_number(col("id_venda"), "bigint"))
     # An amount the export already carries stays where the commission table has none.
-    have = set(fact.columns)
+    own = {n: S.lenient_number(col(n)) for n in COMMISSION_COLUMNS if n in fact.columns}
+    fact = left_lookup(
+        fact, attributes, {"id_venda": "code"},
+        {"canal": "canal", "id_veiculo": "id_veiculo"} | {n: f"__{n}" for n in COMMISSION_COLUMNS},
+    )
     fact = fact.withColumns(
-        {n: F.coalesce(col(f"__{n}"), S.lenient_number(col(n))) if n in have else col(f"__{n}") for n in names}
+        {n: F.coalesce(col(f"__{n}"), own[n]) if n in own else col(f"__{n}") for n in COMMISSION_COLUMNS}
     )
-    plate = normalise_text(col("placa")) if "placa" in have else F.lit("")
+    fact = with_channel(fact.withColumn("canal", normalise_text(col("canal"))), channels)
+    plate = normalise_text(col("placa")) if "placa" in fact.columns else F.lit("")
     fact = left_lookup(
-        fact.withColumn("__plate", F.when(plate != "", plate)), financing, {"__plate": "placa", "id_data": "id_data"},
+        fact.withColumn("__plate", F.nullif(plate, F.lit(""))), financing,
+        {"__plate": "placa", "id_data": "id_data"},
         {n: n for n in ("valor_financiado", "tipo_retorno", "financeira")},
     )
     return conform_to(fact, FACT_SALES)

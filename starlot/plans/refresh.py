@@ -102,8 +102,9 @@ def build_star(
         None if links is None else clean.conform_links(links),
     ))
     put("fato_vendas", facts.sales_fact(
-        silver["vendas"], silver["canais"], channels, sellers, star["dim_veiculos"],
-        silver["comissoes"], silver["retorno"],
+        silver["vendas"],
+        facts.sale_attributes(silver["canais"], star["dim_veiculos"], silver["comissoes"]),
+        channels, sellers, silver["retorno"],
     ))
     put("fato_meta_vendedor", facts.seller_targets_fact(silver["meta_vendedor"], star["dim_vendedor_periodo"]))
     put("fato_meta_loja", facts.store_targets_fact(silver["meta_loja"]))

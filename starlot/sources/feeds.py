@@ -17,13 +17,12 @@ from starlot.operators.dedup import keep_first, keep_latest
 from starlot.operators.lookup import Side, apply_code_map, code_map_side
 from starlot.operators.overlay import fill_by_priority, overlay
 from starlot.operators.reshape import months_to_rows
-from starlot.sources.contracts import COMMISSIONS, FINANCING, require_columns
+from starlot.sources.contracts import COMMISSION_COLUMNS, COMMISSIONS, FINANCING, require_columns
 from starlot.sources.scan import FILE, ROW
 
 # Words of the exports and literals of the tables.
 WON, LOST, YES = "ganho", "perdido", "sim"
 UNKNOWN_BRAND = "desconhecida"
-COMMISSION_COLUMNS = ["comissao", "impostos", "lucro", "retorno"]
 VEHICLE_COLUMNS = ["codigo", "modelo", "ano", "cor", "tipo", "placa", "situacao"]
 
 
