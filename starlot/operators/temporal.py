@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from starlot.functions.scalars import UNKNOWN, col, known_or, month_key
 from starlot.operators.dedup import keep_first
-from starlot.operators.lookup import Side, as_side, left_lookup, measure
+from starlot.operators.lookup import Side, as_side, left_lookup
 from starlot.session import materialise, setting, shared_folder
 
 # Fixed value: the last day of a period without an end.
@@ -198,5 +198,5 @@ def months_of_periods(
 
 
 __all__ = [
-    "OPEN_END", "disjoint_segments", "measure", "months_of_periods", "period_side", "validity_periods", "value_at",
+    "OPEN_END", "disjoint_segments", "months_of_periods", "period_side", "validity_periods", "value_at",
 ]

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starlot.functions.text import normalise_headers
-from starlot.sources.contracts import LANDING_STEMS, OPTIONAL, RENAMES, require_columns
+from starlot.sources.contracts import LANDING_STEMS, OPTIONAL, RENAMES, REQUIRED, require_columns
 
 FILE, ROW = "_file", "_row"
 
@@ -28,7 +28,7 @@ def read_file(
     spark: SparkSession, path: str | list[str], fmt: str = "parquet", schema: T.StructType | str | None = None,
     order: bool = False, **options: str,
 ) -> DataFrame:
-    """One scan.  ``order`` adds the file name and, for Parquet, the row's position in it."""
+    """One scan.  ``order`` adds the path and, for Parquet, the row's position in it."""
     reader = spark.read.format(fmt).options(**({"header": "true"} | options if fmt == "csv" else options))
     if schema is not None:
         reader = reader.schema(schema)
@@ -36,7 +36,7 @@ def read_file(
     if not order:
         return df
     row = F.col("_metadata.row_index") if fmt == "parquet" else F.lit(None).cast("bigint")
-    return df.select("*", F.col("_metadata.file_name").alias(FILE), row.alias(ROW))
+    return df.select("*", F.col("_metadata.file_path").alias(FILE), row.alias(ROW))
 
 
 def read_yearly(
@@ -52,6 +52,7 @@ def read_yearly(
     files = list_files(spark, pattern)
     if not files:
         raise FileNotFoundError(f"{source}: no file matches {pattern}")
+    needed = REQUIRED.get(source, []) if required is None else required
     layouts: dict[str, list[str]] = {}
     for path in files:
         layouts.setdefault(read_file(spark, path, fmt, **options).schema.json(), []).append(path)
@@ -60,8 +61,7 @@ def read_yearly(
         schema = T.StructType.fromJson(json.loads(layout))
         part = normalise_headers(read_file(spark, paths, fmt, schema, order=True, **options))
         part = part.withColumnsRenamed(RENAMES.get(source, {}) if rename is None else rename)
-        parts.append(require_columns(part, f"{source} ({paths[0]})", required) if required is not None
-                     else require_columns(part, source))
+        parts.append(require_columns(part, f"{source} ({paths[0]})", needed))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
