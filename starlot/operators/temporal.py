@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from starlot.functions.scalars import UNKNOWN, col, known_or, month_key
 from starlot.operators.dedup import keep_first
-from starlot.operators.lookup import Side, as_side, left_lookup
+from starlot.operators.lookup import (
+    BYTES_SETTING, MAX_BYTES, MAX_ROWS, ROWS_SETTING, Side, left_lookup,
+)
 from starlot.session import materialise, setting, shared_folder
 
 # Fixed value: the last day of a period without an end.
@@ -17,6 +19,7 @@ PERIODS_SETTING = "starlot.periods.maxPerKey"
 MAX_PERIODS_PER_KEY = 512
 HISTORY_ROWS_SETTING = "starlot.periods.maxRows"
 MAX_HISTORY_ROWS = 250_000
+SEGMENT_BYTES = 64
 
 
 def validity_periods(
@@ -73,13 +76,21 @@ def disjoint_segments(periods: DataFrame) -> DataFrame:
     )
 
 
-def _fits_in_arrays(periods: DataFrame) -> bool:
-    """True if all periods, and those of the fullest key, are within the bounds."""
+def _fits_in_memory(periods: DataFrame) -> bool:
+    """True if all periods, those of the fullest key, and their segments are within the bounds.
+
+    A key with n periods has 2n cuts and so fewer than 2n segments, which bounds the
+    broadcast without evaluating them.
+    """
     spark = periods.sparkSession
     found = periods.groupBy("key").count().agg(F.sum("count").alias("n"), F.max("count").alias("most")).first()
-    return (found["n"] or 0) <= setting(spark, HISTORY_ROWS_SETTING, MAX_HISTORY_ROWS) and (
-        found["most"] or 0
-    ) <= setting(spark, PERIODS_SETTING, MAX_PERIODS_PER_KEY)
+    total, most = found["n"] or 0, found["most"] or 0
+    return (
+        total <= setting(spark, HISTORY_ROWS_SETTING, MAX_HISTORY_ROWS)
+        and most <= setting(spark, PERIODS_SETTING, MAX_PERIODS_PER_KEY)
+        and 2 * total <= setting(spark, ROWS_SETTING, MAX_ROWS)
+        and 2 * total * SEGMENT_BYTES <= setting(spark, BYTES_SETTING, MAX_BYTES)
+    )
 
 
 def period_side(
@@ -91,11 +102,7 @@ def period_side(
     Small: broadcastable disjoint segments.  Otherwise the plain periods.
     """
     periods = validity_periods(history, key, value, start, end, by_date)
-    if _fits_in_arrays(periods):
-        segments = disjoint_segments(periods)
-        if as_side(segments).small:
-            return Side(segments, True)
-    return Side(periods, False)
+    return Side(disjoint_segments(periods), True) if _fits_in_memory(periods) else Side(periods, False)
 
 
 def _value_by_moment(moments: DataFrame, periods: DataFrame) -> DataFrame:
