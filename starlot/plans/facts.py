@@ -101,7 +101,6 @@ def sales_fact(
     The seller comes first: only that step may read its input twice.
     """
     fact = with_seller_and_store(sales, "nome_vendedor", "data_venda", sellers)
-    fact = fact.withColumn("id_venda", S.lenient_number(col("id_venda"), "bigint"))
     # An amount the export already carries stays where the commission table has none.
     own = {n: S.lenient_number(col(n)) for n in COMMISSION_COLUMNS if n in fact.columns}
     fact = left_lookup(

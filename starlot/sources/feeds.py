@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starlot.functions import scalars as S
 from starlot.functions.scalars import col
@@ -37,6 +38,13 @@ def when(df: DataFrame, name: str, formats: tuple[str, ...]) -> Column:
     return S.lenient_timestamp(col(name), *(formats if is_text else ()))
 
 
+def whole(df: DataFrame, name: str, kind: str = "bigint") -> Column:
+    """A whole-number column; only text, as from CSV files, is parsed."""
+    if isinstance(df.schema[name].dataType, T.IntegralType):
+        return col(name)
+    return S.lenient_number(col(name), kind)
+
+
 def channel_map(mapping: DataFrame, strict: bool = False) -> Side:
     return code_map_side(require_columns(mapping, "channel_map"), "canal_origem", "canal_padrao", strict)
 
@@ -56,7 +64,8 @@ def conform_leads(
     leads = raw if corrections is None else overlay(raw, corrections, "id")
     leads = require_columns(leads, "leads")
     created, touched = when(leads, "data_criacao", formats), when(leads, "ultima_integracao", formats)
-    keyed = leads.withColumns({"data_criacao": created, "ultima_integracao": touched}).withColumns(
+    dated = {"id": whole(leads, "id"), "data_criacao": created, "ultima_integracao": touched}
+    keyed = leads.withColumns(dated).withColumns(
         {
             "convertido_flag": S.equals_flag(col("conversao"), WON),
             "perdido_flag": S.equals_flag(col("conversao"), LOST),
@@ -69,7 +78,8 @@ def conform_leads(
 
 def conform_sales(raw: DataFrame, formats: tuple[str, ...] = ()) -> DataFrame:
     sales = require_columns(raw, "sales")
-    return sales.withColumn("data_venda", when(sales, "data_venda", formats)).withColumns(
+    typed = {"id_venda": whole(sales, "id_venda"), "data_venda": when(sales, "data_venda", formats)}
+    return sales.withColumns(typed).withColumns(
         {"id_data": S.date_key(col("data_venda")), "ano_mes": S.month_key(col("data_venda"))}
     )
 
@@ -87,7 +97,8 @@ def conform_sale_channels(raw: DataFrame, channels: Side, order: list[str] | Non
 def conform_appointments(raw: DataFrame, channels: Side, formats: tuple[str, ...] = ()) -> DataFrame:
     rows = require_columns(raw, "appointments")
     made, due = when(rows, "criacao_agendamento", formats), when(rows, "agendado_para", formats)
-    keyed = rows.withColumns({"criacao_agendamento": made, "agendado_para": due}).withColumns(
+    dated = {"id": whole(rows, "id"), "criacao_agendamento": made, "agendado_para": due}
+    keyed = rows.withColumns(dated).withColumns(
         {
             "id_data_agendamento": S.date_key(col("criacao_agendamento")),
             "id_data_visita": S.date_key(col("agendado_para")),
@@ -127,7 +138,8 @@ def conform_vehicles(
 ) -> DataFrame:
     """Distinct vehicles with their brand: stock first, then latest sale, then unknown."""
     base = require_columns(raw, "vehicles").select(*VEHICLE_COLUMNS).distinct()
-    base = base.withColumn("codigo", col("codigo").cast("bigint")).withColumn("id_veiculo", col("codigo"))
+    typed = {"codigo": col("codigo").cast("bigint"), "ano": whole(base, "ano", "int")}
+    base = base.withColumns(typed).withColumn("id_veiculo", col("codigo"))
     sources = [(brands, "codigo", "marca") for brands in (in_stock, at_sale) if brands is not None]
     return fill_by_priority(base, "codigo", "marca", sources, UNKNOWN_BRAND)
 
@@ -193,11 +205,16 @@ def conform_history(raw: DataFrame, formats: tuple[str, ...] = ()) -> DataFrame:
 
 
 def conform_targets(raw: DataFrame, source: str) -> DataFrame:
-    return require_columns(raw, source).withColumn("ano_mes", col("ano_mes").cast("int"))
+    rows = require_columns(raw, source)
+    keys = {name: col(name).cast("bigint") for name in ("id_vendedor", "id_loja") if name in rows.columns}
+    return rows.withColumns(
+        keys | {"ano_mes": col("ano_mes").cast("int"), "meta_qtd": whole(rows, "meta_qtd").cast("bigint")}
+    )
 
 
 def conform_links(raw: DataFrame) -> DataFrame:
     """One link per lead; the source does not promise it, so the first in file order stays."""
     rows = require_columns(normalise_headers(raw), "lead_links")
     order = arrival(rows)
-    return keep_first(rows.select("id", "link_post", *order), ["id"], order).select("id", "link_post")
+    rows = rows.select(whole(rows, "id").alias("id"), "link_post", *order)
+    return keep_first(rows, ["id"], order).select("id", "link_post")

@@ -154,6 +154,21 @@ def test_audit(run):
     assert rows(run.rates)[-1] == ("fato_vendas", 0.5, 0.5)
 
 
+def test_csv_landing_gives_the_same_star(spark, landing, run, tmp_path):
+    """The same exports as CSV text, dates and numbers included."""
+    import os
+
+    for name in os.listdir(landing):
+        df = spark.read.parquet(f"{landing}/{name}")
+        path = f"{tmp_path}/landing/{name.removesuffix('.parquet')}.csv"
+        df.coalesce(1).write.option("header", "true").csv(path)
+    again = full_refresh(spark, read_landing(spark, f"{tmp_path}/landing", "csv"), f"{tmp_path}/out")
+    for name in TABLES:
+        assert again.tables[name].schema == run.tables[name].schema, name
+        if name not in ("dim_data", "dim_vendedor_periodo"):
+            assert rows(again.tables[name]) == rows(run.tables[name]), name
+
+
 def test_publish_and_block(spark, landing, tmp_path):
     raw = read_landing(spark, landing)
     blocked = full_refresh(spark, raw, str(tmp_path / "a"), database="gold", block_on_fail=True)
