@@ -209,7 +209,7 @@ def yearly_files(spark, d) -> DataFrame:
     for y in range(ends["a"], ends["b"] + 1):
         one = orders.filter(year == y).select(
             F.col("o_orderkey").alias("Código"), F.col("o_orderdate").alias("Dt. Venda"),
-            F.col("o_totalprice").alias(" Venda " if y % 2 else "VENDA"),
+            F.col("o_totalprice").alias(" Venda " if y == ends["a"] else "VENDA"),
         )
         if y == ends["b"]:
             one = one.withColumn("Situação", F.lit("nova"))
@@ -345,9 +345,13 @@ class Star:
         return facts.channel_costs_fact(self.costs, self.channels)
 
     @cached_property
-    def kpi_inputs(self):
+    def kpi_costs(self):
+        return facts.channel_costs_fact(self.mapped_costs, self.channels)
+
+    @cached_property
+    def kpi_leads(self):
         leads = feeds.conform_leads(roles.order_leads(self.spark, self.d), self.channel_codes)
-        return facts.channel_costs_fact(self.mapped_costs, self.channels), facts.with_channel(leads, self.channels)
+        return facts.with_channel(leads, self.channels)
 
 
 def feed_leads(spark, d):
@@ -444,15 +448,17 @@ def fato_custos_canal(spark, d):
 
 
 def cost_per_lead(spark, d):
-    return kpis.cost_per_lead(*Star(spark, d).kpi_inputs)
+    star = Star(spark, d)
+    return kpis.cost_per_lead(star.kpi_costs, star.kpi_leads)
 
 
 def cost_per_sale(spark, d):
-    return kpis.cost_per_sale(*Star(spark, d).kpi_inputs)
+    star = Star(spark, d)
+    return kpis.cost_per_sale(star.kpi_costs, star.kpi_leads)
 
 
 def total_cost(spark, d):
-    return kpis.total_cost(Star(spark, d).kpi_inputs[0])
+    return kpis.total_cost(Star(spark, d).kpi_costs)
 
 
 # --- quality and publish -----------------------------------------------------

@@ -51,6 +51,7 @@ def dense_keys(members: DataFrame, out: str, tie: list[str], start: int = 1) ->
     before = sizes.select(
         "__range", (F.sum("__n").over(Window.orderBy("__range")) - F.col("__n")).alias("__before")
     )
+    # `before` has one row per range, which is bounded by the number of cut points.
     inside = F.row_number().over(Window.partitionBy("__range").orderBy("__at"))
     return (
         cut.withColumn("__inside", inside)

@@ -89,7 +89,8 @@ def left_lookup(
     deduplicated.  So both inputs are plain shuffles, the only shape in which adaptive
     execution splits a partition that one hot key, or the null key, has filled.
     """
-    side = as_side(side)
+    if isinstance(side, DataFrame):
+        side = as_side(side.select(*[col(name) for name in dict.fromkeys([*on.values(), *take])]))
     kinds = _same_types(facts, side.df, on)
     # Two copies, since join and output may use the same side column.
     joined_keys = [f"__key{i}" for i in range(len(on))]
@@ -122,8 +123,7 @@ def lookup_key(
     facts: DataFrame, side: DataFrame | Side, on: dict[str, str], key: str, out: str, null_safe: bool = False
 ) -> DataFrame:
     """``left_lookup`` of one surrogate key with the unknown member for no match."""
-    side = as_side(side)
-    kind = side.df.schema[key].dataType.simpleString()
+    kind = (side.df if isinstance(side, Side) else side).schema[key].dataType.simpleString()
     found = left_lookup(facts, side, on, {key: out}, null_safe)
     return found.withColumn(out, known_or(col(out), kind))
 
