@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from starlot.llm import quality
+from starlot.llm import near, quality
 
 QUERIES = {
     "op5_line_quality": quality.op5_line_quality,
+    "op9_near_duplicates": near.op9_near_duplicates,
 }
 
 ORACLE = {
