@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from starlot.llm import near, quality
+from starlot.llm import decontam, near, quality, secrets
 
 QUERIES = {
+    "op1_secret_spans": secrets.op1_secret_spans,
+    "op3_benchmark_leaks": decontam.op3_benchmark_leaks,
     "op5_line_quality": quality.op5_line_quality,
     "op9_near_duplicates": near.op9_near_duplicates,
 }
