@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from starlot.llm import decontam, near, quality, secrets
+from starlot.llm import decontam, near, packing, quality, secrets
 
 QUERIES = {
     "op1_secret_spans": secrets.op1_secret_spans,
+    "op2_mixture_packing": packing.op2_mixture_packing,
     "op3_benchmark_leaks": decontam.op3_benchmark_leaks,
     "op5_line_quality": quality.op5_line_quality,
     "op9_near_duplicates": near.op9_near_duplicates,
