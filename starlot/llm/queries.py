@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from starlot.llm import decontam, near, packing, quality, secrets
+from starlot.llm import chat, decontam, near, packing, quality, secrets
 
 QUERIES = {
     "op1_secret_spans": secrets.op1_secret_spans,
     "op2_mixture_packing": packing.op2_mixture_packing,
     "op3_benchmark_leaks": decontam.op3_benchmark_leaks,
     "op5_line_quality": quality.op5_line_quality,
+    "op6_chat_turns": chat.op6_chat_turns,
     "op9_near_duplicates": near.op9_near_duplicates,
 }
 
 ORACLE = {
+    "op6_chat_turns": chat.SQL,
     "op5_line_quality": quality.SQL,
 }
