@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from starlot.llm import chat, decontam, near, packing, quality, secrets
+from starlot.llm import chat, decontam, near, packing, quality, secrets, warc
 
 QUERIES = {
     "op1_secret_spans": secrets.op1_secret_spans,
@@ -10,10 +10,12 @@ QUERIES = {
     "op3_benchmark_leaks": decontam.op3_benchmark_leaks,
     "op5_line_quality": quality.op5_line_quality,
     "op6_chat_turns": chat.op6_chat_turns,
+    "op7_warc_bundles": warc.op7_warc_bundles,
     "op9_near_duplicates": near.op9_near_duplicates,
 }
 
 ORACLE = {
     "op6_chat_turns": chat.SQL,
     "op5_line_quality": quality.SQL,
+    "op7_warc_bundles": warc.SQL,
 }
