@@ -1,7 +1,8 @@
 """Near-duplicate documents by ProbMinHash over weighted five-word shingles.
 
 1. Words are runs of letters and digits in lower case. Documents with equal words are one *text*,
-   whose id is the digest of its words; only texts go further, so copies cost no comparisons.
+   known by the 64-bit hash of its words; only texts go further, so copies cost no comparisons.
+   (Among n different texts two share a hash with probability n * n / 2**65.)
 2. A text is signed by ProbMinHash: every shingle runs a Poisson process whose rate is its weight,
    1 + ln(occurrences); each arrival falls into a random register, and a register keeps the shingle
    that arrives first. Once a shingle's next arrival is later than all registers it stops. Two texts
@@ -11,13 +12,17 @@
    similarity shares a bucket with probability 0.9999.
 4. Linked texts form classes. What a bucket then holds of several classes is compared across them,
    so no link between bucket mates is lost: the texts outside the bucket's largest class meet all
-   texts of other classes. Where that would be more than ``most_pairs`` comparisons, the bucket's
-   texts are joined on the rarest fifth of their shingles instead, without which no pair can reach
-   0.8 (prefix filter): exact as well, and cheap for texts that only share a passage.
+   texts of other classes, which is in proportion to the bucket while they are few. Where they are
+   more than ``most_apart``, the bucket's texts are joined on the rarest fifth of their shingles
+   instead, without which no pair can reach 0.8 (prefix filter): exact as well, and cheap for texts
+   that only share a passage.
 
 Skew: counts and minima are combined before shuffles, buckets are never gathered into one row or
-task, and the joins are plain shuffle joins, which adaptive execution splits. Nothing is collected;
-the loop that joins classes learns one number a step, and writes its state below the shared folder.
+task, and the joins are plain shuffle joins, which adaptive execution splits. Texts are read twice:
+to sign them, and to write the shingles of those that share a bucket. The second reading takes
+their row keys by broadcast if these are at most ``BROADCAST_KEYS`` (16 bytes each), else by a
+shuffle. Nothing is collected; the loop that joins classes learns one bit a step, and writes its
+state below the shared folder.
 
 Defined cases: a text without words belongs to nobody else; below five words, all words are one
 shingle; null ids are one id in classes (``min`` skips them); repeated rows are copies.
@@ -37,7 +42,8 @@ WORDS = 5
 SIMILAR = (8, 10)
 BANDS = 25
 ROWS = 5
-MOST_PAIRS = 2_000
+MOST_APART = 32
+BROADCAST_KEYS = 1_000_000
 
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
@@ -48,8 +54,13 @@ def word_list(text: Column) -> Column:
 
 
 def node_of(ws: Column) -> Column:
-    """Digest of the words: equal for copies; null without words."""
-    return F.when(F.size(ws) > 0, F.unhex(F.md5(F.concat_ws(" ", ws))))
+    """Hash of the words: equal for copies; null without words."""
+    return F.when(F.size(ws) > 0, F.xxhash64(F.concat_ws(" ", ws)))
+
+
+def _key(doc_id: str, text: str) -> Column:
+    """Tells rows apart without their words."""
+    return F.xxhash64(F.col(doc_id).cast("long"), text_or_empty(text))
 
 
 def shingles(ws: Column) -> Column:
@@ -122,36 +133,46 @@ def _signed(batches):
             rows = np.flatnonzero(ends == part)
             if len(rows):
                 yield pd.DataFrame({
-                    "id": batch["id"].iloc[rows].to_numpy(), "has_id": batch["has_id"].iloc[rows].to_numpy(),
-                    "node": batch["node"].iloc[rows].to_numpy(), "bands": signatures([hashes[r] for r in rows]),
+                    **{c: batch[c].iloc[rows].to_numpy() for c in ("id", "has_id", "key", "node")},
+                    "bands": signatures([hashes[r] for r in rows]),
                 })
 
 
 def signed_documents(docs: DataFrame, doc_id: str, text: str, folder: str) -> DataFrame:
-    """``(id, node, bands)`` for every row, written once."""
-    ws = docs.select(F.col(doc_id).cast("long").alias("id"), word_list(text_or_empty(text)).alias("ws"))
+    """``(id, key, node, bands)`` for every row, written once; node is null without words."""
+    ws = docs.select(F.col(doc_id).cast("long").alias("id"), _key(doc_id, text).alias("key"), word_list(text_or_empty(text)).alias("ws"))
     read = ws.select(
-        F.coalesce("id", F.lit(0)).alias("id"), F.col("id").isNotNull().alias("has_id"), node_of(F.col("ws")).alias("node"),
-        F.transform("ws", lambda w: F.xxhash64(w)).alias("hashes"),
+        F.coalesce("id", F.lit(0)).alias("id"), F.col("id").isNotNull().alias("has_id"), "key",
+        F.coalesce(node_of(F.col("ws")), F.lit(0)).alias("node"), F.transform("ws", lambda w: F.xxhash64(w)).alias("hashes"),
     )
-    signed = read.mapInPandas(_signed, "id bigint, has_id boolean, node binary, bands array<bigint>")
-    return materialise(signed.select(F.when(F.col("has_id"), F.col("id")).alias("id"), "node", "bands"), f"{folder}/signed")
+    signed = read.mapInPandas(_signed, "id bigint, has_id boolean, key bigint, node bigint, bands array<bigint>")
+    no_words = (F.col("node") == 0) & (F.size("bands") == 0)
+    return materialise(signed.select(
+        F.when(F.col("has_id"), F.col("id")).alias("id"), "key", F.when(~no_words, F.col("node")).alias("node"), "bands"
+    ), f"{folder}/signed")
+
+
+def member_sets(docs: DataFrame, doc_id: str, text: str, members: DataFrame, texts: DataFrame, folder: str) -> DataFrame:
+    """``(node, s)``: the shingles of the texts that share a bucket with another, written once."""
+    nodes = members.select(F.col("node").alias("m")).distinct()
+    keys = materialise(texts.join(nodes, F.col("node") == F.col("m"), "left_semi").select(F.col("key").alias("k"), F.col("node").alias("kn")), f"{folder}/keys")
+    few = keys.count() <= BROADCAST_KEYS
+    rows = docs.select(_key(doc_id, text).alias("key"), text_or_empty(text).alias("t"))
+    held = rows.join(F.broadcast(keys) if few else keys, F.col("key") == F.col("k")).select(F.col("kn").alias("node"), word_list(F.col("t")).alias("ws"))
+    # Rows that repeat an id and a text have one key; one of them is enough.
+    return materialise(held.select("node", shingles(F.col("ws")).alias("s")).dropDuplicates(["node"]), f"{folder}/sets")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, text: str) -> DataFrame:
+def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs ``(a, b)`` whose shingle sets have the similarity asked for."""
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("n")).distinct()
-    ws = docs.select(word_list(text_or_empty(text)).alias("ws")).select("ws", node_of(F.col("ws")).alias("node"))
-    sets = (
-        ws.join(ends, F.col("node") == F.col("n"), "left_semi").groupBy("node").agg(F.first("ws").alias("ws"))
-        .select("node", shingles(F.col("ws")).alias("s"))
-    )
-    left, right = (sets.select(F.col("node").alias(f"{k}_n"), F.col("s").alias(f"{k}_s")) for k in "ab")
-    both = pairs.join(left, F.col("a") == F.col("a_n")).join(right, F.col("b") == F.col("b_n"))
-    small, large = F.least(F.size("a_s"), F.size("b_s")), F.greatest(F.size("a_s"), F.size("b_s"))
     part, whole = SIMILAR
-    possible = both.where(whole * small >= part * large)
-    shared = possible.withColumn("x", F.size(F.array_intersect("a_s", "b_s")))
+    left, right = (sets.select(F.col("node").alias(f"{k}_n"), F.col("s").alias(f"{k}_s")) for k in "ab")
+    sizes = sets.select(F.col("node").alias("n"), F.size("s").alias("size"))
+    # Sizes alone rule out many pairs before any set travels.
+    sized = pairs.join(sizes, F.col("a") == F.col("n")).select("a", "b", F.col("size").alias("a_size"))
+    sized = sized.join(sizes, F.col("b") == F.col("n")).where(whole * F.least("a_size", "size") >= part * F.greatest("a_size", "size"))
+    both = sized.select("a", "b").join(left, F.col("a") == F.col("a_n")).join(right, F.col("b") == F.col("b_n"))
+    shared = both.withColumn("x", F.size(F.array_intersect("a_s", "b_s")))
     return shared.where(whole * F.col("x") >= part * (F.size("a_s") + F.size("b_s") - F.col("x"))).select("a", "b")
 
 
@@ -195,16 +216,11 @@ def _cross(members: DataFrame) -> DataFrame:
     return pairs.select(F.least("node", "x").alias("a"), F.greatest("node", "x").alias("b")).distinct()
 
 
-def _rare_fifth(members: DataFrame, docs: DataFrame, text: str) -> DataFrame:
+def _rare_fifth(members: DataFrame, sets: DataFrame) -> DataFrame:
     """``(key, node, class)`` with the shingles as keys by which similar texts must meet."""
     part, whole = SIMILAR
-    nodes = members.select("node", "class").distinct()
-    ws = docs.select(word_list(text_or_empty(text)).alias("ws")).select("ws", node_of(F.col("ws")).alias("n"))
-    held = (
-        ws.join(nodes, F.col("n") == F.col("node"), "left_semi").groupBy("n").agg(F.first("ws").alias("ws"))
-        .join(nodes, F.col("n") == F.col("node")).select("node", "class", shingles(F.col("ws")).alias("s"))
-    )
-    each = held.select("node", "class", F.explode("s").alias("h"))
+    nodes = members.select(F.col("node").alias("m"), "class").distinct()
+    each = sets.join(nodes, F.col("node") == F.col("m")).select("node", "class", F.explode("s").alias("h"))
     often = each.groupBy("h").agg(F.count(F.lit(1)).alias("often")).withColumnRenamed("h", "g")
     ranked = each.join(often, F.col("h") == F.col("g")).groupBy("node", "class").agg(F.sort_array(F.collect_list(F.struct("often", "h"))).alias("s"))
     size = F.size("s")
@@ -212,35 +228,40 @@ def _rare_fifth(members: DataFrame, docs: DataFrame, text: str) -> DataFrame:
     return ranked.select(F.explode(F.slice("s", F.lit(1), keep)).alias("e"), "node", "class").select(F.col("e.h").alias("key"), "node", "class")
 
 
-def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", most_pairs: int = MOST_PAIRS) -> tuple[DataFrame, DataFrame]:
+def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", most_apart: int = MOST_APART) -> tuple[DataFrame, DataFrame]:
     """``(signed rows, (node, class) of linked texts)``."""
     folder = shared_folder(docs.sparkSession, "near")
     signed = signed_documents(docs, doc_id, text, folder)
-    texts = signed.where("size(bands) > 0").groupBy("node").agg(F.first("bands").alias("bands"))
-    each = texts.select("node", F.explode("bands").alias("key"))
-    buckets = each.groupBy("key").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1").withColumnRenamed("key", "bk")
-    members = materialise(each.join(buckets, F.col("key") == F.col("bk")).select("key", "node", "leader"), f"{folder}/members")
+    texts = signed.where("size(bands) > 0").groupBy("node").agg(F.first("bands").alias("bands"), F.min("key").alias("key"))
+    texts = materialise(texts, f"{folder}/texts")
+    each = texts.select("node", F.explode("bands").alias("band"))
+    buckets = each.groupBy("band").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("band").alias("shared"), "leader")
+    members = materialise(each.join(buckets, F.col("band") == F.col("shared")).select(F.col("band").alias("key"), "node", "leader"), f"{folder}/members")
+    sets = member_sets(docs, doc_id, text, members, texts, folder)
     stars = members.where("node != leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
-    links = materialise(_verified(stars, docs, text), f"{folder}/links")
+    links = materialise(_verified(stars, sets), f"{folder}/links")
     found = connected(links, f"{folder}/first")
 
     named = found.select(F.col("node").alias("fn"), F.col("class").alias("fc"))
     placed = members.join(named, F.col("node") == F.col("fn"), "left").select("key", "node", F.coalesce("fc", "node").alias("class"))
     mixed = placed.groupBy("key", "class").agg(F.count(F.lit(1)).alias("n")).groupBy("key").agg(
         F.count(F.lit(1)).alias("classes"), F.sum("n").alias("n"), F.max("n").alias("major")
-    ).where("classes > 1").select(F.col("key").alias("bk"), ((F.col("n") - F.col("major")) * F.col("n") > most_pairs).alias("wide"))
+    ).where("classes > 1").select(F.col("key").alias("bk"), (F.col("n") - F.col("major") > most_apart).alias("wide"))
     left = materialise(placed.join(mixed, F.col("key") == F.col("bk")).select("key", "node", "class", "wide"), f"{folder}/left")
-    narrow = _cross(left.where("NOT wide").select("key", "node", "class"))
-    wide = _cross(_rare_fifth(left.where("wide"), docs, text))
-    more = materialise(_verified(narrow.union(wide).distinct(), docs, text), f"{folder}/more")
+    across = _cross(left.where("NOT wide").select("key", "node", "class"))
+    if not left.where("wide").isEmpty():
+        across = across.union(_cross(_rare_fifth(left.where("wide"), sets))).distinct()
+    # The first comparisons are known; only the others are new.
+    new = across.join(stars.select(F.least("a", "b").alias("sa"), F.greatest("a", "b").alias("sb")), (F.col("a") == F.col("sa")) & (F.col("b") == F.col("sb")), "left_anti")
+    more = materialise(_verified(new, sets), f"{folder}/more")
     if not more.isEmpty():
         found = connected(links.union(more), f"{folder}/second")
     return signed, found
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", most_pairs: int = MOST_PAIRS) -> DataFrame:
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", most_apart: int = MOST_APART) -> DataFrame:
     """``(doc_id, class_id)`` for every row; the class id is the smallest document id of the class."""
-    signed, found = classes(docs, doc_id, text, most_pairs)
+    signed, found = classes(docs, doc_id, text, most_apart)
     return _labelled(signed, found).select(F.col("id").alias("doc_id"), "class_id")
 
 
@@ -257,12 +278,12 @@ def _labelled(signed: DataFrame, found: DataFrame) -> DataFrame:
     )
 
 
-def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", most_pairs: int = MOST_PAIRS) -> DataFrame:
+def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", most_apart: int = MOST_APART) -> DataFrame:
     """The documents without all but one of each class, with all their columns.
 
     The document with the smallest id stays; of rows that repeat it, one. Texts without words all stay.
     """
-    signed, found = classes(docs, doc_id, text, most_pairs)
+    signed, found = classes(docs, doc_id, text, most_apart)
     named = _labelled(signed, found)
     kept = (
         named.where(F.col("node").isNotNull() & F.col("id").eqNullSafe(F.col("class_id")))
