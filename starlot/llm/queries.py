@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from starlot.llm import chat, decontam, near, packing, quality, secrets, warc
+from starlot.llm import chat, decontam, near, packing, quality, secrets, toxicity, warc
 
 QUERIES = {
     "op1_secret_spans": secrets.op1_secret_spans,
@@ -11,6 +11,7 @@ QUERIES = {
     "op5_line_quality": quality.op5_line_quality,
     "op6_chat_turns": chat.op6_chat_turns,
     "op7_warc_bundles": warc.op7_warc_bundles,
+    "op8_toxicity_scores": toxicity.op8_toxicity_scores,
     "op9_near_duplicates": near.op9_near_duplicates,
 }
 
