@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from starlot.llm import chat, decontam, near, packing, quality, secrets, toxicity, warc
+from starlot.llm import chat, decontam, licences, near, packing, quality, secrets, toxicity, warc
 
 QUERIES = {
     "op1_secret_spans": secrets.op1_secret_spans,
@@ -13,10 +13,12 @@ QUERIES = {
     "op7_warc_bundles": warc.op7_warc_bundles,
     "op8_toxicity_scores": toxicity.op8_toxicity_scores,
     "op9_near_duplicates": near.op9_near_duplicates,
+    "op10_licence_notices": licences.op10_licence_notices,
 }
 
 ORACLE = {
     "op6_chat_turns": chat.SQL,
     "op5_line_quality": quality.SQL,
     "op7_warc_bundles": warc.SQL,
+    "op10_licence_notices": licences.SQL,
 }
