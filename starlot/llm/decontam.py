@@ -9,9 +9,10 @@ round, so a passage whose numbers differ by one consistent replacement is a leak
 only looks alike is not. An item has leaked if consistent windows are ``least`` percent of its
 windows or more. Items of 5 to 7 words are one window of their own width, shorter ones never match.
 
-The benchmark is broadcast if its windows are at most ``BROADCAST_WINDOWS`` (counted first; about 24
-bytes each), else joined by shuffle. Documents are not shuffled: only windows that met are, and the
-texts of documents with enough of them.
+A window goes to the join only if its hash falls on one of ``FILTER`` positions that the benchmark has
+set, a filter of fixed size that most windows fail. The benchmark's windows, and the keys of documents
+with enough of them, are broadcast if they are at most ``BROADCAST_WINDOWS`` (counted first; about 24
+bytes each), else joined by shuffle. Documents are not shuffled but in that last case.
 
 Defined cases: null and empty texts never match, on either side; repeated rows give one result row
 (``leaks``) and are all removed (``without_leaks``); an empty benchmark leaks nowhere; an item
@@ -23,16 +24,20 @@ from __future__ import annotations
 
 from collections import defaultdict
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starlot.llm.common import let, packed, text_or_empty, unpacked, windows
+from starlot.llm.common import packed, text_or_empty, unpacked
+from starlot.session import materialise, shared_folder
 
 WIDTH = 8
 SHORTEST = 5
 LEAST = 50
 BROADCAST_WINDOWS = 1_000_000
+FILTER = 1 << 22
+MIX = np.uint64(0x9E3779B97F4A7C15)
 
 # Units of measure, time and money that stand for a slot.
 UNITS = (
@@ -46,52 +51,73 @@ NAME_MARK = "\u0001"
 NUMBER, NAME, UNIT = -1, -2, -3
 
 
-def tokens(text: Column) -> Column:
-    """Words as written; names carry a mark, separators inside numbers are gone."""
-    plain = F.regexp_replace(F.translate(text, NAME_MARK, " "), r"(?<=\p{N})[.,](?=\p{N})", "")
-    named = F.regexp_replace(plain, r"(?<=[^.!?:\s][ \t])(?=\p{Lu}\p{Ll})", NAME_MARK)
-    return F.filter(F.split(named, rf"[^\p{{L}}\p{{M}}\p{{N}}{NAME_MARK}]+", -1), lambda w: w != "")
-
-
-def templates(toks: Column) -> Column:
-    """One number a token: its type for slots, else a hash of the word."""
-    def one(w: Column) -> Column:
-        return (
-            F.when(w.startswith(NAME_MARK), F.lit(NAME).cast("long"))
-            .when((w >= "0") & (w < ":"), F.lit(NUMBER).cast("long"))
-            .otherwise(let(F.lower(w), lambda x: F.when(x.isin(*UNITS), F.lit(UNIT).cast("long")).otherwise(F.xxhash64(x))))
-        )
-    return F.transform(toks, one)
+# Separators of words; everything else is a letter, a mark or a digit for this purpose.
+SEPARATOR = r"[\x00\x02-/:-@\[-`{-\u00a9\u00ab-\u00b4\u00b6-\u00b9\u00bb-\u00bf\u00d7\u00f7\u2000-\u206f\u3000-\u303f]+"
 
 
-def _hash(ts: Column, i: Column, width: int) -> Column:
-    return F.xxhash64(F.lit(width), *[F.get(ts, i + k) for k in range(width)])
+def tokens(text: Column) -> Column:
+    """Words in lower case; names carry a mark, separators inside numbers are gone."""
+    plain = F.regexp_replace(F.replace(text, F.lit(NAME_MARK), F.lit(" ")), r"[.,](?=\p{N})(?<=\p{N}.)", "")
+    named = F.regexp_replace(plain, r"([ \t])(?=\p{Lu}\p{Ll})(?<=[^.!?:\s].)", f"$1{NAME_MARK}")
+    return F.array_remove(F.split(F.lower(named), SEPARATOR, -1), "")
 
 
-def _windows(ts: Column, widths: list[int]) -> Column:
-    """Hashes of the windows by start, for each width."""
-    def of(width: int) -> Column:
-        return F.transform(windows(F.size(ts), width), lambda i: F.struct(i.alias("pos"), _hash(ts, i, width).alias("w")))
+def templates(toks: Column) -> Column:
+    """One number a token: its type for slots, else a hash of the word. A unit is one behind a number."""
+    def one(w: Column, i: Column) -> Column:
+        after_number = F.coalesce((F.get(toks, i - 1) >= "0") & (F.get(toks, i - 1) < ":"), F.lit(False))
+        slot = F.when(w.startswith(NAME_MARK), F.lit(NAME)).otherwise(F.lit(NUMBER)).cast("long")
+        # The mark and digits sort before letters, so one comparison is enough for ordinary words.
+        return F.when(w < ":", slot).when(after_number & w.isin(*UNITS), F.lit(UNIT).cast("long")).otherwise(F.xxhash64(w))
 
-    return F.concat(*[of(w) for w in widths])
+    return F.transform(toks, one)
 
 
-def _items(benchmark: DataFrame, item_id: str, text: str) -> DataFrame:
-    """``(item, item_id, toks, ts, width)``; ``item`` tells items apart that share an id, repeated items are one."""
-    each = benchmark.select(F.col(item_id).cast("long").alias("item_id"), text_or_empty(text).alias("t")).distinct()
-    toks = each.select(F.xxhash64("item_id", "t").alias("item"), "item_id", tokens(F.col("t")).alias("toks")).where(F.size("toks") >= SHORTEST)
-    width = F.least(F.size("toks"), F.lit(WIDTH))
-    return toks.select("item", "item_id", "toks", templates(F.col("toks")).alias("ts"), width.alias("width"))
+def window_hashes(ts: np.ndarray, width: int) -> np.ndarray:
+    """Hash of each window of ``width`` numbers."""
+    n = max(0, len(ts) - width + 1)
+    h, x = np.full(n, width, dtype=np.uint64), ts.view(np.uint64)
+    for k in range(width):
+        h = (h ^ x[k:k + n]) * MIX
+        h = h ^ (h >> np.uint64(29))
+    return h.view(np.int64)
 
 
-def _item_windows(items: DataFrame) -> DataFrame:
-    """``(item, ipos, width, w)`` of the windows that are evidence."""
-    def of(width: int) -> Column:
-        return let(F.col("ts"), lambda ts: _windows(ts, [width]))
-    at = F.coalesce(*[F.when(F.col("width") == k, of(k)) for k in range(SHORTEST, WIDTH + 1)])
-    each = items.select("item", "ts", "width", F.explode(at).alias("x"))
-    slots = F.size(F.filter(F.slice("ts", F.col("x.pos") + 1, F.col("width")), lambda t: t.between(UNIT, NUMBER)))
-    return each.where(2 * slots <= F.col("width")).select("item", F.col("x.pos").alias("ipos"), "width", F.col("x.w").alias("w"))
+def _of_items(batches):
+    """``(item, ipos, width, iw)`` of the windows that are evidence."""
+    for b in batches:
+        for item, ts, width in zip(b["item"], b["ts"], b["width"]):
+            ts = np.asarray(ts, dtype=np.int64)
+            found = window_hashes(ts, width)
+            slots = np.concatenate([[0], np.cumsum((ts >= UNIT) & (ts <= NUMBER))])
+            at = np.flatnonzero(2 * (slots[width:] - slots[:-width]) <= width)
+            yield pd.DataFrame({"item": item, "ipos": at, "width": width, "iw": found[at]})
+
+
+def _of_docs(widths: list[int], positions: np.ndarray):
+    """``(key, pos, w)`` of the windows whose hash falls on a position that the benchmark has set."""
+    wanted = np.zeros(FILTER, dtype=bool)
+    wanted[positions] = True
+
+    def run(batches):
+        for b in batches:
+            arrays = [np.asarray(x, dtype=np.int64) for x in b["ts"]]
+            sizes = np.array([len(x) for x in arrays], dtype=np.int64)
+            held = np.cumsum(sizes) // 2_000_000
+            for part in np.unique(held):
+                rows = np.flatnonzero(held == part)
+                flat, keys = np.concatenate([arrays[r] for r in rows]), b["key"].to_numpy()[rows]
+                ends = np.cumsum(sizes[rows])
+                starts = ends - sizes[rows]
+                for width in widths:
+                    found = window_hashes(flat, width)
+                    at = np.flatnonzero(wanted[found & (FILTER - 1)])
+                    doc = np.searchsorted(ends, at, side="right")
+                    inside = at + width <= ends[doc]
+                    at, doc = at[inside], doc[inside]
+                    yield pd.DataFrame({"key": keys[doc], "pos": at - starts[doc], "w": found[at]})
+
+    return run
 
 
 def consistent_windows(item: list[str], doc: list[str], slots: list[int], met: list[tuple[int, int]], width: int) -> int:
@@ -120,57 +146,67 @@ def _checked(batches):
             consistent_windows(list(i), list(d), list(s), [(m["ipos"], m["pos"]) for m in met], w)
             for i, d, s, met, w in zip(b["itoks"], b["toks"], b["its"], b["met"], b["width"])
         ]
-        yield pd.DataFrame({"doc_id": b["doc_id"], "has_id": b["has_id"], "th": b["th"], "item_id": b["item_id"], "windows": b["windows"], "n": n})
+        yield pd.DataFrame({**{c: b[c] for c in ("doc_id", "has_id", "key", "item_id", "windows")}, "n": n})
+
+
+def _key(doc_id: str, text: str) -> Column:
+    return F.xxhash64(F.col(doc_id).cast("long"), text_or_empty(text))
 
 
 def item_leaks(
     docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id",
     item_text: str = "text", least: int = LEAST,
 ) -> DataFrame:
-    """``(doc_id, th, item_id, n, windows)``: the item's windows found, for each leak; ``th`` is a hash of the text."""
-    items = _items(benchmark, item_id, item_text)
-    evidence = _item_windows(items)
+    """``(doc_id, key, item_id, n, windows)``: the item's windows found, for each leak; ``key`` is a hash of id and text."""
+    folder = shared_folder(docs.sparkSession, "leaks")
+    each = benchmark.select(F.col(item_id).cast("long").alias("item_id"), text_or_empty(item_text).alias("t")).distinct()
+    # Items that share an id stay apart; repeated items are one.
+    toks = each.select(F.xxhash64("item_id", "t").alias("item"), "item_id", tokens(F.col("t")).alias("toks")).where(F.size("toks") >= SHORTEST)
+    items = materialise(toks.select("item", "item_id", "toks", templates(F.col("toks")).alias("ts"), F.least(F.size("toks"), F.lit(WIDTH)).alias("width")), f"{folder}/items")
+    evidence = materialise(items.select("item", "ts", "width").mapInPandas(_of_items, "item bigint, ipos bigint, width int, iw bigint"), f"{folder}/evidence")
     known = evidence.agg(F.count(F.lit(1)).alias("n"), F.sort_array(F.collect_set("width")).alias("widths")).first()
-    widths = known["widths"] or [WIDTH]
-    t = text_or_empty(text)
-    read = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(t).alias("th"), tokens(t).alias("toks"))
-    each = read.select("doc_id", "th", F.explode(let(templates(F.col("toks")), lambda ts: _windows(ts, widths))).alias("x"))
-    sought = evidence.withColumnRenamed("w", "iw")
-    sought = F.broadcast(sought) if known["n"] <= BROADCAST_WINDOWS else sought
-    met = each.select("doc_id", "th", "x.pos", "x.w").join(sought, F.col("w") == F.col("iw"))
+    positions = np.array([r["p"] for r in evidence.select(F.expr(f"iw & {FILTER - 1}").alias("p")).distinct().collect()], dtype=np.int64)
+
+    made = docs.select(_key(doc_id, text).alias("key"), tokens(text_or_empty(text)).alias("toks")).select("key", templates(F.col("toks")).alias("ts"))
+    sought = made.mapInPandas(_of_docs(known["widths"], positions), "key bigint, pos bigint, w bigint")
+    few = known["n"] <= BROADCAST_WINDOWS
+    met = sought.join(F.broadcast(evidence) if few else evidence, F.col("w") == F.col("iw"))
     total = evidence.groupBy("item").agg(F.count(F.lit(1)).alias("windows")).withColumnRenamed("item", "ti")
-    by_item = met.groupBy("doc_id", "th", "item", "width").agg(F.collect_set(F.struct("ipos", "pos")).alias("met"))
-    enough = by_item.join(total, F.col("item") == F.col("ti")).where(
+    by_item = met.groupBy("key", "item", "width").agg(F.collect_set(F.struct("ipos", "pos")).alias("met"))
+    enough = materialise(by_item.join(total, F.col("item") == F.col("ti")).where(
         100 * F.size(F.array_distinct(F.transform("met", lambda m: m["ipos"]))) >= least * F.col("windows")
-    )
-    texts = read.join(enough.select(F.col("doc_id").alias("ed"), F.col("th").alias("et")).distinct(),
-                      F.col("doc_id").eqNullSafe(F.col("ed")) & (F.col("th") == F.col("et")), "left_semi")
-    texts = texts.dropDuplicates(["doc_id", "th"]).select(F.col("doc_id").alias("td"), F.col("th").alias("tt"), "toks")
+    ).select("key", "item", "width", "met", "windows"), f"{folder}/enough")
+
+    keys = enough.select(F.col("key").alias("k")).distinct()
+    own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), _key(doc_id, text).alias("key"), text_or_empty(text).alias("t"))
+    held = own.join(F.broadcast(keys) if keys.count() <= BROADCAST_WINDOWS else keys, F.col("key") == F.col("k"), "left_semi")
+    texts = held.dropDuplicates(["key"]).select(F.col("key").alias("tk"), "doc_id", tokens(F.col("t")).alias("toks"))
     sides = items.select(F.col("item").alias("ii"), "item_id", F.col("toks").alias("itoks"), F.col("ts").alias("its"))
-    both = (
-        enough.join(texts, F.col("doc_id").eqNullSafe(F.col("td")) & (F.col("th") == F.col("tt")))
-        .join(sides, F.col("item") == F.col("ii"))
-        .select(F.coalesce("doc_id", F.lit(0)).alias("doc_id"), F.col("doc_id").isNotNull().alias("has_id"), "th", F.coalesce("item_id", F.lit(-1)).alias("item_id"), "width", "windows", "met", "toks", "itoks", "its")
+    both = enough.join(texts, F.col("key") == F.col("tk")).join(sides, F.col("item") == F.col("ii")).select(
+        F.coalesce("doc_id", F.lit(0)).alias("doc_id"), F.col("doc_id").isNotNull().alias("has_id"), "key",
+        F.coalesce("item_id", F.lit(-1)).alias("item_id"), "width", "windows", "met", "toks", "itoks", "its",
     )
-    checked = both.mapInPandas(_checked, "doc_id bigint, has_id boolean, th bigint, item_id bigint, windows bigint, n bigint")
+    checked = both.mapInPandas(_checked, "doc_id bigint, has_id boolean, key bigint, item_id bigint, windows bigint, n bigint")
     return checked.where(100 * F.col("n") >= least * F.col("windows")).select(
-        F.when(F.col("has_id"), F.col("doc_id")).alias("doc_id"), "th", "item_id", "n", "windows"
+        F.when(F.col("has_id"), F.col("doc_id")).alias("doc_id"), "key", "item_id", "n", "windows"
     )
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, **names) -> DataFrame:
     """One row a document with leaks: ``(doc_id, item_ids, n_items, n_windows)``."""
     found = item_leaks(docs, benchmark, **names)
-    return found.groupBy("doc_id", "th").agg(
+    return found.groupBy("doc_id", "key").agg(
         F.sort_array(F.collect_set("item_id")).alias("item_ids"), F.count_distinct("item_id").alias("n_items"), F.sum("n").alias("n_windows")
-    ).drop("th")
+    ).drop("key")
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", **names) -> DataFrame:
     """The documents into which no item has leaked, with all their columns."""
-    found = item_leaks(docs, benchmark, doc_id, text, **names).select(F.col("doc_id").alias("ld"), F.col("th").alias("lt")).distinct()
-    own = packed(docs, _id=F.col(doc_id).cast("long"), _th=F.xxhash64(text_or_empty(text)))
-    return unpacked(own.join(found, F.col("_id").eqNullSafe(F.col("ld")) & (F.col("_th") == F.col("lt")), "left_anti"), docs.columns)
+    found = item_leaks(docs, benchmark, doc_id, text, **names).select(F.col("key").alias("lk")).distinct()
+    found = materialise(found, shared_folder(docs.sparkSession, "leaked"))
+    own = packed(docs, key=_key(doc_id, text))
+    few = found.count() <= BROADCAST_WINDOWS
+    return unpacked(own.join(F.broadcast(found) if few else found, F.col("key") == F.col("lk"), "left_anti"), docs.columns)
 
 
 def op3_benchmark_leaks(spark, sf_dir: str) -> DataFrame:
