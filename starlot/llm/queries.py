@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from starlot.llm import chat, decontam, licences, near, packing, quality, secrets, toxicity, warc
+from starlot.llm import chat, decontam, idfiles, licences, near, packing, quality, secrets, toxicity, warc
 
 QUERIES = {
     "op1_secret_spans": secrets.op1_secret_spans,
     "op2_mixture_packing": packing.op2_mixture_packing,
     "op3_benchmark_leaks": decontam.op3_benchmark_leaks,
+    "op4_context_mixing_ids": idfiles.op4_context_mixing_ids,
     "op5_line_quality": quality.op5_line_quality,
     "op6_chat_turns": chat.op6_chat_turns,
     "op7_warc_bundles": warc.op7_warc_bundles,
