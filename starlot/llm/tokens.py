@@ -12,15 +12,15 @@ from __future__ import annotations
 
 import functools
 import os
-import re
+from itertools import chain
 
 import numpy as np
 
-CACHED = 400_000
+CACHED = 700_000
 JOINED = 256
-ODD_BLANK = re.compile(r"^ | $| (?=\s)|(?<=\s) ")
 # Stretches at the start of a text have no blank before them; no other stretch begins like this.
 AT_START = "\n"
+ODD = -1
 
 
 def vocabulary_path() -> str:
@@ -46,7 +46,7 @@ class Encoder:
     def _forget(self) -> None:
         self.at: dict[str, int] = {}
         self.flat = np.zeros(1 << 16, dtype=np.uint32)
-        self.used = 0
+        self.used = self.known = 0
         self.start = np.zeros(1 << 14, dtype=np.int64)
         self.count = np.zeros(1 << 14, dtype=np.int64)
 
@@ -54,7 +54,7 @@ class Encoder:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, stretches: list[str], ids: np.ndarray, counts: np.ndarray) -> None:
-        n, total = len(self.at), self.used + len(ids)
+        n, total = self.known, self.used + len(ids)
         while total > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
         while n + len(stretches) > len(self.start):
@@ -64,11 +64,22 @@ class Encoder:
         self.start[n:n + len(stretches)] = self.used + np.cumsum(counts) - counts
         self.count[n:n + len(stretches)] = counts
         self.at.update(zip(stretches, range(n, n + len(stretches))))
-        self.used = total
-
-    def _encode_new(self, inner: list[str], first: list[str]) -> None:
-        for found in (self._direct([s[len(AT_START):] for s in first]),):
-            self._learn(first, np.array([i for ids in found for i in ids], dtype=np.uint32), np.array([len(x) for x in found], dtype=np.int64))
+        self.used, self.known = total, n + len(stretches)
+
+    def _learn_new(self, stretches: list[str]) -> None:
+        """Encodes stretches not seen before; those that make their text odd are noted as ``ODD``."""
+        inner, first = [], []
+        for s in stretches:
+            if s[:1] == AT_START:
+                (first if len(s) > 1 and not s[-1].isspace() else inner).append(s)
+            else:
+                inner.append(s)
+        odd = [s for s in inner if not s or s[0].isspace() or s[-1].isspace()]
+        if odd:
+            self.at.update(dict.fromkeys(odd, ODD))
+            inner = [s for s in inner if s and not s[0].isspace() and not s[-1].isspace()]
+        found = self._direct([s[len(AT_START):] for s in first])
+        self._learn(first, np.array([i for ids in found for i in ids], dtype=np.uint32), np.array([len(x) for x in found], dtype=np.int64))
         groups = [inner[i:i + JOINED] for i in range(0, len(inner), JOINED)]
         for group, ids in zip(groups, self._direct([" " + " ".join(g) for g in groups])):
             ids = np.array(ids, dtype=np.uint32)
@@ -79,43 +90,50 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts one after another, and the number of ids of each text."""
+        parts = [t.split(" ") for t in texts]
+        for p in parts:
+            p[0] = AT_START + p[0]
+        stretches = list(chain.from_iterable(parts))
+        look, state = self.at.get, (self.used, self.known)
+        index = [look(s) for s in stretches]
+        missing = [k for k, i in enumerate(index) if i is None]
+        new = list(dict.fromkeys(stretches[k] for k in missing))
+        self._learn_new(new)
+        for k in missing:
+            index[k] = look(stretches[k])
+        out = self._gathered(texts, np.array(index, dtype=np.int64), np.array([len(p) for p in parts], dtype=np.int64))
         if len(self.at) > self.cached:
-            self._forget()
-        odd = [bool(ODD_BLANK.search(t)) for t in texts]
-        parts: list[list[str]] = []
-        inner, first = set(), set()
-        for text, skip in zip(texts, odd):
-            if skip or not text:
-                parts.append([])
-                continue
-            pieces = text.split(" ")
-            pieces[0] = AT_START + pieces[0]
-            first.add(pieces[0])
-            inner.update(pieces[1:])
-            parts.append(pieces)
-        known = self.at
-        self._encode_new([s for s in inner if s not in known], [s for s in first if s not in known])
-        n = np.array([len(p) for p in parts], dtype=np.int64)
-        index = np.fromiter((known[s] for p in parts for s in p), dtype=np.int64, count=int(n.sum()))
+            # The cache is full: what it holds stays, what this call has added goes.
+            for s in new:
+                del self.at[s]
+            self.used, self.known = state
+        return out
+
+    def _gathered(self, texts: list[str], index: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if not len(texts):
+            return np.zeros(0, dtype=np.uint32), np.zeros(0, dtype=np.int64)
+        owner = np.repeat(np.arange(len(texts)), n)
+        odd = np.bincount(owner, weights=index == ODD, minlength=len(texts)) > 0
+        if odd.any():
+            index = index[~odd[owner]]
+            n = np.where(odd, 0, n)
         counts = self.count[index]
         ends = np.cumsum(counts)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = self.flat[np.repeat(self.start[index] - (ends - counts), counts) + np.arange(total)]
-        upto = np.concatenate([[0], ends])[np.cumsum(n)] if len(n) else np.zeros(0, dtype=np.int64)
-        lengths = np.diff(upto, prepend=0)
-        if any(odd):
-            direct = iter(self._direct([t for t, o in zip(texts, odd) if o]))
-            pieces_out, at = [], 0
-            for k, o in enumerate(odd):
-                if o:
-                    own = np.array(next(direct), dtype=np.uint32)
-                    lengths[k] = len(own)
-                    pieces_out.append(own)
-                else:
-                    pieces_out.append(ids[at:at + lengths[k]])
-                    at += lengths[k]
-            ids = np.concatenate(pieces_out) if pieces_out else ids
-        return ids, lengths
+        ids = self.flat[np.repeat(self.start[index] - (ends - counts), counts) + np.arange(int(ends[-1]) if len(ends) else 0)]
+        lengths = np.diff(np.concatenate([[0], ends])[np.cumsum(n)], prepend=0)
+        if not odd.any():
+            return ids, lengths
+        direct = iter(self._direct([t for t, o in zip(texts, odd) if o]))
+        out, at = [], 0
+        for k, o in enumerate(odd):
+            if o:
+                own = np.array(next(direct), dtype=np.uint32)
+                lengths[k] = len(own)
+                out.append(own)
+            else:
+                out.append(ids[at:at + lengths[k]])
+                at += lengths[k]
+        return np.concatenate(out), lengths
 
 
 @functools.lru_cache(maxsize=2)
