@@ -133,9 +133,13 @@ def consistent_windows(item: list[str], doc: list[str], slots: list[int], met: l
         there, back = {}, {}
         for i in sorted(starts):
             pairs = [(slots[p], item[p], doc[p + shift]) for p in range(i, i + width) if UNIT <= slots[p] <= NUMBER]
-            if all(there.get((t, a), b) == b and back.get((t, b), a) == a for t, a, b in pairs):
-                there.update({(t, a): b for t, a, b in pairs})
-                back.update({(t, b): a for t, a, b in pairs})
+            new_there, new_back = {}, {}
+            for t, a, b in pairs:
+                new_there.setdefault((t, a), there.get((t, a), b))
+                new_back.setdefault((t, b), back.get((t, b), a))
+            if all(new_there[t, a] == b and new_back[t, b] == a for t, a, b in pairs):
+                there.update(new_there)
+                back.update(new_back)
                 covered.add(i)
     return len(covered)
 

@@ -182,6 +182,8 @@ def pack(
     tokens = write_tokens(docs, folder, doc_id, text, source, vocabulary or vocabulary_path(), end_id, width)
     sums = tokens.groupBy("queue", "part").agg(F.sum("n").alias("n"))
     totals = {r["queue"]: int(r["n"]) for r in sums.groupBy("queue").agg(F.sum("n").alias("n")).collect()}
+    if not totals:
+        return docs.sparkSession.createDataFrame([], PIECES).drop("has_id")
     names = sorted(totals)
     order = W.partitionBy("queue").orderBy("part").rowsBetween(W.unboundedPreceding, -1)
     bases = sums.select(F.col("queue").alias("b_queue"), F.col("part").alias("b_part"), F.coalesce(F.sum("n").over(order), F.lit(0)).alias("base"))

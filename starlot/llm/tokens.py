@@ -18,8 +18,8 @@ import numpy as np
 
 CACHED = 700_000
 JOINED = 256
-# Stretches at the start of a text have no blank before them; no other stretch begins like this.
-AT_START = "\n"
+# Stretches at the start of a text have no blank before them; no other stretch holds a blank.
+AT_START = " "
 ODD = -1
 
 
