@@ -7,15 +7,14 @@
    1 + ln(occurrences); each arrival falls into a random register, and a register keeps the shingle
    that arrives first. Once a shingle's next arrival is later than all registers it stops. Two texts
    agree in a register with the probability Jaccard similarity of their weighted shingles.
-3. Registers are hashed in 25 bands of 5. In a bucket every text meets the bucket's first text, and
-   the pair is verified: exact Jaccard similarity of the shingle sets of 0.8 or more. A pair of that
-   similarity shares a bucket with probability 0.9999.
-4. Linked texts form classes. What a bucket then holds of several classes is compared across them,
-   so no link between bucket mates is lost: the texts outside the bucket's largest class meet all
-   texts of other classes, which is in proportion to the bucket while they are few. Where they are
-   more than ``most_apart``, the bucket's texts are joined on the rarest fifth of their shingles
-   instead, without which no pair can reach 0.8 (prefix filter): exact as well, and cheap for texts
-   that only share a passage.
+3. Registers are hashed in 25 bands of 5. In a bucket every text meets a leader, one that a hash of text
+   and bucket picks, and the pair is verified: exact Jaccard similarity of the shingle sets of 0.8 or
+   more. A pair of that similarity shares a bucket with probability 0.9999. Linked texts form classes.
+4. Buckets that still hold several classes get other leaders, for ``ROUNDS`` rounds in all. This joins
+   groups in which not every text is similar to every other, at one comparison a text and bucket.
+5. The texts of buckets that are of several classes even then are joined on the rarest fifth of their
+   shingles, without which no pair can reach 0.8 (prefix filter), and compared across classes. So
+   no link between bucket mates is lost, and texts that only share a passage cost little.
 
 Skew: counts and minima are combined before shuffles, buckets are never gathered into one row or
 task, and the joins are plain shuffle joins, which adaptive execution splits. Texts are read twice:
@@ -42,7 +41,7 @@ WORDS = 5
 SIMILAR = (8, 10)
 BANDS = 25
 ROWS = 5
-MOST_APART = 32
+ROUNDS = 3
 BROADCAST_KEYS = 1_000_000
 
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -164,16 +163,16 @@ def member_sets(docs: DataFrame, doc_id: str, text: str, members: DataFrame, tex
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs ``(a, b)`` whose shingle sets have the similarity asked for."""
+    """Of pairs ``(a, b)`` and their classes, ``(ac, bc)`` of those whose shingle sets have the similarity asked for."""
     part, whole = SIMILAR
     left, right = (sets.select(F.col("node").alias(f"{k}_n"), F.col("s").alias(f"{k}_s")) for k in "ab")
     sizes = sets.select(F.col("node").alias("n"), F.size("s").alias("size"))
     # Sizes alone rule out many pairs before any set travels.
-    sized = pairs.join(sizes, F.col("a") == F.col("n")).select("a", "b", F.col("size").alias("a_size"))
+    sized = pairs.join(sizes, F.col("a") == F.col("n")).select("a", "b", "ac", "bc", F.col("size").alias("a_size"))
     sized = sized.join(sizes, F.col("b") == F.col("n")).where(whole * F.least("a_size", "size") >= part * F.greatest("a_size", "size"))
-    both = sized.select("a", "b").join(left, F.col("a") == F.col("a_n")).join(right, F.col("b") == F.col("b_n"))
+    both = sized.select("a", "b", "ac", "bc").join(left, F.col("a") == F.col("a_n")).join(right, F.col("b") == F.col("b_n"))
     shared = both.withColumn("x", F.size(F.array_intersect("a_s", "b_s")))
-    return shared.where(whole * F.col("x") >= part * (F.size("a_s") + F.size("b_s") - F.col("x"))).select("a", "b")
+    return shared.where(whole * F.col("x") >= part * (F.size("a_s") + F.size("b_s") - F.col("x"))).select("ac", "bc")
 
 
 def connected(links: DataFrame, folder: str) -> DataFrame:
@@ -184,7 +183,7 @@ def connected(links: DataFrame, folder: str) -> DataFrame:
     """
     spark = links.sparkSession
     edges = materialise(
-        links.select(F.col("a").alias("u"), F.col("b").alias("v")).union(links.select("b", "a")).distinct(), f"{folder}/edges"
+        links.select(F.col("ac").alias("u"), F.col("bc").alias("v")).union(links.select("bc", "ac")).distinct(), f"{folder}/edges"
     )
     labels = materialise(edges.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("class")).withColumnRenamed("u", "node"), f"{folder}/labels-0")
     step = 0
@@ -201,19 +200,41 @@ def connected(links: DataFrame, folder: str) -> DataFrame:
             return labels
 
 
-def _cross(members: DataFrame) -> DataFrame:
-    """Pairs ``(a, b)`` within a key across classes, from ``(key, node, class)``.
+def _ordered(one: str, other: str, one_class: str, other_class: str) -> list[Column]:
+    """A pair in the order of its texts, with their classes."""
+    first = F.col(one) < F.col(other)
+    return [
+        F.least(one, other).alias("a"), F.greatest(one, other).alias("b"),
+        F.when(first, F.col(one_class)).otherwise(F.col(other_class)).alias("ac"), F.when(first, F.col(other_class)).otherwise(F.col(one_class)).alias("bc"),
+    ]
+
+
+def _undecided(members: DataFrame) -> DataFrame:
+    """The members of keys that hold several classes."""
+    keys = members.groupBy("key").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo != hi").select(F.col("key").alias("mk"))
+    return members.join(keys, F.col("key") == F.col("mk"), "left_semi")
+
+
+def _with_leaders(members: DataFrame, salt: int) -> DataFrame:
+    """Pairs of each key's texts with its leader, where their classes differ."""
+    rank = F.xxhash64("node", "key", F.lit(salt))
+    leaders = members.groupBy("key").agg(F.min_by("node", rank).alias("x"), F.min_by("class", rank).alias("c")).withColumnRenamed("key", "k")
+    pairs = members.join(leaders, (F.col("key") == F.col("k")) & (F.col("class") != F.col("c")))
+    return pairs.select(*_ordered("node", "x", "class", "c")).distinct()
+
+
+def _across(members: DataFrame) -> DataFrame:
+    """Pairs within a key across classes, from ``(key, node, class)``.
 
     Texts outside a key's largest class meet everything of another class: a class with all but few
     of a key's texts is never paired with itself, neither in the result nor inside the join.
     """
     sizes = members.groupBy("key", "class").agg(F.count(F.lit(1)).alias("n"))
-    major = sizes.groupBy("key").agg(F.max(F.struct("n", "class")).alias("m"), F.count(F.lit(1)).alias("classes"))
-    major = major.where("classes > 1").select(F.col("key").alias("mk"), F.col("m.class").alias("largest"))
-    mixed = members.join(major, F.col("key") == F.col("mk"))
-    minor = mixed.where(F.col("class") != F.col("largest")).select(F.col("key").alias("k"), F.col("node").alias("x"), F.col("class").alias("c"))
-    pairs = mixed.join(minor, (F.col("key") == F.col("k")) & (F.col("class") != F.col("c")))
-    return pairs.select(F.least("node", "x").alias("a"), F.greatest("node", "x").alias("b")).distinct()
+    major = sizes.groupBy("key").agg(F.max_by("class", F.col("n")).alias("largest")).withColumnRenamed("key", "mk")
+    placed = members.join(major, F.col("key") == F.col("mk"))
+    minor = placed.where(F.col("class") != F.col("largest")).select(F.col("key").alias("k"), F.col("node").alias("x"), F.col("class").alias("c"))
+    pairs = members.join(minor, (F.col("key") == F.col("k")) & (F.col("class") != F.col("c")))
+    return pairs.select(*_ordered("node", "x", "class", "c")).distinct()
 
 
 def _rare_fifth(members: DataFrame, sets: DataFrame) -> DataFrame:
@@ -228,40 +249,40 @@ def _rare_fifth(members: DataFrame, sets: DataFrame) -> DataFrame:
     return ranked.select(F.explode(F.slice("s", F.lit(1), keep)).alias("e"), "node", "class").select(F.col("e.h").alias("key"), "node", "class")
 
 
-def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", most_apart: int = MOST_APART) -> tuple[DataFrame, DataFrame]:
-    """``(signed rows, (node, class) of linked texts)``."""
+def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame]:
+    """``(signed rows, (node, class) of the texts that share a bucket)``."""
     folder = shared_folder(docs.sparkSession, "near")
     signed = signed_documents(docs, doc_id, text, folder)
     texts = signed.where("size(bands) > 0").groupBy("node").agg(F.first("bands").alias("bands"), F.min("key").alias("key"))
     texts = materialise(texts, f"{folder}/texts")
     each = texts.select("node", F.explode("bands").alias("band"))
-    buckets = each.groupBy("band").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("band").alias("shared"), "leader")
-    members = materialise(each.join(buckets, F.col("band") == F.col("shared")).select(F.col("band").alias("key"), "node", "leader"), f"{folder}/members")
+    buckets = each.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("band").alias("shared"))
+    members = each.join(buckets, F.col("band") == F.col("shared")).select(F.col("band").alias("key"), "node", F.col("node").alias("class"))
+    members = materialise(members, f"{folder}/members")
     sets = member_sets(docs, doc_id, text, members, texts, folder)
-    stars = members.where("node != leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
-    links = materialise(_verified(stars, sets), f"{folder}/links")
-    found = connected(links, f"{folder}/first")
-
-    named = found.select(F.col("node").alias("fn"), F.col("class").alias("fc"))
-    placed = members.join(named, F.col("node") == F.col("fn"), "left").select("key", "node", F.coalesce("fc", "node").alias("class"))
-    mixed = placed.groupBy("key", "class").agg(F.count(F.lit(1)).alias("n")).groupBy("key").agg(
-        F.count(F.lit(1)).alias("classes"), F.sum("n").alias("n"), F.max("n").alias("major")
-    ).where("classes > 1").select(F.col("key").alias("bk"), (F.col("n") - F.col("major") > most_apart).alias("wide"))
-    left = materialise(placed.join(mixed, F.col("key") == F.col("bk")).select("key", "node", "class", "wide"), f"{folder}/left")
-    across = _cross(left.where("NOT wide").select("key", "node", "class"))
-    if not left.where("wide").isEmpty():
-        across = across.union(_cross(_rare_fifth(left.where("wide"), sets))).distinct()
-    # The first comparisons are known; only the others are new.
-    new = across.join(stars.select(F.least("a", "b").alias("sa"), F.greatest("a", "b").alias("sb")), (F.col("a") == F.col("sa")) & (F.col("b") == F.col("sb")), "left_anti")
-    more = materialise(_verified(new, sets), f"{folder}/more")
-    if not more.isEmpty():
-        found = connected(links.union(more), f"{folder}/second")
-    return signed, found
-
-
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", most_apart: int = MOST_APART) -> DataFrame:
+    owners = members.select("node", "class").distinct()
+
+    def linked(pairs: DataFrame, step: str) -> None:
+        """Verifies pairs and gives classes that a link joins one name, in members and owners."""
+        nonlocal members, owners
+        links = materialise(_verified(pairs, sets).distinct(), f"{folder}/links-{step}")
+        if links.isEmpty():
+            return
+        moved = connected(links, f"{folder}/{step}").select(F.col("node").alias("was"), F.col("class").alias("now"))
+        renamed = lambda df: df.join(moved, F.col("class") == F.col("was"), "left").withColumn("class", F.coalesce("now", "class")).drop("was", "now")
+        owners = materialise(renamed(owners), f"{folder}/owners-{step}")
+        members = materialise(_undecided(renamed(members)), f"{folder}/members-{step}")
+
+    for salt in range(rounds):
+        linked(_with_leaders(members, salt), str(salt))
+    # Without rounds all buckets come here as they are: the prefix filter alone is exact, too.
+    linked(_across(_rare_fifth(members, sets)), "rest")
+    return signed, owners
+
+
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rounds: int = ROUNDS) -> DataFrame:
     """``(doc_id, class_id)`` for every row; the class id is the smallest document id of the class."""
-    signed, found = classes(docs, doc_id, text, most_apart)
+    signed, found = classes(docs, doc_id, text, rounds)
     return _labelled(signed, found).select(F.col("id").alias("doc_id"), "class_id")
 
 
@@ -278,12 +299,12 @@ def _labelled(signed: DataFrame, found: DataFrame) -> DataFrame:
     )
 
 
-def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", most_apart: int = MOST_APART) -> DataFrame:
+def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rounds: int = ROUNDS) -> DataFrame:
     """The documents without all but one of each class, with all their columns.
 
     The document with the smallest id stays; of rows that repeat it, one. Texts without words all stay.
     """
-    signed, found = classes(docs, doc_id, text, most_apart)
+    signed, found = classes(docs, doc_id, text, rounds)
     named = _labelled(signed, found)
     kept = (
         named.where(F.col("node").isNotNull() & F.col("id").eqNullSafe(F.col("class_id")))

@@ -60,10 +60,10 @@ def corpus(seed=3):
     return rows
 
 
-@pytest.mark.parametrize("apart", [32, 0])
-def test_classes_against_all_pairs(documents, apart):
+@pytest.mark.parametrize("rounds", [3, 1, 0])
+def test_classes_against_all_pairs(documents, rounds):
     rows = corpus()
-    got = {r.doc_id: r.class_id for r in near.near_duplicates(documents(rows), most_apart=apart).collect()}
+    got = {r.doc_id: r.class_id for r in near.near_duplicates(documents(rows), rounds=rounds).collect()}
     assert got == brute_classes(rows)
 
 
