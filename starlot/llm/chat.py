@@ -55,7 +55,7 @@ class Mapping:
 
     def paths(self) -> list[str]:
         if self.rows:
-            return sorted(self.rows)
+            return sorted(self.rows[1:])
         if self.members:
             at, role, text = self.members
             return sorted([at, f"{at}[].{role}", f"{at}[].{text}"])
@@ -94,13 +94,16 @@ def schema_paths(kind: DataType, prefix: str = "") -> list[str]:
 
 
 def table_mapping(docs: DataFrame, mappings: tuple[Mapping, ...] = MAPPINGS) -> Mapping:
-    """The mapping whose paths the table has, by fingerprint; columns no mapping knows do not count."""
+    """The mapping whose paths the table has, by fingerprint; columns no mapping knows do not count.
+
+    A table that has more of the known columns than any one layout takes the first layout it has whole.
+    """
     known = {p for m in mappings for p in m.paths()}
     own = sorted(set(schema_paths(docs.schema)) & known)
     spark = docs.sparkSession
     table = spark.createDataFrame([(m.name, m.paths()) for m in mappings] + [("", own)], "name string, paths array<string>")
     hashes = {r["name"]: r["f"] for r in table.select("name", fingerprint(F.col("paths")).alias("f")).collect()}
-    found = [m for m in mappings if hashes[m.name] == hashes[""]]
+    found = [m for m in mappings if hashes[m.name] == hashes[""]] or [m for m in mappings if set(m.paths()) <= set(own)]
     if not found:
         raise ValueError(f"no mapping for a table with the fields {own}")
     return found[0]
