@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 UNKNOWN = -1
+NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]{1,3})?$"
 
 # Month and weekday names of the calendar (Monday first).
 MONTH_NAMES = [
@@ -37,11 +38,17 @@ def lenient_timestamp(value: Column, *formats: str) -> Column:
 
 
 def lenient_number(value: Column, kind: str = "double") -> Column:
-    """Number, or null where the text is none.  Whole numbers may arrive as ``"7.0"``."""
+    """Number, or null where the text is none.  Whole numbers may arrive as ``"7.0"``.
+
+    Only decimal notation counts: a cast alone would take ``"7F"`` or ``"7D"`` for 7, and
+    what is not a finite number (``"nan"``, ``"Infinity"``) would spoil every sum.
+    """
+    text = F.trim(value.cast("string"))
+    plain = F.when(text.rlike(NUMBER), text)
+    number = plain.try_cast("double")
     if kind == "double":
-        return value.try_cast("double")
-    number = value.try_cast("double")
-    return F.coalesce(value.try_cast(kind), F.when(number == F.rint(number), number.try_cast(kind)))
+        return number
+    return F.coalesce(plain.try_cast(kind), F.when(number == F.rint(number), number.try_cast(kind)))
 
 
 def date_key(when: Column) -> Column:

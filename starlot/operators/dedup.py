@@ -18,18 +18,16 @@ def _winner(df: DataFrame, keys: list[str], order: list[str], pick) -> DataFrame
         return df.distinct()
     # Remaining columns break ties, which makes the result independent of partitioning.
     ranks = order + [name for name in rest if name not in order]
-    best = df.groupBy(*[col(k) for k in keys]).agg(
-        pick(F.struct(*[col(n) for n in rest]), F.struct(*[col(n) for n in ranks])).alias("__row")
-    )
+    best = df.groupBy(*[col(k) for k in keys]).agg(pick(F.struct(*[col(n) for n in ranks])).alias("__row"))
     wanted = [col(n) if n in keys else col("__row").getField(n).alias(n) for n in df.columns]
     return best.select(*wanted)
 
 
 def keep_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The row with the smallest ``order`` per key; null keys form one group."""
-    return _winner(df, keys, order, F.min_by)
+    return _winner(df, keys, order, F.min)
 
 
 def keep_latest(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The row with the largest ``order`` per key; a null date loses against any other."""
-    return _winner(df, keys, order, F.max_by)
+    return _winner(df, keys, order, F.max)

@@ -2,11 +2,8 @@
 
 from __future__ import annotations
 
-from datetime import datetime
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from starlot.functions.scalars import col
@@ -14,8 +11,6 @@ from starlot.session import materialise, setting, shared_folder
 
 ONE_TASK_SETTING = "starlot.keys.maxRowsInOneTask"
 MAX_ROWS_IN_ONE_TASK = 200_000
-_SAMPLE_ROWS = 10_000
-_MAX_RANGES = 200
 
 
 def first_appearance(df: DataFrame, values: list[str], order: list[str]) -> DataFrame:
@@ -29,59 +24,36 @@ def first_appearance(df: DataFrame, values: list[str], order: list[str]) -> Data
     return materialise(members, shared_folder(df.sparkSession, "members"))
 
 
-def dense_keys(members: DataFrame, out: str, tie: list[str], start: int = 1) -> DataFrame:
+def dense_keys(members: DataFrame, out: str, tie: list[str], start: int = 1, kind: str = "bigint") -> DataFrame:
     """Number written members ``start, start+1, ...`` by ``__position``, which is then dropped.
 
-    Up to a counted bound one task numbers them all.  Beyond it, members are cut at
-    sampled positions into ranges numbered side by side, each from the size of the
-    ranges before it; the cut points are literals, so any sample gives the same keys.
+    Up to a counted bound one task numbers them all.  Beyond it, members are dealt out by
+    ranges of their position, sorted and written with range and place in it; a key is the
+    place plus the sizes of the ranges before.  There are as many ranges as the shuffle has
+    partitions, so the work of a task does not grow with the number of members.
     """
     spark = members.sparkSession
-    limit = setting(spark, ONE_TASK_SETTING, MAX_ROWS_IN_ONE_TASK)
     ranked = members.withColumn("__at", F.struct("__position", *[col(t) for t in tie]))
-    total = members.count()
-    if total <= limit:
+    if members.count() <= setting(spark, ONE_TASK_SETTING, MAX_ROWS_IN_ONE_TASK):
         number = F.row_number().over(Window.orderBy("__at")) + F.lit(start - 1)
-        return ranked.withColumn(out, number.cast("int")).drop("__at", "__position")
+        return ranked.withColumn(out, number.cast(kind)).drop("__at", "__position")
 
-    pieces = min(-(-total // limit), _MAX_RANGES)
-    cuts = _cut_points(ranked.select("__at").sample(min(1.0, _SAMPLE_ROWS / total), seed=7), pieces)
-    cut = ranked.withColumn("__range", F.size(F.filter(cuts, lambda c: c <= F.col("__at"))))
-    sizes = cut.groupBy("__range").agg(F.count(F.lit(1)).alias("__n"))
-    before = sizes.select(
-        "__range", (F.sum("__n").over(Window.orderBy("__range")) - F.col("__n")).alias("__before")
-    )
-    # `before` has one row per range, which is bounded by the number of cut points.
-    inside = F.row_number().over(Window.partitionBy("__range").orderBy("__at"))
-    return (
-        cut.withColumn("__inside", inside)
-        .join(F.broadcast(before), "__range")
-        .withColumn(out, (F.col("__before") + F.col("__inside") + F.lit(start - 1)).cast("int"))
-        .drop("__range", "__before", "__inside", "__at", "__position")
+    placed = ranked.repartitionByRange("__at").sortWithinPartitions("__at").withColumn("__id", F.monotonically_increasing_id())
+    # The id holds the partition above bit 33 and the row's place below.
+    written = materialise(
+        placed.withColumns({"__range": F.shiftright("__id", 33), "__place": F.col("__id").bitwiseAND(F.lit((1 << 33) - 1))}).drop("__at", "__position", "__id"),
+        shared_folder(spark, "ranges"),
     )
+    sizes = written.groupBy("__range").agg(F.count(F.lit(1)).alias("__n"))
+    # One row a range here, so one small task and a small broadcast.
+    before = sizes.select("__range", (F.sum("__n").over(Window.orderBy("__range")) - F.col("__n")).alias("__before"))
+    key = F.col("__before") + F.col("__place") + F.lit(start)
+    return written.join(F.broadcast(before), "__range").withColumn(out, key.cast(kind)).drop("__range", "__place", "__before")
 
 
-def _cut_points(sampled: DataFrame, pieces: int) -> Column:
-    """Up to ``pieces`` evenly spaced positions of a bounded sample, as a literal array."""
-    rows = sampled.orderBy("__at").limit(2 * _SAMPLE_ROWS).collect()
-    chosen = [rows[i * len(rows) // (pieces + 1)]["__at"] for i in range(1, pieces + 1)] if rows else []
-    kind = sampled.schema["__at"].dataType
-    return F.array(*[_literal(value, kind) for value in chosen]).cast(T.ArrayType(kind))
-
-
-def _literal(value: object, kind: T.DataType) -> Column:
-    """A literal of any simple type or struct of such; times go by text, so no zone shifts them."""
-    if isinstance(kind, T.StructType) and value is not None:
-        fields = [_literal(v, f.dataType).alias(f.name) for v, f in zip(value, kind.fields)]
-        return F.struct(*fields)
-    if isinstance(value, datetime):
-        value = value.isoformat(sep=" ")
-    return F.lit(value).cast(kind)
-
-
-def surrogate_keys(df: DataFrame, value: str, out: str, order: list[str] | None = None) -> DataFrame:
+def surrogate_keys(df: DataFrame, value: str, out: str, order: list[str] | None = None, kind: str = "bigint") -> DataFrame:
     """``(value, out)``: one dense key per distinct value, a null value included.
 
     Numbered by first appearance in ``order``, or alphabetically without one.
     """
-    return dense_keys(first_appearance(df, [value], order or []), out, [value]).select(col(value), col(out))
+    return dense_keys(first_appearance(df, [value], order or []), out, [value], kind=kind).select(col(value), col(out))

@@ -10,14 +10,14 @@ from __future__ import annotations
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starlot.functions.scalars import UNKNOWN, col, known_or
 from starlot.functions.text import normalise_text
 from starlot.operators.dedup import keep_first
-from starlot.session import setting
+from starlot.session import materialise, setting, shared_folder
 
 ROWS_SETTING = "starlot.broadcast.maxRows"
 BYTES_SETTING = "starlot.broadcast.maxBytes"
@@ -49,12 +49,22 @@ def measure(df: DataFrame) -> tuple[int, int]:
     return found["n"], found["b"] or 0
 
 
-def as_side(side: DataFrame | Side) -> Side:
-    """Count ``side`` once; pass the result on where several lookups share it."""
+def as_side(side: DataFrame | Side, stored: bool = False) -> Side:
+    """``side`` with its size; pass the result on where several lookups share it.
+
+    A side that is computed is written once, rows and bytes observed on the way, and
+    read from there; ``stored`` tables are only counted.
+    """
     if isinstance(side, Side):
         return side
     spark = side.sparkSession
-    rows, size = measure(side)
+    if stored:
+        rows, size = measure(side)
+    else:
+        seen = Observation()
+        totals = F.count(F.lit(1)).alias("n"), F.sum(row_bytes(side.schema)).alias("b")
+        side = materialise(side.observe(seen, *totals), shared_folder(spark, "side"))
+        rows, size = seen.get["n"], seen.get["b"] or 0
     fits = rows <= setting(spark, ROWS_SETTING, MAX_ROWS) and size <= setting(spark, BYTES_SETTING, MAX_BYTES)
     return Side(side, fits)
 

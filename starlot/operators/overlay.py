@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from starlot.functions.scalars import col
 from starlot.operators.lookup import Side, as_side, left_lookup
+from starlot.session import materialise, shared_folder
 
 
 def overlay(base: DataFrame, corrections: DataFrame, key: str) -> DataFrame:
@@ -14,11 +15,11 @@ def overlay(base: DataFrame, corrections: DataFrame, key: str) -> DataFrame:
 
     Corrections with a null key are added and replace nothing.
     """
-    ids = corrections.select(col(key).alias("__id")).dropna()
-    side = as_side(ids.distinct())
-    # Unlike the distinct ids, the plain ones reach a shuffle join by a shuffle of their
-    # own, which leaves skewed partitions of the base to be split.
-    ids = F.broadcast(side.df) if side.small else ids
+    corrections = materialise(corrections, shared_folder(corrections.sparkSession, "corrections"))
+    side = as_side(corrections.select(col(key).alias("__id")).dropna().distinct())
+    # The written ids reach a shuffle join by a shuffle of their own, which leaves skewed
+    # partitions of the base to be split.
+    ids = F.broadcast(side.df) if side.small else side.df
     kept = base.join(ids, col(key) == F.col("__id"), "left_anti")
     return kept.unionByName(corrections, allowMissingColumns=True)
 

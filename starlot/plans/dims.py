@@ -26,10 +26,11 @@ def channel_dim(
     """
 
     first = first_appearance(leads.dropna(subset=["canal"]), ["canal"], lead_order or [])
-    unseen = sale_channels.dropna(subset=["canal"]).join(first.select("canal"), "canal", "left_anti")
-    more = first_appearance(unseen, ["canal"], sale_order or [])
-    numbered = dense_keys(first, "id_canal", ["canal"])
-    later = dense_keys(more, "id_canal", ["canal"], start=first.count() + 1)
+    # Reduced to members first: few channels would put all sales into few tasks of a join.
+    members = first_appearance(sale_channels.dropna(subset=["canal"]), ["canal"], sale_order or [])
+    more = members.join(first.select("canal"), "canal", "left_anti")
+    numbered = dense_keys(first, "id_canal", ["canal"], kind="int")
+    later = dense_keys(more, "id_canal", ["canal"], start=first.count() + 1, kind="int")
     return numbered.unionByName(later).select("canal", "id_canal")
 
 
@@ -54,7 +55,7 @@ def vehicle_dim(vehicles: DataFrame) -> DataFrame:
 
 def stage_dim(leads: DataFrame, order: list[str] | None = None) -> DataFrame:
     """``(estagio, id_estagio)``; a missing stage is a member of its own."""
-    return surrogate_keys(leads, "estagio", "id_estagio", order)
+    return surrogate_keys(leads, "estagio", "id_estagio", order, "int")
 
 
 def seller_month_dim(history: DataFrame, order: list[str] | None = None) -> DataFrame:

@@ -18,6 +18,7 @@ from starlot.operators.lookup import (
 )
 from starlot.operators.temporal import period_side, value_at
 from starlot.sources.contracts import COMMISSION_COLUMNS
+from starlot.sources.feeds import arrival
 from starlot.plans.schemas import FACT_APPOINTMENTS, FACT_LEADS, FACT_SALES
 
 
@@ -58,12 +59,14 @@ def leads_fact(
     appointments: DataFrame | None = None, links: DataFrame | None = None,
     appointment_order: list[str] | None = None,
 ) -> DataFrame:
-    """One row per lead; ``id_sdr`` is null where no appointment exists."""
+    """One row per lead; ``id_sdr`` is the seller of its first appointment, null without one."""
     fact = with_channel(with_seller_and_store(leads, "atendente", "data_criacao", sellers), channels)
     if "estagio" in fact.columns:
         fact = left_lookup(fact, stages, {"estagio": "estagio"}, {"id_estagio": "id_estagio"}, null_safe=True)
     if appointments is not None:
-        order = appointment_order or ["id_vendedor"]
+        order = appointment_order or arrival(appointments)
+        if not order:
+            raise ValueError("appointments need their order to tell which came first")
         owners = appointments.select("id", *dict.fromkeys(["id_vendedor", *order])).dropna(subset=["id"])
         owner = keep_first(owners, ["id"], order).select("id", col("id_vendedor").alias("id_sdr"))
         fact = left_lookup(fact, owner, {"id": "id"}, {"id_sdr": "id_sdr"})
@@ -120,9 +123,14 @@ def sales_fact(
     return conform_to(fact, FACT_SALES)
 
 
-def appointments_fact(rows: DataFrame, channels: DataFrame | Side, sellers: Sellers) -> DataFrame:
+def appointments_seen(rows: DataFrame, channels: DataFrame | Side, sellers: Sellers) -> DataFrame:
+    """Appointments with seller, store and channel, still with the order in which they came."""
     seen = with_seller_and_store(rows, "responsavel_agendamento", "criacao_agendamento", sellers)
-    return conform_to(with_channel(seen, channels), FACT_APPOINTMENTS)
+    return with_channel(seen, channels)
+
+
+def appointments_fact(rows: DataFrame, channels: DataFrame | Side, sellers: Sellers) -> DataFrame:
+    return conform_to(appointments_seen(rows, channels, sellers), FACT_APPOINTMENTS)
 
 
 def _dated_targets(targets: DataFrame) -> DataFrame:

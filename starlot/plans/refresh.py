@@ -6,14 +6,18 @@ no lineage is evaluated twice and a lost executor costs one table at most.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import cache
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 
+from starlot.functions.scalars import col
+from starlot.operators.columns import conform_to
 from starlot.operators.lookup import as_side
 from starlot.plans import dims, facts
 from starlot.plans.quality import match_rates, quality_report
-from starlot.plans.schemas import TABLES
+from starlot.plans.schemas import FACT_APPOINTMENTS, TABLES
 from starlot.sources import feeds as clean
 from starlot.sources.contracts import COMMISSIONS, FINANCING
 from starlot.sources.scan import read_saved
@@ -27,89 +31,115 @@ class Refresh(NamedTuple):
     rates: DataFrame
     failures: int
     published: bool
+    silver_counts: dict[str, int]
 
 
-class _Store:
-    """Writes tables under one folder and hands back the written form."""
+class Tables:
+    """Tables by name; each is computed, written below one folder and read back when first asked for."""
 
-    def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder, self.counts = spark, folder.rstrip("/"), {}
+    def __init__(self, spark: SparkSession, folder: str, builders: dict[str, Callable[[], DataFrame]]):
+        self.spark, self.folder, self.builders = spark, folder.rstrip("/"), builders
+        self.counts: dict[str, int] = {}
+        self._done: dict[str, DataFrame] = {}
 
-    def path(self, name: str) -> str:
-        return f"{self.folder}/{name}"
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._done:
+            path = f"{self.folder}/{name}"
+            self.counts[name] = save_counted(self.builders[name](), path)
+            self._done[name] = read_saved(self.spark, path, name)
+        return self._done[name]
 
-    def save(self, name: str, df: DataFrame) -> DataFrame:
-        self.counts[name] = save_counted(df, self.path(name))
-        return read_saved(self.spark, self.path(name), name)
+    def __iter__(self):
+        return iter(self.builders)
 
 
-def conform_feeds(spark: SparkSession, raw: dict[str, DataFrame], silver: str) -> dict[str, DataFrame]:
-    """The twelve conformed tables, written to ``silver`` and read back."""
-    store = _Store(spark, silver)
-    channels = clean.channel_map(raw["channel_map"])
+# Text dates without which a feed is of no use, by feed and column.
+NEEDED_DATES = {"leads": "data_criacao", "sales": "data_venda", "appointments": "criacao_agendamento"}
+
+
+def conform_feeds(
+    spark: SparkSession, raw: dict[str, DataFrame], silver: str, formats: dict[str, tuple[str, ...]] | None = None
+) -> Tables:
+    """The twelve conformed tables, written to ``silver`` as they are asked for.
+
+    ``formats`` names, by source, the formats of dates that arrive as text.
+    """
+    known = formats or {}
+    dated = lambda source: known.get(source, ())
+    channels = cache(lambda: clean.channel_map(raw["channel_map"]))
     commissions, financing = raw.get("commissions"), raw.get("financing")
     in_stock, at_sale = raw.get("stock_brands"), raw.get("sale_brands")
-    conformed = {
-        "usuarios": clean.conform_users(raw["users"]),
-        "hist_vendedor_loja": clean.conform_history(raw["history"]),
-        "meta_vendedor": clean.conform_targets(raw["seller_targets"], "seller_targets"),
-        "meta_loja": clean.conform_targets(raw["store_targets"], "store_targets"),
-        "leads": clean.conform_leads(raw["leads"], channels, raw.get("lead_corrections")),
-        "vendas": clean.conform_sales(raw["sales"]),
-        "canais": clean.conform_sale_channels(raw["sale_channels"], channels),
-        "agendamentos": clean.conform_appointments(raw["appointments"], channels),
-        "veiculos": clean.conform_vehicles(
+
+    def checked(source: str, df: DataFrame) -> DataFrame:
+        name = NEEDED_DATES[source]
+        text = name in raw[source].columns and raw[source].schema[name].dataType.simpleString() == "string"
+        if text and df.where(col(name).isNotNull()).isEmpty() and not df.isEmpty():
+            raise ValueError(f"{source}: no {name} is a date by the formats {dated(source)}")
+        return df
+
+    return Tables(spark, silver, {
+        "usuarios": lambda: clean.conform_users(raw["users"]),
+        "hist_vendedor_loja": lambda: clean.conform_history(raw["history"], dated("history")),
+        "meta_vendedor": lambda: clean.conform_targets(raw["seller_targets"], "seller_targets"),
+        "meta_loja": lambda: clean.conform_targets(raw["store_targets"], "store_targets"),
+        "leads": lambda: checked("leads", clean.conform_leads(raw["leads"], channels(), raw.get("lead_corrections"), dated("leads"))),
+        "vendas": lambda: checked("sales", clean.conform_sales(raw["sales"], dated("sales"))),
+        "canais": lambda: clean.conform_sale_channels(raw["sale_channels"], channels()),
+        "agendamentos": lambda: checked("appointments", clean.conform_appointments(raw["appointments"], channels(), dated("appointments"))),
+        "veiculos": lambda: clean.conform_vehicles(
             raw["vehicles"],
             None if in_stock is None else clean.stock_brands(in_stock),
-            None if at_sale is None else clean.sale_brands(at_sale),
+            None if at_sale is None else clean.sale_brands(at_sale, formats=dated("sale_brands")),
         ),
-        "comissoes": spark.createDataFrame([], COMMISSIONS)
+        "comissoes": lambda: spark.createDataFrame([], COMMISSIONS)
         if commissions is None else clean.conform_commissions(commissions),
-        "retorno": spark.createDataFrame([], FINANCING)
-        if financing is None else clean.conform_financing(financing, clean.financier_map(raw["financier_map"])),
-        "custos_canal": clean.conform_channel_costs(raw["channel_costs"]),
-    }
-    return {name: store.save(name, df) for name, df in conformed.items()}
+        "retorno": lambda: spark.createDataFrame([], FINANCING)
+        if financing is None
+        else clean.conform_financing(financing, clean.financier_map(raw["financier_map"]), formats=dated("financing")),
+        "custos_canal": lambda: clean.conform_channel_costs(raw["channel_costs"]),
+    })
 
 
 def build_star(
-    silver: dict[str, DataFrame], seller_codes: DataFrame, gold: str, links: DataFrame | None = None,
+    silver: Tables | dict[str, DataFrame], seller_codes: DataFrame, gold: str, links: DataFrame | None = None,
     by_date: bool = False,
-) -> tuple[dict[str, DataFrame], dict[str, int]]:
-    """All thirteen tables, written to ``gold`` dimensions first; rows counted while writing."""
+) -> Tables:
+    """All thirteen tables, each written to ``gold`` when it is asked for, what it needs before it."""
     spark = seller_codes.sparkSession
-    store, star = _Store(spark, gold), {}
-
-    def put(name: str, df: DataFrame) -> DataFrame:
-        star[name] = store.save(name, df)
-        return star[name]
-
-    leads, history = silver["leads"], silver["hist_vendedor_loja"]
-    put("dim_canal", dims.channel_dim(leads, silver["canais"], clean.arrival(leads, "id"), ["codigo"]))
-    put("dim_data", dims.calendar_dim(spark))
-    put("dim_vendedores", dims.seller_dim(silver["usuarios"]))
-    put("dim_lojas", dims.store_dim(history))
-    put("dim_veiculos", dims.vehicle_dim(silver["veiculos"]))
-    put("dim_estagio", dims.stage_dim(leads, clean.arrival(leads, "id")))
-    put("dim_vendedor_periodo", dims.seller_month_dim(history, clean.arrival(history, "data_inicio")))
-
-    channels = as_side(star["dim_canal"])
-    sellers = facts.seller_sides(star["dim_vendedores"], history, clean.seller_map(seller_codes), by_date)
-    # Appointments come first: a lead takes its owner from them.
-    put("fato_agendamentos", facts.appointments_fact(silver["agendamentos"], channels, sellers))
-    put("fato_leads", facts.leads_fact(
-        leads, channels, star["dim_estagio"], sellers, star["fato_agendamentos"],
-        None if links is None else clean.conform_links(links),
-    ))
-    put("fato_vendas", facts.sales_fact(
-        silver["vendas"],
-        facts.sale_attributes(silver["canais"], star["dim_veiculos"], silver["comissoes"]),
-        channels, sellers, silver["retorno"],
-    ))
-    put("fato_meta_vendedor", facts.seller_targets_fact(silver["meta_vendedor"], star["dim_vendedor_periodo"]))
-    put("fato_meta_loja", facts.store_targets_fact(silver["meta_loja"]))
-    put("fato_custos_canal", facts.channel_costs_fact(silver["custos_canal"], channels))
-    return {name: star[name] for name in TABLES}, {name: store.counts[name] for name in TABLES}
+    order = clean.arrival
+    channels = cache(lambda: as_side(star["dim_canal"], stored=True))
+    sellers = cache(lambda: facts.seller_sides(star["dim_vendedores"], silver["hist_vendedor_loja"], clean.seller_map(seller_codes), by_date))
+    star = Tables(spark, gold, {
+        "dim_canal": lambda: dims.channel_dim(
+            silver["leads"], silver["canais"], order(silver["leads"], "id"), order(silver["canais"], "codigo")
+        ),
+        "dim_data": lambda: dims.calendar_dim(spark),
+        "dim_vendedores": lambda: dims.seller_dim(silver["usuarios"]),
+        "dim_lojas": lambda: dims.store_dim(silver["hist_vendedor_loja"]),
+        "dim_veiculos": lambda: dims.vehicle_dim(silver["veiculos"]),
+        "dim_estagio": lambda: dims.stage_dim(silver["leads"], order(silver["leads"], "id")),
+        "dim_vendedor_periodo": lambda: dims.seller_month_dim(
+            silver["hist_vendedor_loja"], order(silver["hist_vendedor_loja"], "data_inicio")
+        ),
+        # Not published: appointments with their order, from which a lead takes its owner.
+        "_agendamentos": lambda: facts.appointments_seen(silver["agendamentos"], channels(), sellers()),
+        "fato_agendamentos": lambda: conform_to(star["_agendamentos"], FACT_APPOINTMENTS),
+        "fato_leads": lambda: facts.leads_fact(
+            silver["leads"], channels(), as_side(star["dim_estagio"], stored=True), sellers(), star["_agendamentos"],
+            None if links is None else clean.conform_links(links), order(star["_agendamentos"], "id"),
+        ),
+        "fato_vendas": lambda: facts.sales_fact(
+            silver["vendas"],
+            facts.sale_attributes(silver["canais"], star["dim_veiculos"], silver["comissoes"]),
+            channels(), sellers(), as_side(silver["retorno"], stored=True),
+        ),
+        "fato_meta_vendedor": lambda: facts.seller_targets_fact(
+            silver["meta_vendedor"], as_side(star["dim_vendedor_periodo"], stored=True)
+        ),
+        "fato_meta_loja": lambda: facts.store_targets_fact(silver["meta_loja"]),
+        "fato_custos_canal": lambda: facts.channel_costs_fact(silver["custos_canal"], channels()),
+    })
+    return star
 
 
 def audit(
@@ -128,21 +158,25 @@ def audit(
 
 
 def publish(
-    spark: SparkSession, tables: dict[str, DataFrame], database: str, folder: str | None = None
+    spark: SparkSession, tables: dict[str, DataFrame], database: str, folder: str | None = None,
+    counts: dict[str, int] | None = None,
 ) -> DataFrame:
     """Publish all tables, dimensions first, and compare counts afterwards.
 
     With ``folder`` views are switched to the finished run; otherwise catalog tables
-    are refreshed.  A table whose counts differ fails the publish.
+    are refreshed.  A table whose published rows differ from ``counts``, those observed
+    when it was written, fails the publish; views need them.
     """
+    if folder is not None and counts is None:
+        raise ValueError("views are checked against the counts of the run that wrote them")
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    expected = {}
+    expected = dict(counts or {})
     for name, df in tables.items():
         if folder is None:
-            expected[name] = refresh_table(df, f"{database}.{name}")
+            written = refresh_table(df, f"{database}.{name}")
+            expected.setdefault(name, written)
         else:
             point_view(spark, f"{database}.{name}", f"{folder.rstrip('/')}/{name}")
-            expected[name] = df.count()
     result = reconcile(spark, expected, {name: spark.table(f"{database}.{name}") for name in tables})
     wrong = [row["table_name"] for row in result.filter(~result["matches"]).collect()]
     if wrong:
@@ -150,20 +184,34 @@ def publish(
     return result
 
 
+def prepare(
+    spark: SparkSession, raw: dict[str, DataFrame], folder: str, by_date: bool = False,
+    formats: dict[str, tuple[str, ...]] | None = None,
+) -> tuple[Tables, Tables]:
+    """Silver and gold tables under ``folder``, none of them written before it is asked for."""
+    folder = folder.rstrip("/")
+    silver = conform_feeds(spark, raw, f"{folder}/silver", formats)
+    return silver, build_star(silver, raw["seller_map"], f"{folder}/gold", raw.get("lead_links"), by_date)
+
+
 def full_refresh(
     spark: SparkSession, raw: dict[str, DataFrame], folder: str, database: str | None = None,
-    block_on_fail: bool = False, by_date: bool = False,
+    block_on_fail: bool = False, by_date: bool = False, formats: dict[str, tuple[str, ...]] | None = None,
 ) -> Refresh:
     """Raw feeds to audited tables under ``folder``; published when a database is named.
 
-    ``block_on_fail`` keeps a run with failed checks from being published.
+    ``block_on_fail`` keeps a run with failed checks from being published.  ``formats``
+    names, by source, the formats of dates that arrive as text.
     """
-    folder = folder.rstrip("/")
-    silver = conform_feeds(spark, raw, f"{folder}/silver")
-    tables, counts = build_star(silver, raw["seller_map"], f"{folder}/gold", raw.get("lead_links"), by_date)
-    report, failures = audit(spark, tables, counts, raw["sales"].count())
+    silver, star = prepare(spark, raw, folder, by_date, formats)
+    for name in silver:
+        silver[name]
+    tables = {name: star[name] for name in TABLES}
+    counts = {name: star.counts[name] for name in TABLES}
+    # Conforming sales adds columns only, so the rows counted on writing are the raw ones.
+    report, failures = audit(spark, tables, counts, silver.counts["vendas"])
     rates = match_rates({n: tables[n] for n in ("fato_leads", "fato_vendas", "fato_agendamentos")})
     published = database is not None and not (block_on_fail and failures)
     if published:
-        publish(spark, tables, database, f"{folder}/gold")
-    return Refresh(tables, counts, report, rates, failures, published)
+        publish(spark, tables, database, star.folder, counts)
+    return Refresh(tables, counts, report, rates, failures, published, dict(silver.counts))

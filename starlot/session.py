@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -15,19 +16,29 @@ DEFAULTS = {
     # Split a skewed join even where the next join must shuffle again for it.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.ui.enabled": "false",
-    "spark.ui.showConsoleProgress": "false",
 }
 
 
+# Settings this process has made already, which a user may have changed since.
+_DEFAULTED: set[str] = set()
+
+
 def build_session(app: str = "starlot", **conf: str) -> SparkSession:
-    """A session with the defaults above; keyword pairs use ``__`` for dots."""
+    """A session; keyword pairs use ``__`` for dots.
+
+    The defaults above are set afterwards and only where neither the call, the cluster
+    nor the session has a value: settings of a builder would win over the cluster's.
+    """
     builder = SparkSession.builder.appName(app)
-    for key, value in DEFAULTS.items():
-        builder = builder.config(key, value)
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    own = {key for key, _ in spark.sparkContext.getConf().getAll()} | _DEFAULTED
+    for key, value in DEFAULTS.items():
+        if key not in own:
+            spark.conf.set(key, value)
+            _DEFAULTED.add(key)
+    return spark
 
 
 def setting(spark: SparkSession, key: str, default: int) -> int:
@@ -45,7 +56,31 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="starlot-")
-    return f"{base.rstrip('/')}/starlot-{purpose}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/starlot-{purpose}-{uuid.uuid4().hex}"
+    _FOLDERS.append(path)
+    return path
+
+
+_FOLDERS: list[str] = []
+
+
+@atexit.register
+def release_folders() -> None:
+    """Delete the shared folders this process has made; also called when it ends.
+
+    Tables read from them are gone afterwards.  Folders of a store that pyarrow cannot
+    reach stay, for the cluster's own clean-up of ``spark.checkpoint.dir``.
+    """
+    from pyarrow import fs
+
+    while _FOLDERS:
+        path = _FOLDERS.pop()
+        try:
+            files, inner = fs.FileSystem.from_uri(path if ":" in path else f"file://{path}")
+            if files.get_file_info(inner).type == fs.FileType.Directory:
+                files.delete_dir(inner)
+        except (OSError, ValueError):
+            continue
 
 
 def materialise(df: DataFrame, path: str) -> DataFrame:

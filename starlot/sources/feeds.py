@@ -19,17 +19,19 @@ from starlot.operators.lookup import Side, apply_code_map, code_map_side
 from starlot.operators.overlay import fill_by_priority, overlay
 from starlot.operators.reshape import months_to_rows
 from starlot.sources.contracts import COMMISSION_COLUMNS, COMMISSIONS, FINANCING, require_columns
-from starlot.sources.scan import FILE, ROW
+from starlot.sources.scan import BLOCK, FILE, ROW
 
 # Words of the exports and literals of the tables.
 WON, LOST, YES = "ganho", "perdido", "sim"
 UNKNOWN_BRAND = "desconhecida"
+# Rows of a source's first set stand before those of its corrections.
+SET = "_set"
 VEHICLE_COLUMNS = ["codigo", "modelo", "ano", "cor", "tipo", "placa", "situacao"]
 
 
 def arrival(df: DataFrame, *extra: str) -> list[str]:
-    """Order columns of ``df``: file and row where known, else the named ones."""
-    return [name for name in (FILE, ROW, *extra) if name in df.columns]
+    """Order columns of ``df`` that it has: set, file, block and row, then the named ones."""
+    return [name for name in (SET, FILE, BLOCK, ROW, *extra) if name in df.columns]
 
 
 def when(df: DataFrame, name: str, formats: tuple[str, ...]) -> Column:
@@ -61,7 +63,9 @@ def financier_map(mapping: DataFrame, strict: bool = False) -> Side:
 def conform_leads(
     raw: DataFrame, channels: Side, corrections: DataFrame | None = None, formats: tuple[str, ...] = ()
 ) -> DataFrame:
-    leads = raw if corrections is None else overlay(raw, corrections, "id")
+    leads = raw.withColumn(SET, F.lit(0))
+    if corrections is not None:
+        leads = overlay(leads, corrections.withColumn(SET, F.lit(1)), "id")
     leads = require_columns(leads, "leads")
     created, touched = when(leads, "data_criacao", formats), when(leads, "ultima_integracao", formats)
     dated = {"id": whole(leads, "id"), "data_criacao": created, "ultima_integracao": touched}
@@ -85,13 +89,12 @@ def conform_sales(raw: DataFrame, formats: tuple[str, ...] = ()) -> DataFrame:
 
 
 def conform_sale_channels(raw: DataFrame, channels: Side, order: list[str] | None = None) -> DataFrame:
-    """One channel per sale code: the first in file order, which is the oldest file's."""
+    """One channel per sale code: the first in file order, which is the oldest file's; its place stays."""
     raw = require_columns(raw, "sale_channels")
     order = arrival(raw) if order is None else order
     rows = raw.select("codigo", "canal", *[col(n) for n in order]).dropna(subset=["codigo", "canal"])
     rows = rows.withColumn("codigo", col("codigo").cast("bigint"))
-    first = keep_first(rows, ["codigo"], order).select("codigo", "canal")
-    return apply_code_map(first, "canal", channels)
+    return apply_code_map(keep_first(rows, ["codigo"], order), "canal", channels)
 
 
 def conform_appointments(raw: DataFrame, channels: Side, formats: tuple[str, ...] = ()) -> DataFrame:

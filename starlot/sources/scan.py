@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -13,37 +14,52 @@ from pyspark.sql import types as T
 from starlot.functions.text import normalise_headers
 from starlot.sources.contracts import LANDING_STEMS, OPTIONAL, RENAMES, REQUIRED, require_columns
 
-FILE, ROW = "_file", "_row"
+FILE, BLOCK, ROW = "_file", "_block", "_row"
+# Single files whose rows compete by their place.
+ORDERED = {"leads", "lead_corrections", "lead_links", "appointments", "history", "stock_brands"}
 
 
 def list_files(spark: SparkSession, pattern: str) -> list[str]:
-    """Paths that match, in name order; asked of the file system the path belongs to."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(pattern)
-    found = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).globStatus(path)
-    return sorted(status.getPath().toString() for status in (found or []))
+    """Files, or folders of part files, that match, in name order."""
+    name = pattern.rstrip("/").rsplit("/", 1)[-1]
+    match = re.sub(r"\\\*", "[^/]*", re.escape(name)).replace(r"\[", "[").replace(r"\]", "]").replace(r"\-", "-")
+    try:
+        found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(pattern)
+    except AnalysisException:
+        return []
+    # Only the path is asked for, so no file is read.
+    paths = found.select(F.regexp_extract("path", f"^(.*?/{match})(/.*)?$", 1).alias("path")).distinct()
+    return sorted(row["path"] for row in paths.collect())
 
 
 def read_file(
     spark: SparkSession, path: str | list[str], fmt: str = "parquet", schema: T.StructType | str | None = None,
     order: bool = False, **options: str,
 ) -> DataFrame:
-    """One scan.  ``order`` adds the path and, for Parquet, the row's position in it."""
+    """One scan.  ``order`` adds where each row stands: path, block and place.
+
+    Parquet numbers its rows.  In text files a row's place is the scan's own running
+    number, which grows within a block of a file; it is taken right here, so it has to be
+    written before any step reads the rows twice.
+    """
     reader = spark.read.format(fmt).options(**({"header": "true"} | options if fmt == "csv" else options))
     if schema is not None:
         reader = reader.schema(schema)
     df = reader.load(path)
     if not order:
         return df
-    row = F.col("_metadata.row_index") if fmt == "parquet" else F.lit(None).cast("bigint")
-    return df.select("*", F.col("_metadata.file_path").alias(FILE), row.alias(ROW))
+    if fmt == "parquet":
+        block, row = F.lit(0).cast("bigint"), F.col("_metadata.row_index")
+    else:
+        block, row = F.col("_metadata.file_block_start"), F.monotonically_increasing_id()
+    return df.select("*", F.col("_metadata.file_path").alias(FILE), block.alias(BLOCK), row.alias(ROW))
 
 
 def read_yearly(
     spark: SparkSession, pattern: str, source: str, fmt: str = "parquet",
     rename: dict[str, str] | None = None, required: list[str] | None = None, **options: str,
 ) -> DataFrame:
-    """All files of a yearly set as one table, with their order as ``_file`` and ``_row``.
+    """All files of a yearly set as one table, with their order as ``_file``, ``_block`` and ``_row``.
 
     Headers are normalised and the contract is checked per file.  Files with the same
     columns go into one scan; a union joins only the differing layouts, so its width
@@ -65,19 +81,6 @@ def read_yearly(
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def spread(df: DataFrame, least_bytes: int = 1 << 20) -> DataFrame:
-    """Deal the rows of a scan with fewer splits than cores out to all cores.
-
-    For exports that come as one file with one row group, which a single task would
-    have to clean alone.  A scan with splits enough, or a tiny one, stays as it is.
-    """
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if size < least_bytes or df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores)
-
-
 def read_optional(
     spark: SparkSession, pattern: str, fmt: str = "parquet", empty: T.StructType | None = None, **options: str
 ) -> DataFrame | None:
@@ -100,11 +103,11 @@ def read_landing(
                 continue
             raise FileNotFoundError(f"{source}: no file matches {pattern}")
         if "*" in stem:
-            feeds[source] = spread(read_yearly(spark, pattern, source, fmt, **options))
+            feeds[source] = read_yearly(spark, pattern, source, fmt, **options)
         elif source == "channel_costs":
             feeds[source] = read_file(spark, pattern, fmt, **options)
         else:
-            one = normalise_headers(spread(read_file(spark, pattern, fmt, **options)))
+            one = normalise_headers(read_file(spark, pattern, fmt, order=source in ORDERED, **options))
             feeds[source] = one.withColumnsRenamed(RENAMES.get(source, {}))
     return feeds
 

@@ -29,7 +29,9 @@ def twin():
 
 
 def test_every_query_has_a_twin():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    from benchmarks.queries import QUERIES
+
+    assert set(QUERIES) <= set(contract.oracle_sql()) <= set(contract.queries())
 
 
 @pytest.mark.parametrize("name", FAST)

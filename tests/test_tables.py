@@ -228,7 +228,7 @@ def test_yearly_order_and_layouts(spark, tmp_path):
     names = [p.rsplit("/", 1)[1] for p in list_files(spark, f"{tmp_path}/dados_canais_*.parquet")]
     assert names == [f"dados_canais_{y}.parquet" for y in (2021, 2022, 2023)]
     read = read_yearly(spark, f"{tmp_path}/dados_canais_*.parquet", "sale_channels")
-    assert read.count() == 5 and read.columns == ["codigo", "canal", "_file", "_row", "extra"]
+    assert read.count() == 5 and read.columns == ["codigo", "canal", "_file", "_block", "_row", "extra"]
 
 
 def test_sinks(spark, tmp_path):
