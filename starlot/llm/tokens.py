@@ -12,15 +12,16 @@ from __future__ import annotations
 
 import functools
 import os
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 
-CACHED = 250_000
+CACHED = 300_000
 JOINED = 256
 # Stretches at the start of a text have no blank before them; no other stretch holds a blank.
 AT_START = " "
-ODD = -1
+ODD, NEW = -1, -2
+MET_MASK = (1 << 22) - 1
 
 
 def vocabulary_path() -> str:
@@ -45,6 +46,7 @@ class Encoder:
 
     def _forget(self) -> None:
         self.at: dict[str, int] = {}
+        self.met = bytearray(MET_MASK + 1)
         self.flat = np.zeros(1 << 16, dtype=np.uint32)
         self.used = self.known = 0
         self.start = np.zeros(1 << 14, dtype=np.int64)
@@ -94,21 +96,38 @@ class Encoder:
         for p in parts:
             p[0] = AT_START + p[0]
         stretches = list(chain.from_iterable(parts))
-        look, state = self.at.get, (self.used, self.known)
-        index = [look(s) for s in stretches]
-        missing = [k for k, i in enumerate(index) if i is None]
-        new = list(dict.fromkeys(stretches[k] for k in missing))
-        self._learn_new(new)
-        for k in missing:
-            index[k] = look(stretches[k])
-        out = self._gathered(texts, np.array(index, dtype=np.int64), np.array([len(p) for p in parts], dtype=np.int64))
-        if len(self.at) > self.cached:
-            # The cache is full: what it holds stays, what this call has added goes.
-            for s in new:
-                del self.at[s]
-            self.used, self.known = state
+        look = self.at.get
+        index = np.fromiter(map(look, stretches, repeat(NEW)), dtype=np.int64, count=len(stretches))
+        missing = np.flatnonzero(index == NEW).tolist()
+        stay, go = self._admitted(list(dict.fromkeys(stretches[k] for k in missing)))
+        self._learn_new(stay)
+        state = (self.used, self.known)
+        self._learn_new(go)
+        index[missing] = [look(stretches[k]) for k in missing]
+        out = self._gathered(texts, index, np.array([len(p) for p in parts], dtype=np.int64))
+        for s in go:
+            del self.at[s]
+        self.used, self.known = state
         return out
 
+    def _admitted(self, new: list[str]) -> tuple[list[str], list[str]]:
+        """New stretches to keep, and those to forget after this call: the ones no earlier call has met.
+
+        Most stretches are met once only.  What was met is noted in a table of fixed size by
+        hash; a full cache keeps what it has.
+        """
+        if len(self.at) >= self.cached:
+            return [], new
+        met, stay, go = self.met, [], []
+        for s in new:
+            place = hash(s) & MET_MASK
+            if met[place]:
+                stay.append(s)
+            else:
+                met[place] = 1
+                go.append(s)
+        return stay, go
+
     def _gathered(self, texts: list[str], index: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if not len(texts):
             return np.zeros(0, dtype=np.uint32), np.zeros(0, dtype=np.int64)
@@ -142,7 +161,7 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def portions(texts: list[str], chars: int = 1_000_000) -> list[slice]:
+def portions(texts: list[str], chars: int = 2_000_000) -> list[slice]:
     """Slices of about ``chars`` characters, so that a batch of long texts is encoded bit by bit."""
     out, begin, held = [], 0, 0
     for i, t in enumerate(texts):
