@@ -224,21 +224,30 @@ def _with_leaders(members: DataFrame, salt: int) -> DataFrame:
 
 
 def _across(members: DataFrame) -> DataFrame:
-    """Pairs within a key across classes, from ``(key, node, class)``.
+    """Pairs of bucket mates within a key across classes, from ``(key, node, class, size, rare, bands)``.
 
-    Texts outside a key's largest class meet everything of another class: a class with all but few
+    The join's condition leaves out pairs of unlike sizes, pairs that share no bucket, and pairs that
+    meet at an earlier key, so each pair is made once.  Texts outside a key's largest class meet everything of another class: a class with all but few
     of a key's texts is never paired with itself, neither in the result nor inside the join.
     """
     sizes = members.groupBy("key", "class").agg(F.count(F.lit(1)).alias("n"))
     major = sizes.groupBy("key").agg(F.max_by("class", F.col("n")).alias("largest")).withColumnRenamed("key", "mk")
     placed = members.join(major, F.col("key") == F.col("mk"))
-    minor = placed.where(F.col("class") != F.col("largest")).select(F.col("key").alias("k"), F.col("node").alias("x"), F.col("class").alias("c"))
-    pairs = members.join(minor, (F.col("key") == F.col("k")) & (F.col("class") != F.col("c")))
+    minor = placed.where(F.col("class") != F.col("largest")).select(
+        F.col("key").alias("k"), F.col("node").alias("x"), F.col("class").alias("c"), *[F.col(c).alias(f"x_{c}") for c in ("size", "rare", "bands")]
+    )
+    part, whole = SIMILAR
+    sized = whole * F.least("size", "x_size") >= part * F.greatest("size", "x_size")
+    met_here = F.get(F.array_intersect("rare", "x_rare"), 0) == F.col("key")
+    pairs = members.join(minor, (F.col("key") == F.col("k")) & (F.col("class") != F.col("c")) & sized & F.arrays_overlap("bands", "x_bands") & met_here)
     return pairs.select(*_ordered("node", "x", "class", "c")).distinct()
 
 
-def _rare_fifth(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """``(key, node, class)`` with the shingles as keys by which similar texts must meet."""
+def _rare_fifth(members: DataFrame, sets: DataFrame, texts: DataFrame) -> DataFrame:
+    """``(key, node, class, size, rare, bands)`` with the shingles as keys by which similar texts must meet.
+
+    ``rare`` holds all keys of a text, the rarest first.
+    """
     part, whole = SIMILAR
     nodes = members.select(F.col("node").alias("m"), "class").distinct()
     each = sets.join(nodes, F.col("node") == F.col("m")).select("node", "class", F.explode("s").alias("h"))
@@ -246,7 +255,9 @@ def _rare_fifth(members: DataFrame, sets: DataFrame) -> DataFrame:
     ranked = each.join(often, F.col("h") == F.col("g")).groupBy("node", "class").agg(F.sort_array(F.collect_list(F.struct("often", "h"))).alias("s"))
     size = F.size("s")
     keep = size - F.ceil(size * F.lit(part) / F.lit(whole)).cast("int") + 1
-    return ranked.select(F.explode(F.slice("s", F.lit(1), keep)).alias("e"), "node", "class").select(F.col("e.h").alias("key"), "node", "class")
+    banded = ranked.join(texts.select(F.col("node").alias("bn"), "bands"), F.col("node") == F.col("bn"))
+    rare = banded.select("node", "class", size.alias("size"), F.transform(F.slice("s", F.lit(1), keep), lambda e: e["h"]).alias("rare"), "bands")
+    return _undecided(rare.select(F.explode("rare").alias("key"), *rare.columns))
 
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame]:
@@ -262,21 +273,23 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rounds:
     sets = member_sets(docs, doc_id, text, members, texts, folder)
     owners = members.select("node", "class").distinct()
 
-    def linked(pairs: DataFrame, step: str) -> None:
-        """Verifies pairs and gives classes that a link joins one name, in members and owners."""
+    def linked(pairs: DataFrame, step: str) -> bool:
+        """Verifies pairs and gives classes that a link joins one name, in members and owners; whether any was."""
         nonlocal members, owners
         links = materialise(_verified(pairs, sets).distinct(), f"{folder}/links-{step}")
         if links.isEmpty():
-            return
+            return False
         moved = connected(links, f"{folder}/{step}").select(F.col("node").alias("was"), F.col("class").alias("now"))
         renamed = lambda df: df.join(moved, F.col("class") == F.col("was"), "left").withColumn("class", F.coalesce("now", "class")).drop("was", "now")
         owners = materialise(renamed(owners), f"{folder}/owners-{step}")
         members = materialise(_undecided(renamed(members)), f"{folder}/members-{step}")
+        return True
 
     for salt in range(rounds):
-        linked(_with_leaders(members, salt), str(salt))
+        if not linked(_with_leaders(members, salt), str(salt)):
+            break
     # Without rounds all buckets come here as they are: the prefix filter alone is exact, too.
-    linked(_across(_rare_fifth(members, sets)), "rest")
+    linked(_across(_rare_fifth(members, sets, texts)), "rest")
     return signed, owners
 
 
