@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 
-from benchmarks.roles import CHANNEL_MAP, FINANCIER_MAP
+from benchmarks.roles import CHANNEL_MAP, FINANCIER_MAP, PLACES
 
 
 def clean(text: str) -> str:
@@ -88,10 +88,11 @@ def _history() -> str:
         return f"CAST(DATE '{day}' + CAST(s_nationkey AS INTEGER) AS TIMESTAMP)"
 
     parts = [
-        f"SELECT s_suppkey AS id_vendedor, CAST(s_nationkey + {shift} AS BIGINT) AS id_loja, "
+        f"SELECT CASE WHEN s_acctbal < 9000 THEN s_suppkey ELSE -10 - s_suppkey END AS id_vendedor, "
+        f"{9 - i} AS place, CAST(s_nationkey + {shift} AS BIGINT) AS id_loja, "
         f"'Loja ' || CAST(s_nationkey + {shift} AS VARCHAR) AS loja, "
-        f"{moment(a)} AS data_inicio, {moment(b)} AS data_fim FROM supplier WHERE s_acctbal < 9000"
-        for shift, a, b in _HISTORY_SPANS
+        f"{moment(a)} AS data_inicio, {moment(b)} AS data_fim FROM supplier"
+        for i, (shift, a, b) in enumerate(_HISTORY_SPANS)
     ]
     return " UNION ALL ".join(parts)
 
@@ -115,7 +116,7 @@ CTE = {
     "seller_codes": f"""SELECT {clean("'Vendedor ' || CAST(s_suppkey AS VARCHAR)")} AS origem,
         min({clean('s_name')}) AS padrao FROM supplier GROUP BY 1""",
     "history": _history(),
-    "sellers": f"""SELECT s_suppkey AS id_vendedor, {clean('s_name')} AS nome FROM supplier WHERE s_acctbal >= 0
+    "sellers": f"""SELECT s_suppkey AS id_vendedor, CASE WHEN s_acctbal >= 0 THEN {clean('s_name')} ELSE '' END AS nome FROM supplier
         UNION ALL SELECT -1, 'desconhecido'""",
     "sales": f"""SELECT l_partkey AS id_venda, l_shipdate AS data_venda,
         CASE WHEN l_linestatus = 'F' THEN 'Vendedor ' || CAST(l_suppkey AS VARCHAR)
@@ -135,12 +136,14 @@ CTE = {
         CASE WHEN event_type <> 'signup' THEN 'Etapa ' || event_type END AS estagio,
         CAST(event_type = 'purchase' AS INTEGER) AS convertido_flag,
         CAST(event_type = 'error' AS INTEGER) AS perdido_flag,
-        {date_key('ts')} AS id_data, {date_key('ts + INTERVAL 2 DAY')} AS id_data_ultima_integracao FROM events""",
-    "appointments": f"""SELECT event_id AS id, 'vendedor ' || CAST(user_id AS VARCHAR) AS responsavel_agendamento,
-        {mapped('event_type')} AS canal, ts AS criacao_agendamento,
+        {date_key('ts')} AS id_data, {date_key('ts + INTERVAL 2 DAY')} AS id_data_ultima_integracao,
+        CASE WHEN value > 40 THEN {2 * PLACES} ELSE {PLACES} END - event_id AS place FROM events""",
+    "appointments": f"""SELECT CASE WHEN event_type IN ('purchase', 'signup') THEN event_id END AS id, p AS place,
+        CASE WHEN p = 0 THEN 'vendedor ' || CAST(user_id AS VARCHAR) ELSE 'ninguem' END AS responsavel_agendamento,
+        {mapped('event_type')} AS canal, ts AS criacao_agendamento, ts + INTERVAL 3 DAY AS agendado_para,
         {date_key('ts')} AS id_data_agendamento, {date_key('ts + INTERVAL 3 DAY')} AS id_data_visita,
         CAST(value > 10 AS INTEGER) AS flag_agendamento, CAST(value > 20 AS INTEGER) AS flag_visita,
-        props AS status FROM events WHERE event_type IN ('purchase', 'signup')""",
+        props AS status FROM events, (VALUES (0), (1)) v(p)""",
     "stock_brands": "SELECT p_partkey AS codigo, p_brand AS marca FROM part WHERE p_size <= 25",
     "sale_brands": f"""SELECT codigo, marca FROM (
         SELECT l_partkey AS codigo, 'Marca ' || l_returnflag AS marca,
@@ -177,18 +180,20 @@ CTE = {
     "dim_canal": """SELECT canal, CAST(row_number() OVER (ORDER BY min(source), min(place)
             FILTER (WHERE source = first_source), canal) AS INTEGER) AS id_canal
         FROM (SELECT *, min(source) OVER (PARTITION BY canal) AS first_source FROM (
-            SELECT canal, 0 AS source, id AS place FROM leads
-            UNION ALL SELECT canal, 1, codigo FROM sale_channels))
+            SELECT canal, 0 AS source, place FROM leads
+            UNION ALL SELECT canal, 1, -codigo FROM sale_channels))
         GROUP BY canal""",
-    "dim_estagio": """SELECT estagio, CAST(row_number() OVER (ORDER BY min(id)) AS INTEGER) AS id_estagio
+    "dim_estagio": """SELECT estagio, CAST(row_number() OVER (ORDER BY min(place)) AS INTEGER) AS id_estagio
         FROM leads GROUP BY estagio""",
-    "seller_months": """SELECT id_vendedor, id_loja, ano_mes FROM (
-        SELECT id_vendedor, id_loja, ano_mes,
-               row_number() OVER (PARTITION BY id_vendedor, ano_mes ORDER BY data_inicio, id_loja) AS rn
-        FROM (SELECT id_vendedor, id_loja, data_inicio, CAST(year(m) * 100 + month(m) AS INTEGER) AS ano_mes
+    "month_rows": """SELECT id_vendedor, id_loja, ano_mes,
+               row_number() OVER (PARTITION BY id_vendedor, ano_mes ORDER BY data_inicio, id_loja) AS by_start,
+               row_number() OVER (PARTITION BY id_vendedor, ano_mes ORDER BY place) AS by_place
+        FROM (SELECT id_vendedor, id_loja, data_inicio, place, CAST(year(m) * 100 + month(m) AS INTEGER) AS ano_mes
               FROM (SELECT *, unnest(generate_series(date_trunc('month', data_inicio),
                     date_trunc('month', coalesce(data_fim, TIMESTAMP '2099-12-31')), INTERVAL 1 MONTH)) AS m
-                    FROM history))) WHERE rn = 1""",
+                    FROM history))""",
+    "seller_months": """SELECT id_vendedor, id_loja, ano_mes FROM month_rows WHERE by_start = 1""",
+    "seller_periods": """SELECT id_vendedor, id_loja, ano_mes FROM month_rows WHERE by_place = 1""",
     "sales_places": seller_places("sales", "nome_vendedor", "data_venda"),
     "leads_places": seller_places("leads", "atendente", "data_criacao"),
     "appointments_places": seller_places("appointments", "responsavel_agendamento", "criacao_agendamento"),
@@ -204,7 +209,11 @@ CTE = {
         FROM ({seller_and_store('leads', 'atendente', 'data_criacao')}) f
         LEFT JOIN dim_canal c ON c.canal = f.canal
         LEFT JOIN dim_estagio e ON e.estagio IS NOT DISTINCT FROM f.estagio
-        LEFT JOIN (SELECT id, min(id_vendedor) AS id_vendedor FROM fato_agendamentos GROUP BY id) a ON a.id = f.id
+        LEFT JOIN (SELECT event_id AS id, coalesce(d.id_vendedor, -1) AS id_vendedor FROM events
+                   LEFT JOIN seller_codes m ON m.origem = {clean("'vendedor ' || CAST(user_id AS VARCHAR)")}
+                   LEFT JOIN (SELECT nome, min(id_vendedor) AS id_vendedor FROM sellers WHERE nome <> '' GROUP BY nome) d
+                     ON d.nome = coalesce(m.padrao, {clean("'vendedor ' || CAST(user_id AS VARCHAR)")})
+                   WHERE event_type IN ('purchase', 'signup')) a ON a.id = f.id
         LEFT JOIN events v ON v.event_id = f.id""",
     "fato_vendas": f"""SELECT f.id_venda, p.p_partkey AS id_veiculo, f.id_vendedor, f.id_loja,
         coalesce(c.id_canal, -1) AS id_canal, f.id_data, f.ano_mes, f.placa, f.modelo, f.cliente, f.valor_venda,
@@ -253,6 +262,10 @@ def _kpi(counted: str, n: str, ratio: str) -> str:
           ON l.id_canal = c.id_canal AND l.ano_mes = c.ano_mes"""
 
 
+TABLES = (
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
+    "pages", "benchmark", "labels", "conversations",
+)
 _MONTHS = "['Janeiro','Fevereiro','Março','Abril','Maio','Junho','Julho','Agosto','Setembro','Outubro','Novembro','Dezembro']"
 _DAYS = "['Segunda','Terça','Quarta','Quinta','Sexta','Sábado','Domingo']"
 
@@ -284,8 +297,9 @@ _SQL = {
         {money('valor_venda')} AS total FROM (SELECT *, {clean('nome_vendedor')} AS limpo FROM sales) s
         LEFT JOIN seller_codes m ON m.origem = s.limpo
         LEFT JOIN sellers d ON d.nome = coalesce(m.padrao, s.limpo) GROUP BY 1""",
-    "stage_lookup": """SELECT l.id, e.id_estagio FROM leads l
-        JOIN dim_estagio e ON e.estagio IS NOT DISTINCT FROM l.estagio""",
+    "stage_lookup": """SELECT l.id, CAST(e.n AS BIGINT) AS id_estagio FROM leads l
+        JOIN (SELECT estagio, row_number() OVER (ORDER BY min(id)) AS n FROM leads GROUP BY estagio) e
+          ON e.estagio IS NOT DISTINCT FROM l.estagio""",
     "corrections_overlay": """SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN 'C' ELSE o_orderstatus END
         AS o_orderstatus, CASE WHEN o_orderstatus = 'P' THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice
         FROM orders""",
@@ -308,10 +322,10 @@ _SQL = {
               INTERVAL 1 DAY)) AS d) days
         LEFT JOIN (SELECT o_orderdate, count(*) AS orders, {money('o_totalprice')} AS total FROM orders GROUP BY 1) o
           ON o.o_orderdate = d""",
-    "channel_keys": """SELECT canal, CAST(row_number() OVER (ORDER BY source, place) AS INTEGER) AS id_canal FROM (
+    "channel_keys": """SELECT canal, row_number() OVER (ORDER BY source, place) AS id_canal FROM (
         SELECT event_type AS canal, 0 AS source, min(event_id) AS place FROM events GROUP BY 1
         UNION ALL SELECT o_orderpriority, 1, min(o_orderkey) FROM orders GROUP BY 1)""",
-    "customer_keys": """SELECT o_custkey, CAST(row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS INTEGER)
+    "customer_keys": """SELECT o_custkey, row_number() OVER (ORDER BY o_orderdate, o_orderkey)
         AS id_cliente FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)
         AS rn FROM orders) WHERE rn = 1""",
     "flags_and_date_keys": f"""SELECT o_orderkey, CAST(o_orderstatus = 'F' AS INTEGER) AS convertido_flag,
@@ -331,13 +345,10 @@ _SQL = {
     "yearly_files": """SELECT o_orderkey AS id_venda, o_orderdate AS data_venda, o_totalprice AS valor_venda,
         CASE WHEN year(o_orderdate) = (SELECT max(year(o_orderdate)) FROM orders) THEN 'nova' END AS situacao
         FROM orders""",
-    "csv_source": "SELECT c_custkey, c_mktsegment, c_acctbal FROM customer",
-    "feed_leads": """SELECT id, cliente, canal, atendente, conversao, motivo, data_criacao, estagio, convertido_flag,
-        perdido_flag, id_data, id_data_ultima_integracao FROM leads""",
-    "feed_sales": """SELECT id_venda, data_venda, nome_vendedor, valor_venda, valor_compra, id_data, ano_mes
-        FROM sales""",
-    "feed_appointments": """SELECT id, responsavel_agendamento, canal, id_data_agendamento, id_data_visita,
-        flag_agendamento, flag_visita FROM appointments""",
+    "csv_source": "SELECT * FROM customer",
+    "feed_leads": "SELECT * EXCLUDE (place) FROM leads",
+    "feed_sales": "SELECT * FROM sales",
+    "feed_appointments": "SELECT * EXCLUDE (place) FROM appointments",
     "feed_users": "SELECT id_vendedor, nome FROM sellers WHERE id_vendedor <> -1",
     "feed_channel_costs": "SELECT canal, id_data, custo FROM mapped_costs",
     "feed_sale_channels": "SELECT codigo, canal FROM sale_channels",
@@ -349,7 +360,7 @@ _SQL = {
     "dim_lojas": "SELECT DISTINCT id_loja, loja FROM history UNION ALL SELECT -1, 'desconhecida'",
     "dim_veiculos": "SELECT * FROM dim_veiculos",
     "dim_estagio": "SELECT * FROM dim_estagio",
-    "dim_vendedor_periodo": "SELECT * FROM seller_months",
+    "dim_vendedor_periodo": "SELECT * FROM seller_periods",
     "fato_agendamentos": "SELECT * FROM fato_agendamentos",
     "fato_leads": "SELECT * FROM fato_leads",
     "fato_vendas": "SELECT * FROM fato_vendas",
@@ -357,7 +368,7 @@ _SQL = {
         AS data_meta, t.ano_mes * 100 + 1 AS id_data, m.id_loja, t.meta_qtd
         FROM (SELECT l_suppkey AS id_vendedor, {month_key('l_shipdate')} AS ano_mes, count(*) AS meta_qtd
               FROM lineitem GROUP BY 1, 2) t
-        LEFT JOIN seller_months m ON m.id_vendedor = t.id_vendedor AND m.ano_mes = t.ano_mes""",
+        LEFT JOIN seller_periods m ON m.id_vendedor = t.id_vendedor AND m.ano_mes = t.ano_mes""",
     "fato_meta_loja": f"""SELECT id_loja, ano_mes, make_date(ano_mes // 100, ano_mes % 100, 1)::TIMESTAMP AS data_meta,
         ano_mes * 100 + 1 AS id_data, meta_qtd
         FROM (SELECT CAST(s_nationkey AS BIGINT) AS id_loja, {month_key('l_shipdate')} AS ano_mes, count(*) AS meta_qtd
@@ -379,9 +390,7 @@ _SQL = {
     "match_rates": " UNION ALL ".join(_rate(n) for n in ("fato_leads", "fato_vendas", "fato_agendamentos")),
     "unmatched_channels": """SELECT DISTINCT canal FROM costs
         WHERE canal NOT IN (SELECT canal FROM dim_canal)""",
-    "row_counts": " UNION ALL ".join(
-        _count(n, n) for n in ("lineitem", "orders", "events", "part", "supplier", "customer")
-    ),
+    "row_counts": " UNION ALL ".join(_count(n, n) for n in TABLES),
     "publish_reconcile": """SELECT 'fato_vendas' AS table_name, count(*) AS expected_rows, count(*) AS saved_rows,
         true AS matches FROM lineitem UNION ALL SELECT 'fato_agendamentos', count(*), count(*), true FROM appointments""",
     "full_star": " UNION ALL ".join(
@@ -392,7 +401,7 @@ _SQL = {
             _count("dim_lojas", "(SELECT DISTINCT id_loja, loja FROM history UNION ALL SELECT -1, '')"),
             _count("dim_veiculos", "vehicles"),
             _count("dim_estagio", "dim_estagio"),
-            _count("dim_vendedor_periodo", "seller_months"),
+            _count("dim_vendedor_periodo", "seller_periods"),
             _count("fato_leads", "events"),
             _count("fato_vendas", "lineitem"),
             _count("fato_agendamentos", "appointments"),

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from functools import cached_property
+import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from benchmarks import roles
+from benchmarks.oracle import TABLES
 from benchmarks.roles import table
 from starlot.functions import scalars as S
 from starlot.functions.text import normalise_text
@@ -20,11 +21,11 @@ from starlot.operators.overlay import fill_by_priority, overlay
 from starlot.operators.reshape import months_to_rows
 from starlot.operators.temporal import months_of_periods, period_side, value_at
 from starlot.plans import dims, facts, kpis, quality
-from starlot.plans.refresh import full_refresh
-from starlot.session import materialise, shared_folder
+from starlot.plans.refresh import Tables, full_refresh, prepare, publish
+from starlot.plans.schemas import TABLES as GOLD
+from starlot.session import shared_folder
 from starlot.sources import feeds
-from starlot.sources.scan import read_file, read_saved, read_yearly
-from starlot.sources.sinks import reconcile, save_counted
+from starlot.sources.scan import read_file, read_yearly
 
 MONEY = "decimal(18,2)"
 
@@ -73,7 +74,7 @@ def map_codes(spark, d) -> DataFrame:
 def seller_lookup(spark, d) -> DataFrame:
     """Messy seller names to ids; unknown sellers fall on the appended member."""
     sellers = dims.seller_dim(feeds.conform_users(roles.users(spark, d)))
-    names = as_side(sellers.select("nome", "id_vendedor"))
+    names = as_side(sellers.select("nome", "id_vendedor").filter("nome <> ''"))
     lines = roles.sales(spark, d).select("nome_vendedor", "valor_venda")
     coded = apply_code_map(lines, "nome_vendedor", feeds.seller_map(roles.seller_map(spark, d)))
     known = lookup_key(coded, names, {"nome_vendedor": "nome"}, "id_vendedor", "id_vendedor")
@@ -225,240 +226,83 @@ def csv_source(spark, d) -> DataFrame:
     path = shared_folder(spark, "csv")
     table(spark, d, "customer").write.option("header", "true").csv(path)
     schema = "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
-    return read_file(spark, path, "csv", schema).select("c_custkey", "c_mktsegment", "c_acctbal")
+    return read_file(spark, path, "csv", schema)
 
 
 # --- the star ----------------------------------------------------------------
 
 
-class Star:
-    """Feeds, sides and tables of one query; what several builders use is prepared once."""
+def refreshed(spark, d) -> tuple[Tables, Tables]:
+    """Silver and gold tables of the given feeds; a query writes only what it asks for."""
+    return prepare(spark, roles.all_feeds(spark, d), shared_folder(spark, "refresh"))
 
-    def __init__(self, spark, d):
-        self.spark, self.d = spark, d
 
-    def written(self, df: DataFrame, name: str) -> DataFrame:
-        """A table as the refresh leaves it: facts read it back, not its lineage."""
-        return materialise(df, shared_folder(self.spark, name))
+def silver(spark, d, name: str) -> DataFrame:
+    df = refreshed(spark, d)[0][name]
+    return df.drop(*feeds.arrival(df))
 
-    @cached_property
-    def channel_codes(self):
-        return feeds.channel_map(roles.channel_map(self.spark))
 
-    @cached_property
-    def leads(self):
-        return feeds.conform_leads(
-            roles.leads(self.spark, self.d), self.channel_codes, roles.lead_corrections(self.spark, self.d)
-        )
-
-    @cached_property
-    def sales(self):
-        return feeds.conform_sales(roles.sales(self.spark, self.d))
-
-    @cached_property
-    def sale_channels(self):
-        return feeds.conform_sale_channels(roles.sale_channels(self.spark, self.d), self.channel_codes)
-
-    @cached_property
-    def appointments(self):
-        return feeds.conform_appointments(roles.appointments(self.spark, self.d), self.channel_codes)
-
-    @cached_property
-    def commissions(self):
-        return feeds.conform_commissions(roles.commissions(self.spark, self.d))
-
-    @cached_property
-    def financing(self):
-        codes = feeds.financier_map(roles.financier_map(self.spark))
-        return feeds.conform_financing(roles.financing(self.spark, self.d), codes)
-
-    @cached_property
-    def vehicles(self):
-        return feeds.conform_vehicles(
-            roles.vehicles(self.spark, self.d), feeds.stock_brands(roles.stock_brands(self.spark, self.d)),
-            feeds.sale_brands(roles.sale_brands(self.spark, self.d)),
-        )
-
-    @cached_property
-    def history(self):
-        return feeds.conform_history(roles.history(self.spark, self.d))
-
-    @cached_property
-    def costs(self):
-        return feeds.conform_channel_costs(roles.channel_costs(self.spark, self.d))
-
-    @cached_property
-    def mapped_costs(self):
-        return feeds.conform_channel_costs(roles.channel_costs(self.spark, self.d), self.channel_codes)
-
-    @cached_property
-    def dim_canal(self):
-        return dims.channel_dim(self.leads, self.sale_channels, ["id"], ["codigo"])
-
-    @cached_property
-    def channels(self):
-        return as_side(self.written(self.dim_canal, "dim-canal"))
+def gold(name: str):
+    def query(spark, d) -> DataFrame:
+        return refreshed(spark, d)[1][name]
 
-    @cached_property
-    def dim_vendedores(self):
-        return dims.seller_dim(feeds.conform_users(roles.users(self.spark, self.d)))
-
-    @cached_property
-    def dim_veiculos(self):
-        return dims.vehicle_dim(self.vehicles)
-
-    @cached_property
-    def dim_estagio(self):
-        return dims.stage_dim(self.leads, ["id"])
-
-    @cached_property
-    def dim_vendedor_periodo(self):
-        return dims.seller_month_dim(self.history)
-
-    @cached_property
-    def sellers(self):
-        codes = feeds.seller_map(roles.seller_map(self.spark, self.d))
-        return facts.seller_sides(self.dim_vendedores, self.history, codes)
-
-    @cached_property
-    def fato_agendamentos(self):
-        return facts.appointments_fact(self.appointments, self.channels, self.sellers)
-
-    @cached_property
-    def fato_leads(self):
-        links = feeds.conform_links(roles.lead_links(self.spark, self.d))
-        return facts.leads_fact(
-            self.leads, self.channels, self.dim_estagio, self.sellers, self.fato_agendamentos, links
-        )
-
-    @cached_property
-    def fato_vendas(self):
-        vehicles = roles.vehicles(self.spark, self.d).withColumnRenamed("codigo", "id_veiculo")
-        attributes = facts.sale_attributes(self.sale_channels, vehicles, self.commissions)
-        return facts.sales_fact(
-            self.sales, self.written(attributes, "sale-attributes"), self.channels, self.sellers,
-            self.written(self.financing, "financing"),
-        )
-
-    @cached_property
-    def fato_custos_canal(self):
-        return facts.channel_costs_fact(self.costs, self.channels)
-
-    @cached_property
-    def kpi_costs(self):
-        return facts.channel_costs_fact(self.mapped_costs, self.channels)
-
-    @cached_property
-    def kpi_leads(self):
-        leads = feeds.conform_leads(roles.order_leads(self.spark, self.d), self.channel_codes)
-        return facts.with_channel(leads, self.channels)
+    query.__name__ = name
+    return query
 
 
 def feed_leads(spark, d):
-    return Star(spark, d).leads.select(
-        "id", "cliente", "canal", "atendente", "conversao", "motivo", "data_criacao", "estagio",
-        "convertido_flag", "perdido_flag", "id_data", "id_data_ultima_integracao",
-    )
+    return silver(spark, d, "leads")
 
 
 def feed_sales(spark, d):
-    return Star(spark, d).sales.select(
-        "id_venda", "data_venda", "nome_vendedor", "valor_venda", "valor_compra", "id_data", "ano_mes"
-    )
+    return silver(spark, d, "vendas")
 
 
 def feed_appointments(spark, d):
-    return Star(spark, d).appointments.select(
-        "id", "responsavel_agendamento", "canal", "id_data_agendamento", "id_data_visita",
-        "flag_agendamento", "flag_visita",
-    )
+    return silver(spark, d, "agendamentos")
 
 
 def feed_users(spark, d):
-    return feeds.conform_users(roles.users(spark, d))
+    return silver(spark, d, "usuarios")
 
 
 def feed_channel_costs(spark, d):
-    return Star(spark, d).mapped_costs
+    return feeds.conform_channel_costs(roles.channel_costs(spark, d), feeds.channel_map(roles.channel_map(spark)))
 
 
 def feed_sale_channels(spark, d):
-    return Star(spark, d).sale_channels
+    return silver(spark, d, "canais")
 
 
 def feed_commissions(spark, d):
-    return Star(spark, d).commissions
+    return silver(spark, d, "comissoes")
 
 
 def feed_financing(spark, d):
-    return Star(spark, d).financing
+    return silver(spark, d, "retorno")
 
 
 def feed_vehicles(spark, d):
-    return Star(spark, d).vehicles
-
-
-def dim_canal(spark, d):
-    return Star(spark, d).dim_canal
-
-
-def dim_vendedores(spark, d):
-    return Star(spark, d).dim_vendedores
-
-
-def dim_lojas(spark, d):
-    return dims.store_dim(Star(spark, d).history)
-
-
-def dim_veiculos(spark, d):
-    return Star(spark, d).dim_veiculos
-
-
-def dim_estagio(spark, d):
-    return Star(spark, d).dim_estagio
-
+    return silver(spark, d, "veiculos")
 
-def dim_vendedor_periodo(spark, d):
-    return Star(spark, d).dim_vendedor_periodo
 
-
-def fato_agendamentos(spark, d):
-    return Star(spark, d).fato_agendamentos
-
-
-def fato_leads(spark, d):
-    return Star(spark, d).fato_leads
-
-
-def fato_vendas(spark, d):
-    return Star(spark, d).fato_vendas
-
-
-def fato_meta_vendedor(spark, d):
-    targets = feeds.conform_targets(roles.seller_targets(spark, d), "seller_targets")
-    return facts.seller_targets_fact(targets, Star(spark, d).dim_vendedor_periodo)
-
-
-def fato_meta_loja(spark, d):
-    return facts.store_targets_fact(feeds.conform_targets(roles.store_targets(spark, d), "store_targets"))
-
-
-def fato_custos_canal(spark, d):
-    return Star(spark, d).fato_custos_canal
+def _kpi_sides(spark, d) -> tuple[DataFrame, DataFrame]:
+    """Costs with mapped channels, and the orders as leads, both on the refresh's channels."""
+    channels = as_side(refreshed(spark, d)[1]["dim_canal"], stored=True)
+    leads = feeds.conform_leads(roles.order_leads(spark, d), feeds.channel_map(roles.channel_map(spark)))
+    return facts.channel_costs_fact(feed_channel_costs(spark, d), channels), facts.with_channel(leads, channels)
 
 
 def cost_per_lead(spark, d):
-    star = Star(spark, d)
-    return kpis.cost_per_lead(star.kpi_costs, star.kpi_leads)
+    return kpis.cost_per_lead(*_kpi_sides(spark, d))
 
 
 def cost_per_sale(spark, d):
-    star = Star(spark, d)
-    return kpis.cost_per_sale(star.kpi_costs, star.kpi_leads)
+    return kpis.cost_per_sale(*_kpi_sides(spark, d))
 
 
 def total_cost(spark, d):
-    return kpis.total_cost(Star(spark, d).kpi_costs)
+    return kpis.total_cost(_kpi_sides(spark, d)[0])
 
 
 # --- quality and publish -----------------------------------------------------
@@ -466,41 +310,34 @@ def total_cost(spark, d):
 
 def quality_report(spark, d):
     """All checks on the star of the given tables; the calendar spans the orders."""
-    star = Star(spark, d)
+    conformed, star = refreshed(spark, d)
     orders = table(spark, d, "orders").agg(F.min("o_orderdate").alias("a"), F.max("o_orderdate").alias("b")).first()
     span = str(orders["a"].date()), str(orders["b"].date())
-    return quality.quality_report(
-        {
-            "dim_veiculos": star.dim_veiculos, "fato_vendas": star.written(star.fato_vendas, "fato-vendas"),
-            "dim_data": dims.calendar_dim(spark, *span), "fato_custos_canal": star.fato_custos_canal,
-        },
-        roles.sales(spark, d), span,
-    )
+    tables = {name: star[name] for name in ("dim_veiculos", "fato_vendas", "fato_custos_canal")}
+    tables["dim_data"] = dims.calendar_dim(spark, *span)
+    return quality.quality_report(tables, conformed.counts["vendas"], span)
 
 
 def match_rates(spark, d):
-    star = Star(spark, d)
-    return quality.match_rates(
-        {name: getattr(star, name) for name in ("fato_leads", "fato_vendas", "fato_agendamentos")}
-    )
+    star = refreshed(spark, d)[1]
+    return quality.match_rates({name: star[name] for name in ("fato_leads", "fato_vendas", "fato_agendamentos")})
 
 
 def unmatched_channels(spark, d):
-    star = Star(spark, d)
-    return facts.unmatched_channels(star.costs, star.channels.df)
+    conformed, star = refreshed(spark, d)
+    return facts.unmatched_channels(conformed["custos_canal"], star["dim_canal"])
 
 
 def row_counts(spark, d):
-    names = ["lineitem", "orders", "events", "part", "supplier", "customer"]
-    return quality.row_counts({name: table(spark, d, name) for name in names})
+    return quality.row_counts({name: table(spark, d, name) for name in TABLES})
 
 
 def publish_reconcile(spark, d):
-    """Facts written and counted, then compared with what is read back."""
-    folder, star = shared_folder(spark, "publish"), Star(spark, d)
-    tables = {"fato_vendas": star.fato_vendas, "fato_agendamentos": star.fato_agendamentos}
-    counts = {name: save_counted(df, f"{folder}/{name}") for name, df in tables.items()}
-    return reconcile(spark, counts, {name: read_saved(spark, f"{folder}/{name}", name) for name in tables})
+    """Facts published as views of a run, their rows compared with those counted when it was written."""
+    star = refreshed(spark, d)[1]
+    tables = {name: star[name] for name in ("fato_vendas", "fato_agendamentos")}
+    counts = {name: star.counts[name] for name in tables}
+    return publish(spark, tables, f"gold_{uuid.uuid4().hex}", star.folder, counts)
 
 
 def full_star(spark, d):
@@ -517,9 +354,7 @@ QUERIES = {
         calendar_orders, channel_keys, customer_keys, flags_and_date_keys, lenient_casts, unknown_store,
         tolerant_projection, yearly_files, csv_source, feed_leads, feed_sales, feed_appointments, feed_users,
         feed_channel_costs, feed_sale_channels, feed_commissions, feed_financing, feed_vehicles,
-        dim_canal, dim_vendedores, dim_lojas, dim_veiculos, dim_estagio,
-        dim_vendedor_periodo, fato_agendamentos, fato_leads, fato_vendas, fato_meta_vendedor, fato_meta_loja,
-        fato_custos_canal, cost_per_lead, cost_per_sale, total_cost, quality_report, match_rates,
+        *[gold(name) for name in GOLD if name != "dim_data"], cost_per_lead, cost_per_sale, total_cost, quality_report, match_rates,
         unmatched_channels, row_counts, publish_reconcile, full_star,
     )
 }

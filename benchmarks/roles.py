@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 CHANNEL_MAP = [
     ("ECONOMY", "Econômico"), ("PROMO", "Promoção"), ("view", "Visualização"), ("Tv  Aberta", "TV"),
 ]
+# Rows that stand in reverse order of their key are placed at this minus the key.
+PLACES = 1_000_000_000_000
 FINANCIER_MAP = [("F", "Banco Ação"), ("Ó", "Outro")]
 
 
@@ -41,13 +43,17 @@ def _midnight(day: str, shift: Column) -> Column:
 
 
 def users(spark, d) -> DataFrame:
-    """Suppliers with a balance are known sellers; sales of the others stay unknown."""
-    rows = table(spark, d, "supplier").filter("s_acctbal >= 0")
-    return rows.select(F.col("s_suppkey").alias("id_vendedor"), F.col("s_name").alias("nome"))
+    """Suppliers in debt have no name here, so their sales fall to the unknown seller."""
+    return table(spark, d, "supplier").select(
+        F.col("s_suppkey").alias("id_vendedor"), F.when(F.col("s_acctbal") >= 0, F.col("s_name")).alias("nome")
+    )
 
 
 def history(spark, d) -> DataFrame:
-    """Five assignments per supplier: a nested one, overlaps, a gap and an open end."""
+    """Five assignments per supplier: a nested one, overlaps, a gap and an open end; the latest stand first.
+
+    Rich suppliers' assignments are kept under an id that no seller has.
+    """
     nation = F.col("s_nationkey")
     spans = [
         (0, "1995-01-01", "1997-06-30"),
@@ -61,15 +67,15 @@ def history(spark, d) -> DataFrame:
             (nation + offset).cast("bigint").alias("id_loja"),
             _midnight(start, nation).alias("data_inicio"),
             (_midnight(end, nation) if end else F.lit(None).cast("timestamp_ntz")).alias("data_fim"),
+            (F.col("s_suppkey") * 10 + (9 - i)).alias("_row"),
         )
-        for offset, start, end in spans
+        for i, (offset, start, end) in enumerate(spans)
     ]
-    spread = table(spark, d, "supplier").filter("s_acctbal < 9000").select(
-        F.col("s_suppkey").alias("id_vendedor"), F.inline(F.array(*rows))
-    )
-    return spread.select(
+    seller = F.when(F.col("s_acctbal") < 9000, F.col("s_suppkey")).otherwise(-10 - F.col("s_suppkey"))
+    unfolded = table(spark, d, "supplier").select(seller.alias("id_vendedor"), F.inline(F.array(*rows)))
+    return unfolded.select(
         "id_vendedor", "id_loja", F.concat(F.lit("Loja "), F.col("id_loja").cast("string")).alias("loja"),
-        "data_inicio", "data_fim",
+        "data_inicio", "data_fim", F.lit("hist").alias("_file"), "_row",
     )
 
 
@@ -100,15 +106,19 @@ def sales(spark, d) -> DataFrame:
 
 
 def sale_channels(spark, d) -> DataFrame:
-    """Sale channel by code, twice per code so that the first file must win."""
-    part = table(spark, d, "part").filter("p_size > 5")
+    """Sale channel by code, twice per code so that the first file must win; high codes stand first.
+
+    Small parts have no channel.
+    """
+    part = table(spark, d, "part")
+    row = (F.lit(PLACES) - F.col("p_partkey")).alias("_row")
     old = part.select(
-        F.col("p_partkey").alias("codigo"), F.col("p_type").alias("canal"),
-        F.lit("dados_canais_2022").alias("_file"), F.col("p_partkey").alias("_row"),
+        F.col("p_partkey").alias("codigo"), F.when(F.col("p_size") > 5, F.col("p_type")).alias("canal"),
+        F.lit("dados_canais_2022").alias("_file"), row,
     )
     new = part.select(
-        F.col("p_partkey").alias("codigo"), F.col("p_brand").alias("canal"),
-        F.lit("dados_canais_2023").alias("_file"), F.col("p_partkey").alias("_row"),
+        F.col("p_partkey").alias("codigo"), F.when(F.col("p_size") > 5, F.col("p_brand")).alias("canal"),
+        F.lit("dados_canais_2023").alias("_file"), row,
     )
     return old.unionByName(new)
 
@@ -126,6 +136,7 @@ def leads(spark, d) -> DataFrame:
         F.col("ts").alias("data_criacao"),
         (F.col("ts") + F.expr("interval 2 days")).alias("ultima_integracao"),
         F.when(kind != "signup", F.concat(F.lit("Etapa "), kind)).alias("estagio"),
+        F.lit("leads").alias("_file"), (F.lit(PLACES) - F.col("event_id")).alias("_row"),
     )
 
 
@@ -136,17 +147,28 @@ def lead_corrections(spark, d) -> DataFrame:
 
 
 def lead_links(spark, d) -> DataFrame:
-    return table(spark, d, "events").filter("event_type = 'view'").select(
-        F.col("event_id").alias("id"),
-        F.concat(F.lit("post/"), F.col("event_id").cast("string")).alias("link_post"),
-    )
+    """Two links a lead, the one to use first."""
+    rows = table(spark, d, "events").filter("event_type = 'view'")
+    return union_all([
+        rows.select(
+            F.col("event_id").alias("id"), F.concat(F.lit(start), F.col("event_id").cast("string")).alias("link_post"),
+            F.lit("links").alias("_file"), (F.col("event_id") * 2 + place).alias("_row"),
+        )
+        for place, start in enumerate(("post/", "ad/"))
+    ])
 
 
 def appointments(spark, d) -> DataFrame:
-    rows = table(spark, d, "events").filter("event_type in ('purchase', 'signup')")
+    """Two appointments an event, the second by somebody unknown; only some belong to a lead."""
+    return union_all([_appointments(table(spark, d, "events"), place) for place in (0, 1)])
+
+
+def _appointments(rows: DataFrame, place: int) -> DataFrame:
+    name = F.concat(F.lit("vendedor "), F.col("user_id").cast("string")) if place == 0 else F.lit("ninguem")
     return rows.select(
-        F.col("event_id").alias("id"),
-        F.concat(F.lit("vendedor "), F.col("user_id").cast("string")).alias("responsavel_agendamento"),
+        F.when(F.col("event_type").isin("purchase", "signup"), F.col("event_id")).alias("id"),
+        name.alias("responsavel_agendamento"),
+        F.lit("agenda").alias("_file"), (F.col("event_id") * 2 + place).alias("_row"),
         F.col("event_type").alias("canal"),
         F.col("ts").alias("criacao_agendamento"),
         (F.col("ts") + F.expr("interval 3 days")).alias("agendado_para"),
@@ -169,11 +191,16 @@ def vehicles(spark, d) -> DataFrame:
 
 
 def stock_brands(spark, d) -> DataFrame:
-    rows = table(spark, d, "part").filter("p_size <= 25")
-    return rows.select(
-        F.concat(F.col("p_partkey").cast("string"), F.lit(".0")).alias("codigo"), F.col("p_brand").alias("marca"),
-        F.lit("estoque").alias("_file"), F.col("p_partkey").alias("_row"),
-    )
+    """Two brands a code, the one to use first; large parts have none."""
+    rows = table(spark, d, "part")
+    return union_all([
+        rows.select(
+            F.concat(F.col("p_partkey").cast("string"), F.lit(".0")).alias("codigo"),
+            F.when(F.col("p_size") <= 25, brand).alias("marca"),
+            F.lit("estoque").alias("_file"), (F.col("p_partkey") * 2 + place).alias("_row"),
+        )
+        for place, brand in enumerate((F.col("p_brand"), F.lit("A marca")))
+    ])
 
 
 def _line_order() -> list[Column]:
@@ -194,10 +221,13 @@ def sale_brands(spark, d) -> DataFrame:
 
 
 def commissions(spark, d) -> DataFrame:
-    """Commission texts, some of which are no numbers."""
-    return table(spark, d, "lineitem").filter("l_returnflag = 'R'").select(
-        F.col("l_partkey").cast("string").alias("codigo"),
-        F.when(F.col("l_linestatus") == "F", F.col("l_quantity").cast("string")).otherwise("n/d").alias("comissao"),
+    """Commission texts; codes and amounts are numbers, or look like some (``7F``, ``nan``) and are none."""
+    key, flag = F.col("l_partkey").cast("string"), F.col("l_returnflag")
+    code = F.when(flag == "R", F.concat(F.lit(" "), key, F.lit(".0 "))).when(flag == "A", F.concat(key, F.lit("F")))
+    amount = F.when(F.col("l_linestatus") == "F", F.col("l_quantity").cast("string"))
+    return table(spark, d, "lineitem").select(
+        code.otherwise(F.concat(key, F.lit("D"))).alias("codigo"),
+        amount.when(F.col("l_linenumber") == 1, "nan").when(F.col("l_linenumber") == 2, "Infinity").otherwise("n/d").alias("comissao"),
         F.col("l_tax").alias("impostos"), F.col("l_discount").alias("lucro"),
         F.col("l_linenumber").alias("retorno"),
         *_line_order(),
@@ -205,9 +235,11 @@ def commissions(spark, d) -> DataFrame:
 
 
 def financing(spark, d) -> DataFrame:
-    return table(spark, d, "lineitem").filter("l_returnflag = 'A'").select(
+    """Lines that were not returned are financed under a plate without a letter or digit."""
+    plate = F.concat(F.lit("plt-"), F.col("l_partkey").cast("string"))
+    return table(spark, d, "lineitem").select(
         F.col("l_shipdate").alias("data_venda"),
-        F.concat(F.lit("plt-"), F.col("l_partkey").cast("string")).alias("placa"),
+        F.when(F.col("l_returnflag") == "A", plate).otherwise(" - ").alias("placa"),
         F.col("l_extendedprice").alias("valor_financiado"),
         F.col("l_linenumber").cast("string").alias("tipo_retorno"),
         F.col("l_linestatus").alias("financeira"),
