@@ -7,9 +7,7 @@ from pyspark.sql import functions as F
 
 from starlot.functions.scalars import UNKNOWN, col, known_or, month_key
 from starlot.operators.dedup import keep_first
-from starlot.operators.lookup import (
-    BYTES_SETTING, MAX_BYTES, MAX_ROWS, ROWS_SETTING, Side, left_lookup,
-)
+from starlot.operators.lookup import BYTES_SETTING, MAX_BYTES, MAX_ROWS, ROWS_SETTING, Side
 from starlot.session import materialise, setting, shared_folder
 
 # Fixed value: the last day of a period without an end.
@@ -41,21 +39,18 @@ def validity_periods(
     ).filter("key is not null and since <= until")
 
 
-def disjoint_segments(periods: DataFrame) -> DataFrame:
-    """Resolve overlaps into ``(key, since, before, value)`` segments that never overlap.
+def _disjoint(pieces: DataFrame, keys: list[str]) -> DataFrame:
+    """``(keys, since, before, value)`` without overlaps from ``(keys, rank, since, until)``.
 
-    The covering period with the latest start owns a moment (ties: latest end, then
-    highest value).  Ownership can change only where a period starts or just after
-    one ends, so those moments bound the segments.  Gathers the periods of a key in
-    one row: for histories whose periods per key were counted.
+    The covering piece of highest rank owns a moment.  Ownership can change only where a
+    piece starts or just after one ends, so those moments bound the segments.  Gathers
+    the pieces of a key in one row.
     """
     tick = F.expr("interval 1 microsecond")
     owner = lambda at: F.array_max(
         F.filter("spans", lambda s: (s["since"] <= at) & (s["until"] >= at))
     )
-    gathered = periods.groupBy("key").agg(
-        F.collect_set(F.struct("since", "until", "value")).alias("spans")
-    )
+    gathered = pieces.groupBy(*keys).agg(F.collect_set(F.struct("rank", "since", "until")).alias("spans"))
     cuts = F.array_sort(
         F.array_distinct(
             F.concat(
@@ -66,16 +61,54 @@ def disjoint_segments(periods: DataFrame) -> DataFrame:
     )
     return (
         gathered.withColumn("cuts", cuts)
-        .select("key", "spans", "cuts", F.posexplode("cuts").alias("i", "at"))
+        .select(*keys, "spans", "cuts", F.posexplode("cuts").alias("i", "at"))
         .select(
-            "key", F.col("at").alias("since"), F.get("cuts", F.col("i") + 1).alias("before"),
+            *keys, F.col("at").alias("since"), F.get("cuts", F.col("i") + 1).alias("before"),
             owner(F.col("at")).alias("span"),
         )
         .filter("span is not null")
-        .select("key", "since", "before", F.col("span.value").alias("value"))
+        .select(*keys, "since", "before", F.col("span.rank.value").alias("value"))
     )
 
 
+def _ranked(periods: DataFrame) -> DataFrame:
+    """Latest start wins, then latest end, then highest value."""
+    return periods.withColumn("rank", F.struct("since", "until", "value"))
+
+
+def disjoint_segments(periods: DataFrame) -> DataFrame:
+    """``(key, since, before, value)``: for histories whose periods per key were counted."""
+    return _disjoint(_ranked(periods), ["key"])
+
+
+def monthly_segments(periods: DataFrame) -> DataFrame:
+    """``(key, month, since, before, value)``: disjoint segments by key and month, for any history.
+
+    Periods are cut to the months they touch; all that span a whole month fall together
+    and only the best survives, so a row gathers what changes within one month.  Nothing
+    changes after the last start or end: that month, the last, stands for all later ones.
+    """
+    open_end = F.lit(OPEN_END).cast("timestamp_ntz")
+    ends = periods.agg(
+        F.max("since").alias("a"), F.max(F.when(F.col("until") < open_end, F.col("until"))).alias("b")
+    ).first()
+    known = [end for end in ends if end is not None]
+    last = F.add_months(F.trunc(F.lit(str(max(known))).cast("date"), "MM"), 1) if known else F.lit(None).cast("date")
+    month = F.col("month").cast("timestamp_ntz")
+    month_end = F.when(F.col("month") < last, F.add_months("month", 1).cast("timestamp_ntz") - F.expr("interval 1 microsecond"))
+    upto = F.least(F.trunc("until", "MM"), last)
+    pieces = (
+        _ranked(periods)
+        .withColumn("month", F.explode(F.sequence(F.trunc("since", "MM"), upto, F.expr("interval 1 month"))))
+        .select(
+            "key", "month", F.greatest("since", month).alias("since"), F.least("until", month_end).alias("until"), "rank",
+        )
+        .groupBy("key", "month", "since", "until")
+        .agg(F.max("rank").alias("rank"))
+    )
+    return _disjoint(pieces, ["key", "month"])
+
+
 def _fits_in_memory(periods: DataFrame) -> bool:
     """True if all periods, those of the fullest key, and their segments are within the bounds.
 
@@ -99,52 +132,12 @@ def period_side(
 ) -> Side:
     """A history prepared for ``value_at``; the size check is done here, once.
 
-    Small: broadcastable disjoint segments.  Otherwise the plain periods.
+    Small: broadcastable disjoint segments.  Otherwise segments by month, written once.
     """
     periods = validity_periods(history, key, value, start, end, by_date)
-    return Side(disjoint_segments(periods), True) if _fits_in_memory(periods) else Side(periods, False)
-
-
-def _value_by_moment(moments: DataFrame, periods: DataFrame) -> DataFrame:
-    """``(key, at, value)`` for distinct moments against a history of any size.
-
-    Key and month form the join key, which spreads a key with very many events or
-    periods over its months.  Periods are clipped to the months they touch; all that
-    span a whole month fall together there and only the best survives.
-    """
-    span = moments.agg(F.min("at").alias("lo"), F.max("at").alias("hi")).first()
-    if span["lo"] is None:
-        return moments.select("key", "at", F.lit(None).cast("bigint").alias("value")).limit(0)
-    lo, hi = (F.lit(str(span[end])).cast("timestamp_ntz") for end in ("lo", "hi"))
-    month = F.col("month").cast("timestamp_ntz")
-    month_end = F.add_months("month", 1).cast("timestamp_ntz") - F.expr("interval 1 microsecond")
-    pieces = (
-        periods.filter((F.col("since") <= hi) & (F.col("until") >= lo))
-        .withColumn("rank", F.struct("since", "until", "value"))
-        .withColumn("since", F.greatest("since", lo))
-        .withColumn("until", F.least("until", hi))
-        .withColumn(
-            "month",
-            F.explode(F.sequence(F.trunc("since", "MM"), F.trunc("until", "MM"), F.expr("interval 1 month"))),
-        )
-        .select(
-            "key", "month", F.greatest("since", month).alias("since"),
-            F.least("until", month_end).alias("until"), "rank",
-        )
-        .groupBy("key", "month", "since", "until")
-        .agg(F.max("rank").alias("rank"))
-    )
-    probes = moments.withColumn("month", F.trunc("at", "MM")).alias("m")
-    hit = (
-        (F.col("m.key") == F.col("p.key")) & (F.col("m.month") == F.col("p.month"))
-        & (F.col("m.at") >= F.col("p.since")) & (F.col("m.at") <= F.col("p.until"))
-    )
-    return (
-        probes.join(pieces.alias("p"), hit)
-        .groupBy(F.col("m.key").alias("key"), F.col("m.at").alias("at"))
-        .agg(F.max("p.rank").alias("rank"))
-        .select("key", "at", F.col("rank.value").alias("value"))
-    )
+    if _fits_in_memory(periods):
+        return Side(disjoint_segments(periods), True)
+    return Side(materialise(monthly_segments(periods), shared_folder(history.sparkSession, "segments")), False)
 
 
 def value_at(
@@ -153,31 +146,30 @@ def value_at(
 ) -> DataFrame:
     """The value whose period covers each event's time; ``default`` where none does.
 
-    Every event comes back exactly once.  Small history: one broadcast hash join
-    against disjoint segments, so nothing is shuffled, expanded or deduplicated.
-    Large history: the distinct (key, time) pairs are written, resolved, then looked
-    up; the events are read twice, the first time for those two columns.
+    Every event comes back exactly once, and is read once.  Small history: one broadcast
+    hash join against disjoint segments.  Large history: one shuffle join on key, month
+    and their hash, which spreads a key over its months and whose hot partitions adaptive
+    execution splits (see ``left_lookup``).
     """
     moment = col(at).cast("timestamp_ntz")
     if by_date:
         moment = F.date_trunc("day", moment).cast("timestamp_ntz")
     timed = events.withColumn("__who", col(key).cast("bigint")).withColumn("__at", moment)
+    segments = side.df.select(
+        F.col("key").alias("__key"), *[F.col("month").alias("__month")] * (not side.small),
+        F.col("since").alias("__since"), F.col("before").alias("__before"), F.col("value").alias("__value"),
+    )
+    covers = (
+        (F.col("__who") == F.col("__key")) & (F.col("__at") >= F.col("__since"))
+        & (F.col("__at") < F.col("__before"))
+    )
     if side.small:
-        segments = side.df.select(
-            F.col("key").alias("__key"), F.col("since").alias("__since"),
-            F.col("before").alias("__before"), F.col("value").alias("__value"),
-        )
-        covers = (
-            (F.col("__who") == F.col("__key")) & (F.col("__at") >= F.col("__since"))
-            & (F.col("__at") < F.col("__before"))
-        )
         found = timed.join(F.broadcast(segments), covers, "left")
     else:
-        moments = timed.select(F.col("__who").alias("key"), F.col("__at").alias("at")).dropna().distinct()
-        moments = materialise(moments, shared_folder(events.sparkSession, "moments"))
-        found = left_lookup(
-            timed, _value_by_moment(moments, side.df), {"__who": "key", "__at": "at"}, {"value": "__value"}
-        )
+        last = side.df.agg(F.max("month")).first()[0]
+        timed = timed.withColumn("__in", F.least(F.trunc("__at", "MM"), F.lit(last).cast("date")))
+        same = (F.col("__in") == F.col("__month")) & (F.hash("__who", "__in") == F.hash("__key", "__month"))
+        found = timed.join(segments, covers & same, "left")
     return found.select(
         *[col(name) for name in events.columns if name != out],
         known_or(F.col("__value"), "bigint", default).alias(out),
@@ -205,5 +197,5 @@ def months_of_periods(
 
 
 __all__ = [
-    "OPEN_END", "disjoint_segments", "months_of_periods", "period_side", "validity_periods", "value_at",
+    "OPEN_END", "disjoint_segments", "monthly_segments", "months_of_periods", "period_side", "validity_periods", "value_at",
 ]
