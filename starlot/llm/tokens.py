@@ -131,10 +131,10 @@ class Encoder:
     def _gathered(self, texts: list[str], index: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if not len(texts):
             return np.zeros(0, dtype=np.uint32), np.zeros(0, dtype=np.int64)
-        owner = np.repeat(np.arange(len(texts)), n)
-        odd = np.bincount(owner, weights=index == ODD, minlength=len(texts)) > 0
+        odd = np.zeros(len(texts), dtype=bool)
+        odd[np.searchsorted(np.cumsum(n), np.flatnonzero(index == ODD), side="right")] = True
         if odd.any():
-            index = index[~odd[owner]]
+            index = index[~np.repeat(odd, n)]
             n = np.where(odd, 0, n)
         counts = self.count[index]
         ends = np.cumsum(counts)
