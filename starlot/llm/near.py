@@ -246,7 +246,7 @@ def _across(members: DataFrame) -> DataFrame:
 def _rare_fifth(members: DataFrame, sets: DataFrame, texts: DataFrame) -> DataFrame:
     """``(key, node, class, size, rare, bands)`` with the shingles as keys by which similar texts must meet.
 
-    ``rare`` holds all keys of a text, the rarest first.
+    ``rare`` holds the keys of a text that texts of other classes have, too, the rarest first.
     """
     part, whole = SIMILAR
     nodes = members.select(F.col("node").alias("m"), "class").distinct()
@@ -255,9 +255,13 @@ def _rare_fifth(members: DataFrame, sets: DataFrame, texts: DataFrame) -> DataFr
     ranked = each.join(often, F.col("h") == F.col("g")).groupBy("node", "class").agg(F.sort_array(F.collect_list(F.struct("often", "h"))).alias("s"))
     size = F.size("s")
     keep = size - F.ceil(size * F.lit(part) / F.lit(whole)).cast("int") + 1
-    banded = ranked.join(texts.select(F.col("node").alias("bn"), "bands"), F.col("node") == F.col("bn"))
-    rare = banded.select("node", "class", size.alias("size"), F.transform(F.slice("s", F.lit(1), keep), lambda e: e["h"]).alias("rare"), "bands")
-    return _undecided(rare.select(F.explode("rare").alias("key"), *rare.columns))
+    thin = ranked.select("node", "class", size.alias("size"), F.posexplode(F.slice("s", F.lit(1), keep)).alias("place", "e"))
+    # Most keys are of one class only and go before the lists that the comparison needs are made.
+    shared = _undecided(thin.select(F.col("e.h").alias("key"), "node", "class", "size", "place"))
+    listed = shared.groupBy("node", "class", "size").agg(F.sort_array(F.collect_list(F.struct("place", "key"))).alias("l"))
+    banded = listed.join(texts.select(F.col("node").alias("bn"), "bands"), F.col("node") == F.col("bn"))
+    rare = banded.select("node", "class", "size", F.transform("l", lambda e: e["key"]).alias("rare"), "bands")
+    return rare.select(F.explode("rare").alias("key"), *rare.columns)
 
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame]:
