@@ -363,6 +363,7 @@ _SQL = {
     "dim_vendedor_periodo": "SELECT * FROM seller_periods",
     "fato_agendamentos": "SELECT * FROM fato_agendamentos",
     "fato_leads": "SELECT * FROM fato_leads",
+    "csv_landing": "SELECT * FROM fato_leads",
     "fato_vendas": "SELECT * FROM fato_vendas",
     "fato_meta_vendedor": f"""SELECT t.id_vendedor, t.ano_mes, make_date(t.ano_mes // 100, t.ano_mes % 100, 1)::TIMESTAMP
         AS data_meta, t.ano_mes * 100 + 1 AS id_data, m.id_loja, t.meta_qtd

@@ -25,7 +25,8 @@ from starlot.plans.refresh import Tables, full_refresh, prepare, publish
 from starlot.plans.schemas import TABLES as GOLD
 from starlot.session import shared_folder
 from starlot.sources import feeds
-from starlot.sources.scan import read_file, read_yearly
+from starlot.sources.contracts import LANDING_STEMS
+from starlot.sources.scan import read_file, read_landing, read_yearly
 
 MONEY = "decimal(18,2)"
 
@@ -346,6 +347,20 @@ def full_star(spark, d):
     return quality.row_counts(run.tables)
 
 
+def csv_landing(spark, d):
+    """Leads of a refresh whose exports are CSV files with dates as dd/MM/yyyy text, rows in file order."""
+    folder, form = shared_folder(spark, "landing"), "dd/MM/yyyy HH:mm:ss.SSSSSS"
+    exact = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    for source, df in roles.all_feeds(spark, d).items():
+        order = feeds.arrival(df)
+        stem = LANDING_STEMS[source].replace("[0-9]*", "2024").replace("*", "2024")
+        rows = (df.orderBy(*order) if order else df).drop(*order)
+        rows.write.options(header="true", timestampNTZFormat=form, **exact).csv(f"{folder}/{stem}.csv")
+    dated = ("leads", "sales", "appointments", "history", "sale_brands", "financing")
+    raw = read_landing(spark, folder, "csv", **exact)
+    return prepare(spark, raw, shared_folder(spark, "refresh"), formats={name: (form,) for name in dated})[1]["fato_leads"]
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -355,6 +370,6 @@ QUERIES = {
         tolerant_projection, yearly_files, csv_source, feed_leads, feed_sales, feed_appointments, feed_users,
         feed_channel_costs, feed_sale_channels, feed_commissions, feed_financing, feed_vehicles,
         *[gold(name) for name in GOLD if name != "dim_data"], cost_per_lead, cost_per_sale, total_cost, quality_report, match_rates,
-        unmatched_channels, row_counts, publish_reconcile, full_star,
+        unmatched_channels, row_counts, publish_reconcile, csv_landing, full_star,
     )
 }

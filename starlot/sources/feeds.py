@@ -194,7 +194,8 @@ def conform_history(raw: DataFrame, formats: tuple[str, ...] = ()) -> DataFrame:
 
     def strict(name: str) -> Column:
         if rows.schema[name].dataType.simpleString() == "string" and formats:
-            return F.to_timestamp(col(name), F.lit(formats[0])).cast("timestamp_ntz")
+            tries = [F.try_to_timestamp(col(name), F.lit(f)) for f in formats[:-1]]
+            return F.coalesce(*tries, F.to_timestamp(col(name), formats[-1])).cast("timestamp_ntz")
         return col(name).cast("timestamp_ntz")
 
     return rows.withColumns(
