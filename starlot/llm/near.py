@@ -243,7 +243,7 @@ def _across(members: DataFrame) -> DataFrame:
     return pairs.select(*_ordered("node", "x", "class", "c")).distinct()
 
 
-def _rare_fifth(members: DataFrame, sets: DataFrame, texts: DataFrame) -> DataFrame:
+def _rare_fifth(members: DataFrame, sets: DataFrame, texts: DataFrame, folder: str) -> DataFrame:
     """``(key, node, class, size, rare, bands)`` with the shingles as keys by which similar texts must meet.
 
     ``rare`` holds the keys of a text that texts of other classes have, too, the rarest first.
@@ -255,13 +255,15 @@ def _rare_fifth(members: DataFrame, sets: DataFrame, texts: DataFrame) -> DataFr
     ranked = each.join(often, F.col("h") == F.col("g")).groupBy("node", "class").agg(F.sort_array(F.collect_list(F.struct("often", "h"))).alias("s"))
     size = F.size("s")
     keep = size - F.ceil(size * F.lit(part) / F.lit(whole)).cast("int") + 1
+    # Written, as the steps below read it twice; so is the result, which its caller reads three times.
     thin = ranked.select("node", "class", size.alias("size"), F.posexplode(F.slice("s", F.lit(1), keep)).alias("place", "e"))
+    thin = materialise(thin.select(F.col("e.h").alias("key"), "node", "class", "size", "place"), f"{folder}/prefix")
     # Most keys are of one class only and go before the lists that the comparison needs are made.
-    shared = _undecided(thin.select(F.col("e.h").alias("key"), "node", "class", "size", "place"))
+    shared = _undecided(thin)
     listed = shared.groupBy("node", "class", "size").agg(F.sort_array(F.collect_list(F.struct("place", "key"))).alias("l"))
     banded = listed.join(texts.select(F.col("node").alias("bn"), "bands"), F.col("node") == F.col("bn"))
     rare = banded.select("node", "class", "size", F.transform("l", lambda e: e["key"]).alias("rare"), "bands")
-    return rare.select(F.explode("rare").alias("key"), *rare.columns)
+    return materialise(rare.select(F.explode("rare").alias("key"), *rare.columns), f"{folder}/rare")
 
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame]:
@@ -293,7 +295,7 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rounds:
         if not linked(_with_leaders(members, salt), str(salt)):
             break
     # Without rounds all buckets come here as they are: the prefix filter alone is exact, too.
-    linked(_across(_rare_fifth(members, sets, texts)), "rest")
+    linked(_across(_rare_fifth(members, sets, texts, folder)), "rest")
     return signed, owners
 
 
