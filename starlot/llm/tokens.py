@@ -16,7 +16,7 @@ from itertools import chain, repeat
 
 import numpy as np
 
-CACHED = 300_000
+CACHED = 200_000
 JOINED = 256
 # Stretches at the start of a text have no blank before them; no other stretch holds a blank.
 AT_START = " "
@@ -161,7 +161,7 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def portions(texts: list[str], chars: int = 2_000_000) -> list[slice]:
+def portions(texts: list[str], chars: int = 1_000_000) -> list[slice]:
     """Slices of about ``chars`` characters, so that a batch of long texts is encoded bit by bit."""
     out, begin, held = [], 0, 0
     for i, t in enumerate(texts):
