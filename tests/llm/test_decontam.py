@@ -38,6 +38,30 @@ def test_copies_and_new_parameters_are_leaks_and_clashing_slots_are_not(document
     assert clash != ITEM
 
 
+def test_other_case_and_blanks_and_renamed_sentence_starts_are_leaks(documents, benchmark):
+    asked = "Natalia sold clips to 48 friends in April. Natalia sold 24 clips in May. How many clips did Natalia sell?"
+    renamed = asked.replace("Natalia", "Weng").replace("48", "30").replace("24", "15")
+    docs = documents([
+        (6, ITEM.upper()), (7, ITEM.lower()), (9, ITEM.replace(" ", "\n")), (10, f"{prose(1, 40)}. {renamed} {prose(2, 40)}"),
+        (11, renamed.replace("Weng", "Mary Ann").replace(" 30 ", " thirty five ")),
+        (13, prose(3, 80)), (14, asked.replace("clips", "cups").replace("sold", "gave").replace("friends", "guests").replace("How many", "Which")),
+    ])
+    got = found(docs, benchmark([(50, ITEM), (60, asked)]))
+    assert got == {6: [50], 7: [50], 9: [50], 10: [60], 11: [60]}
+
+
+def test_readings_of_texts_end_to_end():
+    import numpy as np
+
+    word, number, two, hours = 80, 8 * 7 | decontam.DIGITS, 8 * 11 | decontam.OTHER, 8 * 13 | decontam.OTHER
+    cs = np.array([number, hours, two, two, hours, hours, 16 | decontam.FIRST, 24 | decontam.INSIDE, 32 | decontam.FIRST, word], dtype=np.int64)
+    ends = np.array([5, 8, 10])
+    one = lambda r: decontam.read(cs, r, np.array([8 * 13]), np.array([8 * 11]), ends)
+    assert one(decontam.TYPED)[0].tolist() == [-1, -3, 88, 88, 104, 104, 16, -2, 32, 80]
+    assert one(decontam.OPEN)[0].tolist() == [-1, -3, -1, -3, 104, -2, -2, 80] and one(decontam.OPEN)[2].tolist() == [0, 1, 2, 4, 5, 6, 8, 9]
+    assert one(decontam.PLAIN)[0].tolist() == [56, 104, 88, 88, 104, 104, 16, 24, 32, 80]
+
+
 def test_slots_must_agree():
     item = "in 4 days 4 men and 9 women build houses".split()
     slots = [decontam.NUMBER if w.isdigit() else 10 + k for k, w in enumerate(item)]
