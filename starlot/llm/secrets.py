@@ -2,9 +2,11 @@
 
 Byte-pair merges are learned from ordinary text, so words, identifiers and paths take few tokens for
 their length while random strings take many. A run of key characters is reported as ``random`` if
-it holds fewer than ``max_ratio`` characters a token. Left out are runs that are known for
-something else: hexadecimal digests of the usual lengths, subresource digests, UUIDs, numbers and
-runs of one character class only, and runs that a fixed pattern has found already.
+it holds fewer than ``max_ratio`` characters a token. Where the whole run does not, its parts between
+'/', '-' and '_' are tested, and then stretches of ``SHORTEST`` characters from token to token, so that
+readable text beside a random string does not hide it; a stretch is reported up to the ends of its
+parts. Left out is what is known for something else: hexadecimal digests of the usual lengths,
+subresource digests, UUIDs, numbers, and what a fixed pattern has found already.
 
 Texts are searched whole, each on its own; nothing is shuffled and only spans leave the workers.
 Defined cases: a null text is empty and has no spans; repeated rows are each reported; other
@@ -15,6 +17,7 @@ from __future__ import annotations
 
 import base64
 import functools
+import itertools
 import re
 from collections.abc import Iterator
 
@@ -32,6 +35,8 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{24,}")
 
 RUN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}(?:={1,2}(?![A-Za-z0-9+/_=-]))?")
+PART = re.compile(r"[^/_-]+")
+SHORTEST = 20
 DIGEST_LENGTHS = (32, 40, 56, 64, 96, 128)
 HEX_ONLY = re.compile(r"[0-9a-fA-F]+")
 UUID = re.compile(r"[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}")
@@ -50,7 +55,7 @@ def vocabulary_path() -> str:
 
 @functools.lru_cache(maxsize=2)
 def token_counter(path: str):
-    """Number of tokens of a string under the vocabulary of a rank file."""
+    """Number of tokens of a string under the vocabulary of a rank file; its ``lengths`` are the bytes of each token."""
     import public_tokenizers
     import tiktoken
 
@@ -58,10 +63,15 @@ def token_counter(path: str):
         ranks = {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in lines if line.strip())}
     encoding = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
-    def count(run: str) -> int:
+    def lengths(run: str) -> list[int]:
         # Merges take time in the square of a piece's length; very long runs are counted in portions.
-        return sum(len(encoding.encode_ordinary(run[i:i + LONGEST_PIECE])) for i in range(0, len(run), LONGEST_PIECE))
+        each = (encoding.encode_ordinary(run[i:i + LONGEST_PIECE]) for i in range(0, len(run), LONGEST_PIECE))
+        return [len(encoding.decode_single_token_bytes(t)) for ts in each for t in ts]
+
+    def count(run: str) -> int:
+        return len(lengths(run))
 
+    count.lengths = lengths
     return count
 
 
@@ -71,8 +81,55 @@ def known(run: str) -> bool:
         return True
     if UUID.fullmatch(run) or SUBRESOURCE.fullmatch(run):
         return True
-    lower, upper, digit = (any(test(c) for c in run) for test in (str.islower, str.isupper, str.isdigit))
-    return lower + upper + digit < 2 or not (lower or upper)
+    return not any(c.isalpha() for c in run)
+
+
+def _small(m: re.Match) -> str:
+    """Capitals alone take more tokens than the same words in small letters."""
+    return m[0].lower() if m[0].isalpha() and m[0].isupper() else m[0]
+
+
+def random_stretches(run: str, lengths, max_ratio: float, taken: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """``(start, end)`` of what is random in a run, outside ``taken``."""
+    free = lambda a, b: not any(s < b and a < e for s, e in taken)
+    if known(run):
+        return []
+    eased = PART.sub(_small, run)
+    sizes = lengths(eased)
+    if free(0, len(run)) and len(run) < max_ratio * len(lengths(run) if any(c.islower() or c.isdigit() for c in run) else sizes):
+        return [(0, len(run))]
+    found, parts = [], [(m.start(), m.end()) for m in PART.finditer(run)]
+    taken = taken + [(m.start(), m.end()) for m in UUID.finditer(run)] + [p for p in parts if p[1] - p[0] >= SHORTEST and known(run[slice(*p)])]
+    for a, b in parts:
+        if b - a >= SHORTEST and free(a, b) and b - a < max_ratio * len(lengths(eased[a:b])):
+            found.append((a, b))
+    taken = taken + found
+    ends = list(itertools.accumulate(sizes))
+    # Separators are tokens of their own in readable text, so they count neither way.
+    inner = [len(eased[e - n:e].strip("/_-")) for e, n in zip(ends, sizes)]
+    letters, full = [0, *itertools.accumulate(inner)], [0, *itertools.accumulate(map(bool, inner))]
+    wide, j = [], 0
+    for i, size in enumerate(sizes):
+        a = ends[i] - size
+        while j < len(sizes) and ends[j] - a < SHORTEST:
+            j += 1
+        if j == len(sizes):
+            break
+        if letters[j + 1] - letters[i] < max_ratio * (full[j + 1] - full[i]) and free(a, ends[j]) and any(c.isalpha() for c in run[a:ends[j]]):
+            if wide and a <= wide[-1][1]:
+                wide[-1][1] = ends[j]
+            else:
+                wide.append([a, ends[j]])
+    whole = []
+    for a, b in wide:
+        # The rest of a part belongs to the string, unless it has been found as something else.
+        first = min([s for s, e in parts if s < b and a < e and free(s, a)], default=a)
+        last = max([e for s, e in parts if s < b and a < e and free(b, e)], default=b)
+        if whole and first < whole[-1][1]:
+            whole[-1] = (whole[-1][0], max(b, last))
+        else:
+            whole.append((min(a, first), max(b, last)))
+    return found + whole
 
 
 def spans_of(text: str, count, max_ratio: float = MAX_RATIO) -> list[tuple[int, int, int]]:
@@ -86,11 +143,9 @@ def spans_of(text: str, count, max_ratio: float = MAX_RATIO) -> list[tuple[int,
     found += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
     base = sorted((s, e) for s, _, e in found)
     for m in RUN.finditer(text):
-        start, end, run = m.start(), m.end(), m[0]
-        if any(s < end and start < e for s, e in base) or known(run):
-            continue
-        if len(run) < max_ratio * count(run):
-            found.append((start, 3, end))
+        start, end = m.span()
+        taken = [(max(s - start, 0), min(e, end) - start) for s, e in base if s < end and start < e]
+        found += [(start + a, 3, start + b) for a, b in random_stretches(m[0], count.lengths, max_ratio, taken)]
     return sorted(found)
 
 
