@@ -45,6 +45,10 @@ CACHED_WORDS = 300_000
 CACHED_STATES = 100_000
 
 WORD = re.compile(r"[^\W\d_]+")
+# Words with digits and symbols for letters; what stands for a letter, and what may stand for any.
+SPELT = re.compile(r"(?<![^\W_])[\d@$]{0,2}[^\W\d_]++(?:[\d*@$!]{1,3}[^\W\d_]++)*+[@$]{0,2}")
+LETTERS = str.maketrans("0134578@$!", "oieastbasi")
+ANY = "*"
 # Marks that open and close quotations, and words that report speech.
 MARKS = (('"', '"'), ("“", "”"), ("„", "“"), ("«", "»"), ("»", "«"))
 REPORTS = frozenset("said says say called calls wrote writes quote quoted quoting term word sagte schrieb nannte dit appelle dijo llama".split())
@@ -120,7 +124,7 @@ class Matcher:
         after: dict[int, int] = {}
         for node, e in nodes:
             for other, child in self.children[node].items():
-                cost = e + (other != letter)
+                cost = e + (other != letter and letter != ANY)
                 if cost <= self.room[child] and after.get(child, 99) > cost:
                     after[child] = cost
             if e + 1 <= self.room[node] and after.get(node, 99) > e + 1:
@@ -175,6 +179,14 @@ class Features:
     def __init__(self, terms: list[tuple[str, bool, float]]):
         self.matcher, self.seen = Matcher(terms), {}
 
+    def _spelt(self, run: str) -> tuple[float, float]:
+        """Weights of a word with digits and symbols in it; any match is a misspelled one."""
+        read = [run, run.translate(LETTERS), run.replace("1", "l").translate(LETTERS)]
+        stars, letters = run.count(ANY), sum(c.isalpha() for c in run)
+        # Products of short names are no words.
+        read = [r for r in read if not stars or (len(run) >= 4 and stars <= letters)]
+        return 0.0, max([w for r in read for w in self.matcher.weights(r)], default=0.0)
+
     def of(self, text: str) -> tuple[float, ...]:
         low = text.lower()
         words = WORD.findall(low)
@@ -187,14 +199,22 @@ class Features:
                 found = self.seen[word] = self.matcher.weights(word)
             if found[0] or found[1]:
                 hits[word] = found
-        if not hits:
+        spelt = {}
+        for run in set(SPELT.findall(low)).difference(words):
+            found = self.seen.get(run)
+            if found is None:
+                found = self.seen[run] = self._spelt(run)
+            if found[1] and not any(w in hits for w in WORD.findall(run)):
+                spelt[run] = found
+        if not hits and not spelt:
             return (0.0,) * 5
         exact = fuzzy = most = near = 0.0
-        for m in WORD.finditer(low):
-            if m[0] in hits:
-                share = QUOTED_SHARE if quoted(low, m.start(), m.end()) else 1.0
-                a, b = hits[m[0]]
-                exact, fuzzy, most, near = exact + share * a, fuzzy + share * b, max(most, share * a), max(near, share * b)
+        for pattern, known in ((WORD, hits), (SPELT, spelt)):
+            for m in pattern.finditer(low) if known else ():
+                if m[0] in known:
+                    share = QUOTED_SHARE if quoted(low, m.start(), m.end()) else 1.0
+                    a, b = known[m[0]]
+                    exact, fuzzy, most, near = exact + share * a, fuzzy + share * b, max(most, share * a), max(near, share * b)
         return (math.log1p(exact), math.log1p(fuzzy), most, near, math.log1p(100 * (exact + fuzzy) / len(words)))
 
 

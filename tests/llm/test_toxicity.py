@@ -35,6 +35,16 @@ def test_matcher_against_distances():
         assert matcher.weights(w) == (exact, 0.0 if exact else near), w
 
 
+def test_digits_and_symbols_in_place_of_letters():
+    features = toxicity.Features([("idiot", False, 2.0), ("stupid", False, 3.0), ("moron", False, 1.5), ("damn", False, 1.0)])
+    plain = lambda t: features.of(t)
+    for text, weight in (("id1ot", 2.0), ("st*pid", 3.0), ("m0ron", 1.5), ("M0R0N", 1.5), ("1diot", 2.0), ("$tup!d", 3.0), ("d@mn", 1.0), ("d*mn", 1.0), ("da**", 0)):
+        assert plain(f"you {text} here")[3] == weight, text
+    assert plain("a 2nd idiot2 of 100km, x*y and mp3")[2:4] == (2.0, 0.0)
+    assert plain("3 items cost 40$ or a*b, see v1x2") == (0.0,) * 5
+    assert plain("idiot") == plain("IDIOT") != plain("id1ot")
+
+
 def test_quotation_windows():
     said = lambda t: toxicity.quoted(t, t.index("idiot"), t.index("idiot") + 5)
     assert said('he wrote about "an idiot of a man" there') and said("> idiot") and said("she called him idiot") and said("« un idiot »")
