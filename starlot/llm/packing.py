@@ -25,6 +25,7 @@ queue is that of the input's partitions and rows.
 from __future__ import annotations
 
 import math
+import zlib
 from collections import defaultdict
 
 import numpy as np
@@ -85,6 +86,22 @@ def write_tokens(docs: DataFrame, folder: str, doc_id: str, text: str, source: s
     return docs.sparkSession.read.schema(TOKENS).parquet(f"{folder}/tokens")
 
 
+def _many(docs: DataFrame, source: str, queues: int) -> bool:
+    """Whether there are more sources than queues, so that sources share queues."""
+    return docs.select(F.coalesce(F.col(source).cast("string"), F.lit("")).alias("s")).distinct().limit(queues + 1).count() > queues
+
+
+def by_queue(targets: dict[str, float], totals: dict[str, int], shared: bool, queues: int) -> dict[str, float]:
+    """Targets of sources as targets of queues; sources that share a queue add up."""
+    out: dict[str, float] = {}
+    for name, weight in targets.items():
+        queue = f"#{zlib.crc32(name.encode()) % queues}" if shared else name
+        if queue not in totals:
+            raise ValueError(f"target {name!r} names no source of the documents")
+        out[queue] = out.get(queue, 0.0) + max(0.0, float(weight))
+    return out
+
+
 def shares(totals: dict[str, int], targets: dict[str, float] | None) -> np.ndarray:
     """Whole numbers of 2**-20 by queue in order of names, summing to 2**20; largest remainders are rounded up."""
     weight = [max(0.0, float((targets or totals).get(q, 0))) for q in sorted(totals)]
@@ -184,6 +201,8 @@ def pack(
     totals = {r["queue"]: int(r["n"]) for r in sums.groupBy("queue").agg(F.sum("n").alias("n")).collect()}
     if not totals:
         return docs.sparkSession.createDataFrame([], PIECES).drop("has_id")
+    if targets:
+        targets = by_queue(targets, totals, _many(docs, source, width), width)
     names = sorted(totals)
     order = W.partitionBy("queue").orderBy("part").rowsBetween(W.unboundedPreceding, -1)
     bases = sums.select(F.col("queue").alias("b_queue"), F.col("part").alias("b_part"), F.coalesce(F.sum("n").over(order), F.lit(0)).alias("base"))

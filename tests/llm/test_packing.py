@@ -53,6 +53,19 @@ def test_every_token_once_and_windows_on_target(documents):
             assert all(abs(own[q] - 1024 * share[q]) <= len(total) + 1 for q in total)
 
 
+def test_targets_of_sources_that_share_queues_add_up(documents):
+    names = [f"s{k}" for k in range(12)]
+    at = lambda s: f"#{zlib.crc32(s.encode()) % 8}"
+    docs = documents([(k, prose(k, 200), names[k % 12]) for k in range(48)])
+    targets = {n: 5.0 if at(n) == at("s0") else 0.001 for n in names}
+    first = Counter()
+    for r in packing.pack(docs, targets=targets, width=8).where("sequence_id < 20").collect():
+        first[r.queue] += r.length
+    assert first[at("s0")] > 150
+    with pytest.raises(ValueError, match="names no source"):
+        packing.pack(documents([(1, "a b", "x")]), targets={"y": 1})
+
+
 def test_targets_hold_until_a_queue_ends(documents):
     rows = [(k, prose(k, 400), "abc"[k % 3]) for k in range(90)]
     _, seq = whole(packing.pack(documents(rows), targets={"a": 2, "b": 1, "c": 1}).collect())
