@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from starlot.llm import chat, decontam, idfiles, licences, near, packing, quality, secrets, toxicity, warc
+from starlot.llm import chat, decontam, idfiles, licences, near, packing, passages, quality, secrets, toxicity, warc
 
 QUERIES = {
     "op1_secret_spans": secrets.op1_secret_spans,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_toxicity_scores": toxicity.op8_toxicity_scores,
     "op9_near_duplicates": near.op9_near_duplicates,
     "op10_licence_notices": licences.op10_licence_notices,
+    "op13_repeated_passages": passages.op13_repeated_passages,
 }
 
 ORACLE = {
@@ -22,4 +23,5 @@ ORACLE = {
     "op5_line_quality": quality.SQL,
     "op7_warc_bundles": warc.SQL,
     "op10_licence_notices": licences.SQL,
+    "op13_repeated_passages": passages.SQL,
 }
