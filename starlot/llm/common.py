@@ -48,3 +48,10 @@ def packed(docs: DataFrame, **keys: Column) -> DataFrame:
 def unpacked(df: DataFrame, columns: list[str], **replaced: Column) -> DataFrame:
     """The columns packed above, with some replaced."""
     return df.select(*[replaced.get(c, F.col("_row").getField(c)).alias(c) for c in columns])
+
+
+def sql_crc32(text: str) -> str:
+    """DuckDB SQL for the unsigned crc32 of an ASCII text, bit by bit with the reflected polynomial (a fixed value)."""
+    codes = f"list_transform(list_filter(string_split({text}, ''), lambda c: c <> ''), lambda c: CAST(ord(c) AS BIGINT))"
+    bits = "list_reduce(list_concat([xor(a, b)], range(8)), lambda x, k: xor(x >> 1, 3988292384 * (x & 1)))"
+    return f"xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], {codes}), lambda a, b: {bits}), 4294967295)"
