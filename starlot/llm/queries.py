@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from starlot.llm import chat, decontam, idfiles, licences, near, packing, passages, quality, secrets, toxicity, trie, warc
+from starlot.llm import chat, decontam, idfiles, licences, near, packing, passages, quality, repair, secrets, toxicity, trie, warc
 
 QUERIES = {
     "op1_secret_spans": secrets.op1_secret_spans,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_toxicity_scores": toxicity.op8_toxicity_scores,
     "op9_near_duplicates": near.op9_near_duplicates,
     "op10_licence_notices": licences.op10_licence_notices,
+    "op11_structure_repair": repair.op11_structure_repair,
     "op12_prefix_trie": trie.op12_prefix_trie,
     "op13_repeated_passages": passages.op13_repeated_passages,
 }
@@ -24,6 +25,7 @@ ORACLE = {
     "op5_line_quality": quality.SQL,
     "op7_warc_bundles": warc.SQL,
     "op10_licence_notices": licences.SQL,
+    "op11_structure_repair": repair.SQL,
     "op12_prefix_trie": trie.SQL,
     "op13_repeated_passages": passages.SQL,
 }
