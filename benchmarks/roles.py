@@ -7,13 +7,12 @@ delivers it: headers normalised and renamed, ``_file``/``_row`` as arrival order
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Mapping
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
-
 CHANNEL_MAP = [
     ("ECONOMY", "Econômico"), ("PROMO", "Promoção"), ("view", "Visualização"), ("Tv  Aberta", "TV"),
 ]
@@ -302,18 +301,33 @@ def order_leads(spark, d) -> DataFrame:
     )
 
 
-def all_feeds(spark, d) -> dict[str, DataFrame]:
-    return {
-        "users": users(spark, d), "history": history(spark, d), "seller_map": seller_map(spark, d),
-        "channel_map": channel_map(spark), "financier_map": financier_map(spark),
-        "sales": sales(spark, d), "sale_channels": sale_channels(spark, d), "leads": leads(spark, d),
-        "lead_corrections": lead_corrections(spark, d), "lead_links": lead_links(spark, d),
-        "appointments": appointments(spark, d), "vehicles": vehicles(spark, d),
-        "stock_brands": stock_brands(spark, d), "sale_brands": sale_brands(spark, d),
-        "commissions": commissions(spark, d), "financing": financing(spark, d),
-        "seller_targets": seller_targets(spark, d), "store_targets": store_targets(spark, d),
-        "channel_costs": channel_costs(spark, d),
-    }
+class Feeds(Mapping):
+    """All feeds by name; a feed is derived when it is first asked for, as ``channel_costs`` runs a job."""
+
+    OF_TABLES = (
+        users, history, seller_map, sales, sale_channels, leads, lead_corrections, lead_links, appointments, vehicles,
+        stock_brands, sale_brands, commissions, financing, seller_targets, store_targets, channel_costs,
+    )
+
+    def __init__(self, spark: SparkSession, d: str):
+        self._makers = {f.__name__: partial(f, spark, d) for f in self.OF_TABLES}
+        self._makers |= {f.__name__: partial(f, spark) for f in (channel_map, financier_map)}
+        self._made: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._made:
+            self._made[name] = self._makers[name]()
+        return self._made[name]
+
+    def __iter__(self):
+        return iter(self._makers)
+
+    def __len__(self) -> int:
+        return len(self._makers)
+
+
+def all_feeds(spark: SparkSession, d: str) -> Feeds:
+    return Feeds(spark, d)
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:

@@ -45,10 +45,17 @@ def lenient_number(value: Column, kind: str = "double") -> Column:
     """
     text = F.trim(value.cast("string"))
     plain = F.when(text.rlike(NUMBER), text)
-    number = plain.try_cast("double")
     if kind == "double":
-        return number
-    return F.coalesce(plain.try_cast(kind), F.when(number == F.rint(number), number.try_cast(kind)))
+        return plain.try_cast("double")
+    # Read once as an exact number; a whole one stays exact where a double would round it. What has too many digits for that
+    # (or an exponent beyond them) is read as a double, and is whole only if it is one.
+    exact, rounded = plain.try_cast("decimal(38,18)"), plain.try_cast("double")
+    return F.coalesce(F.when(exact == F.floor(exact), exact.try_cast(kind)), F.when(exact.isNull() & (rounded == F.rint(rounded)), rounded.try_cast(kind)))
+
+
+def finite(value: Column) -> Column:
+    """A double, or null where it is not a finite number."""
+    return F.when(F.abs(value) < F.lit(float("inf")), value)
 
 
 def date_key(when: Column) -> Column:

@@ -18,7 +18,7 @@ from starlot.operators.lookup import (
 )
 from starlot.operators.temporal import period_side, value_at
 from starlot.sources.contracts import COMMISSION_COLUMNS
-from starlot.sources.feeds import arrival
+from starlot.sources.feeds import arrival, number
 from starlot.plans.schemas import FACT_APPOINTMENTS, FACT_LEADS, FACT_SALES
 
 
@@ -105,7 +105,7 @@ def sales_fact(
     """
     fact = with_seller_and_store(sales, "nome_vendedor", "data_venda", sellers)
     # An amount the export already carries stays where the commission table has none.
-    own = {n: S.lenient_number(col(n)) for n in COMMISSION_COLUMNS if n in fact.columns}
+    own = {n: number(fact, n) for n in COMMISSION_COLUMNS if n in fact.columns}
     fact = left_lookup(
         fact, attributes, {"id_venda": "code"},
         {"canal": "canal", "id_veiculo": "id_veiculo"} | {n: f"__{n}" for n in COMMISSION_COLUMNS},

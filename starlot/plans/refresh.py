@@ -6,7 +6,7 @@ no lineage is evaluated twice and a lost executor costs one table at most.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from functools import cache
 from typing import NamedTuple
 
@@ -58,7 +58,7 @@ NEEDED_DATES = {"leads": "data_criacao", "sales": "data_venda", "appointments":
 
 
 def conform_feeds(
-    spark: SparkSession, raw: dict[str, DataFrame], silver: str, formats: dict[str, tuple[str, ...]] | None = None
+    spark: SparkSession, raw: Mapping[str, DataFrame], silver: str, formats: dict[str, tuple[str, ...]] | None = None
 ) -> Tables:
     """The twelve conformed tables, written to ``silver`` as they are asked for.
 
@@ -67,8 +67,6 @@ def conform_feeds(
     known = formats or {}
     dated = lambda source: known.get(source, ())
     channels = cache(lambda: clean.channel_map(raw["channel_map"]))
-    commissions, financing = raw.get("commissions"), raw.get("financing")
-    in_stock, at_sale = raw.get("stock_brands"), raw.get("sale_brands")
 
     def checked(source: str, df: DataFrame) -> DataFrame:
         name = NEEDED_DATES[source]
@@ -88,14 +86,15 @@ def conform_feeds(
         "agendamentos": lambda: checked("appointments", clean.conform_appointments(raw["appointments"], channels(), dated("appointments"))),
         "veiculos": lambda: clean.conform_vehicles(
             raw["vehicles"],
-            None if in_stock is None else clean.stock_brands(in_stock),
-            None if at_sale is None else clean.sale_brands(at_sale, formats=dated("sale_brands")),
+            clean.stock_brands(raw["stock_brands"]) if "stock_brands" in raw else None,
+            clean.sale_brands(raw["sale_brands"], formats=dated("sale_brands")) if "sale_brands" in raw else None,
         ),
-        "comissoes": lambda: spark.createDataFrame([], COMMISSIONS)
-        if commissions is None else clean.conform_commissions(commissions),
-        "retorno": lambda: spark.createDataFrame([], FINANCING)
-        if financing is None
-        else clean.conform_financing(financing, clean.financier_map(raw["financier_map"]), formats=dated("financing")),
+        "comissoes": lambda: clean.conform_commissions(raw["commissions"])
+        if "commissions" in raw else spark.createDataFrame([], COMMISSIONS),
+        "retorno": lambda: clean.conform_financing(
+            raw["financing"], clean.financier_map(raw["financier_map"]), formats=dated("financing")
+        )
+        if "financing" in raw else spark.createDataFrame([], FINANCING),
         "custos_canal": lambda: clean.conform_channel_costs(raw["channel_costs"]),
     })
 
@@ -185,7 +184,7 @@ def publish(
 
 
 def prepare(
-    spark: SparkSession, raw: dict[str, DataFrame], folder: str, by_date: bool = False,
+    spark: SparkSession, raw: Mapping[str, DataFrame], folder: str, by_date: bool = False,
     formats: dict[str, tuple[str, ...]] | None = None,
 ) -> tuple[Tables, Tables]:
     """Silver and gold tables under ``folder``, none of them written before it is asked for."""
@@ -195,7 +194,7 @@ def prepare(
 
 
 def full_refresh(
-    spark: SparkSession, raw: dict[str, DataFrame], folder: str, database: str | None = None,
+    spark: SparkSession, raw: Mapping[str, DataFrame], folder: str, database: str | None = None,
     block_on_fail: bool = False, by_date: bool = False, formats: dict[str, tuple[str, ...]] | None = None,
 ) -> Refresh:
     """Raw feeds to audited tables under ``folder``; published when a database is named.

@@ -44,6 +44,16 @@ def whole(df: DataFrame, name: str, kind: str = "bigint") -> Column:
     """A whole-number column; only text, as from CSV files, is parsed."""
     if isinstance(df.schema[name].dataType, T.IntegralType):
         return col(name)
+    return number(df, name, kind)
+
+
+def number(df: DataFrame, name: str, kind: str = "double") -> Column:
+    """A number column by the rules of ``lenient_number``; what is a number already is not written out to be read again."""
+    held = df.schema[name].dataType
+    if isinstance(held, (T.IntegralType, T.DecimalType)) and kind == "double":
+        return col(name).cast(kind)
+    if isinstance(held, T.DoubleType) and kind == "double":
+        return S.finite(col(name))
     return S.lenient_number(col(name), kind)
 
 
@@ -116,7 +126,7 @@ def stock_brands(raw: DataFrame, order: list[str] | None = None) -> DataFrame:
     """Brand per vehicle code in current stock: the first row that has both."""
     rows = require_columns(raw, "stock_brands")
     order = arrival(rows) if order is None else order
-    rows = rows.select(S.lenient_number(col("codigo"), "bigint").alias("codigo"), "marca", *order)
+    rows = rows.select(number(rows, "codigo", "bigint").alias("codigo"), "marca", *order)
     return keep_first(rows.dropna(subset=["codigo", "marca"]), ["codigo"], order).select("codigo", "marca")
 
 
@@ -130,7 +140,7 @@ def sale_brands(raw: DataFrame, order: list[str] | None = None, formats: tuple[s
     dated = first_with_prefix(rows, "dt")
     sold = when(rows, dated, formats) if dated else F.lit(None).cast("timestamp_ntz")
     rows = rows.select(
-        S.lenient_number(col("codigo"), "bigint").alias("codigo"), "marca", sold.alias("__sold"), *order
+        number(rows, "codigo", "bigint").alias("codigo"), "marca", sold.alias("__sold"), *order
     )
     latest = keep_latest(rows.dropna(subset=["codigo", "marca"]), ["codigo"], ["__sold", *order])
     return latest.select("codigo", "marca")
@@ -152,8 +162,8 @@ def conform_commissions(raw: DataFrame, order: list[str] | None = None) -> DataF
     rows = require_columns(raw, "commissions")
     order = arrival(rows) if order is None else order
     rows = rows.select(
-        S.lenient_number(col("codigo"), "bigint").alias("id_venda"),
-        *[S.lenient_number(col(name)).alias(name) for name in COMMISSION_COLUMNS],
+        number(rows, "codigo", "bigint").alias("id_venda"),
+        *[number(rows, name).alias(name) for name in COMMISSION_COLUMNS],
         *[col(n) for n in order],
     ).dropna(subset=["id_venda"])
     return conform_to(keep_first(rows, ["id_venda"], order), COMMISSIONS)
@@ -168,8 +178,8 @@ def conform_financing(
     rows = rows.select(
         normalise_text(col("placa")).alias("placa"),
         S.date_key(when(rows, "data_venda", formats)).alias("id_data"),
-        S.lenient_number(col("valor_financiado")).alias("valor_financiado"),
-        S.lenient_number(col("tipo_retorno"), "bigint").alias("tipo_retorno"),
+        number(rows, "valor_financiado").alias("valor_financiado"),
+        number(rows, "tipo_retorno", "bigint").alias("tipo_retorno"),
         "financeira", *[col(n) for n in order],
     ).filter("placa <> '' and id_data is not null")
     first = keep_first(rows, ["placa", "id_data"], order).drop(*order)
