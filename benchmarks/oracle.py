@@ -415,5 +415,8 @@ _SQL = {
 }
 
 
+_SQL["store_at_event_by_nodes"] = _SQL["store_at_event"]
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: _with(sql) for name, sql in _SQL.items()}

@@ -38,9 +38,9 @@ def money(column: str):
 # --- operators ---------------------------------------------------------------
 
 
-def store_at_event(spark, d) -> DataFrame:
+def store_at_event(spark, d, small: bool | None = None) -> DataFrame:
     """Revenue per store, the store being the supplier's at shipping time."""
-    history = period_side(roles.history(spark, d), "id_vendedor", "id_loja")
+    history = period_side(roles.history(spark, d), "id_vendedor", "id_loja", small=small)
     lines = table(spark, d, "lineitem").select("l_suppkey", "l_shipdate", "l_extendedprice")
     placed = value_at(lines, history, "l_suppkey", "l_shipdate", "id_loja")
     return placed.groupBy("id_loja").agg(
@@ -49,6 +49,11 @@ def store_at_event(spark, d) -> DataFrame:
     )
 
 
+def store_at_event_by_nodes(spark, d) -> DataFrame:
+    """The same in the form for histories of any size."""
+    return store_at_event(spark, d, small=False)
+
+
 def store_at_event_by_date(spark, d) -> DataFrame:
     """Both readings of a period's last day, per event."""
     history, events = roles.history(spark, d), table(spark, d, "events")
@@ -364,7 +369,7 @@ def csv_landing(spark, d):
 QUERIES = {
     f.__name__: f
     for f in (
-        store_at_event, store_at_event_by_date, normalise_documents, map_codes, seller_lookup, stage_lookup,
+        store_at_event, store_at_event_by_nodes, store_at_event_by_date, normalise_documents, map_codes, seller_lookup, stage_lookup,
         corrections_overlay, keep_first_event, keep_latest_event, brand_fill, unpivot_costs, expand_months,
         calendar_orders, channel_keys, customer_keys, flags_and_date_keys, lenient_casts, unknown_store,
         tolerant_projection, yearly_files, csv_source, feed_leads, feed_sales, feed_appointments, feed_users,

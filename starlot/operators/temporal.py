@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+from typing import NamedTuple
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starlot.functions.scalars import UNKNOWN, col, known_or, month_key
 from starlot.operators.dedup import keep_first
-from starlot.operators.lookup import BYTES_SETTING, MAX_BYTES, MAX_ROWS, ROWS_SETTING, Side
+from starlot.operators.lookup import BYTES_SETTING, MAX_BYTES, MAX_ROWS, ROWS_SETTING
 from starlot.session import materialise, setting, shared_folder
 
 # Fixed value: the last day of a period without an end.
@@ -18,6 +21,9 @@ MAX_PERIODS_PER_KEY = 512
 HISTORY_ROWS_SETTING = "starlot.periods.maxRows"
 MAX_HISTORY_ROWS = 250_000
 SEGMENT_BYTES = 64
+DAY_MICROSECONDS = 86_400_000_000
+# Levels of the tree over time: a day has fewer than 2**37 microseconds; whole days cover 1,400 years before and after 1970.
+CLOCK_LEVELS, DAY_LEVELS = 37, 20
 
 
 def validity_periods(
@@ -39,8 +45,13 @@ def validity_periods(
     ).filter("key is not null and since <= until")
 
 
-def _disjoint(pieces: DataFrame, keys: list[str]) -> DataFrame:
-    """``(keys, since, before, value)`` without overlaps from ``(keys, rank, since, until)``.
+def _ranked(periods: DataFrame) -> DataFrame:
+    """Latest start wins, then latest end, then highest value."""
+    return periods.withColumn("rank", F.struct("since", "until", "value"))
+
+
+def disjoint_segments(periods: DataFrame) -> DataFrame:
+    """``(key, since, before, value)`` without overlaps, for histories whose periods per key were counted.
 
     The covering piece of highest rank owns a moment.  Ownership can change only where a
     piece starts or just after one ends, so those moments bound the segments.  Gathers
@@ -50,7 +61,7 @@ def _disjoint(pieces: DataFrame, keys: list[str]) -> DataFrame:
     owner = lambda at: F.array_max(
         F.filter("spans", lambda s: (s["since"] <= at) & (s["until"] >= at))
     )
-    gathered = pieces.groupBy(*keys).agg(F.collect_set(F.struct("rank", "since", "until")).alias("spans"))
+    gathered = _ranked(periods).groupBy("key").agg(F.collect_set(F.struct("rank", "since", "until")).alias("spans"))
     cuts = F.array_sort(
         F.array_distinct(
             F.concat(
@@ -61,52 +72,82 @@ def _disjoint(pieces: DataFrame, keys: list[str]) -> DataFrame:
     )
     return (
         gathered.withColumn("cuts", cuts)
-        .select(*keys, "spans", "cuts", F.posexplode("cuts").alias("i", "at"))
+        .select("key", "spans", "cuts", F.posexplode("cuts").alias("i", "at"))
         .select(
-            *keys, F.col("at").alias("since"), F.get("cuts", F.col("i") + 1).alias("before"),
+            "key", F.col("at").alias("since"), F.get("cuts", F.col("i") + 1).alias("before"),
             owner(F.col("at")).alias("span"),
         )
         .filter("span is not null")
-        .select(*keys, "since", "before", F.col("span.rank.value").alias("value"))
+        .select("key", "since", "before", F.col("span.rank.value").alias("value"))
     )
 
 
-def _ranked(periods: DataFrame) -> DataFrame:
-    """Latest start wins, then latest end, then highest value."""
-    return periods.withColumn("rank", F.struct("since", "until", "value"))
+def _clock(at: Column) -> tuple[Column, Column]:
+    """Day (from a base long past) and microsecond of the day of a timestamp without zone."""
+    day = F.unix_date(at.cast("date")) + F.lit(1 << (DAY_LEVELS - 1))
+    second = F.date_part(F.lit("SECOND"), at)
+    return day.cast("bigint"), ((F.hour(at) * 3600 + F.minute(at) * 60).cast("bigint") * 1_000_000 + (second * 1_000_000).cast("bigint"))
 
 
-def disjoint_segments(periods: DataFrame) -> DataFrame:
-    """``(key, since, before, value)``: for histories whose periods per key were counted."""
-    return _disjoint(_ranked(periods), ["key"])
+def _in_day(day: Column, level: Column, index: Column) -> Column:
+    """Number of a node within a day: the day, then the node's place in a binary heap."""
+    return day * F.lit(1 << (CLOCK_LEVELS + 1)) + F.call_function("shiftleft", F.lit(1).cast("bigint"), F.lit(CLOCK_LEVELS) - level) + index
 
 
-def monthly_segments(periods: DataFrame) -> DataFrame:
-    """``(key, month, since, before, value)``: disjoint segments by key and month, for any history.
+def _of_days(level: Column, index: Column) -> Column:
+    """Number of a node over whole days: negative, so that it meets none within a day."""
+    return -(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.lit(DAY_LEVELS) - level) + index)
 
-    Periods are cut to the months they touch; all that span a whole month fall together
-    and only the best survives, so a row gathers what changes within one month.  Nothing
-    changes after the last start or end: that month, the last, stands for all later ones.
-    """
-    open_end = F.lit(OPEN_END).cast("timestamp_ntz")
-    ends = periods.agg(
-        F.max("since").alias("a"), F.max(F.when(F.col("until") < open_end, F.col("until"))).alias("b")
-    ).first()
-    known = [end for end in ends if end is not None]
-    last = F.add_months(F.trunc(F.lit(str(max(known))).cast("date"), "MM"), 1) if known else F.lit(None).cast("date")
-    month = F.col("month").cast("timestamp_ntz")
-    month_end = F.when(F.col("month") < last, F.add_months("month", 1).cast("timestamp_ntz") - F.expr("interval 1 microsecond"))
-    upto = F.least(F.trunc("until", "MM"), last)
-    pieces = (
-        _ranked(periods)
-        .withColumn("month", F.explode(F.sequence(F.trunc("since", "MM"), upto, F.expr("interval 1 month"))))
-        .select(
-            "key", "month", F.greatest("since", month).alias("since"), F.least("until", month_end).alias("until"), "rank",
+
+def _cover(lo: Column, hi: Column, levels: int, shift: int, number: Callable[[Column, Column], Column]) -> Column:
+    """The fewest nodes of a binary tree that make up ``[lo, hi)``: two a level at most, ``(level, node)``."""
+    one = F.lit(1).cast("bigint")
+
+    def at(level: Column) -> Column:
+        left = F.call_function("shiftright", lo + F.call_function("shiftleft", one, level) - 1, level)
+        right = F.call_function("shiftright", hi, level)
+        pick = lambda odd, index: F.when(
+            (left < right) & (odd % 2 == 1), F.struct((level + shift).alias("level"), number(level, index).alias("node"))
         )
-        .groupBy("key", "month", "since", "until")
-        .agg(F.max("rank").alias("rank"))
+        return F.array(pick(left, left), pick(right, right - 1))
+
+    every = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(levels - 1)), at))
+    return F.filter(every, lambda x: x.isNotNull())
+
+
+def interval_nodes(periods: DataFrame) -> DataFrame:
+    """``(key, level, node, rank)``: for any history, the best period of each node of a binary tree over time.
+
+    A period is cut into the O(log n) largest nodes that make it up: binary fractions of its first and
+    last day, and powers of two of whole days between.  Of all periods that hold a node only the best
+    can ever be asked for, so a node has one row, found by an aggregate that combines before it shuffles.
+    """
+    first, from_ = _clock(F.col("since"))
+    last, upto = _clock(F.col("until"))
+    whole = F.lit(DAY_MICROSECONDS).cast("bigint")
+    cut = periods.select("*", first.alias("d0"), from_.alias("m0"), last.alias("d1"), (upto + 1).alias("m1"))
+    d0, d1, m0, m1 = (F.col(n) for n in ("d0", "d1", "m0", "m1"))
+    none = F.array().cast("array<struct<level:int,node:bigint>>")
+    within = lambda day, lo, hi: _cover(lo, hi, CLOCK_LEVELS, 0, lambda level, index: _in_day(day, level, index))
+    full = (d0 == d1) & (m0 == 0) & (m1 == whole)
+    # A part that runs to midnight may as well run past it: no moment of that day is later.
+    head = F.when(d0 == d1, m1).otherwise(F.lit(1 << CLOCK_LEVELS).cast("bigint"))
+    nodes = F.concat(
+        F.when(((d0 < d1) & (m0 > 0)) | ((d0 == d1) & ~full), within(d0, m0, head)).otherwise(none),
+        F.when((d0 < d1) & (m1 < whole), within(d1, F.lit(0).cast("bigint"), m1)).otherwise(none),
+        F.when((d0 < d1) | full, _cover(
+            d0 + (m0 > 0).cast("bigint"), d1 + (m1 == whole).cast("bigint"), DAY_LEVELS, CLOCK_LEVELS, _of_days
+        )).otherwise(none),
     )
-    return _disjoint(pieces, ["key", "month"])
+    each = _ranked(cut.withColumn("nodes", nodes)).select("key", "rank", F.inline("nodes"))
+    return each.groupBy("key", "level", "node").agg(F.max("rank").alias("rank"))
+
+
+def _asked(day: Column, clock: Column, level: int) -> Column:
+    """The node of one level that holds a moment."""
+    if level < CLOCK_LEVELS:
+        return _in_day(day, F.lit(level), F.shiftright(clock, level))
+    return _of_days(F.lit(level - CLOCK_LEVELS), F.shiftright(day, level - CLOCK_LEVELS))
 
 
 def _fits_in_memory(periods: DataFrame) -> bool:
@@ -126,56 +167,76 @@ def _fits_in_memory(periods: DataFrame) -> bool:
     )
 
 
+class PeriodSide(NamedTuple):
+    """A history prepared for ``value_at``; ``levels`` are those of its nodes where it is not small."""
+
+    df: DataFrame
+    small: bool
+    levels: tuple[int, ...] = ()
+
+
 def period_side(
     history: DataFrame, key: str, value: str, start: str = "data_inicio", end: str = "data_fim",
-    by_date: bool = False,
-) -> Side:
-    """A history prepared for ``value_at``; the size check is done here, once.
+    by_date: bool = False, small: bool | None = None,
+) -> PeriodSide:
+    """A history prepared for ``value_at``; the size check is done here, once, unless ``small`` tells.
 
-    Small: broadcastable disjoint segments.  Otherwise segments by month, written once.
+    Small: broadcastable disjoint segments.  Otherwise nodes of a tree over time, written once.
     """
     periods = validity_periods(history, key, value, start, end, by_date)
-    if _fits_in_memory(periods):
-        return Side(disjoint_segments(periods), True)
-    return Side(materialise(monthly_segments(periods), shared_folder(history.sparkSession, "segments")), False)
+    if _fits_in_memory(periods) if small is None else small:
+        return PeriodSide(disjoint_segments(periods), True)
+    nodes = materialise(interval_nodes(periods), shared_folder(history.sparkSession, "nodes"))
+    # At most one row a level, so some sixty.
+    levels = sorted(row["level"] for row in nodes.select("level").distinct().collect())
+    return PeriodSide(nodes, False, tuple(levels))
 
 
 def value_at(
-    events: DataFrame, side: Side, key: str, at: str, out: str, by_date: bool = False,
+    events: DataFrame, side: PeriodSide, key: str, at: str, out: str, by_date: bool = False,
     default: int = UNKNOWN,
 ) -> DataFrame:
     """The value whose period covers each event's time; ``default`` where none does.
 
-    Every event comes back exactly once, and is read once.  Small history: one broadcast
-    hash join against disjoint segments.  Large history: one shuffle join on key, month
-    and their hash, which spreads a key over its months and whose hot partitions adaptive
-    execution splits (see ``left_lookup``).
+    Every event comes back exactly once.  Small history: one broadcast hash join against
+    disjoint segments.  Large history: the distinct keys and times of the events ask, by equality, for the
+    node of each level that holds them, and the best answer is one maximum; however many periods
+    of a key cover a moment, it has one answer a level.  The events themselves are joined once, to the
+    answers, on key, time and their hash (see ``left_lookup`` for the hash).
     """
     moment = col(at).cast("timestamp_ntz")
     if by_date:
         moment = F.date_trunc("day", moment).cast("timestamp_ntz")
-    timed = events.withColumn("__who", col(key).cast("bigint")).withColumn("__at", moment)
-    segments = side.df.select(
-        F.col("key").alias("__key"), *[F.col("month").alias("__month")] * (not side.small),
-        F.col("since").alias("__since"), F.col("before").alias("__before"), F.col("value").alias("__value"),
-    )
-    covers = (
-        (F.col("__who") == F.col("__key")) & (F.col("__at") >= F.col("__since"))
-        & (F.col("__at") < F.col("__before"))
-    )
+    who = col(key).cast("bigint")
+    timed = events.withColumn("__who", who).withColumn("__at", moment)
     if side.small:
-        found = timed.join(F.broadcast(segments), covers, "left")
+        found = side.df.select(
+            F.col("key").alias("__key"), F.col("since").alias("__since"), F.col("before").alias("__before"), F.col("value").alias("__value"),
+        )
+        covers = (F.col("__who") == F.col("__key")) & (F.col("__at") >= F.col("__since")) & (F.col("__at") < F.col("__before"))
+        placed = timed.join(F.broadcast(found), covers, "left")
     else:
-        last = side.df.agg(F.max("month")).first()[0]
-        timed = timed.withColumn("__in", F.least(F.trunc("__at", "MM"), F.lit(last).cast("date")))
-        same = (F.col("__in") == F.col("__month")) & (F.hash("__who", "__in") == F.hash("__key", "__month"))
-        found = timed.join(segments, covers & same, "left")
-    return found.select(
+        found = _answers(events.select(who.alias("who"), moment.alias("at")), side)
+        same = (F.col("__who") == F.col("__key")) & (F.col("__at") == F.col("__moment"))
+        placed = timed.join(found, same & (F.hash("__who", "__at") == F.hash("__key", "__moment")), "left")
+    return placed.select(
         *[col(name) for name in events.columns if name != out],
         known_or(F.col("__value"), "bigint", default).alias(out),
     )
 
 
+def _answers(asking: DataFrame, side: PeriodSide) -> DataFrame:
+    """``(__key, __moment, __value)`` of the distinct ``(who, at)`` that a period covers."""
+    asks = asking.dropna().distinct()
+    day, clock = _clock(F.col("at"))
+    asks = asks.select("who", "at", day.alias("day"), clock.alias("clock"))
+    asks = asks.select("who", "at", F.explode(F.array(*[_asked(F.col("day"), F.col("clock"), n) for n in side.levels])).alias("asked"))
+    nodes = side.df.select(F.col("key").alias("__key"), "node", "rank")
+    met = asks.join(nodes, (F.col("who") == F.col("__key")) & (F.col("asked") == F.col("node")))
+    best = met.groupBy("who", "at").agg(F.max("rank").alias("best"))
+    return best.select(F.col("who").alias("__key"), F.col("at").alias("__moment"), F.col("best.value").alias("__value"))
+
+
 def months_of_periods(
     history: DataFrame, key: str, value: str, start: str = "data_inicio", end: str = "data_fim",
     order: list[str] | None = None,
@@ -197,5 +258,5 @@ def months_of_periods(
 
 
 __all__ = [
-    "OPEN_END", "disjoint_segments", "monthly_segments", "months_of_periods", "period_side", "validity_periods", "value_at",
+    "OPEN_END", "disjoint_segments", "interval_nodes", "months_of_periods", "period_side", "validity_periods", "value_at",
 ]

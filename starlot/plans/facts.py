@@ -16,7 +16,7 @@ from starlot.operators.dedup import keep_first
 from starlot.operators.lookup import (
     Side, apply_code_map, as_side, left_lookup, lookup_key, unmatched,
 )
-from starlot.operators.temporal import period_side, value_at
+from starlot.operators.temporal import PeriodSide, period_side, value_at
 from starlot.sources.contracts import COMMISSION_COLUMNS
 from starlot.sources.feeds import arrival, number
 from starlot.plans.schemas import FACT_APPOINTMENTS, FACT_LEADS, FACT_SALES
@@ -27,7 +27,7 @@ class Sellers(NamedTuple):
 
     code_map: Side
     names: Side
-    periods: Side
+    periods: PeriodSide
     by_date: bool
 
 

@@ -143,3 +143,48 @@ def test_months(spark):
         (1, 10, 202211), (1, 10, 202212), (1, 10, 202301), (1, 10, 202302), (1, 20, 202303),
         (2, 5, 209911), (2, 5, 209912),
     }
+
+
+def test_nodes_of_a_period_make_it_up(spark):
+    """Random moments, around all edges: a moment is in a period exactly if one node of each level list holds it."""
+    rng = random.Random(8)
+    base = datetime(2021, 3, 1)
+    spans = [(base, base), (base, base + timedelta(days=1, microseconds=-1)), (base, base + timedelta(days=400)),
+             (base - timedelta(microseconds=1), base), (datetime(1900, 1, 1), datetime(2099, 12, 31))]
+    for _ in range(40):
+        a = base + timedelta(microseconds=rng.randrange(10**rng.randrange(1, 14)))
+        spans.append((a, a + timedelta(microseconds=rng.randrange(10**rng.randrange(1, 14)))))
+    tick = timedelta(microseconds=1)
+    for k, (a, b) in enumerate(spans):
+        assert a <= b, k
+    rows = [(k, k + 100, a, b) for k, (a, b) in enumerate(spans)]
+    hist = spark.createDataFrame(rows, "id_vendedor bigint, id_loja bigint, data_inicio timestamp_ntz, data_fim timestamp_ntz")
+    asked = []
+    for k, (a, b) in enumerate(spans):
+        for t in (a - tick, a, a + tick, a + (b - a) / 2, b - tick, b, b + tick, *[a + (b - a) * rng.uniform(-0.2, 1.2) for _ in range(8)]):
+            asked.append((k, t))
+    events = spark.createDataFrame([(i, k, t) for i, (k, t) in enumerate(asked)], "i int, k bigint, t timestamp_ntz")
+    side = period_side(hist, "id_vendedor", "id_loja", small=False)
+    assert not side.small and max(side.df.groupBy("key").count().toPandas()["count"]) <= 2 * 37 + 2 * 37 + 2 * 20
+    got = {r["i"]: r["store"] for r in value_at(events, side, "k", "t", "store").collect()}
+    assert got == {i: k + 100 if spans[k][0] <= t <= spans[k][1] else -1 for i, (k, t) in enumerate(asked)}
+
+
+def test_a_hundred_thousand_periods_of_a_key_in_one_month(spark):
+    """All overlap; the latest start wins, as a plain running maximum over the starts tells."""
+    n, month = 100_000, datetime(2022, 5, 1)
+    starts = F.col("id") * 24  # seconds; every period runs to the end of the month
+    hist = spark.range(n).select(
+        F.lit(1).cast("bigint").alias("id_vendedor"), F.col("id").alias("id_loja"),
+        (F.lit(month).cast("timestamp_ntz") + F.make_dt_interval(secs=starts)).cast("timestamp_ntz").alias("data_inicio"),
+        F.lit(datetime(2022, 6, 1)).cast("timestamp_ntz").alias("data_fim"),
+    )
+    events = [(1, month + timedelta(seconds=s)) for s in range(0, 31 * 86_400, 1999)] + [(1, datetime(2022, 6, 1)), (1, datetime(2022, 6, 2)), (2, month), (None, month), (1, None)]
+    df = spark.createDataFrame([(i, k, t) for i, (k, t) in enumerate(events)], "i int, k bigint, t timestamp_ntz")
+    side = period_side(hist, "id_vendedor", "id_loja")
+    assert not side.small
+    got = {r["i"]: r["store"] for r in value_at(df, side, "k", "t", "store").collect()}
+    seconds = [(t - month).total_seconds() if t else 0 for _, t in events]
+    assert got == {
+        i: min(n - 1, int(s // 24)) if k == 1 and t and t <= datetime(2022, 6, 1) else -1 for i, ((k, t), s) in enumerate(zip(events, seconds))
+    }
