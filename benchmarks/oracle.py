@@ -393,7 +393,8 @@ _SQL = {
         WHERE canal NOT IN (SELECT canal FROM dim_canal)""",
     "row_counts": " UNION ALL ".join(_count(n, n) for n in TABLES),
     "publish_reconcile": """SELECT 'fato_vendas' AS table_name, count(*) AS expected_rows, count(*) AS saved_rows,
-        true AS matches FROM lineitem UNION ALL SELECT 'fato_agendamentos', count(*), count(*), true FROM appointments""",
+        true AS same_content, true AS matches FROM lineitem
+        UNION ALL SELECT 'fato_agendamentos', count(*), count(*), true, true FROM appointments""",
     "full_star": " UNION ALL ".join(
         [
             _count("dim_canal", "dim_canal"),

@@ -315,18 +315,21 @@ def total_cost(spark, d):
 
 
 def quality_report(spark, d):
-    """All checks on the star of the given tables; the calendar spans the orders."""
+    """All checks on the star of the given tables, observed while these are written; the calendar spans the orders."""
     conformed, star = refreshed(spark, d)
     orders = table(spark, d, "orders").agg(F.min("o_orderdate").alias("a"), F.max("o_orderdate").alias("b")).first()
     span = str(orders["a"].date()), str(orders["b"].date())
-    tables = {name: star[name] for name in ("dim_veiculos", "fato_vendas", "fato_custos_canal")}
-    tables["dim_data"] = dims.calendar_dim(spark, *span)
-    return quality.quality_report(tables, conformed.counts["vendas"], span)
+    for name in ("dim_veiculos", "fato_vendas", "fato_custos_canal"):
+        star[name]
+    calendar = quality.quality_report({"dim_data": dims.calendar_dim(spark, *span)}, calendar_range=span)
+    return quality.observed_report(spark, star.saved, conformed.counts["vendas"]).unionByName(calendar)
 
 
 def match_rates(spark, d):
     star = refreshed(spark, d)[1]
-    return quality.match_rates({name: star[name] for name in ("fato_leads", "fato_vendas", "fato_agendamentos")})
+    for name in quality.RATED:
+        star[name]
+    return quality.observed_rates(spark, star.saved)
 
 
 def unmatched_channels(spark, d):
@@ -339,11 +342,14 @@ def row_counts(spark, d):
 
 
 def publish_reconcile(spark, d):
-    """Facts published as views of a run, their rows compared with those counted when it was written."""
-    star = refreshed(spark, d)[1]
-    tables = {name: star[name] for name in ("fato_vendas", "fato_agendamentos")}
-    counts = {name: star.counts[name] for name in tables}
-    return publish(spark, tables, f"gold_{uuid.uuid4().hex}", star.folder, counts)
+    """Facts of a run, rows and content compared with what was seen when they were written, then published as views."""
+    folder, run = shared_folder(spark, "refresh"), uuid.uuid4().hex
+    star = prepare(spark, roles.all_feeds(spark, d), folder, run=run)[1]
+    saved = {}
+    for name in ("fato_vendas", "fato_agendamentos"):
+        star[name]
+        saved[name] = star.saved[name]
+    return publish(spark, f"gold_{run}", f"{folder}/gold", run, saved)
 
 
 def full_star(spark, d):

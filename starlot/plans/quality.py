@@ -1,13 +1,20 @@
-"""Acceptance checks, match rates and counts as DataFrames."""
+"""Acceptance checks, match rates and counts.
+
+Each check is one aggregate over one table. It can be evaluated over a table, or be observed while the table
+is written, in which case the report costs no job of its own.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starlot.functions.scalars import UNKNOWN, col
+from starlot.sources.sinks import Saved
 
 # Thresholds and words of the acceptance criteria.
 MAX_UNKNOWN_BRAND = 0.05
@@ -22,53 +29,83 @@ def share(predicate: Column) -> Column:
     return F.avg(F.coalesce(predicate, F.lit(False)).cast("int"))
 
 
-def _check(df: DataFrame, name: str, value: Column, passed: Column, threshold: float) -> DataFrame:
+class Check(NamedTuple):
+    """A value over a table, whether it passes, and the limit that is reported with it."""
+
+    name: str
+    value: Column
+    passed: Column
+    threshold: float
+
+
+def _brand() -> Check:
+    active = ~col("situacao").eqNullSafe(RETURNED)
+    unknown = F.avg(F.when(active, F.coalesce(col("marca") == UNKNOWN_BRAND, F.lit(False)).cast("int")))
+    return Check("unknown_brand", unknown, unknown < MAX_UNKNOWN_BRAND, MAX_UNKNOWN_BRAND)
+
+
+def _commission() -> Check:
+    covered = share(col("comissao").isNotNull())
+    return Check("commission_coverage", covered, covered >= MIN_COMMISSION, MIN_COMMISSION)
+
+
+def _calendar_range(start: str = CALENDAR_FROM, end: str = CALENDAR_TO) -> Check:
+    """Both ends as expected and, between them, no day missing."""
+    day = col("data").cast("date")
+    first, last = F.min(day), F.max(day)
+    ends = (first == F.lit(start).cast("date")) & (last == F.lit(end).cast("date"))
+    # A calendar has some thousand days, so they may stand in one set.
+    missing = F.datediff(last, first) + 1 - F.size(F.collect_set(day))
+    return Check("calendar_range", missing, ends & (missing == 0), 0)
+
+
+def _calendar_nulls() -> Check:
+    nulls = reduce(lambda a, b: a + b, [F.count_if(col(n).isNull()) for n in CALENDAR_COLUMNS])
+    return Check("calendar_nulls", nulls, nulls == 0, 0)
+
+
+def _cost_channels() -> Check:
+    orphans = F.count_if(col("id_canal") == UNKNOWN)
+    return Check("costs_without_channel", orphans, orphans == 0, 0)
+
+
+def _evaluated(df: DataFrame, check: Check) -> DataFrame:
     """One row from one aggregate; an empty table gives a null value and does not pass."""
-    return df.agg(value.cast("double").alias("value"), passed.alias("__ok")).select(
-        F.lit(name).alias("check"), F.coalesce("__ok", F.lit(False)).alias("passed"), "value",
-        F.lit(float(threshold)).alias("threshold"),
+    return df.agg(check.value.cast("double").alias("value"), check.passed.alias("__ok")).select(
+        F.lit(check.name).alias("check"), F.coalesce("__ok", F.lit(False)).alias("passed"), "value",
+        F.lit(float(check.threshold)).alias("threshold"),
     )
 
 
 def brand_check(vehicles: DataFrame) -> DataFrame:
-    active = vehicles.filter(~col("situacao").eqNullSafe(RETURNED))
-    unknown = share(col("marca") == UNKNOWN_BRAND)
-    return _check(active, "unknown_brand", unknown, unknown < MAX_UNKNOWN_BRAND, MAX_UNKNOWN_BRAND)
+    return _evaluated(vehicles, _brand())
 
 
 def commission_check(sales: DataFrame) -> DataFrame:
-    covered = share(col("comissao").isNotNull())
-    return _check(sales, "commission_coverage", covered, covered >= MIN_COMMISSION, MIN_COMMISSION)
+    return _evaluated(sales, _commission())
 
 
 def calendar_range_check(calendar: DataFrame, start: str = CALENDAR_FROM, end: str = CALENDAR_TO) -> DataFrame:
-    """Both ends as expected and, between them, no day missing."""
-    first, last = F.min(col("data").cast("date")), F.max(col("data").cast("date"))
-    days = F.count_distinct(col("data").cast("date"))
-    ends = (first == F.lit(start).cast("date")) & (last == F.lit(end).cast("date"))
-    missing = F.datediff(last, first) + 1 - days
-    return _check(calendar, "calendar_range", missing, ends & (missing == 0), 0)
+    return _evaluated(calendar, _calendar_range(start, end))
 
 
 def calendar_null_check(calendar: DataFrame) -> DataFrame:
-    nulls = reduce(lambda a, b: a + b, [F.count_if(col(n).isNull()) for n in CALENDAR_COLUMNS])
-    return _check(calendar, "calendar_nulls", nulls, nulls == 0, 0)
+    return _evaluated(calendar, _calendar_nulls())
 
 
 def cost_channel_check(costs: DataFrame) -> DataFrame:
-    orphans = F.count_if(col("id_canal") == UNKNOWN)
-    return _check(costs, "costs_without_channel", orphans, orphans == 0, 0)
+    return _evaluated(costs, _cost_channels())
 
 
 def sales_rows_check(sales: DataFrame, raw_sales: DataFrame | int) -> DataFrame:
     """Rows gained or lost between the raw sales and the fact; both are faults."""
     if isinstance(raw_sales, int):
         change = F.count(F.lit(1)) - F.lit(raw_sales)
-        return _check(sales, "sales_rows_kept", change, change == 0, 0)
+        return _evaluated(sales, Check("sales_rows_kept", change, change == 0, 0))
     sides = sales.agg(F.count(F.lit(1)).alias("n")).unionByName(
         raw_sales.agg((-F.count(F.lit(1))).alias("n"))
     )
-    return _check(sides, "sales_rows_kept", F.sum("n"), F.sum("n") == 0, 0)
+    return _evaluated(sides, Check("sales_rows_kept", F.sum("n"), F.sum("n") == 0, 0))
 
 
 def quality_report(
@@ -94,6 +131,46 @@ def quality_report(
     return reduce(lambda a, b: a.unionByName(b), checks)
 
 
+# --- the same, observed while tables are written -----------------------------
+
+OBSERVED = {
+    "dim_veiculos": (_brand,), "fato_vendas": (_commission,), "dim_data": (_calendar_range, _calendar_nulls),
+    "fato_custos_canal": (_cost_channels,),
+}
+RATED = ("fato_leads", "fato_vendas", "fato_agendamentos")
+
+
+def observed_columns(table: str) -> list[Column]:
+    """The aggregates to observe while ``table`` is written."""
+    found = []
+    for check in (make() for make in OBSERVED.get(table, ())):
+        found += [check.value.cast("double").alias(check.name), check.passed.alias(f"{check.name} ok")]
+    if table in RATED:
+        found += [share(col("id_vendedor") == UNKNOWN).alias("unknown_seller"), share(col("id_loja") == UNKNOWN).alias("unknown_store")]
+    return found
+
+
+def observed_report(spark: SparkSession, saved: Mapping[str, Saved], raw_sales: int | None = None) -> DataFrame:
+    """``quality_report`` from what was observed of the tables in ``saved``; no table is read."""
+    rows = []
+    for table in ("dim_veiculos", "fato_vendas", "dim_data", "fato_custos_canal"):
+        if table not in saved:
+            continue
+        seen = saved[table].metrics
+        for check in (make() for make in OBSERVED[table]):
+            rows.append((check.name, bool(seen[f"{check.name} ok"]), seen[check.name], float(check.threshold)))
+        if table == "fato_vendas" and raw_sales is not None:
+            change = saved[table].rows - raw_sales
+            rows.append(("sales_rows_kept", change == 0, float(change), 0.0))
+    return spark.createDataFrame(rows, "check string, passed boolean, value double, threshold double")
+
+
+def observed_rates(spark: SparkSession, saved: Mapping[str, Saved]) -> DataFrame:
+    """``match_rates`` from what was observed."""
+    rows = [(t, saved[t].metrics["unknown_seller"], saved[t].metrics["unknown_store"]) for t in RATED if t in saved]
+    return spark.createDataFrame(rows, "table_name string, unknown_seller double, unknown_store double")
+
+
 def match_rates(tables: dict[str, DataFrame]) -> DataFrame:
     """Share of rows with an unknown seller or store, one aggregate per fact."""
     rows = [

@@ -1,27 +1,36 @@
 """The full refresh: conformed feeds, dimensions, facts, audit, publish.
 
 Each table is computed once, written, and read back by what depends on it, so
-no lineage is evaluated twice and a lost executor costs one table at most.
+no lineage is evaluated twice and a lost executor costs one table at most. A run that is
+named can be taken up again after its driver has died: tables that it finished from the same inputs stay.
 """
 
 from __future__ import annotations
 
+import hashlib
+import json
+import uuid
 from collections.abc import Callable, Mapping
 from functools import cache
 from typing import NamedTuple
+from urllib.parse import unquote
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from starlot.functions.scalars import col
 from starlot.operators.columns import conform_to
 from starlot.operators.lookup import as_side
 from starlot.plans import dims, facts
-from starlot.plans.quality import match_rates, quality_report
+from starlot.plans.quality import observed_columns, observed_rates, observed_report
 from starlot.plans.schemas import FACT_APPOINTMENTS, TABLES
 from starlot.sources import feeds as clean
 from starlot.sources.contracts import COMMISSIONS, FINANCING
 from starlot.sources.scan import read_saved
-from starlot.sources.sinks import point_view, reconcile, refresh_table, save_counted
+from starlot.sources.sinks import (
+    RUN_PREFIX, Saved, content_columns, reconcile, refresh_table, run_path, run_view, save_counted, switch_run,
+)
 
 
 class Refresh(NamedTuple):
@@ -32,20 +41,40 @@ class Refresh(NamedTuple):
     failures: int
     published: bool
     silver_counts: dict[str, int]
+    saved: dict[str, Saved]
+    run: str
 
 
 class Tables:
-    """Tables by name; each is computed, written below one folder and read back when first asked for."""
+    """Tables by name; each is computed, written and read back when first asked for.
 
-    def __init__(self, spark: SparkSession, folder: str, builders: dict[str, Callable[[], DataFrame]]):
-        self.spark, self.folder, self.builders = spark, folder.rstrip("/"), builders
-        self.counts: dict[str, int] = {}
+    ``place`` names the folder of a table. What was seen on writing (rows, content, metrics) is kept in
+    ``saved``. With ``state``, a folder, that is also written down there with ``inputs``, a fingerprint; a table
+    noted there with the same fingerprint is read back instead of built.
+    """
+
+    def __init__(
+        self, spark: SparkSession, place: Callable[[str], str], builders: dict[str, Callable[[], DataFrame]],
+        state: str | None = None, inputs: str = "",
+    ):
+        self.spark, self.place, self.builders, self.state, self.inputs = spark, place, builders, state, inputs
+        self.saved: dict[str, Saved] = {}
         self._done: dict[str, DataFrame] = {}
+        self._noted = finished_tables(spark, state, inputs) if state else {}
+
+    @property
+    def counts(self) -> dict[str, int]:
+        return {name: seen.rows for name, seen in self.saved.items()}
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._done:
-            path = f"{self.folder}/{name}"
-            self.counts[name] = save_counted(self.builders[name](), path)
+            path = self.place(name)
+            if name in self._noted:
+                self.saved[name] = self._noted[name]
+            else:
+                self.saved[name] = save_counted(self.builders[name](), path, observed_columns(name))
+                if self.state:
+                    _note(self.spark, self.state, name, self.saved[name], self.inputs)
             self._done[name] = read_saved(self.spark, path, name)
         return self._done[name]
 
@@ -53,12 +82,54 @@ class Tables:
         return iter(self.builders)
 
 
+NOTES = "table_name string, row_count bigint, content string, metrics string, inputs string, at timestamp"
+
+
+def _note(spark: SparkSession, state: str, name: str, seen: Saved, inputs: str) -> None:
+    """One row in one new file, written after the table: a table without it is built anew."""
+    row = spark.createDataFrame([(name, *seen[:2], json.dumps(seen.metrics), inputs)], NOTES.removesuffix(", at timestamp"))
+    row.withColumn("at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(state)
+
+
+def finished_tables(spark: SparkSession, state: str, inputs: str) -> dict[str, Saved]:
+    """Tables noted in ``state`` as built last from the inputs of this fingerprint; a row a table."""
+    try:
+        notes = spark.read.schema(NOTES).parquet(state)
+    except AnalysisException:
+        return {}
+    last = notes.groupBy("table_name").agg(F.max_by(F.struct("row_count", "content", "metrics", "inputs"), "at").alias("note"))
+    return {
+        r["table_name"]: Saved(r["row_count"], r["content"], json.loads(r["metrics"]))
+        for r in last.select("table_name", "note.*").filter(F.col("inputs") == inputs).collect()
+    }
+
+
+def inputs_fingerprint(spark: SparkSession, raw: Mapping[str, DataFrame], *settings: object) -> str:
+    """Changes with the name, size or time of any file behind the feeds, with the rows of feeds that have none, and with ``settings``.
+
+    Files are listed, not read.
+    """
+    parts = [repr(settings)]
+    files: dict[str, str] = {}
+    for source in sorted(raw):
+        found = raw[source].inputFiles()
+        files |= {unquote(path): source for path in found}
+        if not found:
+            parts.append(f"{source}:{sorted(raw[source].agg(*content_columns(raw[source])).first().asDict().items())}")
+    if files:
+        listed = spark.read.format("binaryFile").load(sorted(files)).select("path", "length", "modificationTime")
+        parts.append(repr(sorted(listed.agg(*content_columns(listed)).first().asDict().items())))
+        parts.append(repr(sorted(files.values())))
+    return hashlib.sha256("\n".join(parts).encode()).hexdigest()
+
+
 # Text dates without which a feed is of no use, by feed and column.
 NEEDED_DATES = {"leads": "data_criacao", "sales": "data_venda", "appointments": "criacao_agendamento"}
 
 
 def conform_feeds(
-    spark: SparkSession, raw: Mapping[str, DataFrame], silver: str, formats: dict[str, tuple[str, ...]] | None = None
+    spark: SparkSession, raw: Mapping[str, DataFrame], silver: str, formats: dict[str, tuple[str, ...]] | None = None,
+    state: str | None = None, inputs: str = "",
 ) -> Tables:
     """The twelve conformed tables, written to ``silver`` as they are asked for.
 
@@ -75,7 +146,7 @@ def conform_feeds(
             raise ValueError(f"{source}: no {name} is a date by the formats {dated(source)}")
         return df
 
-    return Tables(spark, silver, {
+    return Tables(spark, lambda name: f"{silver}/{name}", {
         "usuarios": lambda: clean.conform_users(raw["users"]),
         "hist_vendedor_loja": lambda: clean.conform_history(raw["history"], dated("history")),
         "meta_vendedor": lambda: clean.conform_targets(raw["seller_targets"], "seller_targets"),
@@ -96,19 +167,20 @@ def conform_feeds(
         )
         if "financing" in raw else spark.createDataFrame([], FINANCING),
         "custos_canal": lambda: clean.conform_channel_costs(raw["channel_costs"]),
-    })
+    }, state, inputs)
 
 
 def build_star(
     silver: Tables | dict[str, DataFrame], seller_codes: DataFrame, gold: str, links: DataFrame | None = None,
-    by_date: bool = False,
+    by_date: bool = False, run: str = "", state: str | None = None, inputs: str = "",
 ) -> Tables:
-    """All thirteen tables, each written to ``gold`` when it is asked for, what it needs before it."""
+    """All thirteen tables, each written as ``run`` below ``gold`` when it is asked for, what it needs before it."""
     spark = seller_codes.sparkSession
     order = clean.arrival
     channels = cache(lambda: as_side(star["dim_canal"], stored=True))
     sellers = cache(lambda: facts.seller_sides(star["dim_vendedores"], silver["hist_vendedor_loja"], clean.seller_map(seller_codes), by_date))
-    star = Tables(spark, gold, {
+    run = run or uuid.uuid4().hex
+    star = Tables(spark, lambda name: run_path(gold, name, run), {
         "dim_canal": lambda: dims.channel_dim(
             silver["leads"], silver["canais"], order(silver["leads"], "id"), order(silver["canais"], "codigo")
         ),
@@ -137,80 +209,106 @@ def build_star(
         ),
         "fato_meta_loja": lambda: facts.store_targets_fact(silver["meta_loja"]),
         "fato_custos_canal": lambda: facts.channel_costs_fact(silver["custos_canal"], channels()),
-    })
+    }, state, inputs)
     return star
 
 
 def audit(
-    spark: SparkSession, tables: dict[str, DataFrame], counts: dict[str, int], raw_sales: int
+    spark: SparkSession, tables: dict[str, DataFrame], saved: dict[str, Saved], raw_sales: int
 ) -> tuple[DataFrame, int]:
-    """The report and the number of failed checks, rows written against rows saved included."""
-    report = quality_report(tables, raw_sales)
-    saved = reconcile(spark, counts, tables).selectExpr(
-        "'saved_rows' as check", "every(matches) as passed",
-        "cast(count_if(not matches) as double) as value", "0.0d as threshold",
-    )
-    full = report.unionByName(saved)
-    rows = full.collect()  # one row per check
-    found = spark.createDataFrame(rows, full.schema)
-    return found, sum(not row["passed"] for row in rows)
+    """The report and the number of failed checks, rows written against rows saved included.
+
+    The checks were observed while the tables were written; only the rows saved are counted here.
+    """
+    counts = {name: seen.rows for name, seen in saved.items()}
+    wrong = reconcile(spark, counts, tables).filter("not matches").count()
+    full = observed_report(spark, saved, raw_sales).unionByName(spark.createDataFrame(
+        [("saved_rows", wrong == 0, float(wrong), 0.0)], "check string, passed boolean, value double, threshold double"
+    ))
+    return full, full.filter("not passed").count()
+
+
+class PublishError(RuntimeError):
+    """Tables that do not hold what was written; readers still see the run before."""
+
+    def __init__(self, tables: list[str]):
+        super().__init__(f"published rows differ from saved rows in {tables}")
+        self.tables = tables
 
 
 def publish(
-    spark: SparkSession, tables: dict[str, DataFrame], database: str, folder: str | None = None,
-    counts: dict[str, int] | None = None,
+    spark: SparkSession, database: str, root: str, run: str, saved: dict[str, Saved]
 ) -> DataFrame:
-    """Publish all tables, dimensions first, and compare counts afterwards.
+    """Let the views of ``database`` read ``run``, all at once, after every cell of it was read back and checked.
 
-    With ``folder`` views are switched to the finished run; otherwise catalog tables
-    are refreshed.  A table whose published rows differ from ``counts``, those observed
-    when it was written, fails the publish; views need them.
+    ``root`` holds the tables of all runs, ``saved`` what was seen when this one was written. If a table's rows or content
+    differ, nothing is switched. The switch is one row in the manifest that all views look up; only views that
+    are new, or were made for another place or layout, are made afterwards.
     """
-    if folder is not None and counts is None:
-        raise ValueError("views are checked against the counts of the run that wrote them")
+    stored = {name: spark.read.parquet(run_path(root, name, run)) for name in saved}
+    result = reconcile(spark, saved, stored)
+    rows = result.collect()  # one row a table
+    wrong = sorted(row["table_name"] for row in rows if not row["matches"])
+    if wrong:
+        raise PublishError(wrong)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    switch_run(spark, root, run)
+    for name, df in stored.items():
+        run_view(spark, f"{database}.{name}", root, name, df.columns)
+    return spark.createDataFrame(rows, result.schema)
+
+
+def publish_tables(spark: SparkSession, tables: dict[str, DataFrame], database: str) -> DataFrame:
+    """Refresh catalog tables one after another, for readers that need tables; each is read back and checked."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    expected = dict(counts or {})
-    for name, df in tables.items():
-        if folder is None:
-            written = refresh_table(df, f"{database}.{name}")
-            expected.setdefault(name, written)
-        else:
-            point_view(spark, f"{database}.{name}", f"{folder.rstrip('/')}/{name}")
-    result = reconcile(spark, expected, {name: spark.table(f"{database}.{name}") for name in tables})
-    wrong = [row["table_name"] for row in result.filter(~result["matches"]).collect()]
+    written = {name: refresh_table(df, f"{database}.{name}") for name, df in tables.items()}
+    result = reconcile(spark, written, {name: spark.table(f"{database}.{name}") for name in tables})
+    rows = result.collect()  # one row a table
+    wrong = sorted(row["table_name"] for row in rows if not row["matches"])
     if wrong:
-        raise RuntimeError(f"published rows differ from saved rows in {sorted(wrong)}")
-    return result
+        raise PublishError(wrong)
+    return spark.createDataFrame(rows, result.schema)
 
 
 def prepare(
     spark: SparkSession, raw: Mapping[str, DataFrame], folder: str, by_date: bool = False,
-    formats: dict[str, tuple[str, ...]] | None = None,
+    formats: dict[str, tuple[str, ...]] | None = None, run: str = "", resume: bool = False,
 ) -> tuple[Tables, Tables]:
-    """Silver and gold tables under ``folder``, none of them written before it is asked for."""
-    folder = folder.rstrip("/")
-    silver = conform_feeds(spark, raw, f"{folder}/silver", formats)
-    return silver, build_star(silver, raw["seller_map"], f"{folder}/gold", raw.get("lead_links"), by_date)
+    """Silver and gold tables under ``folder``, none of them written before it is asked for.
+
+    With ``resume`` the named run takes up the tables that it has finished from these inputs.
+    """
+    folder, run = folder.rstrip("/"), run or uuid.uuid4().hex
+    silver, state, inputs = f"{folder}/silver/{RUN_PREFIX}{run}", None, ""
+    if resume:
+        state, inputs = f"{folder}/state/{RUN_PREFIX}{run}", inputs_fingerprint(spark, raw, by_date, formats)
+    conformed = conform_feeds(spark, raw, silver, formats, state, inputs)
+    return conformed, build_star(conformed, raw["seller_map"], f"{folder}/gold", raw.get("lead_links"), by_date, run, state, inputs)
 
 
 def full_refresh(
     spark: SparkSession, raw: Mapping[str, DataFrame], folder: str, database: str | None = None,
     block_on_fail: bool = False, by_date: bool = False, formats: dict[str, tuple[str, ...]] | None = None,
+    run: str = "", resume: bool = False,
 ) -> Refresh:
     """Raw feeds to audited tables under ``folder``; published when a database is named.
 
     ``block_on_fail`` keeps a run with failed checks from being published.  ``formats``
-    names, by source, the formats of dates that arrive as text.
+    names, by source, the formats of dates that arrive as text.  All runs of a database share one ``folder``; ``run``
+    names this one, and with ``resume`` a restart under the same name goes on where it ended.
     """
-    silver, star = prepare(spark, raw, folder, by_date, formats)
+    if resume and not run:
+        raise ValueError("a run that can be resumed has to be named")
+    run = run or uuid.uuid4().hex
+    silver, star = prepare(spark, raw, folder, by_date, formats, run, resume)
     for name in silver:
         silver[name]
     tables = {name: star[name] for name in TABLES}
-    counts = {name: star.counts[name] for name in TABLES}
+    saved = {name: star.saved[name] for name in TABLES}
     # Conforming sales adds columns only, so the rows counted on writing are the raw ones.
-    report, failures = audit(spark, tables, counts, silver.counts["vendas"])
-    rates = match_rates({n: tables[n] for n in ("fato_leads", "fato_vendas", "fato_agendamentos")})
+    report, failures = audit(spark, tables, saved, silver.counts["vendas"])
+    rates = observed_rates(spark, saved)
     published = database is not None and not (block_on_fail and failures)
     if published:
-        publish(spark, tables, database, star.folder, counts)
-    return Refresh(tables, counts, report, rates, failures, published, dict(silver.counts))
+        publish(spark, database, f"{folder.rstrip('/')}/gold", run, saved)
+    return Refresh(tables, {n: s.rows for n, s in saved.items()}, report, rates, failures, published, dict(silver.counts), saved, run)

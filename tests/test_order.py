@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from starlot.functions.scalars import lenient_number
 from starlot.operators.keys import surrogate_keys
-from starlot.plans.refresh import full_refresh, prepare, publish
+from starlot.plans import refresh
+from starlot.plans.refresh import PublishError, full_refresh, prepare, publish
 from starlot.sources.scan import read_file, read_landing
+from starlot.sources.sinks import current_run, run_path, run_view
 
 
 def at(text):
@@ -89,13 +91,74 @@ def test_unreadable_dates_are_an_error(spark, tmp_path):
         prepare(spark, raw, str(tmp_path / "out"))[0]["leads"]
 
 
-def test_publish_notices_missing_rows(spark, tmp_path):
-    run = full_refresh(spark, landed(spark, str(tmp_path / "in"), "parquet"), str(tmp_path / "out"))
-    assert run.silver_counts["leads"] == 3
-    wrong = {**run.counts, "fato_leads": 4}
-    with pytest.raises(RuntimeError, match="fato_leads"):
-        publish(spark, run.tables, "order_gold", str(tmp_path / "out" / "gold"), wrong)
-    assert publish(spark, run.tables, "order_gold", str(tmp_path / "out" / "gold"), run.counts).where("NOT matches").isEmpty()
+def test_a_failed_publish_leaves_all_views_on_the_run_before(spark, tmp_path):
+    raw, out = landed(spark, str(tmp_path / "in"), "parquet"), str(tmp_path / "out")
+    assert current_run(spark, f"{out}/gold") is None
+    first = full_refresh(spark, raw, out, database="order_gold", run="2025-01-31")
+    assert first.published and first.silver_counts["leads"] == 3 and current_run(spark, f"{out}/gold") == "2025-01-31"
+    view = {name: spark.table(f"order_gold.{name}") for name in first.tables}
+    assert all(view[n].columns == first.tables[n].columns for n in view)
+    before = {n: sorted(map(repr, v.collect())) for n, v in view.items()}
+
+    raw["leads"] = raw["leads"].withColumn("conversao", F.lit("ganho"))
+    second = full_refresh(spark, raw, out, run="007")
+    # As many rows, one changed cell: told by content alone.
+    leads = run_path(f"{out}/gold", "fato_leads", "007")
+    changed = spark.createDataFrame(spark.read.parquet(leads).withColumn("convertido_flag", (F.col("id") % 2).cast("int")).collect(), first.tables["fato_leads"].schema)
+    changed.write.mode("overwrite").parquet(leads)
+    with pytest.raises(PublishError, match="fato_leads") as error:
+        publish(spark, "order_gold", f"{out}/gold", "007", second.saved)
+    assert error.value.tables == ["fato_leads"]
+    missing = {**second.saved, "fato_vendas": second.saved["fato_vendas"]._replace(rows=99)}
+    with pytest.raises(PublishError, match="fato_leads.*fato_vendas"):
+        publish(spark, "order_gold", f"{out}/gold", "007", missing)
+    assert current_run(spark, f"{out}/gold") == "2025-01-31"
+    assert {n: sorted(map(repr, spark.table(f"order_gold.{n}").collect())) for n in view} == before
+
+    third = full_refresh(spark, raw, out, database="order_gold", run="3")
+    assert third.published and current_run(spark, f"{out}/gold") == "3"
+    assert {r.convertido_flag for r in spark.table("order_gold.fato_leads").collect()} == {1}
+    # The very views made by the first run read the third one, and only its files.
+    plan = spark.table("order_gold.fato_leads")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and not run_view(spark, "order_gold.fato_leads", f"{out}/gold", "fato_leads", first.tables["fato_leads"].columns)
+    assert {p.split("run=")[1].split("/")[0] for p in (r.f for r in spark.table("order_gold.fato_leads").select(F.input_file_name().alias("f")).collect())} == {"r-3"}
+
+
+def test_a_run_is_taken_up_where_its_driver_died(spark, tmp_path, monkeypatch):
+    raw, out = landed(spark, str(tmp_path / "in"), "parquet"), str(tmp_path / "out")
+    built, save = [], refresh.save_counted
+
+    def dies_after(limit):
+        def counted(df, path, metrics=None):
+            if len(built) == limit:
+                raise KeyboardInterrupt
+            built.append(path)
+            return save(df, path, metrics)
+
+        monkeypatch.setattr(refresh, "save_counted", counted)
+
+    dies_after(6)
+    with pytest.raises(KeyboardInterrupt):
+        full_refresh(spark, raw, out, run="x", resume=True)
+    first, built[:] = list(built), []
+    dies_after(None)
+    again = full_refresh(spark, raw, out, run="x", resume=True)
+    whole = full_refresh(spark, raw, str(tmp_path / "other"))
+    assert len(first) == 6 and not set(first) & set(built) and again.saved == whole.saved
+    n_tables = len(first) + sum(out in p for p in built)
+    built[:] = []
+    full_refresh(spark, raw, out, run="x", resume=True)
+    assert built == []
+    # Another input, or another setting: nothing that was noted counts.
+    inputs = refresh.inputs_fingerprint(spark, raw, False, None)
+    state = f"{out}/state/r-x"
+    assert len(refresh.finished_tables(spark, state, inputs)) == n_tables
+    spark.createDataFrame([(1, "x")], "id bigint, link_post string").write.parquet(f"{tmp_path}/more")
+    other = {**raw, "lead_links": spark.read.parquet(f"{tmp_path}/more")}
+    assert refresh.inputs_fingerprint(spark, raw, True, None) != inputs != refresh.inputs_fingerprint(spark, other, False, None)
+    assert refresh.finished_tables(spark, state, refresh.inputs_fingerprint(spark, other, False, None)) == {}
+    with pytest.raises(ValueError, match="named"):
+        full_refresh(spark, raw, out, resume=True)
 
 
 def test_csv_places_follow_the_file(spark, tmp_path):

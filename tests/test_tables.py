@@ -5,12 +5,12 @@ from pyspark.sql import functions as F
 
 from starlot.operators.lookup import as_side
 from starlot.plans import dims, facts, kpis, quality
-from starlot.plans.refresh import full_refresh
+from starlot.plans.refresh import full_refresh, publish_tables
 from starlot.plans.schemas import TABLES
 from starlot.sources import feeds
 from starlot.sources.contracts import COMMISSIONS, require_columns
 from starlot.sources.scan import list_files, read_landing, read_optional, read_saved, read_yearly
-from starlot.sources.sinks import point_view, reconcile, refresh_table, save_counted
+from starlot.sources.sinks import reconcile, refresh_table, save_counted
 
 
 def rows(df):
@@ -232,15 +232,33 @@ def test_yearly_order_and_layouts(spark, tmp_path):
 
 
 def test_sinks(spark, tmp_path):
-    df = spark.range(10)
-    assert save_counted(df, f"{tmp_path}/a") == 10
-    assert refresh_table(df, "default.sink_t") == 10
-    assert refresh_table(df.limit(4), "default.sink_t") == 4
+    df = spark.range(10).selectExpr("id", "cast(id as string) as t", "if(id = 3, null, id / 7) as x")
+    seen = save_counted(df, f"{tmp_path}/a", [F.max("id").alias("last")])
+    assert seen.rows == 10 and seen.metrics == {"last": 9}
+    assert seen.content == save_counted(df.repartition(3).orderBy(F.desc("id")), f"{tmp_path}/b").content
+    assert save_counted(df.limit(0), f"{tmp_path}/none")[:2] == (0, "0" * 32)
+    assert refresh_table(df, "default.sink_t").rows == 10
+    assert refresh_table(df.limit(4), "default.sink_t").rows == 4
     assert spark.table("default.sink_t").count() == 4
-    point_view(spark, "default.sink_v", f"{tmp_path}/a")
-    assert spark.table("default.sink_v").count() == 10
     got = reconcile(spark, {"a": 10, "b": 3}, {"a": spark.read.parquet(f"{tmp_path}/a")})
-    assert rows(got) == [("a", 10, 10, True), ("b", 3, None, False)]
+    assert rows(got) == [("a", 10, 10, None, True), ("b", 3, None, None, False)]
+    cell = df.withColumn("x", F.when(F.col("id") == 5, 0.25).otherwise(F.col("x")))
+    pairs = df.unionByName(df.where("id < 2")), df.unionByName(df.where("id between 4 and 5"))  # equal rows cancel in an exclusive or
+    tables = {"a": spark.read.parquet(f"{tmp_path}/a"), "cell": cell, "nulls": df.withColumn("t", F.lit(None).cast("string")), "pairs": pairs[1], "gone": None}
+    expected = {n: seen for n in tables} | {"pairs": save_counted(pairs[0], f"{tmp_path}/c")}
+    del tables["gone"]
+    got = {r.table_name: (r.same_content, r.matches) for r in reconcile(spark, expected, tables).collect()}
+    assert got == {"a": (True, True), "cell": (False, False), "nulls": (False, False), "pairs": (False, False), "gone": (None, False)}
+    assert publish_tables(spark, {"sink_u": df}, "default").first().matches
+
+
+def test_observed_checks_equal_those_over_the_tables(spark, run):
+    raw = run.silver_counts["vendas"]
+    assert rows(quality.observed_report(spark, run.saved, raw)) == rows(quality.quality_report(run.tables, raw))
+    facts_ = {n: run.tables[n] for n in quality.RATED}
+    assert rows(run.rates) == rows(quality.match_rates(facts_))
+    empty = save_counted(run.tables["fato_vendas"].limit(0), run.tables["fato_vendas"].inputFiles()[0].rsplit("/", 1)[0] + "-none", quality.observed_columns("fato_vendas"))
+    assert rows(quality.observed_report(spark, {"fato_vendas": empty})) == [("commission_coverage", False, None, 0.9)]
 
 
 def test_builders_keep_every_row(spark):
