@@ -6,15 +6,19 @@
 2. A text is signed by ProbMinHash: every shingle runs a Poisson process whose rate is its weight,
    1 + ln(occurrences); each arrival falls into a random register, and a register keeps the shingle
    that arrives first. Once a shingle's next arrival is later than all registers it stops. Two texts
-   agree in a register with the probability Jaccard similarity of their weighted shingles.
-3. Registers are hashed in 25 bands of 5. In a bucket every text meets a leader, one that a hash of text
+   agree in a register with the probability Jaccard similarity of their weighted shingles. That may be far
+   below the similarity of the shingle sets where a passage recurs many times in one of them, so a text in
+   which any shingle recurs is signed by weights of one, too, for which both similarities are the same.
+3. Registers are hashed in 25 bands of 5, of either signature alike. In a bucket every text meets a leader, one that a hash of text
    and bucket picks, and the pair is verified: exact Jaccard similarity of the shingle sets of 0.8 or
    more. A pair of that similarity shares a bucket with probability 0.9999. Linked texts form classes.
 4. Buckets that still hold several classes get other leaders, for ``ROUNDS`` rounds in all. This joins
    groups in which not every text is similar to every other, at one comparison a text and bucket.
 5. The texts of buckets that are of several classes even then are joined on the rarest fifth of their
-   shingles, without which no pair can reach 0.8 (prefix filter), and compared across classes. So
-   no link between bucket mates is lost, and texts that only share a passage cost little.
+   shingles, without which no pair can reach 0.8 (prefix filter), and compared across classes. Pairs that
+   cannot be similar by where they meet in that order, or by the parity of their shingles in 512 classes
+   of hashes, are left out by the join itself. All this is exact: no link between bucket mates is
+   lost, and texts that only share a passage cost little.
 
 Skew: counts and minima are combined before shuffles, buckets are never gathered into one row or
 task, and the joins are plain shuffle joins, which adaptive execution splits. Texts are read twice:
@@ -29,6 +33,8 @@ shingle; null ids are one id in classes (``min`` skips them); repeated rows are
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -43,6 +49,7 @@ BANDS = 25
 ROWS = 5
 ROUNDS = 3
 BROADCAST_KEYS = 1_000_000
+PARITY = [f"odd{k}" for k in range(8)]
 
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
@@ -97,29 +104,35 @@ def prob_min_hash(owner: np.ndarray, element: np.ndarray, weight: np.ndarray, ow
 
 
 def signatures(word_hashes: list[np.ndarray], bands: int = BANDS, rows: int = ROWS) -> list[list[int]]:
-    """Band hashes of each word list; none below five words, where only equal texts are similar."""
+    """Band hashes of each word list; none below five words, where only equal texts are similar.
+
+    A list in which a shingle recurs is signed twice, by its weights and by weights of one.
+    """
     out: list[list[int]] = [[] for _ in word_hashes]
     long = [i for i, w in enumerate(word_hashes) if len(w) >= WORDS]
     if not long:
         return out
-    owner, element, weight = [], [], []
-    for k, i in enumerate(long):
+    owner, element, weight, whose = [], [], [], []
+    for i in long:
         w = np.ascontiguousarray(word_hashes[i]).view(np.uint64)
         n = len(w) - WORDS + 1
         h = np.zeros(n, dtype=np.uint64)
         for j in range(WORDS):
             h = _mixed(h * MIX[1] + w[j:j + n] + GOLDEN)
         found, times = np.unique(h, return_counts=True)
-        owner.append(np.full(len(found), k))
-        element.append(found)
-        weight.append(1.0 + np.log(times))
-    first = prob_min_hash(np.concatenate(owner), np.concatenate(element), np.concatenate(weight), len(long), bands * rows)
-    keys = np.zeros((len(long), bands), dtype=np.uint64)
+        signs = [1.0 + np.log(times)] + [np.ones(len(found))] * bool((times > 1).any())
+        for each in signs:
+            owner.append(np.full(len(found), len(whose)))
+            element.append(found)
+            weight.append(each)
+            whose.append(i)
+    first = prob_min_hash(np.concatenate(owner), np.concatenate(element), np.concatenate(weight), len(whose), bands * rows)
+    keys = np.zeros((len(whose), bands), dtype=np.uint64)
     for j in range(rows):
-        keys = _mixed(keys * MIX[0] + first.reshape(len(long), bands, rows)[:, :, j] + GOLDEN)
+        keys = _mixed(keys * MIX[0] + first.reshape(len(whose), bands, rows)[:, :, j] + GOLDEN)
     keys = _mixed(keys + np.arange(bands, dtype=np.uint64)).view(np.int64)
-    for k, i in enumerate(long):
-        out[i] = keys[k]
+    for k, i in enumerate(whose):
+        out[i] = np.union1d(np.array(out[i], np.int64), keys[k])
     return out
 
 
@@ -224,27 +237,41 @@ def _with_leaders(members: DataFrame, salt: int) -> DataFrame:
 
 
 def _across(members: DataFrame) -> DataFrame:
-    """Pairs of bucket mates within a key across classes, from ``(key, node, class, size, rare, bands)``.
+    """Pairs of bucket mates within a key across classes, from the rows of ``_rare_fifth``.
 
     The join's condition leaves out pairs of unlike sizes, pairs that share no bucket, and pairs that
-    meet at an earlier key, so each pair is made once.  Texts outside a key's largest class meet everything of another class: a class with all but few
+    meet at an earlier key, so each pair is made once.  As that is their first common shingle, they have no more in common than
+    either has from there on; and their sets differ by at least the bits in which their parities do.  Texts outside a key's largest class meet everything of another class: a class with all but few
     of a key's texts is never paired with itself, neither in the result nor inside the join.
     """
     sizes = members.groupBy("key", "class").agg(F.count(F.lit(1)).alias("n"))
     major = sizes.groupBy("key").agg(F.max_by("class", F.col("n")).alias("largest")).withColumnRenamed("key", "mk")
     placed = members.join(major, F.col("key") == F.col("mk"))
     minor = placed.where(F.col("class") != F.col("largest")).select(
-        F.col("key").alias("k"), F.col("node").alias("x"), F.col("class").alias("c"), *[F.col(c).alias(f"x_{c}") for c in ("size", "rare", "bands")]
+        F.col("key").alias("k"), F.col("node").alias("x"), F.col("class").alias("c"), *[F.col(c).alias(f"x_{c}") for c in ("size", "place", "rare", "bands", *PARITY)]
     )
     part, whole = SIMILAR
     sized = whole * F.least("size", "x_size") >= part * F.greatest("size", "x_size")
+    both = F.col("size") + F.col("x_size")
+    # Similar sets have part / (part + whole) of both sizes in common, so they differ in the rest.
+    in_reach = (part + whole) * F.least(F.col("size") - F.col("place"), F.col("x_size") - F.col("x_place")) >= part * both
+    odd = reduce(lambda x, y: x + y, [F.bit_count(F.col(c).bitwiseXOR(F.col(f"x_{c}"))) for c in PARITY])
+    sized = sized & in_reach & ((part + whole) * odd <= (whole - part) * both)
     met_here = F.get(F.array_intersect("rare", "x_rare"), 0) == F.col("key")
     pairs = members.join(minor, (F.col("key") == F.col("k")) & (F.col("class") != F.col("c")) & sized & F.arrays_overlap("bands", "x_bands") & met_here)
     return pairs.select(*_ordered("node", "x", "class", "c")).distinct()
 
 
+def _parities(s: Column) -> list[Column]:
+    """512 bits: whether an odd number of the shingles fall on each."""
+    one = F.lit(1).cast("bigint")
+    flip = lambda acc, h: acc.bitwiseXOR(F.call_function("shiftleft", one, h.bitwiseAND(F.lit(63)).cast("int")))
+    own = lambda k: F.filter(s, lambda h: F.shiftright(h, 6).bitwiseAND(F.lit(len(PARITY) - 1)) == k)
+    return [F.aggregate(own(k), F.lit(0).cast("bigint"), flip).alias(c) for k, c in enumerate(PARITY)]
+
+
 def _rare_fifth(members: DataFrame, sets: DataFrame, texts: DataFrame, folder: str) -> DataFrame:
-    """``(key, node, class, size, rare, bands)`` with the shingles as keys by which similar texts must meet.
+    """``(key, place, node, class, size, rare, bands, parities)`` with the shingles as keys by which similar texts must meet.
 
     ``rare`` holds the keys of a text that texts of other classes have, too, the rarest first.
     """
@@ -262,8 +289,11 @@ def _rare_fifth(members: DataFrame, sets: DataFrame, texts: DataFrame, folder: s
     shared = _undecided(thin)
     listed = shared.groupBy("node", "class", "size").agg(F.sort_array(F.collect_list(F.struct("place", "key"))).alias("l"))
     banded = listed.join(texts.select(F.col("node").alias("bn"), "bands"), F.col("node") == F.col("bn"))
-    rare = banded.select("node", "class", "size", F.transform("l", lambda e: e["key"]).alias("rare"), "bands")
-    return materialise(rare.select(F.explode("rare").alias("key"), *rare.columns), f"{folder}/rare")
+    parities = sets.select(F.col("node").alias("pn"), *_parities(F.col("s")))
+    rare = banded.join(parities, F.col("node") == F.col("pn")).select(
+        "node", "class", "size", "l", F.transform("l", lambda e: e["key"]).alias("rare"), "bands", *PARITY
+    )
+    return materialise(rare.select(F.explode("l").alias("e"), *rare.columns).select("e.key", "e.place", *rare.drop("l").columns), f"{folder}/rare")
 
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame]:
@@ -333,7 +363,8 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rou
     own = packed(docs, _id=F.col(doc_id).cast("long"), _node=node_of(word_list(text_or_empty(text))))
     chosen = own.join(kept, (F.col("_node") == F.col("k_node")) & F.col("_id").eqNullSafe(F.col("k_id")))
     single = chosen.where("times = 1").select("_row")
-    repeated = chosen.where("times > 1").groupBy("k_node").agg(F.first("_row").alias("_row")).select("_row")
+    # Rows of one id and the same words may differ in anything else: the least hash of a whole row decides.
+    repeated = chosen.where("times > 1").groupBy("k_node").agg(F.min_by("_row", F.xxhash64("_row")).alias("_row")).select("_row")
     return unpacked(single.union(repeated).union(own.where("_node IS NULL").select("_row")), docs.columns)
 
 

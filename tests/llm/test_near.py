@@ -4,6 +4,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 import regex
+from pyspark.sql import functions as F
 
 from starlot.llm import near
 
@@ -99,6 +100,37 @@ def test_repeated_rows_null_ids_and_one_of_each(documents):
     assert ids.count(None) == 1
 
 
+def test_texts_that_repeat_a_passage_meet_those_that_do_not(documents):
+    """Set similarity 0.967, but the weights of the repeated shingles differ by far."""
+    rnd = random.Random(11)
+    word = lambda: "".join(rnd.choice("abcdefghij") for _ in range(6))
+    rows = []
+    for k in range(60):
+        text = [word() for _ in range(125)]
+        rows += [(2 * k, " ".join(text)), (2 * k + 1, " ".join(text + text[50:75] * 400))]
+    got = {r.doc_id: r.class_id for r in near.near_duplicates(documents(rows)).collect()}
+    assert got == brute_classes(rows) and sum(got[2 * k + 1] == 2 * k for k in range(60)) == 60
+
+
+def test_parities_differ_by_no_more_than_the_sets(spark):
+    rnd = random.Random(6)
+    base = [rnd.getrandbits(63) - 2**62 for _ in range(300)]
+    sets = [rnd.sample(base, rnd.randrange(1, 300)) for _ in range(60)]
+    df = spark.createDataFrame([(s,) for s in sets], "s array<bigint>")
+    found = [tuple(r) for r in df.select(*near._parities(F.col("s"))).collect()]
+    for x, p in zip(sets, found):
+        assert sum(bin(b & (2**64 - 1)).count("1") for b in p) % 2 == len(x) % 2
+        for y, q in zip(sets, found):
+            assert sum(bin((a ^ b) & (2**64 - 1)).count("1") for a, b in zip(p, q)) <= len(set(x) ^ set(y))
+
+
+def test_rows_of_one_id_that_differ_elsewhere(documents):
+    """Which of them stays does not depend on how they are dealt out."""
+    df = documents([(1, "one two three four five six", "a"), (1, "one two three four five six", "b"), (1, "One, two three four five six", "c")])
+    kept = {repr(near.one_of_each(df.repartition(n)).collect()) for n in (1, 2, 3, 7)}
+    assert len(kept) == 1
+
+
 def test_empty_table_and_long_text(documents):
     assert near.near_duplicates(documents([])).count() == 0
     assert near.one_of_each(documents([])).count() == 0
