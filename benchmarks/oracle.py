@@ -417,6 +417,7 @@ _SQL = {
 
 
 _SQL["store_at_event_by_nodes"] = _SQL["store_at_event"]
+_SQL["fato_vendas_bucketed"] = _SQL["fato_vendas"]
 
 
 def oracle_sql() -> dict[str, str]:

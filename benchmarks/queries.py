@@ -16,7 +16,7 @@ from starlot.operators.calendar import date_spine, with_calendar
 from starlot.operators.columns import keep_present
 from starlot.operators.dedup import keep_first, keep_latest
 from starlot.operators.keys import surrogate_keys
-from starlot.operators.lookup import apply_code_map, as_side, left_lookup, lookup_key, unknown_member
+from starlot.operators.lookup import Side, apply_code_map, as_side, left_lookup, lookup_key, unknown_member
 from starlot.operators.overlay import fill_by_priority, overlay
 from starlot.operators.reshape import months_to_rows
 from starlot.operators.temporal import months_of_periods, period_side, value_at
@@ -245,7 +245,7 @@ def refreshed(spark, d) -> tuple[Tables, Tables]:
 
 def silver(spark, d, name: str) -> DataFrame:
     df = refreshed(spark, d)[0][name]
-    return df.drop(*feeds.arrival(df))
+    return df.drop(*feeds.arrival(df), facts.SALE_KEY, facts.PLATE)
 
 
 def gold(name: str):
@@ -256,6 +256,13 @@ def gold(name: str):
     return query
 
 
+def fato_vendas_bucketed(spark, d) -> DataFrame:
+    """The sales fact from sales and details that lie in the same buckets: as for sales beyond any broadcast."""
+    silver, star = prepare(spark, roles.all_feeds(spark, d), shared_folder(spark, "refresh"), sale_buckets=8)
+    sellers = facts.seller_sides(star["dim_vendedores"], silver["hist_vendedor_loja"], feeds.seller_map(roles.seller_map(spark, d)))
+    return facts.sales_fact(silver["vendas"], Side(star["_vendas"], False), sellers)
+
+
 def feed_leads(spark, d):
     return silver(spark, d, "leads")
 
@@ -380,7 +387,7 @@ QUERIES = {
         calendar_orders, channel_keys, customer_keys, flags_and_date_keys, lenient_casts, unknown_store,
         tolerant_projection, yearly_files, csv_source, feed_leads, feed_sales, feed_appointments, feed_users,
         feed_channel_costs, feed_sale_channels, feed_commissions, feed_financing, feed_vehicles,
-        *[gold(name) for name in GOLD if name != "dim_data"], cost_per_lead, cost_per_sale, total_cost, quality_report, match_rates,
+        *[gold(name) for name in GOLD if name != "dim_data"], fato_vendas_bucketed, cost_per_lead, cost_per_sale, total_cost, quality_report, match_rates,
         unmatched_channels, row_counts, publish_reconcile, csv_landing, full_star,
     )
 }

@@ -22,6 +22,11 @@ from starlot.sources.feeds import arrival, number
 from starlot.plans.schemas import FACT_APPOINTMENTS, FACT_LEADS, FACT_SALES
 
 
+# A sale is looked up by its code, and by its plate and day.
+SALE_KEY, PLATE = "_sale", "_plate"
+LOOKED_UP = ("id_venda", PLATE, "id_data")
+
+
 class Sellers(NamedTuple):
     """Sides that resolve who sold and for which store; sized once for all facts."""
 
@@ -95,32 +100,45 @@ def sale_attributes(
     return stacked.groupBy("code").agg(*[F.max(name).alias(name) for name in values])
 
 
-def sales_fact(
-    sales: DataFrame, attributes: DataFrame | Side, channels: DataFrame | Side, sellers: Sellers,
-    financing: DataFrame | Side,
+def with_sale_key(sales: DataFrame) -> DataFrame:
+    """Add the plate by which financing is found, null where blank, and the hash of all that a sale is looked up by."""
+    plate = F.nullif(normalise_text(col("placa")), F.lit("")) if "placa" in sales.columns else F.lit(None).cast("string")
+    return sales.withColumn(PLATE, plate).withColumn(SALE_KEY, F.xxhash64(*[col(n) for n in LOOKED_UP]))
+
+
+def sale_details(
+    sales: DataFrame, attributes: DataFrame | Side, channels: DataFrame | Side, financing: DataFrame | Side
 ) -> DataFrame:
+    """Channel, vehicle, commission and financing of each distinct sale code, plate and day among the sales.
+
+    The lookups move rows of three keys, not sales; what they find meets the sales in one join.
+    """
+    keys = sales.select(SALE_KEY, *[col(n) for n in LOOKED_UP]).distinct()
+    found = left_lookup(keys, attributes, {"id_venda": "code"}, {n: n for n in ("canal", "id_veiculo", *COMMISSION_COLUMNS)})
+    found = with_channel(found.withColumn("canal", normalise_text(col("canal"))), channels).drop("canal")
+    return left_lookup(
+        found, financing, {PLATE: "placa", "id_data": "id_data"}, {n: n for n in ("valor_financiado", "tipo_retorno", "financeira")}
+    )
+
+
+def sales_fact(sales: DataFrame, details: DataFrame | Side, sellers: Sellers) -> DataFrame:
     """One row per sale with channel, seller, store, vehicle, commission and financing.
 
-    The seller comes first: only that step may read its input twice.
+    The details come first and as the tables lie: where both are dealt in the same buckets of the sale's key,
+    and sellers are few enough to be broadcast, no sale moves.  The key is a hash, so the join compares what it stands for as well.
     """
-    fact = with_seller_and_store(sales, "nome_vendedor", "data_venda", sellers)
+    side = as_side(details)
+    right = side.df.select(*[col(n).alias(f"__{n}") for n in side.df.columns])
+    # Written so that it adds no join key: the tables lie by the hash alone.
+    alike = [F.coalesce(col(n) == col(f"__{n}"), col(n).isNull() & col(f"__{n}").isNull()) for n in LOOKED_UP]
+    same = reduce(lambda a, b: a & b, [F.when(x, 1).otherwise(0) > 0 for x in alike])
+    found = sales.join(F.broadcast(right) if side.small else right, (col(SALE_KEY) == col(f"__{SALE_KEY}")) & same, "left")
     # An amount the export already carries stays where the commission table has none.
-    own = {n: number(fact, n) for n in COMMISSION_COLUMNS if n in fact.columns}
-    fact = left_lookup(
-        fact, attributes, {"id_venda": "code"},
-        {"canal": "canal", "id_veiculo": "id_veiculo"} | {n: f"__{n}" for n in COMMISSION_COLUMNS},
-    )
-    fact = fact.withColumns(
-        {n: F.coalesce(col(f"__{n}"), own[n]) if n in own else col(f"__{n}") for n in COMMISSION_COLUMNS}
-    )
-    fact = with_channel(fact.withColumn("canal", normalise_text(col("canal"))), channels)
-    plate = normalise_text(col("placa")) if "placa" in fact.columns else F.lit("")
-    fact = left_lookup(
-        fact.withColumn("__plate", F.nullif(plate, F.lit(""))), financing,
-        {"__plate": "placa", "id_data": "id_data"},
-        {n: n for n in ("valor_financiado", "tipo_retorno", "financeira")},
-    )
-    return conform_to(fact, FACT_SALES)
+    own = {n: number(sales, n) for n in COMMISSION_COLUMNS if n in sales.columns}
+    taken = [n for n in side.df.columns if n not in (SALE_KEY, *LOOKED_UP)]
+    values = {n: F.coalesce(col(f"__{n}"), own[n]) if n in own else col(f"__{n}") for n in taken}
+    fact = found.select(*[col(n) for n in sales.columns if n not in taken], *[v.alias(n) for n, v in values.items()])
+    return conform_to(with_seller_and_store(fact, "nome_vendedor", "data_venda", sellers), FACT_SALES)
 
 
 def appointments_seen(rows: DataFrame, channels: DataFrame | Side, sellers: Sellers) -> DataFrame:

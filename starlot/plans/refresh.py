@@ -28,6 +28,7 @@ from starlot.plans.schemas import FACT_APPOINTMENTS, TABLES
 from starlot.sources import feeds as clean
 from starlot.sources.contracts import COMMISSIONS, FINANCING
 from starlot.sources.scan import read_saved
+from starlot.session import bucketed_table
 from starlot.sources.sinks import (
     RUN_PREFIX, Saved, content_columns, reconcile, refresh_table, run_path, run_view, save_counted, switch_run,
 )
@@ -50,14 +51,16 @@ class Tables:
 
     ``place`` names the folder of a table. What was seen on writing (rows, content, metrics) is kept in
     ``saved``. With ``state``, a folder, that is also written down there with ``inputs``, a fingerprint; a table
-    noted there with the same fingerprint is read back instead of built.
+    noted there with the same fingerprint is read back instead of built. ``buckets`` tells tables whose files are
+    dealt by a key (see ``sinks.save_counted``); a restart reads those as plain files.
     """
 
     def __init__(
         self, spark: SparkSession, place: Callable[[str], str], builders: dict[str, Callable[[], DataFrame]],
-        state: str | None = None, inputs: str = "",
+        state: str | None = None, inputs: str = "", buckets: Mapping[str, tuple[int, str]] | None = None,
     ):
         self.spark, self.place, self.builders, self.state, self.inputs = spark, place, builders, state, inputs
+        self.buckets = buckets or {}
         self.saved: dict[str, Saved] = {}
         self._done: dict[str, DataFrame] = {}
         self._noted = finished_tables(spark, state, inputs) if state else {}
@@ -69,13 +72,15 @@ class Tables:
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._done:
             path = self.place(name)
+            table = None
             if name in self._noted:
                 self.saved[name] = self._noted[name]
             else:
-                self.saved[name] = save_counted(self.builders[name](), path, observed_columns(name))
+                table = bucketed_table() if name in self.buckets else None
+                self.saved[name] = save_counted(self.builders[name](), path, observed_columns(name), table, self.buckets.get(name))
                 if self.state:
                     _note(self.spark, self.state, name, self.saved[name], self.inputs)
-            self._done[name] = read_saved(self.spark, path, name)
+            self._done[name] = self.spark.table(table) if table else read_saved(self.spark, path, name)
         return self._done[name]
 
     def __iter__(self):
@@ -129,11 +134,12 @@ NEEDED_DATES = {"leads": "data_criacao", "sales": "data_venda", "appointments":
 
 def conform_feeds(
     spark: SparkSession, raw: Mapping[str, DataFrame], silver: str, formats: dict[str, tuple[str, ...]] | None = None,
-    state: str | None = None, inputs: str = "",
+    state: str | None = None, inputs: str = "", sale_buckets: int = 0,
 ) -> Tables:
     """The twelve conformed tables, written to ``silver`` as they are asked for.
 
-    ``formats`` names, by source, the formats of dates that arrive as text.
+    ``formats`` names, by source, the formats of dates that arrive as text; with ``sale_buckets`` sales lie in
+    that many buckets of their key.
     """
     known = formats or {}
     dated = lambda source: known.get(source, ())
@@ -152,7 +158,7 @@ def conform_feeds(
         "meta_vendedor": lambda: clean.conform_targets(raw["seller_targets"], "seller_targets"),
         "meta_loja": lambda: clean.conform_targets(raw["store_targets"], "store_targets"),
         "leads": lambda: checked("leads", clean.conform_leads(raw["leads"], channels(), raw.get("lead_corrections"), dated("leads"))),
-        "vendas": lambda: checked("sales", clean.conform_sales(raw["sales"], dated("sales"))),
+        "vendas": lambda: facts.with_sale_key(checked("sales", clean.conform_sales(raw["sales"], dated("sales")))),
         "canais": lambda: clean.conform_sale_channels(raw["sale_channels"], channels()),
         "agendamentos": lambda: checked("appointments", clean.conform_appointments(raw["appointments"], channels(), dated("appointments"))),
         "veiculos": lambda: clean.conform_vehicles(
@@ -167,12 +173,12 @@ def conform_feeds(
         )
         if "financing" in raw else spark.createDataFrame([], FINANCING),
         "custos_canal": lambda: clean.conform_channel_costs(raw["channel_costs"]),
-    }, state, inputs)
+    }, state, inputs, {"vendas": (sale_buckets, facts.SALE_KEY)} if sale_buckets else None)
 
 
 def build_star(
     silver: Tables | dict[str, DataFrame], seller_codes: DataFrame, gold: str, links: DataFrame | None = None,
-    by_date: bool = False, run: str = "", state: str | None = None, inputs: str = "",
+    by_date: bool = False, run: str = "", state: str | None = None, inputs: str = "", sale_buckets: int = 0,
 ) -> Tables:
     """All thirteen tables, each written as ``run`` below ``gold`` when it is asked for, what it needs before it."""
     spark = seller_codes.sparkSession
@@ -199,17 +205,18 @@ def build_star(
             silver["leads"], channels(), as_side(star["dim_estagio"], stored=True), sellers(), star["_agendamentos"],
             None if links is None else clean.conform_links(links), order(star["_agendamentos"], "id"),
         ),
-        "fato_vendas": lambda: facts.sales_fact(
-            silver["vendas"],
-            facts.sale_attributes(silver["canais"], star["dim_veiculos"], silver["comissoes"]),
-            channels(), sellers(), as_side(silver["retorno"], stored=True),
+        # Not published: what is known of each sale, so that a sale meets it all in one join.
+        "_vendas": lambda: facts.sale_details(
+            silver["vendas"], facts.sale_attributes(silver["canais"], star["dim_veiculos"], silver["comissoes"]), channels(),
+            as_side(silver["retorno"], stored=True),
         ),
+        "fato_vendas": lambda: facts.sales_fact(silver["vendas"], as_side(star["_vendas"], stored=True), sellers()),
         "fato_meta_vendedor": lambda: facts.seller_targets_fact(
             silver["meta_vendedor"], as_side(star["dim_vendedor_periodo"], stored=True)
         ),
         "fato_meta_loja": lambda: facts.store_targets_fact(silver["meta_loja"]),
         "fato_custos_canal": lambda: facts.channel_costs_fact(silver["custos_canal"], channels()),
-    }, state, inputs)
+    }, state, inputs, {"_vendas": (sale_buckets, facts.SALE_KEY)} if sale_buckets else None)
     return star
 
 
@@ -272,7 +279,7 @@ def publish_tables(spark: SparkSession, tables: dict[str, DataFrame], database:
 
 def prepare(
     spark: SparkSession, raw: Mapping[str, DataFrame], folder: str, by_date: bool = False,
-    formats: dict[str, tuple[str, ...]] | None = None, run: str = "", resume: bool = False,
+    formats: dict[str, tuple[str, ...]] | None = None, run: str = "", resume: bool = False, sale_buckets: int = 0,
 ) -> tuple[Tables, Tables]:
     """Silver and gold tables under ``folder``, none of them written before it is asked for.
 
@@ -282,25 +289,27 @@ def prepare(
     silver, state, inputs = f"{folder}/silver/{RUN_PREFIX}{run}", None, ""
     if resume:
         state, inputs = f"{folder}/state/{RUN_PREFIX}{run}", inputs_fingerprint(spark, raw, by_date, formats)
-    conformed = conform_feeds(spark, raw, silver, formats, state, inputs)
-    return conformed, build_star(conformed, raw["seller_map"], f"{folder}/gold", raw.get("lead_links"), by_date, run, state, inputs)
+    conformed = conform_feeds(spark, raw, silver, formats, state, inputs, sale_buckets)
+    links = raw.get("lead_links")
+    return conformed, build_star(conformed, raw["seller_map"], f"{folder}/gold", links, by_date, run, state, inputs, sale_buckets)
 
 
 def full_refresh(
     spark: SparkSession, raw: Mapping[str, DataFrame], folder: str, database: str | None = None,
     block_on_fail: bool = False, by_date: bool = False, formats: dict[str, tuple[str, ...]] | None = None,
-    run: str = "", resume: bool = False,
+    run: str = "", resume: bool = False, sale_buckets: int = 0,
 ) -> Refresh:
     """Raw feeds to audited tables under ``folder``; published when a database is named.
 
     ``block_on_fail`` keeps a run with failed checks from being published.  ``formats``
     names, by source, the formats of dates that arrive as text.  All runs of a database share one ``folder``; ``run``
-    names this one, and with ``resume`` a restart under the same name goes on where it ended.
+    names this one, and with ``resume`` a restart under the same name goes on where it ended.  Sales beyond any
+    broadcast are best dealt in ``sale_buckets``, some hundred MB each: then the sales fact moves no row.
     """
     if resume and not run:
         raise ValueError("a run that can be resumed has to be named")
     run = run or uuid.uuid4().hex
-    silver, star = prepare(spark, raw, folder, by_date, formats, run, resume)
+    silver, star = prepare(spark, raw, folder, by_date, formats, run, resume, sale_buckets)
     for name in silver:
         silver[name]
     tables = {name: star[name] for name in TABLES}

@@ -62,6 +62,13 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
 
 
 _FOLDERS: list[str] = []
+_TABLES: list[str] = []
+
+
+def bucketed_table() -> str:
+    """A new catalog name for files in a shared folder; dropped when this process ends, the files go with their folder."""
+    _TABLES.append(f"starlot_{uuid.uuid4().hex}")
+    return _TABLES[-1]
 
 
 @atexit.register
@@ -73,6 +80,11 @@ def release_folders() -> None:
     """
     from pyarrow import fs
 
+    spark = SparkSession.getActiveSession() if _TABLES else None
+    while _TABLES:
+        table = _TABLES.pop()
+        if spark is not None and spark.sparkContext._jsc is not None:
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
     while _FOLDERS:
         path = _FOLDERS.pop()
         try:

@@ -40,10 +40,22 @@ def _content(seen: Mapping[str, int]) -> str:
     return f"{seen['__xor'] & (2**64 - 1):016x}{seen['__sum']:016x}"
 
 
-def save_counted(df: DataFrame, path: str, metrics: list[Column] | None = None) -> Saved:
-    """Overwrite ``path``; rows, content and the named aggregates are observed while writing, without a second pass."""
+def save_counted(
+    df: DataFrame, path: str, metrics: list[Column] | None = None, table: str | None = None, buckets: tuple[int, str] | None = None
+) -> Saved:
+    """Overwrite ``path``; rows, content and the named aggregates are observed while writing, without a second pass.
+
+    With ``buckets``, a number and a key column, the files are dealt and sorted by the key, one file a bucket, and
+    ``table`` names them in the catalog: tables so written with one number join on that key as they lie.
+    """
     seen = Observation(f"rows-{uuid.uuid4().hex}")
-    df.observe(seen, *content_columns(df), *(metrics or [])).write.mode("overwrite").parquet(path)
+    counted = df.observe(seen, *content_columns(df), *(metrics or []))
+    if buckets is None:
+        counted.write.mode("overwrite").parquet(path)
+    else:
+        number, key = buckets
+        writer = counted.repartition(number, key).write.mode("overwrite").format("parquet").option("path", path)
+        writer.bucketBy(number, key).sortBy(key).saveAsTable(table)
     got = seen.get
     return Saved(int(got["__rows"]), _content(got), {k: v for k, v in got.items() if not k.startswith("__")})
 

@@ -3,9 +3,9 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from starlot.operators.lookup import as_side
+from starlot.operators.lookup import Side, as_side
 from starlot.plans import dims, facts, kpis, quality
-from starlot.plans.refresh import full_refresh, publish_tables
+from starlot.plans.refresh import full_refresh, prepare, publish_tables
 from starlot.plans.schemas import TABLES
 from starlot.sources import feeds
 from starlot.sources.contracts import COMMISSIONS, require_columns
@@ -261,6 +261,28 @@ def test_observed_checks_equal_those_over_the_tables(spark, run):
     assert rows(quality.observed_report(spark, {"fato_vendas": empty})) == [("commission_coverage", False, None, 0.9)]
 
 
+def test_bucketed_sales_move_no_row(spark, landing, run, tmp_path):
+    raw = read_landing(spark, landing)
+    silver, star = prepare(spark, raw, str(tmp_path), sale_buckets=4)
+    sellers = facts.seller_sides(star["dim_vendedores"], silver["hist_vendedor_loja"], feeds.seller_map(raw["seller_map"]))
+    details = star["_vendas"]
+    assert silver.buckets == {"vendas": (4, facts.SALE_KEY)} and star.saved["_vendas"].rows == details.count() == 4
+    fact = facts.sales_fact(silver["vendas"], Side(details, False), sellers)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = fact._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # Only sides that are broadcast, and periods on their way to that, are moved.
+    sales = plan[plan.index("SortMergeJoin"):]
+    assert sales.count("Bucketed: true") == 2 and "Exchange" not in sales.split("BroadcastExchange")[0]
+    assert rows(fact) == rows(run.tables["fato_vendas"]) == rows(star["fato_vendas"])
+    # The plain form joins once, too, and equal hashes alone are no match.
+    other = details.withColumn("id_venda", F.col("id_venda") + 1)
+    lost = facts.sales_fact(silver["vendas"], Side(other, False), sellers)
+    assert lost.count() == 4 and lost.where("comissao = 5.5 or id_veiculo is not null").isEmpty()
+
+
 def test_builders_keep_every_row(spark):
     leads = spark.createDataFrame([(i % 3, "x", None) for i in range(20)], "id bigint, atendente string, data_criacao timestamp_ntz")
     leads = leads.withColumns({"canal": F.lit("q"), "estagio": F.lit(None).cast("string")})
