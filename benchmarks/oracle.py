@@ -416,6 +416,12 @@ _SQL = {
 }
 
 
+_SQL["map_conflicts"] = f"""
+    SELECT map_name, origin, min(target) AS kept, CAST(count(*) AS BIGINT) AS map_rows, count(DISTINCT target) AS targets
+    FROM (SELECT 'seller_map' AS map_name, {clean("' Nação ' || CAST(s_nationkey AS VARCHAR)")} AS origin, {clean('s_name')} AS target FROM supplier
+          UNION ALL SELECT 'channel_map', {clean('o')}, {clean('p')} FROM (VALUES {rows(CHANNEL_MAP)}) v(o, p)
+          UNION ALL SELECT 'financier_map', {clean('o')}, {clean('p')} FROM (VALUES {rows(FINANCIER_MAP)}) v(o, p))
+    GROUP BY 1, 2 HAVING count(DISTINCT target) > 1"""
 _SQL["store_at_event_by_nodes"] = _SQL["store_at_event"]
 _SQL["fato_vendas_bucketed"] = _SQL["fato_vendas"]
 

@@ -77,6 +77,14 @@ def map_codes(spark, d) -> DataFrame:
     return apply_code_map(orders, "canal", channels)
 
 
+def map_conflicts(spark, d) -> DataFrame:
+    """Contradictions of the code maps, the seller map being one that sends each nation to all its suppliers."""
+    by_nation = table(spark, d, "supplier").select(
+        F.concat(F.lit(" Nação "), F.col("s_nationkey").cast("string")).alias("nome_origem"), F.col("s_name").alias("nome_padrao")
+    )
+    return feeds.conflicts({**roles.all_feeds(spark, d), "seller_map": by_nation})
+
+
 def seller_lookup(spark, d) -> DataFrame:
     """Messy seller names to ids; unknown sellers fall on the appended member."""
     sellers = dims.seller_dim(feeds.conform_users(roles.users(spark, d)))
@@ -382,7 +390,7 @@ def csv_landing(spark, d):
 QUERIES = {
     f.__name__: f
     for f in (
-        store_at_event, store_at_event_by_nodes, store_at_event_by_date, normalise_documents, map_codes, seller_lookup, stage_lookup,
+        store_at_event, store_at_event_by_nodes, store_at_event_by_date, normalise_documents, map_codes, map_conflicts, seller_lookup, stage_lookup,
         corrections_overlay, keep_first_event, keep_latest_event, brand_fill, unpivot_costs, expand_months,
         calendar_orders, channel_keys, customer_keys, flags_and_date_keys, lenient_casts, unknown_store,
         tolerant_projection, yearly_files, csv_source, feed_leads, feed_sales, feed_appointments, feed_users,

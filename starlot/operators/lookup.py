@@ -26,10 +26,16 @@ MAX_BYTES = 64 * 1024 * 1024
 
 
 class Side(NamedTuple):
-    """The right side of a lookup, unique on its key, with its size verdict."""
+    """The right side of a lookup, unique on its key, with its size verdict.
+
+    ``dropped`` counts the rows that fell together with another of their key, ``conflicting`` the keys for
+    which these rows differed; both are known for code maps.
+    """
 
     df: DataFrame
     small: bool
+    dropped: int = 0
+    conflicting: int = 0
 
 
 def row_bytes(schema: T.StructType) -> Column:
@@ -144,14 +150,33 @@ def code_map_side(mapping: DataFrame, origin: str, target: str, strict: bool = F
     The first target in alphabetical order stays where two origins normalise alike,
     so a map can never multiply facts; ``strict`` refuses such a map instead.
     """
+    seen = Observation()
+    grouped = _by_origin(mapping, origin, target).observe(
+        seen, F.coalesce(F.sum(F.col("map_rows") - 1), F.lit(0).cast("bigint")).alias("dropped"), F.count_if(F.col("target") != F.col("last")).alias("conflicting")
+    )
+    side = as_side(grouped.select("origin", "target"))
+    side = side._replace(dropped=seen.get["dropped"], conflicting=seen.get["conflicting"])
+    if strict and side.conflicting:
+        some = map_conflicts(mapping, origin, target).orderBy("origin").limit(5).collect()
+        raise ValueError(f"several targets for {[row['origin'] for row in some]}")
+    return side
+
+
+def _by_origin(mapping: DataFrame, origin: str, target: str) -> DataFrame:
+    """``(origin, target, last, map_rows)``: per normalised origin its first and last target and its number of rows."""
     clean = mapping.select(
         normalise_text(col(origin)).alias("origin"), normalise_text(col(target)).alias("target")
     )
-    if strict:
-        doubled = clean.distinct().groupBy("origin").count().filter("count > 1").limit(5).collect()
-        if doubled:
-            raise ValueError(f"several targets for {sorted(row['origin'] for row in doubled)}")
-    return as_side(keep_first(clean, ["origin"], ["target"]))
+    return clean.groupBy("origin").agg(F.min("target").alias("target"), F.max("target").alias("last"), F.count(F.lit(1)).alias("map_rows"))
+
+
+def map_conflicts(mapping: DataFrame, origin: str, target: str) -> DataFrame:
+    """``(origin, kept, map_rows, targets)`` of the origins whose rows name several targets, of which one is kept."""
+    clean = mapping.select(normalise_text(col(origin)).alias("origin"), normalise_text(col(target)).alias("target"))
+    # Counted by target first, so that an origin with very many rows is combined before it is gathered.
+    each = clean.groupBy("origin", "target").agg(F.count(F.lit(1)).alias("n"))
+    found = each.groupBy("origin").agg(F.min("target").alias("kept"), F.sum("n").alias("map_rows"), F.count(F.lit(1)).alias("targets"))
+    return found.where("targets > 1")
 
 
 def apply_code_map(facts: DataFrame, column: str, mapping: Side) -> DataFrame:
@@ -181,5 +206,5 @@ def unknown_member(dim: DataFrame, **values: object) -> DataFrame:
 
 __all__ = [
     "Side", "UNKNOWN", "apply_code_map", "as_side", "code_map_side", "left_lookup", "lookup_key",
-    "measure", "unknown_member", "unmatched",
+    "map_conflicts", "measure", "unknown_member", "unmatched",
 ]

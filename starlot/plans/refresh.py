@@ -44,6 +44,7 @@ class Refresh(NamedTuple):
     silver_counts: dict[str, int]
     saved: dict[str, Saved]
     run: str
+    conflicts: DataFrame
 
 
 class Tables:
@@ -320,4 +321,4 @@ def full_refresh(
     published = database is not None and not (block_on_fail and failures)
     if published:
         publish(spark, database, f"{folder.rstrip('/')}/gold", run, saved)
-    return Refresh(tables, {n: s.rows for n, s in saved.items()}, report, rates, failures, published, dict(silver.counts), saved, run)
+    return Refresh(tables, {n: s.rows for n, s in saved.items()}, report, rates, failures, published, dict(silver.counts), saved, run, clean.conflicts(raw))

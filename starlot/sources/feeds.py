@@ -6,6 +6,9 @@ rows compete, ``_file`` and ``_row`` (if present) tell which came first.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,7 +18,7 @@ from starlot.functions.scalars import col
 from starlot.functions.text import normalise_headers, normalise_text
 from starlot.operators.columns import conform_to, first_with_prefix
 from starlot.operators.dedup import keep_first, keep_latest
-from starlot.operators.lookup import Side, apply_code_map, code_map_side
+from starlot.operators.lookup import Side, apply_code_map, code_map_side, map_conflicts
 from starlot.operators.overlay import fill_by_priority, overlay
 from starlot.operators.reshape import months_to_rows
 from starlot.sources.contracts import COMMISSION_COLUMNS, COMMISSIONS, FINANCING, require_columns
@@ -57,17 +60,32 @@ def number(df: DataFrame, name: str, kind: str = "double") -> Column:
     return S.lenient_number(col(name), kind)
 
 
+# The code maps with their columns: what an export says, and what it is to be called.
+CODE_MAPS = {
+    "channel_map": ("canal_origem", "canal_padrao"), "seller_map": ("nome_origem", "nome_padrao"),
+    "financier_map": ("financeira_origem", "financeira_padrao"),
+}
+
+
+def conflicts(raw: Mapping[str, DataFrame]) -> DataFrame:
+    """``(map_name, origin, kept, map_rows, targets)``: where a code map contradicts itself, for all maps there are."""
+    found = [
+        map_conflicts(require_columns(raw[name], name), *columns).select(F.lit(name).alias("map_name"), "*")
+        for name, columns in CODE_MAPS.items() if name in raw
+    ]
+    return reduce(lambda a, b: a.unionByName(b), found)
+
+
 def channel_map(mapping: DataFrame, strict: bool = False) -> Side:
-    return code_map_side(require_columns(mapping, "channel_map"), "canal_origem", "canal_padrao", strict)
+    return code_map_side(require_columns(mapping, "channel_map"), *CODE_MAPS["channel_map"], strict)
 
 
 def seller_map(mapping: DataFrame, strict: bool = False) -> Side:
-    return code_map_side(require_columns(mapping, "seller_map"), "nome_origem", "nome_padrao", strict)
+    return code_map_side(require_columns(mapping, "seller_map"), *CODE_MAPS["seller_map"], strict)
 
 
 def financier_map(mapping: DataFrame, strict: bool = False) -> Side:
-    mapping = require_columns(mapping, "financier_map")
-    return code_map_side(mapping, "financeira_origem", "financeira_padrao", strict)
+    return code_map_side(require_columns(mapping, "financier_map"), *CODE_MAPS["financier_map"], strict)
 
 
 def conform_leads(

@@ -186,6 +186,17 @@ def test_financing_needs_a_plate(spark):
     assert rows(feeds.conform_financing(raw, codes)) == [("ab1", 20220301, 1.0, 1, "banco v")]
 
 
+def test_maps_that_contradict_themselves(spark, run):
+    pairs = [("Face Book", "Meta"), ("face  book", "META "), ("Rádio", "AM"), ("radio", "FM"), ("radio", "FM"), ("TV", "tv"), (None, "x")]
+    codes = spark.createDataFrame(pairs, "canal_origem string, canal_padrao string")
+    side = feeds.channel_map(codes)
+    assert (side.dropped, side.conflicting) == (3, 1) and rows(side.df) == [("", "x"), ("face book", "meta"), ("radio", "am"), ("tv", "tv")]
+    assert rows(feeds.conflicts({"channel_map": codes})) == [("channel_map", "radio", "am", 3, 2)]
+    with pytest.raises(ValueError, match="radio"):
+        feeds.channel_map(codes, strict=True)
+    assert feeds.channel_map(codes.limit(0))[1:] == (True, 0, 0) and rows(run.conflicts) == []
+
+
 def test_kpis(spark):
     costs = spark.createDataFrame([(1, 20230101, 100.0), (2, 20230101, 50.0), (-1, 20230101, 7.0)], "id_canal int, id_data int, custo double")
     leads = spark.createDataFrame([(1, 20230105, 1), (1, 20230120, 0), (1, 20230201, 1)], "id_canal int, id_data int, convertido_flag int")
