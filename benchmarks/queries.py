@@ -21,7 +21,7 @@ from starlot.operators.overlay import fill_by_priority, overlay
 from starlot.operators.reshape import months_to_rows
 from starlot.operators.temporal import months_of_periods, period_side, value_at
 from starlot.plans import dims, facts, kpis, quality
-from starlot.plans.refresh import Tables, full_refresh, prepare, publish
+from starlot.plans.refresh import ELECT, Tables, full_refresh, prepare, publish
 from starlot.plans.schemas import TABLES as GOLD
 from starlot.session import shared_folder
 from starlot.sources import feeds
@@ -374,7 +374,7 @@ def full_star(spark, d):
 
 
 def csv_landing(spark, d):
-    """Leads of a refresh whose exports are CSV files with dates as dd/MM/yyyy text, rows in file order."""
+    """Leads of a refresh whose exports are CSV files with dates as dd/MM/yyyy text, rows in file order; nobody names the format."""
     folder, form = shared_folder(spark, "landing"), "dd/MM/yyyy HH:mm:ss.SSSSSS"
     exact = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
     for source, df in roles.all_feeds(spark, d).items():
@@ -382,9 +382,8 @@ def csv_landing(spark, d):
         stem = LANDING_STEMS[source].replace("[0-9]*", "2024").replace("*", "2024")
         rows = (df.orderBy(*order) if order else df).drop(*order)
         rows.write.options(header="true", timestampNTZFormat=form, **exact).csv(f"{folder}/{stem}.csv")
-    dated = ("leads", "sales", "appointments", "history", "sale_brands", "financing")
     raw = read_landing(spark, folder, "csv", **exact)
-    return prepare(spark, raw, shared_folder(spark, "refresh"), formats={name: (form,) for name in dated})[1]["fato_leads"]
+    return prepare(spark, raw, shared_folder(spark, "refresh"), formats=ELECT)[1]["fato_leads"]
 
 
 QUERIES = {

@@ -30,10 +30,10 @@ def equals_flag(text: Column, word: str) -> Column:
 
 
 def lenient_timestamp(value: Column, *formats: str) -> Column:
-    """Timestamp without zone, or null where the text fits none of ``formats``."""
+    """Timestamp without zone, or null where the text, blanks around it aside, fits none of ``formats``."""
     if not formats:
         return value.try_cast("timestamp_ntz")
-    tries = [F.try_to_timestamp(value, F.lit(fmt)).cast("timestamp_ntz") for fmt in formats]
+    tries = [F.try_to_timestamp(F.trim(value), F.lit(fmt)).cast("timestamp_ntz") for fmt in formats]
     return F.coalesce(*tries)
 
 

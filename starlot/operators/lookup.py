@@ -16,7 +16,6 @@ from pyspark.sql import types as T
 
 from starlot.functions.scalars import UNKNOWN, col, known_or
 from starlot.functions.text import normalise_text
-from starlot.operators.dedup import keep_first
 from starlot.session import materialise, setting, shared_folder
 
 ROWS_SETTING = "starlot.broadcast.maxRows"

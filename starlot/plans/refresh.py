@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from starlot.functions.scalars import col
 from starlot.operators.columns import conform_to
+from starlot.operators.formats import source_formats
 from starlot.operators.lookup import as_side
 from starlot.plans import dims, facts
 from starlot.plans.quality import observed_columns, observed_rates, observed_report
@@ -129,21 +130,36 @@ def inputs_fingerprint(spark: SparkSession, raw: Mapping[str, DataFrame], *setti
     return hashlib.sha256("\n".join(parts).encode()).hexdigest()
 
 
+# ``formats`` of a refresh that elects them from the values; and the dates of each source.
+ELECT = "elect"
+DATES = {
+    "leads": ("data_criacao", "ultima_integracao"), "sales": ("data_venda",), "history": ("data_inicio", "data_fim"),
+    "appointments": ("criacao_agendamento", "agendado_para"), "financing": ("data_venda",),
+}
 # Text dates without which a feed is of no use, by feed and column.
 NEEDED_DATES = {"leads": "data_criacao", "sales": "data_venda", "appointments": "criacao_agendamento"}
 
 
 def conform_feeds(
-    spark: SparkSession, raw: Mapping[str, DataFrame], silver: str, formats: dict[str, tuple[str, ...]] | None = None,
+    spark: SparkSession, raw: Mapping[str, DataFrame], silver: str, formats: dict[str, tuple[str, ...]] | str | None = None,
     state: str | None = None, inputs: str = "", sale_buckets: int = 0,
 ) -> Tables:
     """The twelve conformed tables, written to ``silver`` as they are asked for.
 
-    ``formats`` names, by source, the formats of dates that arrive as text; with ``sale_buckets`` sales lie in
+    ``formats`` names, by source, the formats of dates that arrive as text, or is ``ELECT``: then they are found in one
+    pass over a source's text dates (see ``operators.formats``) when it is first asked for. With ``sale_buckets`` sales lie in
     that many buckets of their key.
     """
-    known = formats or {}
-    dated = lambda source: known.get(source, ())
+    @cache
+    def dated(source: str) -> tuple[str, ...]:
+        if formats != ELECT:
+            return (formats or {}).get(source, ())
+        dates = DATES.get(source) or tuple(n for n in raw[source].columns if n.startswith("dt"))
+        found = source_formats(raw[source], dates)
+        if source == "leads" and "lead_corrections" in raw:
+            found = tuple(dict.fromkeys([*found, *source_formats(raw["lead_corrections"], dates)]))
+        return found
+
     channels = cache(lambda: clean.channel_map(raw["channel_map"]))
 
     def checked(source: str, df: DataFrame) -> DataFrame:
@@ -280,7 +296,7 @@ def publish_tables(spark: SparkSession, tables: dict[str, DataFrame], database:
 
 def prepare(
     spark: SparkSession, raw: Mapping[str, DataFrame], folder: str, by_date: bool = False,
-    formats: dict[str, tuple[str, ...]] | None = None, run: str = "", resume: bool = False, sale_buckets: int = 0,
+    formats: dict[str, tuple[str, ...]] | str | None = None, run: str = "", resume: bool = False, sale_buckets: int = 0,
 ) -> tuple[Tables, Tables]:
     """Silver and gold tables under ``folder``, none of them written before it is asked for.
 
@@ -297,13 +313,13 @@ def prepare(
 
 def full_refresh(
     spark: SparkSession, raw: Mapping[str, DataFrame], folder: str, database: str | None = None,
-    block_on_fail: bool = False, by_date: bool = False, formats: dict[str, tuple[str, ...]] | None = None,
+    block_on_fail: bool = False, by_date: bool = False, formats: dict[str, tuple[str, ...]] | str | None = None,
     run: str = "", resume: bool = False, sale_buckets: int = 0,
 ) -> Refresh:
     """Raw feeds to audited tables under ``folder``; published when a database is named.
 
     ``block_on_fail`` keeps a run with failed checks from being published.  ``formats``
-    names, by source, the formats of dates that arrive as text.  All runs of a database share one ``folder``; ``run``
+    names, by source, the formats of dates that arrive as text, or has them elected (``ELECT``).  All runs of a database share one ``folder``; ``run``
     names this one, and with ``resume`` a restart under the same name goes on where it ended.  Sales beyond any
     broadcast are best dealt in ``sale_buckets``, some hundred MB each: then the sales fact moves no row.
     """
