@@ -7,42 +7,43 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from starlot.functions.scalars import col
-from starlot.session import materialise, setting, shared_folder
-
-ONE_TASK_SETTING = "starlot.keys.maxRowsInOneTask"
-MAX_ROWS_IN_ONE_TASK = 200_000
+from starlot.session import materialise, shared_folder
 
 
 def first_appearance(df: DataFrame, values: list[str], order: list[str]) -> DataFrame:
-    """Distinct members with the smallest position at which each occurs.
-
-    Written to the shared folder, since numbering reads the members more than once
-    while what they come from may be the largest table of all.
-    """
+    """Distinct members with the smallest ``__position`` at which each occurs."""
     position = F.struct(*[col(n) for n in order]) if order else F.struct(*[col(n) for n in values])
-    members = df.groupBy(*[col(v) for v in values]).agg(F.min(position).alias("__position"))
-    return materialise(members, shared_folder(df.sparkSession, "members"))
+    return df.groupBy(*[col(v) for v in values]).agg(F.min(position).alias("__position"))
+
+
+def one_after_another(*members: DataFrame) -> DataFrame:
+    """Members of several sources as one: those of an earlier source come first, each by its place there."""
+    kinds = [m.schema["__position"].dataType for m in members]
+    parts = []
+    for i, one in enumerate(members):
+        places = [col("__position") if j == i else F.lit(None).cast(kind) for j, kind in enumerate(kinds)]
+        position = F.struct(F.lit(i).alias("source"), *[p.alias(f"place{j}") for j, p in enumerate(places)])
+        parts.append(one.withColumn("__position", position))
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part)
+    values = [n for n in whole.columns if n != "__position"]
+    return whole.groupBy(*[col(v) for v in values]).agg(F.min("__position").alias("__position"))
 
 
 def dense_keys(members: DataFrame, out: str, tie: list[str], start: int = 1, kind: str = "bigint") -> DataFrame:
-    """Number written members ``start, start+1, ...`` by ``__position``, which is then dropped.
+    """Number members ``start, start+1, ...`` by ``__position``, which is then dropped.
 
-    Up to a counted bound one task numbers them all.  Beyond it, members are dealt out by
-    ranges of their position, sorted and written with range and place in it; a key is the
-    place plus the sizes of the ranges before.  There are as many ranges as the shuffle has
-    partitions, so the work of a task does not grow with the number of members.
+    Members are dealt out by ranges of their position, sorted, and written once with range and place in it;
+    a key is the place plus the sizes of the ranges before, which one aggregate counts exactly.  There are as many ranges as the shuffle has
+    partitions, so the work of a task does not grow with the number of members; few members are one range.
     """
-    spark = members.sparkSession
     ranked = members.withColumn("__at", F.struct("__position", *[col(t) for t in tie]))
-    if members.count() <= setting(spark, ONE_TASK_SETTING, MAX_ROWS_IN_ONE_TASK):
-        number = F.row_number().over(Window.orderBy("__at")) + F.lit(start - 1)
-        return ranked.withColumn(out, number.cast(kind)).drop("__at", "__position")
-
     placed = ranked.repartitionByRange("__at").sortWithinPartitions("__at").withColumn("__id", F.monotonically_increasing_id())
     # The id holds the partition above bit 33 and the row's place below.
     written = materialise(
         placed.withColumns({"__range": F.shiftright("__id", 33), "__place": F.col("__id").bitwiseAND(F.lit((1 << 33) - 1))}).drop("__at", "__position", "__id"),
-        shared_folder(spark, "ranges"),
+        shared_folder(members.sparkSession, "ranges"),
     )
     sizes = written.groupBy("__range").agg(F.count(F.lit(1)).alias("__n"))
     # One row a range here, so one small task and a small broadcast.

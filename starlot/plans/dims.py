@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from starlot.functions.scalars import UNKNOWN, col
 from starlot.functions.text import normalise_text
 from starlot.operators.calendar import CALENDAR_END, CALENDAR_START, date_spine, with_calendar
-from starlot.operators.keys import dense_keys, first_appearance, surrogate_keys
+from starlot.operators.keys import dense_keys, first_appearance, one_after_another, surrogate_keys
 from starlot.operators.lookup import unknown_member
 from starlot.operators.temporal import months_of_periods
 
@@ -24,14 +24,11 @@ def channel_dim(
 
     Each source is scanned once and reduced to its distinct channels.
     """
-
-    first = first_appearance(leads.dropna(subset=["canal"]), ["canal"], lead_order or [])
-    # Reduced to members first: few channels would put all sales into few tasks of a join.
-    members = first_appearance(sale_channels.dropna(subset=["canal"]), ["canal"], sale_order or [])
-    more = members.join(first.select("canal"), "canal", "left_anti")
-    numbered = dense_keys(first, "id_canal", ["canal"], kind="int")
-    later = dense_keys(more, "id_canal", ["canal"], start=first.count() + 1, kind="int")
-    return numbered.unionByName(later).select("canal", "id_canal")
+    members = one_after_another(
+        first_appearance(leads.dropna(subset=["canal"]), ["canal"], lead_order or []),
+        first_appearance(sale_channels.dropna(subset=["canal"]), ["canal"], sale_order or []),
+    )
+    return dense_keys(members, "id_canal", ["canal"], kind="int").select("canal", "id_canal")
 
 
 def calendar_dim(spark: SparkSession, start: str = CALENDAR_START, end: str = CALENDAR_END) -> DataFrame:

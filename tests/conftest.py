@@ -31,7 +31,6 @@ def small_limits(spark):
     keys = {
         "starlot.broadcast.maxRows": "0",
         "starlot.periods.maxRows": "0",
-        "starlot.keys.maxRowsInOneTask": "3",
     }
     for key, value in keys.items():
         spark.conf.set(key, value)

@@ -129,11 +129,11 @@ def test_a_run_is_taken_up_where_its_driver_died(spark, tmp_path, monkeypatch):
     built, save = [], refresh.save_counted
 
     def dies_after(limit):
-        def counted(df, path, metrics=None):
+        def counted(df, path, *more):
             if len(built) == limit:
                 raise KeyboardInterrupt
             built.append(path)
-            return save(df, path, metrics)
+            return save(df, path, *more)
 
         monkeypatch.setattr(refresh, "save_counted", counted)
 
