@@ -334,16 +334,14 @@ def quality_report(spark, d):
     conformed, star = refreshed(spark, d)
     orders = table(spark, d, "orders").agg(F.min("o_orderdate").alias("a"), F.max("o_orderdate").alias("b")).first()
     span = str(orders["a"].date()), str(orders["b"].date())
-    for name in ("dim_veiculos", "fato_vendas", "fato_custos_canal"):
-        star[name]
+    star.fetch("fato_vendas", "dim_veiculos", "fato_custos_canal")
     calendar = quality.quality_report({"dim_data": dims.calendar_dim(spark, *span)}, calendar_range=span)
     return quality.observed_report(spark, star.saved, conformed.counts["vendas"]).unionByName(calendar)
 
 
 def match_rates(spark, d):
     star = refreshed(spark, d)[1]
-    for name in quality.RATED:
-        star[name]
+    star.fetch(*quality.RATED)
     return quality.observed_rates(spark, star.saved)
 
 
@@ -360,11 +358,9 @@ def publish_reconcile(spark, d):
     """Facts of a run, rows and content compared with what was seen when they were written, then published as views."""
     folder, run = shared_folder(spark, "refresh"), uuid.uuid4().hex
     star = prepare(spark, roles.all_feeds(spark, d), folder, run=run)[1]
-    saved = {}
-    for name in ("fato_vendas", "fato_agendamentos"):
-        star[name]
-        saved[name] = star.saved[name]
-    return publish(spark, f"gold_{run}", f"{folder}/gold", run, saved)
+    published = ("fato_vendas", "fato_agendamentos")
+    star.fetch(*published)
+    return publish(spark, f"gold_{run}", f"{folder}/gold", run, {name: star.saved[name] for name in published})
 
 
 def full_star(spark, d):

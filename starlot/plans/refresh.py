@@ -11,7 +11,9 @@ import hashlib
 import json
 import uuid
 from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from functools import cache
+from threading import RLock
 from typing import NamedTuple
 from urllib.parse import unquote
 
@@ -29,7 +31,7 @@ from starlot.plans.schemas import FACT_APPOINTMENTS, TABLES
 from starlot.sources import feeds as clean
 from starlot.sources.contracts import COMMISSIONS, FINANCING
 from starlot.sources.scan import read_saved
-from starlot.session import bucketed_table
+from starlot.session import bucketed_table, setting
 from starlot.sources.sinks import (
     RUN_PREFIX, Saved, content_columns, reconcile, refresh_table, run_path, run_view, save_counted, switch_run,
 )
@@ -48,6 +50,21 @@ class Refresh(NamedTuple):
     conflicts: DataFrame
 
 
+AT_ONCE_SETTING = "starlot.refresh.atOnce"
+AT_ONCE = 4
+
+
+def once(make: Callable) -> Callable:
+    """``make`` called once for each argument, also if several threads ask."""
+    lock, known = RLock(), cache(make)
+
+    def get(*args):
+        with lock:
+            return known(*args)
+
+    return get
+
+
 class Tables:
     """Tables by name; each is computed, written and read back when first asked for.
 
@@ -65,6 +82,7 @@ class Tables:
         self.buckets = buckets or {}
         self.saved: dict[str, Saved] = {}
         self._done: dict[str, DataFrame] = {}
+        self._locks = {name: RLock() for name in builders}
         self._noted = finished_tables(spark, state, inputs) if state else {}
 
     @property
@@ -72,6 +90,19 @@ class Tables:
         return {name: seen.rows for name, seen in self.saved.items()}
 
     def __getitem__(self, name: str) -> DataFrame:
+        with self._locks[name]:
+            return self._table(name)
+
+    def fetch(self, *names: str) -> None:
+        """Build several tables at a time: most are too small to fill a cluster by themselves.
+
+        Each is still built once, by whoever asks for it first; tables depend on each other without a circle, so nobody waits for ever.
+        """
+        with ThreadPoolExecutor(setting(self.spark, AT_ONCE_SETTING, AT_ONCE)) as pool:
+            for _ in pool.map(self.__getitem__, names):
+                pass
+
+    def _table(self, name: str) -> DataFrame:
         if name not in self._done:
             path = self.place(name)
             table = None
@@ -95,13 +126,14 @@ NOTES = "table_name string, row_count bigint, content string, metrics string, in
 def _note(spark: SparkSession, state: str, name: str, seen: Saved, inputs: str) -> None:
     """One row in one new file, written after the table: a table without it is built anew."""
     row = spark.createDataFrame([(name, *seen[:2], json.dumps(seen.metrics), inputs)], NOTES.removesuffix(", at timestamp"))
-    row.withColumn("at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(state)
+    # A folder of its own, as tables are noted side by side and a writer clears what it finds half done in its folder.
+    row.withColumn("at", F.current_timestamp()).coalesce(1).write.parquet(f"{state}/{name}/{uuid.uuid4().hex}")
 
 
 def finished_tables(spark: SparkSession, state: str, inputs: str) -> dict[str, Saved]:
     """Tables noted in ``state`` as built last from the inputs of this fingerprint; a row a table."""
     try:
-        notes = spark.read.schema(NOTES).parquet(state)
+        notes = spark.read.schema(NOTES).option("recursiveFileLookup", "true").parquet(state)
     except AnalysisException:
         return {}
     last = notes.groupBy("table_name").agg(F.max_by(F.struct("row_count", "content", "metrics", "inputs"), "at").alias("note"))
@@ -150,7 +182,7 @@ def conform_feeds(
     pass over a source's text dates (see ``operators.formats``) when it is first asked for. With ``sale_buckets`` sales lie in
     that many buckets of their key.
     """
-    @cache
+    @once
     def dated(source: str) -> tuple[str, ...]:
         if formats != ELECT:
             return (formats or {}).get(source, ())
@@ -160,7 +192,7 @@ def conform_feeds(
             found = tuple(dict.fromkeys([*found, *source_formats(raw["lead_corrections"], dates)]))
         return found
 
-    channels = cache(lambda: clean.channel_map(raw["channel_map"]))
+    channels = once(lambda: clean.channel_map(raw["channel_map"]))
 
     def checked(source: str, df: DataFrame) -> DataFrame:
         name = NEEDED_DATES[source]
@@ -200,13 +232,24 @@ def build_star(
     """All thirteen tables, each written as ``run`` below ``gold`` when it is asked for, what it needs before it."""
     spark = seller_codes.sparkSession
     order = clean.arrival
-    channels = cache(lambda: as_side(star["dim_canal"], stored=True))
-    sellers = cache(lambda: facts.seller_sides(star["dim_vendedores"], silver["hist_vendedor_loja"], clean.seller_map(seller_codes), by_date))
+    channels = once(lambda: as_side(star["dim_canal"], stored=True))
+    sellers = once(lambda: facts.seller_sides(star["dim_vendedores"], silver["hist_vendedor_loja"], clean.seller_map(seller_codes), by_date))
     run = run or uuid.uuid4().hex
+
+    def after(names: tuple[str, ...], build: Callable[[], DataFrame]) -> Callable[[], DataFrame]:
+        """``build`` with the silver tables behind it built side by side first."""
+        def built() -> DataFrame:
+            if isinstance(silver, Tables):
+                silver.fetch(*names)
+            return build()
+
+        return built
+
+    who = ("usuarios", "hist_vendedor_loja")
     star = Tables(spark, lambda name: run_path(gold, name, run), {
-        "dim_canal": lambda: dims.channel_dim(
+        "dim_canal": after(("leads", "canais"), lambda: dims.channel_dim(
             silver["leads"], silver["canais"], order(silver["leads"], "id"), order(silver["canais"], "codigo")
-        ),
+        )),
         "dim_data": lambda: dims.calendar_dim(spark),
         "dim_vendedores": lambda: dims.seller_dim(silver["usuarios"]),
         "dim_lojas": lambda: dims.store_dim(silver["hist_vendedor_loja"]),
@@ -216,23 +259,27 @@ def build_star(
             silver["hist_vendedor_loja"], order(silver["hist_vendedor_loja"], "data_inicio")
         ),
         # Not published: appointments with their order, from which a lead takes its owner.
-        "_agendamentos": lambda: facts.appointments_seen(silver["agendamentos"], channels(), sellers()),
+        "_agendamentos": after(
+            ("agendamentos", "leads", "canais", *who), lambda: facts.appointments_seen(silver["agendamentos"], channels(), sellers())
+        ),
         "fato_agendamentos": lambda: conform_to(star["_agendamentos"], FACT_APPOINTMENTS),
         "fato_leads": lambda: facts.leads_fact(
             silver["leads"], channels(), as_side(star["dim_estagio"], stored=True), sellers(), star["_agendamentos"],
             None if links is None else clean.conform_links(links), order(star["_agendamentos"], "id"),
         ),
         # Not published: what is known of each sale, so that a sale meets it all in one join.
-        "_vendas": lambda: facts.sale_details(
+        "_vendas": after(("vendas", "comissoes", "retorno", "leads", "canais", "veiculos"), lambda: facts.sale_details(
             silver["vendas"], facts.sale_attributes(silver["canais"], star["dim_veiculos"], silver["comissoes"]), channels(),
             as_side(silver["retorno"], stored=True),
-        ),
+        )),
         "fato_vendas": lambda: facts.sales_fact(silver["vendas"], as_side(star["_vendas"], stored=True), sellers()),
         "fato_meta_vendedor": lambda: facts.seller_targets_fact(
             silver["meta_vendedor"], as_side(star["dim_vendedor_periodo"], stored=True)
         ),
         "fato_meta_loja": lambda: facts.store_targets_fact(silver["meta_loja"]),
-        "fato_custos_canal": lambda: facts.channel_costs_fact(silver["custos_canal"], channels()),
+        "fato_custos_canal": after(
+            ("custos_canal", "leads", "canais"), lambda: facts.channel_costs_fact(silver["custos_canal"], channels())
+        ),
     }, state, inputs, {"_vendas": (sale_buckets, facts.SALE_KEY)} if sale_buckets else None)
     return star
 
@@ -327,8 +374,8 @@ def full_refresh(
         raise ValueError("a run that can be resumed has to be named")
     run = run or uuid.uuid4().hex
     silver, star = prepare(spark, raw, folder, by_date, formats, run, resume, sale_buckets)
-    for name in silver:
-        silver[name]
+    silver.fetch(*silver)
+    star.fetch(*TABLES)
     tables = {name: star[name] for name in TABLES}
     saved = {name: star.saved[name] for name in TABLES}
     # Conforming sales adds columns only, so the rows counted on writing are the raw ones.

@@ -91,9 +91,12 @@ def current_run(spark: SparkSession, root: str) -> str | None:
 
 
 def switch_run(spark: SparkSession, root: str, run: str) -> None:
-    """Let all views below ``root`` read ``run``: one row in one new file of the manifest, which is there or not."""
+    """Let all views below ``root`` read ``run``: one row in one new file of the manifest, which is there or not.
+
+    The file has a folder of its own, so that publishers do not meet; the latest row counts.
+    """
     row = spark.range(1, numPartitions=1).select(F.lit(RUN_PREFIX + run).alias(RUN), F.current_timestamp().alias("at"))
-    row.write.mode("append").parquet(f"{root.rstrip('/')}/{MANIFEST}")
+    row.write.parquet(f"{root.rstrip('/')}/{MANIFEST}/entry=e-{uuid.uuid4().hex}")
 
 
 def run_view(spark: SparkSession, view: str, root: str, name: str, columns: list[str]) -> bool:

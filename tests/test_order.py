@@ -1,6 +1,7 @@
 """What stands first in a file wins, also where it is not the smallest value."""
 
 from datetime import datetime
+from threading import Lock
 
 import pytest
 from pyspark.sql import functions as F
@@ -126,13 +127,14 @@ def test_a_failed_publish_leaves_all_views_on_the_run_before(spark, tmp_path):
 
 def test_a_run_is_taken_up_where_its_driver_died(spark, tmp_path, monkeypatch):
     raw, out = landed(spark, str(tmp_path / "in"), "parquet"), str(tmp_path / "out")
-    built, save = [], refresh.save_counted
+    built, save, lock = [], refresh.save_counted, Lock()
 
     def dies_after(limit):
         def counted(df, path, *more):
-            if len(built) == limit:
-                raise KeyboardInterrupt
-            built.append(path)
+            with lock:
+                if len(built) == limit:
+                    raise KeyboardInterrupt
+                built.append(path)
             return save(df, path, *more)
 
         monkeypatch.setattr(refresh, "save_counted", counted)
