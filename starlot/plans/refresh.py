@@ -127,7 +127,7 @@ def _note(spark: SparkSession, state: str, name: str, seen: Saved, inputs: str)
     """One row in one new file, written after the table: a table without it is built anew."""
     row = spark.createDataFrame([(name, *seen[:2], json.dumps(seen.metrics), inputs)], NOTES.removesuffix(", at timestamp"))
     # A folder of its own, as tables are noted side by side and a writer clears what it finds half done in its folder.
-    row.withColumn("at", F.current_timestamp()).coalesce(1).write.parquet(f"{state}/{name}/{uuid.uuid4().hex}")
+    row.withColumn("at", F.current_timestamp()).coalesce(1).write.parquet(f"{state}/note-{name}-{uuid.uuid4().hex}")
 
 
 def finished_tables(spark: SparkSession, state: str, inputs: str) -> dict[str, Saved]:
