@@ -40,7 +40,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starlot.llm.common import let, packed, text_or_empty, unpacked, windows
+from starlot.llm.common import packed, text_or_empty, unpacked, windows
 from starlot.session import materialise, shared_folder
 
 WORDS = 5
