@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from starlot.functions.scalars import UNKNOWN, col
 from starlot.functions.text import normalise_text
