@@ -13,14 +13,15 @@ from pyspark.sql import types as T
 
 from starlot.functions.text import normalise_headers
 from starlot.sources.contracts import LANDING_STEMS, OPTIONAL, RENAMES, REQUIRED, require_columns
+from starlot.sources.layouts import group_files
 
 FILE, BLOCK, ROW = "_file", "_block", "_row"
 # Single files whose rows compete by their place.
 ORDERED = {"leads", "lead_corrections", "lead_links", "appointments", "history", "stock_brands"}
 
 
-def list_files(spark: SparkSession, pattern: str) -> list[str]:
-    """Files, or folders of part files, that match, in name order."""
+def find_files(spark: SparkSession, pattern: str) -> list[tuple[str, str]]:
+    """Files, or folders of part files, that match, in name order, each with its first file."""
     name = pattern.rstrip("/").rsplit("/", 1)[-1]
     match = re.sub(r"\\\*", "[^/]*", re.escape(name)).replace(r"\[", "[").replace(r"\]", "]").replace(r"\-", "-")
     try:
@@ -28,8 +29,13 @@ def list_files(spark: SparkSession, pattern: str) -> list[str]:
     except AnalysisException:
         return []
     # Only the path is asked for, so no file is read.
-    paths = found.select(F.regexp_extract("path", f"^(.*?/{match})(/.*)?$", 1).alias("path")).distinct()
-    return sorted(row["path"] for row in paths.collect())
+    named = found.select(F.regexp_extract("path", f"^(.*?/{match})(/.*)?$", 1).alias("name"), "path")
+    return sorted((row["name"], row["leaf"]) for row in named.groupBy("name").agg(F.min("path").alias("leaf")).collect())
+
+
+def list_files(spark: SparkSession, pattern: str) -> list[str]:
+    """Files, or folders of part files, that match, in name order."""
+    return [path for path, _ in find_files(spark, pattern)]
 
 
 def read_file(
@@ -57,21 +63,23 @@ def read_file(
 
 def read_yearly(
     spark: SparkSession, pattern: str, source: str, fmt: str = "parquet",
-    rename: dict[str, str] | None = None, required: list[str] | None = None, **options: str,
+    rename: dict[str, str] | None = None, required: list[str] | None = None,
+    found: list[tuple[str, str]] | None = None, **options: str,
 ) -> DataFrame:
     """All files of a yearly set as one table, with their order as ``_file``, ``_block`` and ``_row``.
 
-    Headers are normalised and the contract is checked per file.  Files with the same
-    columns go into one scan; a union joins only the differing layouts, so its width
-    does not grow with the number of years.
+    Headers are normalised and the contract is checked per layout.  Executors tell which
+    files have the same columns; these go into one scan, and a union joins only the
+    differing layouts, so neither jobs nor its width grow with the number of files.
+    ``found`` is what ``find_files`` gave for the pattern, where the caller has it.
     """
-    files = list_files(spark, pattern)
-    if not files:
+    found = find_files(spark, pattern) if found is None else found
+    if not found:
         raise FileNotFoundError(f"{source}: no file matches {pattern}")
     needed = REQUIRED.get(source, []) if required is None else required
     layouts: dict[str, list[str]] = {}
-    for path in files:
-        layouts.setdefault(read_file(spark, path, fmt, **options).schema.json(), []).append(path)
+    for paths in group_files(spark, found, fmt, options):
+        layouts.setdefault(read_file(spark, paths[0], fmt, **options).schema.json(), []).extend(paths)
     parts = []
     for layout, paths in layouts.items():
         schema = T.StructType.fromJson(json.loads(layout))
@@ -98,12 +106,13 @@ def read_landing(
     feeds = {}
     for source, stem in {**LANDING_STEMS, **(stems or {})}.items():
         pattern = f"{folder.rstrip('/')}/{stem}.{fmt}"
-        if not list_files(spark, pattern):
+        found = find_files(spark, pattern)
+        if not found:
             if source in OPTIONAL:
                 continue
             raise FileNotFoundError(f"{source}: no file matches {pattern}")
         if "*" in stem:
-            feeds[source] = read_yearly(spark, pattern, source, fmt, **options)
+            feeds[source] = read_yearly(spark, pattern, source, fmt, found=found, **options)
         elif source == "channel_costs":
             feeds[source] = read_file(spark, pattern, fmt, **options)
         else:

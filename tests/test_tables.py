@@ -242,6 +242,53 @@ def test_yearly_order_and_layouts(spark, tmp_path):
     assert read.count() == 5 and read.columns == ["codigo", "canal", "_file", "_block", "_row", "extra"]
 
 
+def _jobs(spark, run):
+    spark.sparkContext.setJobGroup("counted", "")
+    before = len(spark.sparkContext.statusTracker().getJobIdsForGroup("counted"))
+    out = run()
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("counted")) - before
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return out, jobs
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "csv"])
+def test_yearly_jobs_do_not_grow_with_files(spark, tmp_path, fmt):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    def write_one(folder, k):
+        extra = k % 7 == 3
+        if fmt == "csv":
+            (folder / f"Canais {k:04}.csv").write_text("Código,Canal" + (",extra" if extra else "") + f"\n{k},c{k}" + (",1" if extra else "") + "\n")
+        else:
+            cols = {"Código": pa.array([k], pa.int32() if k % 5 == 4 else pa.int64()), "Canal": [f"c{k}"], **({"extra": [1]} if extra else {})}
+            pq.write_table(pa.table(cols), folder / f"Canais {k:04}.parquet")
+
+    jobs = {}
+    for n in (30, 300):
+        folder = tmp_path / str(n)
+        folder.mkdir()
+        for k in range(n):
+            write_one(folder, k)
+        read, jobs[n] = _jobs(spark, lambda: read_yearly(spark, f"{folder}/Canais*.{fmt}", "sale_channels", fmt))
+        got = read.selectExpr("cast(codigo as int) codigo", "canal", "cast(extra as int) extra", "_file").orderBy("codigo").collect()
+        assert [(r.codigo, r.canal, r.extra) for r in got] == [(k, f"c{k}", 1 if k % 7 == 3 else None) for k in range(n)]
+        assert all(f"{r.codigo:04}" in r["_file"] for r in got)
+    # Listing of many paths is a job of Spark's own; each of the layouts asks for its schema once.
+    assert jobs[300] <= jobs[30] + 6 and jobs[300] <= 20
+
+
+def test_unreadable_heads_are_left_to_spark(spark, tmp_path):
+    from starlot.sources import layouts
+
+    for year, text in ((2021, 'codigo,"can\nal"\n'), (2022, "codigo,canal\n1,x\n"), (2023, ""), (2024, "\ncodigo,canal\n2,y\n")):
+        (tmp_path / f"c_{year}.csv").write_text(text)
+    found = [(f"{tmp_path}/c_{y}.csv",) * 2 for y in (2021, 2022, 2023, 2024)]
+    assert [[p[-8:-4] for p in g] for g in layouts.group_files(spark, found, "csv", {})] == [["2021"], ["2022", "2024"], ["2023"]]
+    assert len(layouts.group_files(spark, found, "csv", {"inferSchema": "true"})) == 4
+    assert len(layouts.group_files(spark, [(p, "nostore://x/y") for p, _ in found], "csv", {})) == 4
+
+
 def test_sinks(spark, tmp_path):
     df = spark.range(10).selectExpr("id", "cast(id as string) as t", "if(id = 3, null, id / 7) as x")
     seen = save_counted(df, f"{tmp_path}/a", [F.max("id").alias("last")])
