@@ -4,9 +4,11 @@ Each document is its token ids and an end id; a source's documents stand one beh
 queue. Rounds visit the queues in order of their names; a queue's quantum is its target share of a
 window, a fraction of tokens in general. What a round may not send yet, the fraction, is carried as
 the queue's deficit, so after ``t`` rounds a queue of quantum ``q`` has sent ``floor(t * q)`` tokens
-or, at its end, all it has. The stream of all rounds is cut at every ``width`` tokens; windows are
-filled to the target proportions, within as many tokens as there are sources, as long as the
-queues last, and only the last window is short.
+or, at its end, all it has. A queue whose quantum is below ``step`` tokens saves its deficit until a step is
+full, ``floor(t * q / step) * step``, so that documents are not ground to pieces of a few tokens. The stream of
+all rounds is cut at every ``width`` tokens; windows are filled to the target proportions as long as the queues
+last, within as many tokens as there are sources and a step for each queue that saves, never more than
+that behind over any number of windows. Only the last window is short.
 
 What a queue has sent by any round is a formula, so every task knows the deficits at its first
 document without the tasks before it: the state carried over windows and partitions is the number
@@ -118,36 +120,38 @@ def shares(totals: dict[str, int], targets: dict[str, float] | None) -> np.ndarr
     return out
 
 
-def _sent(t: np.ndarray, share: np.ndarray, unit: int, total: np.ndarray) -> np.ndarray:
-    """Tokens each queue has sent after ``t`` rounds: (rounds x queues)."""
-    return np.minimum(total[None, :], t[:, None] * share[None, :] // unit)
+def _sent(t: np.ndarray, share: np.ndarray, unit: int, total: np.ndarray, saved: np.ndarray) -> np.ndarray:
+    """Tokens each queue has sent after ``t`` rounds, in whole multiples of what it saves: (rounds x queues)."""
+    due = t[:, None] * share[None, :] // unit
+    return np.minimum(total[None, :], due - due % saved[None, :])
 
 
-def schedule(begin: np.ndarray, n: np.ndarray, queue: np.ndarray, share: np.ndarray, total: np.ndarray, width: int):
+def schedule(begin: np.ndarray, n: np.ndarray, queue: np.ndarray, share: np.ndarray, total: np.ndarray, width: int, step: int = 1):
     """Pieces of documents at ``begin`` .. ``begin + n`` of their queues: (document, from, length, stream position)."""
     docs, froms, sizes, places = [], [], [], []
     # A quantum is share / unit tokens, in lowest terms to keep products within 64 bits.
     common = math.gcd(UNIT, width)
     share, unit = share * (width // common), UNIT // common
-    own = share[queue]
+    saved = np.where(share < unit * step, step, 1)
+    own, size = share[queue], saved[queue]
     # The round that sends token x of a queue is the first t with t * share // unit > x.
     first, last = (-(-((x + 1) * unit) // own) for x in (begin, begin + n - 1))
-    by_token = own < unit
-    steps = np.where(by_token, n, last - first + 1)
+    by_step = own < unit * step
+    steps = np.where(by_step, (begin + n - 1) // size - begin // size + 1, last - first + 1)
     at = np.repeat(np.arange(len(n)), steps)
-    step = np.arange(int(steps.sum())) - np.repeat(np.cumsum(steps) - steps, steps)
-    token = begin[at] + step
-    t = np.where(by_token[at], -(-((token + 1) * unit) // own[at]), first[at] + step)
+    nth = np.arange(int(steps.sum())) - np.repeat(np.cumsum(steps) - steps, steps)
+    # A queue that saves sends one step a round at most; the step from token x on is due once x + step tokens are.
+    token = (begin[at] // size[at] + nth) * size[at]
+    t = np.where(by_step[at], -(-((token + size[at]) * unit) // own[at]), first[at] + nth)
     rows = max(1, 2_000_000 // max(1, len(share)))
     for i in range(0, len(at), rows):
         a, r = at[i:i + rows], t[i:i + rows]
         k = queue[a]
-        before, after = _sent(r - 1, share, unit, total), _sent(r, share, unit, total)
+        before, after = _sent(r - 1, share, unit, total, saved), _sent(r, share, unit, total, saved)
         line = np.arange(len(a))
         sent = np.cumsum(after - before, axis=1) - (after - before)
         mine, upto = before[line, k], after[line, k]
-        lo = np.where(by_token[a], token[i:i + rows], np.maximum(mine, begin[a]))
-        hi = np.where(by_token[a], token[i:i + rows] + 1, np.minimum(upto, begin[a] + n[a]))
+        lo, hi = np.maximum(mine, begin[a]), np.minimum(upto, begin[a] + n[a])
         place = before.sum(axis=1) + sent[line, k] + (lo - mine)
         some = hi > lo
         docs.append(a[some])
@@ -165,7 +169,7 @@ def schedule(begin: np.ndarray, n: np.ndarray, queue: np.ndarray, share: np.ndar
     return d[order], f[order], s[order], p[order]
 
 
-def _packed(names: list[str], share: np.ndarray, total: np.ndarray, width: int):
+def _packed(names: list[str], share: np.ndarray, total: np.ndarray, width: int, step: int):
     number = {q: k for k, q in enumerate(names)}
 
     def run(batches):
@@ -177,7 +181,7 @@ def _packed(names: list[str], share: np.ndarray, total: np.ndarray, width: int):
                 if not len(b):
                     continue
                 queue = b["queue"].map(number).to_numpy()
-                d, f, s, p = schedule((b["base"] + b["before"]).to_numpy(), b["n"].to_numpy(), queue, share, total, width)
+                d, f, s, p = schedule((b["base"] + b["before"]).to_numpy(), b["n"].to_numpy(), queue, share, total, width, step)
                 ids = b["ids"].tolist()
                 cols = {c: b[c].to_numpy() for c in ("doc_id", "has_id", "queue", "n")}
                 for i in range(0, len(d), SEND_PIECES):
@@ -192,9 +196,13 @@ def _packed(names: list[str], share: np.ndarray, total: np.ndarray, width: int):
 
 def pack(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", targets: dict[str, float] | None = None,
-    vocabulary: str | None = None, end_id: int = 0, width: int = WIDTH,
+    vocabulary: str | None = None, end_id: int = 0, width: int = WIDTH, step: int | None = None,
 ) -> DataFrame:
-    """One row a piece: ``(doc_id, queue, start, length, doc_tokens, sequence_id, offset, ids)``; ids are little-endian unsigned 32 bits."""
+    """One row a piece: ``(doc_id, queue, start, length, doc_tokens, sequence_id, offset, ids)``; ids are little-endian unsigned 32 bits.
+
+    ``step`` is a sixteenth of ``width`` unless given; 1 follows the proportions to the token.
+    """
+    step = max(1, width // 16) if step is None else step
     folder = shared_folder(docs.sparkSession, "packing")
     tokens = write_tokens(docs, folder, doc_id, text, source, vocabulary or vocabulary_path(), end_id, width)
     sums = tokens.groupBy("queue", "part").agg(F.sum("n").alias("n"))
@@ -208,7 +216,7 @@ def pack(
     bases = sums.select(F.col("queue").alias("b_queue"), F.col("part").alias("b_part"), F.coalesce(F.sum("n").over(order), F.lit(0)).alias("base"))
     bases = F.broadcast(bases) if bases.count() <= BROADCAST_ROWS else bases
     placed = tokens.join(bases, (F.col("queue") == F.col("b_queue")) & (F.col("part") == F.col("b_part"))).drop("b_queue", "b_part")
-    run = _packed(names, shares(totals, targets), np.array([totals[q] for q in names], dtype=np.int64), width)
+    run = _packed(names, shares(totals, targets), np.array([totals[q] for q in names], dtype=np.int64), width, step)
     return placed.mapInPandas(run, PIECES).withColumn("doc_id", F.when(F.col("has_id"), F.col("doc_id"))).drop("has_id")
 
 

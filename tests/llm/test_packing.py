@@ -100,6 +100,47 @@ def test_schedule_is_deficit_round_robin():
         assert s.sum() == n.sum()
 
 
+@pytest.mark.parametrize("step", [3, 16])
+def test_small_queues_save_their_deficits(step):
+    """Against queues that carry their deficit until a step is full."""
+    rnd = random.Random(step)
+    total = np.array([9000, 400, 35, 1, 700, 90], dtype=np.int64)
+    share = packing.shares({str(k): int(n) for k, n in enumerate(total)}, None)
+    stream, sent, due, t = [], [0] * 6, [0] * 6, 0
+    while any(s < n for s, n in zip(sent, total)):
+        t += 1
+        for k in range(6):
+            least = step if int(share[k]) * 64 < step * packing.UNIT else 1
+            due[k] = t * int(share[k]) * 64 // packing.UNIT
+            n = min((due[k] - sent[k]) // least * least, int(total[k]) - sent[k])
+            if due[k] - sent[k] >= least:
+                stream += [(k, sent[k] + j) for j in range(n)]
+                sent[k] += n
+            if sent[k] + least <= total[k]:
+                assert 0 <= due[k] - sent[k] < least
+    place = {x: i for i, x in enumerate(stream)}
+    assert len(place) == total.sum()
+    for k in range(6):
+        cuts = sorted(rnd.sample(range(1, int(total[k]) + 1), min(9, int(total[k])))) + [int(total[k])]
+        begin = np.array([0] + cuts[:-1]); n = np.array(cuts) - begin  # noqa: E702
+        begin, n = begin[n > 0], n[n > 0]
+        d, f, s, p = packing.schedule(begin, n, np.full(len(n), k), share, total, 64, step)
+        for a, b, c, e in zip(d, f, s, p):
+            assert [place[k, int(begin[a] + b + j)] for j in range(c)] == list(range(e, e + c))
+        assert s.sum() == n.sum()
+
+
+def test_pieces_of_a_document_are_bounded(documents):
+    rows = [(k, prose(k, 300), "b" if k % 2 else "a") for k in range(60)] + [(100 + k, prose(k, 200), f"s{k}") for k in range(60)]
+    for targets in ({"a": 1.0}, None):
+        pieces = packing.pack(documents(rows), targets=targets).collect()
+        by, _ = whole(pieces)
+        n = Counter(r.doc_id for r in pieces)
+        # A step may be cut by a document's ends and by a window's.
+        assert all(n[r.doc_id] <= r.doc_tokens / 64 * 2 + 3 for r in pieces)
+        assert all(b"".join(x for _, x in sorted(by[k])) == tokens(text) for k, text, _ in rows)
+
+
 def test_defined_cases(documents):
     rows = [(1, None, None), (1, None, None), (2, "", "x"), (None, "a b c", "x"), (3, prose(3, 60_000), "y")]
     pieces = packing.pack(documents(rows)).collect()
