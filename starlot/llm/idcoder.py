@@ -1,19 +1,23 @@
 """Adaptive context-mixing range coder for token ids.
 
 Ids are cut into blocks, each coded on its own: the model starts afresh and the block has a checksum
-of its ids. Within a block, two tables remember which id followed the last id (order 1) and the last two
-(order 2), with a confidence each. A symbol says that the order-2 guess is right, that the order-1
-guess is, or else how many bits the id has (order 0); in the last case its lower bits follow as they
-are. The symbol's frequencies are a mix of three counts that adapt as the block goes on: of the whole
-block, of the positions with the order-1 confidence at hand, and of those with the order-2 confidence.
-A 32-bit range coder without carries codes the symbols.
-
-All blocks of a batch advance together, one id of each at a time, so a step is a few array
-operations over the blocks; decoding runs the same model. Memory is bounded by ``LANES`` blocks.
-
-Layout of a batch, little-endian: magic, number of ids, ids a block, blocks, bits of the largest id;
-then, for each block, its checksum (CRC-32 of its ids as unsigned 32 bits), the bytes of its symbols
-and the 32-bit words of its lower bits; then all symbols, then all words.
+of its ids. Three predictions are mixed for each id. Order 0 is a frequency: the batch's header tells the
+class of every id, ids of a class being about equally frequent, and an id costs its class and its number
+within the class. Order 1 and order 2 are ids, the one that followed the last id and the last two ids when
+they stood there before in the block; where the block has not met the last id yet, order 1 takes its most frequent
+follower from the header. How far each of the two is believed is a mix of two adaptive estimates, by how often
+the prediction held in its place and by how frequent the predicted id is; the mix's weight moves towards the estimate
+that did better. Order 0 has what they leave. A range coder without carries (48 bits, in words of 16) codes
+"order 2 is right", "order 1 is right" or the class; numbers within classes follow as bits of their own.
+
+All blocks of a batch advance together, one id of each at a time, so a step is a few array operations
+over the blocks; decoding runs the same model. Everything is whole numbers, so machines agree. Memory is
+bounded by ``LANES`` blocks.
+
+Layout of a batch, little-endian: magic, number of ids, ids a block, blocks, different ids, bytes of the tables;
+the tables, deflated (steps between the different ids, their classes, whether each has a follower, the followers);
+for each block its checksum (CRC-32 of its ids as unsigned 32 bits), the number of its 16-bit words and that
+of the 32-bit words of its bits; then all 16-bit words, then all 32-bit words.
 """
 
 from __future__ import annotations
@@ -24,124 +28,194 @@ import zlib
 import numpy as np
 
 # Fixed values of the format.
-MAGIC = b"SIDC0001"
-HEAD = struct.Struct("<8sQIIB")
+MAGIC = b"SIDC0002"
+HEAD = struct.Struct("<8sQIIIQ")
 BLOCK = 4096
 LANES = 4096
 
 SLOTS = (1 << 11, 1 << 12)
-STATES = 4
-GAIN = 16
-WEIGHTS = (1, 2, 3)
-AGE_EVERY = 256
-TOP, BOTTOM, MASK = np.uint64(1 << 24), np.uint64(1 << 16), np.uint64(0xFFFFFFFF)
-EIGHT, LAST = np.uint64(8), np.uint64(24)
+TRUST = 16
+# Probabilities have 16 bits, order-0 classes 12 of them; order 0 keeps at least 2 ** 12 of 2 ** 16.
+ONE, SCALE = 1 << 16, 12
+MOST = ONE - (3 << 11)
+RATE, MIX_RATE, MIX = 4, 10, 256
+CLASSES = 64
+FOLLOWS = (4, 8)
+DENSE = 1 << 22
+SPAN, TOP, BOTTOM = np.uint64((1 << 48) - 1), np.uint64(1 << 32), np.uint64(1 << 24)
+WORD, TAKEN = np.uint64(16), np.uint64(32)
+
+
+class Tables:
+    """Order 0 and the followers of a batch; ids are numbers of the batch's different ids here."""
+
+    def __init__(self, classes: np.ndarray, followers: np.ndarray):
+        self.classes = classes.astype(np.int64)
+        self.followers = followers.astype(np.int32)
+        self.size = np.bincount(self.classes, minlength=CLASSES)
+        self.first = np.cumsum(self.size) - self.size
+        self.members = np.argsort(self.classes, kind="stable")
+        self.number = np.empty(len(classes), dtype=np.int64)
+        self.number[self.members] = np.arange(len(classes)) - self.first[self.classes[self.members]]
+        # A class is worth its ids times about what each is found, 2 ** (class / 2).
+        weight = self.size * ((1 << np.arange(CLASSES) // 2) * (2 + np.arange(CLASSES) % 2))
+        exact = weight * ((1 << SCALE) - CLASSES) // max(1, int(weight.sum()))
+        width = np.where(self.size > 0, exact + 1, 0)
+        width[int(width.argmax())] += (1 << SCALE) - int(width.sum())
+        self.upto = np.concatenate([[0], np.cumsum(width)])
+        self.of = np.repeat(np.arange(CLASSES), width)
+        # Numbers of a class of n take k bits or, from 2 ** (k + 1) - n on, one more.
+        self.bits = np.array([max(1, int(n)).bit_length() - 1 for n in self.size], dtype=np.int64)
+        self.short = (2 << self.bits) - np.maximum(1, self.size)
+
+    @staticmethod
+    def fitted(at: np.ndarray, different: int) -> Tables:
+        counts = np.bincount(at, minlength=different)
+        octave = np.floor(np.log2(counts)).astype(np.int64)
+        classes = np.minimum(2 * octave + (2 * counts >= 3 << octave), CLASSES - 1)
+        followers = np.full(different, -1)
+        pairs = np.sort(at[:-1] * np.int64(different) + at[1:])
+        if len(pairs):
+            edge = np.flatnonzero(np.diff(pairs, prepend=-1))
+            n, before, after = np.diff(edge, append=len(pairs)), pairs[edge] // different, pairs[edge] % different
+            groups = np.flatnonzero(np.diff(before, prepend=-1))
+            best = np.maximum.reduceat((n << 32) | after, groups)
+            who, often = before[groups], best >> 32
+            worth = (often >= FOLLOWS[0]) & (often * FOLLOWS[1] >= counts[who])
+            followers[who[worth]] = (best & 0xFFFFFFFF)[worth]
+        return Tables(classes, followers)
 
 
 class Model:
     """State of the blocks that advance together; the same for both directions."""
 
-    def __init__(self, lanes: int, bits: int):
-        self.lane = np.arange(lanes)
-        self.symbols = bits + 3
-        self.guesses = [np.zeros(lanes * n, dtype=np.int32) for n in SLOTS]
-        self.counts = [np.ones((lanes * n, self.symbols), dtype=np.int32) for n in (1, STATES, STATES)]
+    def __init__(self, lanes: int, tables: Tables):
+        self.lane, self.tables = np.arange(lanes), tables
+        self.slots = [np.zeros(lanes * n, dtype=np.int32) for n in SLOTS]
+        self.base = [self.lane * n for n in SLOTS]
+        # How far an order is believed, by its trust and whether both agree, and by the class of its id.
+        held = (np.arange(2 * TRUST) // 2 + 1) * ONE // (np.arange(2 * TRUST) // 2 + 4)
+        self.by_trust = [np.tile(held, lanes).astype(np.int32) for _ in range(2)]
+        self.by_class = [np.full(lanes * CLASSES, ONE // 3, dtype=np.int32) for _ in range(2)]
+        self.mix = [np.full(lanes, MIX // 2, dtype=np.int32) for _ in range(2)]
         self.last = np.zeros(lanes, dtype=np.int64)
         self.before = np.zeros(lanes, dtype=np.int64)
-        self.base = [self.lane * n for n in SLOTS]
-        self.done = 0
+        self.none = np.full(lanes, -1, dtype=np.int32)
 
-    def look(self) -> np.ndarray:
-        """Cumulated frequencies of the next symbol, one row a block."""
-        one = (self.last * 40503) >> 4 & SLOTS[0] - 1
-        two = ((self.last * 40503 + self.before * 30011) >> 3) & SLOTS[1] - 1
+    def look(self) -> tuple[np.ndarray, np.ndarray]:
+        """Where order 1 begins and where order 0 begins in 2 ** 16; order 2 begins at 0."""
+        one = (self.last * 40503 >> 4) & SLOTS[0] - 1
+        two = (self.last * 40503 + self.before * 30011 >> 3) & SLOTS[1] - 1
         self.at = [self.base[0] + one, self.base[1] + two]
-        found = [g[a] for g, a in zip(self.guesses, self.at)]
-        self.guess = [f >> 4 for f in found]
-        self.trust = [f & 15 for f in found]
-        self.row = [self.lane, *(self.lane * STATES + np.minimum(t, STATES - 1) for t in self.trust)]
-        mixed = self.counts[0] * WEIGHTS[0]
-        for k in (1, 2):
-            mixed = mixed + self.counts[k][self.row[k]] * WEIGHTS[k]
-        return np.cumsum(mixed, axis=1, out=mixed)
-
-    def symbol(self, ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        out = sizes + 2
-        out = np.where((self.guess[0] == ids) & (self.trust[0] > 0), 1, out)
-        return np.where((self.guess[1] == ids) & (self.trust[1] > 0), 0, out)
-
-    def learn(self, ids: np.ndarray, symbols: np.ndarray) -> None:
-        for k in range(3):
-            self.counts[k][self.row[k], symbols] += GAIN
+        held = [s.take(a) for s, a in zip(self.slots, self.at)]
+        self.trust = [h & 15 for h in held]
+        self.own = [h >> 4 for h in held]
+        self.guess = [np.where(self.trust[0] > 0, self.own[0], self.tables.followers[self.last]), np.where(self.trust[1] > 0, self.own[1], self.none)]
+        same = self.guess[0] == self.guess[1]
+        self.row, self.kind, self.said = [], [], []
+        for k in range(2):
+            self.row.append(self.lane * (2 * TRUST) + 2 * self.trust[k] + same)
+            self.kind.append(self.lane * CLASSES + self.tables.classes[self.guess[k]])
+            a, b = self.by_trust[k].take(self.row[k]), self.by_class[k].take(self.kind[k])
+            self.said.append((a, b, (a * self.mix[k] + b * (MIX - self.mix[k])) >> 8))
+        # An order without a prediction, and order 1 where it says what order 2 does, has no share.
+        self.asked = [(self.guess[0] >= 0) & ~same, self.guess[1] >= 0]
+        first = np.where(self.asked[1], np.minimum(self.said[1][2], MOST), 0).astype(np.int64)
+        share = np.minimum((ONE - first) * self.said[0][2] >> 16, ONE - first - (1 << SCALE))
+        return first, first + np.where(self.asked[0], share, 0)
+
+    def learn(self, ids: np.ndarray) -> None:
+        hit = ids == self.guess[1]
+        for k, asked, right in ((1, self.asked[1], hit), (0, self.asked[0] & ~hit, ids == self.guess[0])):
+            a, b, _ = self.said[k]
+            truth = np.where(right, ONE - 64, 64).astype(np.int32)
+            self.by_trust[k][self.row[k]] = np.where(asked, a + ((truth - a) >> RATE), a)
+            self.by_class[k][self.kind[k]] = np.where(asked, b + ((truth - b) >> RATE), b)
+            better = np.where(right, a - b, b - a) >> MIX_RATE
+            moved = np.minimum(np.maximum(self.mix[k] + better, 16), MIX - 16)
+            self.mix[k] = np.where(asked, moved, self.mix[k])
         for k in range(2):
-            guess, trust = self.guess[k], self.trust[k]
-            right = guess == ids
+            own, trust = self.own[k], self.trust[k]
+            right = (own == ids) & (trust > 0)
             keep = right | (trust > 1)
-            trust = np.where(right, np.minimum(trust + 1, 15), np.where(trust > 1, trust >> 1, 1))
-            self.guesses[k][self.at[k]] = (np.where(keep, guess, ids) << 4) | trust
+            trust = np.where(right, np.minimum(trust + 1, TRUST - 1), np.where(trust > 1, trust >> 1, 1))
+            self.slots[k][self.at[k]] = (np.where(keep, own, ids) << 4) | trust
         self.before, self.last = self.last, ids.astype(np.int64)
-        self.done += 1
-        if self.done % AGE_EVERY == 0:
-            for c in self.counts:
-                c += 1
-                c >>= 1
 
 
-def _sizes(bits: int) -> np.ndarray:
-    """Number of bits of every id below 2 ** bits."""
-    out = np.zeros(1 << bits, dtype=np.int64)
-    for k in range(bits):
-        out[1 << k:1 << (k + 1)] = k + 1
-    return out
+def _settled(low: np.ndarray, span: np.ndarray, among: np.ndarray | None = None) -> np.ndarray:
+    """Those ``among`` the blocks that have a word to pass on; a span that has become too small ends at its word's end."""
+    a, s = (low, span) if among is None else (low[among], span[among])
+    same = (a ^ (a + s)) < TOP
+    tight = s < BOTTOM
+    if tight.any():
+        small = np.flatnonzero(tight & ~same)
+        span[small if among is None else among[small]] = (~a[small] + np.uint64(1)) & (BOTTOM - np.uint64(1))
+        same |= tight
+    found = np.flatnonzero(same)
+    return found if among is None else among[found]
+
 
+def _numbered(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different ids in ascending order, and the place among them of each id."""
+    if int(ids.max()) >= DENSE:
+        different, at = np.unique(ids, return_inverse=True)
+        return different, at.astype(np.int64)
+    different = np.flatnonzero(np.bincount(ids))
+    place = np.zeros(int(different[-1]) + 1, dtype=np.int64)
+    place[different] = np.arange(len(different))
+    return different.astype(np.uint32), place[ids]
 
-def _code(ids: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Codes (steps x blocks) ids: symbol bytes (blocks x room), their numbers, and the symbols (steps x blocks)."""
+
+def _code(ids: np.ndarray, tables: Tables) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Codes (steps x blocks) ids: 16-bit words (blocks x room), their numbers, and which ids order 0 codes."""
     steps, lanes = ids.shape
-    model, sizes = Model(lanes, bits), _sizes(bits)
-    low, span = np.zeros(lanes, dtype=np.uint64), np.full(lanes, int(MASK), dtype=np.uint64)
-    out = np.zeros((lanes, 64 + steps), dtype=np.uint8)
+    model = Model(lanes, tables)
+    low, span = np.zeros(lanes, dtype=np.uint64), np.full(lanes, SPAN)
+    # A step narrows a span to a 2 ** 16th at least, and one word more is lost where a span becomes too small.
+    out = np.zeros((lanes, 64 + steps), dtype=np.uint16)
     end = np.zeros(lanes, dtype=np.int64)
-    said = np.zeros((steps, lanes), dtype=np.int8)
-    lane = model.lane
+    plain = np.zeros((steps, lanes), dtype=bool)
     for step in range(steps):
         now = ids[step]
-        upto = model.look()
-        symbol = model.symbol(now, sizes[now])
-        high = upto[lane, symbol]
-        start = np.where(symbol > 0, upto[lane, symbol - 1], 0)
-        unit = span // upto[:, -1].astype(np.uint64)
+        one, zero = model.look()
+        two_right = now == model.guess[1]
+        one_right = model.asked[0] & (now == model.guess[0])
+        rest, kind = ONE - zero, tables.classes[now]
+        start = np.where(two_right, 0, np.where(one_right, one, zero + (rest * tables.upto[kind] >> SCALE)))
+        high = np.where(two_right, one, np.where(one_right, zero, zero + (rest * tables.upto[kind + 1] >> SCALE)))
+        plain[step] = ~(two_right | one_right)
+        unit = span >> WORD
         low = low + unit * start.astype(np.uint64)
         span = unit * (high - start).astype(np.uint64)
-        while True:
-            same = ((low ^ (low + span)) & MASK) < TOP
-            small = ~same & (span < BOTTOM)
-            which = np.flatnonzero(same | small)
-            if not len(which):
-                break
+        which = _settled(low, span)
+        while len(which):
             if end.max() + 8 > out.shape[1]:
                 out = np.concatenate([out, np.zeros_like(out)], axis=1)
-            tight = np.flatnonzero(small)
-            span[tight] = (~low[tight] + np.uint64(1)) & (BOTTOM - np.uint64(1))
-            out[which, end[which]] = (low[which] >> LAST) & np.uint64(255)
+            out[which, end[which]] = low[which] >> TAKEN
             end[which] += 1
-            low[which] = (low[which] << EIGHT) & MASK
-            span[which] <<= EIGHT
-        said[step] = symbol
-        model.learn(now, symbol)
-    for _ in range(4):
+            low[which] = (low[which] << WORD) & SPAN
+            span[which] <<= WORD
+            which = _settled(low, span, which)
+        model.learn(now)
+    for _ in range(3):
         if end.max() + 8 > out.shape[1]:
             out = np.concatenate([out, np.zeros_like(out)], axis=1)
-        out[lane, end] = (low >> LAST) & np.uint64(255)
-        low = (low << EIGHT) & MASK
+        out[model.lane, end] = low >> TAKEN
+        low = (low << WORD) & SPAN
         end += 1
-    return out, end, said
+    return out, end, plain
 
 
-def _low_bits(ids: np.ndarray, said: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Words of the lower bits of all blocks one after another, and the number of words of each."""
-    width = np.maximum(said.astype(np.int64) - 3, 0).T
-    value = ids.T.astype(np.uint64) & ((np.uint64(1) << width.astype(np.uint64)) - np.uint64(1))
+def _numbers(ids: np.ndarray, plain: np.ndarray, tables: Tables) -> tuple[np.ndarray, np.ndarray]:
+    """Words of the numbers within classes, all blocks one after another, and the number of words of each."""
+    kind, number = tables.classes[ids.T], tables.number[ids.T]
+    bits, short = tables.bits[kind], tables.short[kind]
+    long = number >= short
+    moved = number + short
+    value = np.where(long, (moved >> 1) | ((moved & 1) << bits), number).astype(np.uint64)
+    width = np.where(plain.T, bits + long, 0)
+    value[~plain.T] = 0
     ends = np.cumsum(width, axis=1)
     words = (ends[:, -1] + 31) // 32
     first = np.cumsum(words) - words
@@ -149,7 +223,7 @@ def _low_bits(ids: np.ndarray, said: np.ndarray) -> tuple[np.ndarray, np.ndarray
     shifted = value.ravel() << (at & 31).astype(np.uint64)
     total = int(words.sum()) + 2
     # Bits of different ids never overlap, so sums are unions; below 2 ** 53 they are exact.
-    low = np.bincount(at >> 5, weights=(shifted & MASK).astype(np.float64), minlength=total)
+    low = np.bincount(at >> 5, weights=(shifted & np.uint64(0xFFFFFFFF)).astype(np.float64), minlength=total)
     high = np.bincount((at >> 5) + 1, weights=(shifted >> np.uint64(32)).astype(np.float64), minlength=total)
     return (low[:total] + high[:total]).astype(np.uint32)[:total - 2], words
 
@@ -163,16 +237,22 @@ def encode(ids: np.ndarray, block: int = BLOCK) -> bytes:
 
 def _encode_batch(ids: np.ndarray, block: int) -> bytes:
     blocks = -(-len(ids) // block)
-    bits = max(1, int(ids.max()).bit_length())
+    different, at = _numbered(ids)
+    tables = Tables.fitted(at, len(different))
     whole = np.zeros(blocks * block, dtype=np.int32)
-    whole[:len(ids)] = ids
+    whole[:len(ids)] = at
     grid = np.ascontiguousarray(whole.reshape(blocks, block).T)
-    out, ends, said = _code(grid, bits)
-    words, counts = _low_bits(grid, said)
+    out, ends, plain = _code(grid, tables)
+    words, counts = _numbers(grid, plain, tables)
+    follows = tables.followers >= 0
+    noted = zlib.compress(b"".join([
+        np.diff(different, prepend=np.uint32(0)).astype("<u4").tobytes(), tables.classes.astype("u1").tobytes(),
+        np.packbits(follows).tobytes(), tables.followers[follows].astype("<u4").tobytes(),
+    ]), 9)
     sums = [zlib.crc32(ids[k * block:(k + 1) * block].astype("<u4").tobytes()) for k in range(blocks)]
     table = np.column_stack([np.array(sums, dtype=np.uint32), ends.astype(np.uint32), counts.astype(np.uint32)]).astype("<u4")
-    parts = [HEAD.pack(MAGIC, len(ids), block, blocks, bits), table.tobytes()]
-    parts += [out[k, :ends[k]].tobytes() for k in range(blocks)]
+    parts = [HEAD.pack(MAGIC, len(ids), block, blocks, len(different), len(noted)), noted, table.tobytes()]
+    parts += [out[k, :ends[k]].astype("<u2").tobytes() for k in range(blocks)]
     return b"".join([*parts, words.astype("<u4").tobytes()])
 
 
@@ -186,63 +266,75 @@ def decode(data: bytes) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, dtype=np.uint32)
 
 
+def _noted(data: bytes, n: int) -> tuple[np.ndarray, Tables]:
+    try:
+        plain = zlib.decompress(data)
+    except zlib.error as error:
+        raise ValueError("the tables of a batch are damaged") from error
+    different = np.cumsum(np.frombuffer(plain, dtype="<u4", count=n), dtype=np.uint32)
+    classes = np.frombuffer(plain, dtype="u1", count=n, offset=4 * n)
+    follows = np.unpackbits(np.frombuffer(plain, dtype="u1", count=-(-n // 8), offset=5 * n), count=n).astype(bool)
+    followers = np.full(n, -1)
+    followers[follows] = np.frombuffer(plain, dtype="<u4", offset=5 * n + -(-n // 8))
+    return different, Tables(classes, followers)
+
+
 def _decode_batch(view: memoryview) -> tuple[np.ndarray, int]:
-    magic, total, block, blocks, bits = HEAD.unpack(view[:HEAD.size])
+    magic, total, block, blocks, n, noted = HEAD.unpack(view[:HEAD.size])
     if magic != MAGIC:
         raise ValueError("no coded ids here")
     at = HEAD.size
+    different, tables = _noted(bytes(view[at:at + noted]), n)
+    at += noted
     table = np.frombuffer(view[at:at + 12 * blocks], dtype="<u4").reshape(blocks, 3).astype(np.int64)
     at += 12 * blocks
     lengths, words = table[:, 1], table[:, 2]
-    size = int(lengths.sum())
-    # Four zero bytes behind the last block, as a block's decoder reads ahead of its end.
-    coded = np.concatenate([np.frombuffer(view[at:at + size], dtype=np.uint8), np.zeros(8, dtype=np.uint8)]).astype(np.uint64)
+    size = 2 * int(lengths.sum())
+    # Zeros behind the last block, as a damaged block's decoder may read on.
+    coded = np.concatenate([np.frombuffer(view[at:at + size], dtype="<u2"), np.zeros(4, dtype=np.uint16)]).astype(np.uint64)
     at += size
     count = int(words.sum())
     lower = np.concatenate([np.frombuffer(view[at:at + 4 * count], dtype="<u4"), np.zeros(2, dtype=np.uint32)]).astype(np.uint64)
     at += 4 * count
     place = np.cumsum(lengths) - lengths
     bit = 32 * (np.cumsum(words) - words)
-    model = Model(blocks, bits)
-    lane, steps = model.lane, min(block, total)
-    low, span = np.zeros(blocks, dtype=np.uint64), np.full(blocks, int(MASK), dtype=np.uint64)
-    code = np.zeros(blocks, dtype=np.uint64)
-    for k in range(4):
-        code = (code << EIGHT) | coded[place + k]
-    place = place + 4
-    out = np.zeros((block, blocks), dtype=np.uint32)
-    limit = len(coded) - 1
+    model = Model(blocks, tables)
+    low, span = np.zeros(blocks, dtype=np.uint64), np.full(blocks, SPAN)
+    code = (coded[place] << TAKEN) | (coded[place + 1] << WORD) | coded[place + 2]
+    place = place + 3
+    out = np.zeros((block, blocks), dtype=np.int32)
+    limit, most, one_bit = len(coded) - 1, len(lower) - 2, np.uint64(1)
     for step in range(block):
-        upto = model.look()
-        unit = span // upto[:, -1].astype(np.uint64)
-        target = np.minimum(((code - low) & MASK) // unit, (upto[:, -1] - 1).astype(np.uint64)).astype(np.int32)
-        symbol = (upto <= target[:, None]).sum(axis=1)
-        high = upto[lane, symbol]
-        start = np.where(symbol > 0, upto[lane, symbol - 1], 0)
+        one, zero = model.look()
+        unit = span >> WORD
+        target = np.minimum(((code - low) & SPAN) // np.maximum(unit, one_bit), np.uint64(ONE - 1)).astype(np.int64)
+        two_right, plain = target < one, target >= zero
+        rest = ONE - zero
+        # The last place of 2 ** 12 whose share of the rest begins at or before the target.
+        kind = tables.of[np.maximum(((target - zero + 1) << SCALE) - 1, 0) // rest]
+        start = np.where(two_right, 0, np.where(plain, zero + (rest * tables.upto[kind] >> SCALE), one))
+        high = np.where(two_right, one, np.where(plain, zero + (rest * tables.upto[kind + 1] >> SCALE), zero))
         low = low + unit * start.astype(np.uint64)
         span = unit * (high - start).astype(np.uint64)
-        while True:
-            same = ((low ^ (low + span)) & MASK) < TOP
-            small = ~same & (span < BOTTOM)
-            which = np.flatnonzero(same | small)
-            if not len(which):
-                break
-            tight = np.flatnonzero(small)
-            span[tight] = (~low[tight] + np.uint64(1)) & (BOTTOM - np.uint64(1))
-            code[which] = ((code[which] << EIGHT) & MASK) | coded[np.minimum(place[which], limit)]
+        which = _settled(low, span)
+        while len(which):
+            code[which] = ((code[which] << WORD) & SPAN) | coded[np.minimum(place[which], limit)]
             place[which] += 1
-            low[which] = (low[which] << EIGHT) & MASK
-            span[which] <<= EIGHT
-        width = np.maximum(symbol - 3, 0)
-        where = bit >> 5
-        both = lower[where] | (lower[where + 1] << np.uint64(32))
-        value = (both >> (bit & 31).astype(np.uint64)) & ((np.uint64(1) << width.astype(np.uint64)) - np.uint64(1))
-        bit = bit + width
-        plain = value.astype(np.int32) + np.where(symbol > 2, np.int32(1) << np.maximum(symbol - 3, 0).astype(np.int32), 0)
-        ids = np.where(symbol == 0, model.guess[1], np.where(symbol == 1, model.guess[0], plain)).astype(np.int32)
+            low[which] = (low[which] << WORD) & SPAN
+            span[which] <<= WORD
+            which = _settled(low, span, which)
+        bits, short = tables.bits[kind], tables.short[kind]
+        where = np.minimum(bit >> 5, most)
+        read = ((lower[where] | (lower[where + 1] << TAKEN)) >> (bit & 31).astype(np.uint64)).astype(np.int64)
+        number = read & (1 << bits) - 1
+        long = number >= short
+        number = np.where(long, (number << 1 | (read >> bits & 1)) - short, number)
+        bit = bit + np.where(plain, bits + long, 0)
+        met = tables.members[np.minimum(tables.first[kind] + number, n - 1)]
+        ids = np.where(plain, met, np.where(two_right, model.guess[1], model.guess[0])).astype(np.int32)
         out[step] = ids
-        model.learn(ids, symbol)
-    ids = np.ascontiguousarray(out.T).ravel()[:total]
+        model.learn(ids)
+    ids = different[np.ascontiguousarray(out.T).ravel()[:total]]
     for k in range(blocks):
         if zlib.crc32(ids[k * block:(k + 1) * block].astype("<u4").tobytes()) != table[k, 0]:
             raise ValueError(f"block {k} does not have its checksum")

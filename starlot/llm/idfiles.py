@@ -1,7 +1,7 @@
 """Token ids of a corpus in files: ascending document order, coded by ``idcoder``, read back from the files.
 
-Documents are dealt out by ranges of their ids and sorted within them, so the files, by their number, hold
-the corpus in order and no task sees more than a range. A task encodes its texts, appends the end id to
+Documents are dealt out by ranges of their ids, equal ids by ranges of how their texts begin, and sorted
+within them, so the files, by their number, hold the corpus in order and no task sees more than a range. A task encodes its texts, appends the end id to
 each and writes one file in batches of about ``BATCH_IDS`` ids: the table of documents (id, number of
 ids), then their coded ids. The first position of a file is the sum of the files before it, from a
 list with one row a file.
@@ -40,6 +40,7 @@ MAGIC = b"STIDS001"
 HEAD = "<8sQQ"
 ENTRY = np.dtype([("has_id", "u1"), ("doc_id", "<i8"), ("n", "<u8")])
 BATCH_IDS = 8_000_000
+DEALT_BY = 64
 
 FILES = "number bigint, name string, documents bigint, ids bigint"
 DOCUMENTS = "number bigint, has_id boolean, doc_id bigint, at bigint, n_tokens bigint, ids binary"
@@ -107,7 +108,8 @@ def write_ids(
     files, base = store(folder)
     files.create_dir(f"{base}/ids")
     read = docs.select(F.col(doc_id).cast("long").alias("id"), text_or_empty(text).alias("text"))
-    ordered = read.repartitionByRange("id").sortWithinPartitions("id", "text")
+    # Equal ids are dealt by how their texts begin, which is in the order of the texts: many rows without an id are no single task's.
+    ordered = read.repartitionByRange("id", F.substring("text", 1, DEALT_BY)).sortWithinPartitions("id", "text")
     rows = ordered.select(F.col("id").isNotNull().alias("has_id"), F.coalesce("id", F.lit(0)).alias("doc_id"), "text")
     written = rows.mapInPandas(_writer(f"{folder}/ids", vocabulary or vocabulary_path(), end_id, block), FILES)
     return materialise(written, f"{folder}/files")
@@ -146,7 +148,7 @@ def read_ids(spark, folder: str) -> DataFrame:
     before = W.orderBy("number").rowsBetween(W.unboundedPreceding, -1)
     placed = listed.select("number", F.coalesce(F.sum("ids").over(before), F.lit(0)).alias("first"))
     files = max(1, listed.count())
-    read = listed.select("number", "name").repartition(files, "name").mapInPandas(_reader(f"{folder}/ids"), DOCUMENTS)
+    read = listed.select("number", "name").repartitionByRange(files, "number").mapInPandas(_reader(f"{folder}/ids"), DOCUMENTS)
     joined = read.join(F.broadcast(placed.withColumnRenamed("number", "p")), F.col("number") == F.col("p"))
     return joined.select(
         F.when(F.col("has_id"), F.col("doc_id")).alias("doc_id"), (F.col("first") + F.col("at")).alias("start"), "n_tokens", "ids"

@@ -29,6 +29,44 @@ def test_model_learns_and_blocks_are_independent(monkeypatch):
     assert (idcoder.decode(idcoder.encode(phrase, 512)) == phrase).all()
 
 
+def test_fewer_bits_than_order_0_on_texts(spark):
+    """Whole texts of sf0.01, each with its end id."""
+    coder = Encoder(vocabulary_path())
+    texts = [r.text or "" for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()]
+    ids, lengths = coder.encode(texts)
+    whole = np.insert(ids, np.cumsum(lengths), 0).astype(np.uint32)
+    share = np.bincount(whole) / len(whole)
+    entropy = -sum(p * np.log2(p) for p in share[share > 0])
+    coded = idcoder.encode(whole)
+    bits = 8 * len(coded) / len(whole)
+    assert bits < 8.0 < entropy
+    assert (idcoder.decode(coded) == whole).all()
+
+
+def test_large_ids_and_failing_predictions():
+    ids = np.array([2**32 - 1, 0, 2**31, 5, 2**32 - 1] * 50, dtype=np.uint32)
+    assert (idcoder.decode(idcoder.encode(ids, 16)) == ids).all()
+    # Sure and then wrong: a prediction that has held for long fails, again and again.
+    ids = np.array(([1, 2, 3, 4] * 400 + [9, 8]) * 6, dtype=np.uint32)
+    assert (idcoder.decode(idcoder.encode(ids)) == ids).all()
+
+
+def test_rows_without_ids_are_several_tasks(spark, documents, tmp_path):
+    rnd = random.Random(8)
+    rows = [(None, "".join(rnd.choice("abcdefgh ") for _ in range(200))) for _ in range(3000)] + [(k, "x") for k in range(300)]
+    folder = str(tmp_path / "files")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        files = idfiles.write_ids(documents(rows), folder)
+        assert max(r.documents for r in files.collect()) < 1500
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    got = [(r.doc_id, bytes(r.ids)) for r in idfiles.read_ids(spark, folder).orderBy("start").collect()]
+    coder = Encoder(vocabulary_path()).tokenizer
+    want = [(k, np.array(coder.encode(t, add_special_tokens=False).ids + [0], dtype="<u4").tobytes()) for k, t in sorted(rows, key=lambda r: (r[0] is not None, r[0], r[1]))]
+    assert got == want
+
+
 def test_damage_is_found():
     data = bytearray(idcoder.encode(np.random.default_rng(3).integers(0, 50257, 5000)))
     data[len(data) // 2] ^= 16
