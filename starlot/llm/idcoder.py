@@ -33,8 +33,10 @@ HEAD = struct.Struct("<8sQIIIQ")
 BLOCK = 4096
 LANES = 4096
 
-SLOTS = (1 << 11, 1 << 12)
+SLOTS = (1 << 10, 1 << 11)
 TRUST = 16
+# Trust after a wrong and after a right prediction.
+NEXT = np.array([max(1, t >> 1) for t in range(TRUST)] + [min(t + 1, TRUST - 1) for t in range(TRUST)], dtype=np.int32)
 # Probabilities have 16 bits, order-0 classes 12 of them; order 0 keeps at least 2 ** 12 of 2 ** 16.
 ONE, SCALE = 1 << 16, 12
 MOST = ONE - (3 << 11)
@@ -42,6 +44,7 @@ RATE, MIX_RATE, MIX = 4, 10, 256
 CLASSES = 64
 FOLLOWS = (4, 8)
 DENSE = 1 << 22
+TOGETHER = 1 << 18
 SPAN, TOP, BOTTOM = np.uint64((1 << 48) - 1), np.uint64(1 << 32), np.uint64(1 << 24)
 WORD, TAKEN = np.uint64(16), np.uint64(32)
 
@@ -74,14 +77,20 @@ class Tables:
         octave = np.floor(np.log2(counts)).astype(np.int64)
         classes = np.minimum(2 * octave + (2 * counts >= 3 << octave), CLASSES - 1)
         followers = np.full(different, -1)
-        pairs = np.sort(at[:-1] * np.int64(different) + at[1:])
-        if len(pairs):
-            edge = np.flatnonzero(np.diff(pairs, prepend=-1))
-            n, before, after = np.diff(edge, append=len(pairs)), pairs[edge] // different, pairs[edge] % different
+        pairs = at[:-1] * np.int64(different)
+        pairs += at[1:]
+        pairs.sort()
+        edge = np.flatnonzero(np.concatenate([np.ones(min(1, len(pairs)), dtype=bool), pairs[1:] != pairs[:-1]]))
+        n = np.diff(edge, append=len(pairs))
+        # Only pairs that recur are looked at further.
+        often = n >= FOLLOWS[0]
+        if often.any():
+            pairs, n = pairs[edge[often]], n[often]
+            before, after = pairs // different, pairs % different
             groups = np.flatnonzero(np.diff(before, prepend=-1))
             best = np.maximum.reduceat((n << 32) | after, groups)
-            who, often = before[groups], best >> 32
-            worth = (often >= FOLLOWS[0]) & (often * FOLLOWS[1] >= counts[who])
+            who = before[groups]
+            worth = (best >> 32) * FOLLOWS[1] >= counts[who]
             followers[who[worth]] = (best & 0xFFFFFFFF)[worth]
         return Tables(classes, followers)
 
@@ -120,26 +129,24 @@ class Model:
             self.said.append((a, b, (a * self.mix[k] + b * (MIX - self.mix[k])) >> 8))
         # An order without a prediction, and order 1 where it says what order 2 does, has no share.
         self.asked = [(self.guess[0] >= 0) & ~same, self.guess[1] >= 0]
-        first = np.where(self.asked[1], np.minimum(self.said[1][2], MOST), 0).astype(np.int64)
+        first = np.minimum(self.said[1][2], MOST).astype(np.int64) * self.asked[1]
         share = np.minimum((ONE - first) * self.said[0][2] >> 16, ONE - first - (1 << SCALE))
-        return first, first + np.where(self.asked[0], share, 0)
+        return first, first + share * self.asked[0]
 
     def learn(self, ids: np.ndarray) -> None:
         hit = ids == self.guess[1]
         for k, asked, right in ((1, self.asked[1], hit), (0, self.asked[0] & ~hit, ids == self.guess[0])):
             a, b, _ = self.said[k]
-            truth = np.where(right, ONE - 64, 64).astype(np.int32)
-            self.by_trust[k][self.row[k]] = np.where(asked, a + ((truth - a) >> RATE), a)
-            self.by_class[k][self.kind[k]] = np.where(asked, b + ((truth - b) >> RATE), b)
-            better = np.where(right, a - b, b - a) >> MIX_RATE
-            moved = np.minimum(np.maximum(self.mix[k] + better, 16), MIX - 16)
-            self.mix[k] = np.where(asked, moved, self.mix[k])
+            truth = right * np.int32(ONE - 128) + np.int32(64)
+            self.by_trust[k][self.row[k]] = a + ((truth - a) >> RATE) * asked
+            self.by_class[k][self.kind[k]] = b + ((truth - b) >> RATE) * asked
+            better = ((a - b) * (right * np.int32(2) - np.int32(1)) >> MIX_RATE) * asked
+            self.mix[k] = np.minimum(np.maximum(self.mix[k] + better, 16), MIX - 16)
         for k in range(2):
             own, trust = self.own[k], self.trust[k]
-            right = (own == ids) & (trust > 0)
-            keep = right | (trust > 1)
-            trust = np.where(right, np.minimum(trust + 1, TRUST - 1), np.where(trust > 1, trust >> 1, 1))
-            self.slots[k][self.at[k]] = (np.where(keep, own, ids) << 4) | trust
+            moved = NEXT.take(trust + (own == ids) * np.int32(TRUST) * (trust > 0))
+            # A right prediction stays as it is, being the id.
+            self.slots[k][self.at[k]] = (np.where(trust > 1, own, ids) << 4) | moved
         self.before, self.last = self.last, ids.astype(np.int64)
 
 
@@ -160,9 +167,9 @@ def _numbered(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The different ids in ascending order, and the place among them of each id."""
     if int(ids.max()) >= DENSE:
         different, at = np.unique(ids, return_inverse=True)
-        return different, at.astype(np.int64)
+        return different, at.astype(np.int32)
     different = np.flatnonzero(np.bincount(ids))
-    place = np.zeros(int(different[-1]) + 1, dtype=np.int64)
+    place = np.zeros(int(different[-1]) + 1, dtype=np.int32)
     place[different] = np.arange(len(different))
     return different.astype(np.uint32), place[ids]
 
@@ -209,6 +216,12 @@ def _code(ids: np.ndarray, tables: Tables) -> tuple[np.ndarray, np.ndarray, np.n
 
 def _numbers(ids: np.ndarray, plain: np.ndarray, tables: Tables) -> tuple[np.ndarray, np.ndarray]:
     """Words of the numbers within classes, all blocks one after another, and the number of words of each."""
+    some = max(1, TOGETHER // len(ids))
+    parts = [_some_numbers(ids[:, k:k + some], plain[:, k:k + some], tables) for k in range(0, ids.shape[1], some)]
+    return tuple(np.concatenate(x) for x in zip(*parts))
+
+
+def _some_numbers(ids: np.ndarray, plain: np.ndarray, tables: Tables) -> tuple[np.ndarray, np.ndarray]:
     kind, number = tables.classes[ids.T], tables.number[ids.T]
     bits, short = tables.bits[kind], tables.short[kind]
     long = number >= short
