@@ -69,3 +69,23 @@ def test_events_of_nobody_do_not_meet_in_one_task(spark, small_limits):
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_months_are_made_in_as_many_tasks_as_they_need(spark, monkeypatch):
+    monkeypatch.setattr(temporal, "MONTHS_PER_TASK", 500)
+    rng = random.Random(5)
+    rows = []
+    for key in range(60):
+        for _ in range(4):
+            a = START + timedelta(days=rng.randrange(2000))
+            rows.append((key if key else None, rng.randrange(9), a, a + timedelta(days=rng.randrange(1500))))
+    hist = spark.createDataFrame(rows + rows[:9], HISTORY).coalesce(1)
+    months = months_of_periods(hist, "id_vendedor", "id_loja")
+    plan = months._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan and months.rdd.getNumPartitions() > 5
+    want = {}
+    for key, store, a, b in sorted(rows, key=lambda r: (r[2], r[1])):
+        for m in range(a.year * 12 + a.month - 1, b.year * 12 + b.month):
+            want.setdefault((key, m // 12 * 100 + m % 12 + 1), store)
+    got = [((r["id_vendedor"], r["ano_mes"]), r["id_loja"]) for r in months.collect()]
+    assert dict(got) == want and len(got) == len(want)
