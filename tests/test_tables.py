@@ -341,6 +341,25 @@ def test_bucketed_sales_move_no_row(spark, landing, run, tmp_path):
     assert lost.count() == 4 and lost.where("comissao = 5.5 or id_veiculo is not null").isEmpty()
 
 
+def test_sales_move_once_however_many_sides_are_large(spark, landing, run, tmp_path, small_limits):
+    star = prepare(spark, read_landing(spark, landing), str(tmp_path))[1]
+    off = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    for key, value in off.items():
+        spark.conf.set(key, value)
+    try:
+        fact = star.builders["fato_vendas"]()
+        nodes = [fact._jdf.queryExecution().executedPlan()]
+        for node in nodes:
+            nodes += [node.children().apply(i) for i in range(node.children().size())]
+    finally:
+        for key in off:
+            spark.conf.unset(key)
+    moved = [n.output().toString() for n in nodes if n.nodeName() == "Exchange"]
+    # To the sides go numbers with what they are asked for.
+    assert len(moved) > 6 and sum("valor_venda" in columns for columns in moved) == 1
+    assert rows(fact) == rows(run.tables["fato_vendas"])
+
+
 def test_builders_keep_every_row(spark):
     leads = spark.createDataFrame([(i % 3, "x", None) for i in range(20)], "id bigint, atendente string, data_criacao timestamp_ntz")
     leads = leads.withColumns({"canal": F.lit("q"), "estagio": F.lit(None).cast("string")})
