@@ -23,6 +23,24 @@ def test_ids_are_the_library_s(cached, small_documents):
         assert at == len(ids)
 
 
+def test_stretches_of_a_large_vocabulary_are_encoded_once_they_are_known():
+    """op2: 250,000 stretches were more than the cache held, so the last of them were encoded each time."""
+    coder, asked = Encoder(vocabulary_path()), []
+    texts = [" ".join(f"w{i}" for i in range(k, k + 50_000)) for k in range(0, 250_000, 50_000)]
+    first = [coder.encode([t])[0].tolist() for t in texts]
+    assert [coder.encode([t])[0].tolist() for t in texts] == first
+    direct = coder._direct
+    coder._direct = lambda x: asked.extend(x) or direct(x)
+    assert [coder.encode([t])[0].tolist() for t in texts] == first and not asked
+
+
+def test_a_vocabulary_that_splits_elsewhere_is_refused():
+    coder = Encoder(vocabulary_path())
+    coder.opens[:] = False
+    with pytest.raises(ValueError, match="other places than blanks"):
+        coder.encode(["one two three"])
+
+
 def test_no_texts_and_portions():
     ids, lengths = Encoder(vocabulary_path()).encode([])
     assert len(ids) == len(lengths) == 0
