@@ -1,23 +1,26 @@
 """Adaptive context-mixing range coder for token ids.
 
-Ids are cut into blocks, each coded on its own: the model starts afresh and the block has a checksum
-of its ids. Three predictions are mixed for each id. Order 0 is a frequency: the batch's header tells the
-class of every id, ids of a class being about equally frequent, and an id costs its class and its number
-within the class. Order 1 and order 2 are ids, the one that followed the last id and the last two ids when
-they stood there before in the block; where the block has not met the last id yet, order 1 takes its most frequent
-follower from the header. How far each of the two is believed is a mix of two adaptive estimates, by how often
-the prediction held in its place and by how frequent the predicted id is; the mix's weight moves towards the estimate
-that did better. Order 0 has what they leave. A range coder without carries (48 bits, in words of 16) codes
+Pairs of neighbours that recur in a batch become symbols of their own first, noted in its header, twice over; what is coded are
+these symbols. They are cut into blocks, each a stream of its own with a checksum of its ids. All blocks of a batch advance
+together, one symbol of each at a time, and teach one model, which starts afresh with the batch: a step is a few array
+operations over the blocks, and the model's tables are small enough to stay near the processor. Decoding runs the same model.
+
+Three predictions are mixed for each symbol. Order 0 is a frequency: the batch's header tells the class of every symbol, those
+of a class being about equally frequent, and a symbol costs its class and its number within the class. Order 1 and order 2
+are symbols, the one that followed the last and the last two when they stood before; order 1 begins with
+the most frequent followers from the header. How far each of the two is believed is a mix of two adaptive
+estimates, by how often the prediction held in its place and by how frequent the predicted symbol is; the mix's weights move
+towards the estimate that did better. Order 0 has what they leave. A range coder (48 bits, in words of 16) codes
 "order 2 is right", "order 1 is right" or the class; numbers within classes follow as bits of their own.
 
-All blocks of a batch advance together, one id of each at a time, so a step is a few array operations
-over the blocks; decoding runs the same model. Everything is whole numbers, so machines agree. Memory is
-bounded by ``LANES`` blocks.
+What follows is learnt at each step; where blocks meet in a place, the last of them is noted. Estimates and
+weights are brought up to date every ``PERIOD`` steps, from counts over all blocks. Everything is whole numbers (a division in
+floating point is exact to its floor), so machines agree. Memory is bounded by ``LANES`` blocks.
 
-Layout of a batch, little-endian: magic, number of ids, ids a block, blocks, different ids, bytes of the tables;
-the tables, deflated (steps between the different ids, their classes, whether each has a follower, the followers);
-for each block its checksum (CRC-32 of its ids as unsigned 32 bits), the number of its 16-bit words and that
-of the 32-bit words of its bits; then all 16-bit words, then all 32-bit words.
+Layout of a batch, little-endian: magic, number of ids, symbols, symbols a block, blocks, different ids, pairs, bytes of the tables;
+the tables, deflated (steps between the different ids, the pairs' halves, the symbols' classes, whether each has a follower, the
+followers); for each block its checksum (CRC-32 of its ids as unsigned 32 bits), the number of its 16-bit words and
+that of its bits; then all 16-bit words, then all bits in 32-bit words.
 """
 
 from __future__ import annotations
@@ -28,64 +31,93 @@ import zlib
 import numpy as np
 
 # Fixed values of the format.
-MAGIC = b"SIDC0002"
-HEAD = struct.Struct("<8sQIIIQ")
-BLOCK = 4096
-LANES = 4096
-
-SLOTS = (1 << 10, 1 << 11)
-TRUST = 16
-# Trust after a wrong and after a right prediction.
-NEXT = np.array([max(1, t >> 1) for t in range(TRUST)] + [min(t + 1, TRUST - 1) for t in range(TRUST)], dtype=np.int32)
+MAGIC = b"SIDC0003"
+HEAD = struct.Struct("<8sQQIIIIQ")
+BLOCK = 1024
+LANES = 16384
+
+# Rounds in which pairs become symbols, how often such a pair is found at least, and the bits of its hash.
+ROUNDS, PAIRED, HASHED = 2, 32, 18
+MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
+# Places of order 2, 2 ** this; order 1 has one for each symbol. A place holds a symbol, its class and a trust.
+PLACED = 19
+TRUST, CLASSES = 16, 64
+TAG_BITS = 10
+TAG = TRUST * CLASSES
 # Probabilities have 16 bits, order-0 classes 12 of them; order 0 keeps at least 2 ** 12 of 2 ** 16.
 ONE, SCALE = 1 << 16, 12
 MOST = ONE - (3 << 11)
-RATE, MIX_RATE, MIX = 4, 10, 256
-CLASSES = 64
+# Steps between two looks at the counts, and how many counts an estimate keeps.
+PERIOD, KEPT = 16, 1 << 12
+MIX_RATE, MIX = 16, 256
 FOLLOWS = (4, 8)
 DENSE = 1 << 22
 TOGETHER = 1 << 18
-SPAN, TOP, BOTTOM = np.uint64((1 << 48) - 1), np.uint64(1 << 32), np.uint64(1 << 24)
+SPAN, FULL, LOW = np.uint64((1 << 48) - 1), np.uint64(1 << 32), np.uint64((1 << 32) - 1)
 WORD, TAKEN = np.uint64(16), np.uint64(32)
 
 
+def _moves() -> np.ndarray:
+    """How trust changes, by twice the kind of place and one more if its prediction held; ``PASS`` if the place passes to what was met."""
+    trust = np.arange(2 * TAG) // 2 % TRUST
+    held = np.arange(2 * TAG) % 2 == 1
+    moved = np.where(held, np.minimum(trust + 1, TRUST - 1), trust >> 1) - trust
+    return np.tile(np.where(held | (trust > 1), moved, PASS), 2).astype(np.int32)
+
+
+PASS = -TRUST
+MOVES = _moves()
+
+
 class Tables:
-    """Order 0 and the followers of a batch; ids are numbers of the batch's different ids here."""
+    """Order 0 and the followers of a batch."""
 
     def __init__(self, classes: np.ndarray, followers: np.ndarray):
         self.classes = classes.astype(np.int64)
         self.followers = followers.astype(np.int32)
-        self.size = np.bincount(self.classes, minlength=CLASSES)
-        self.first = np.cumsum(self.size) - self.size
-        self.members = np.argsort(self.classes, kind="stable")
-        self.number = np.empty(len(classes), dtype=np.int64)
-        self.number[self.members] = np.arange(len(classes)) - self.first[self.classes[self.members]]
-        # A class is worth its ids times about what each is found, 2 ** (class / 2).
-        weight = self.size * ((1 << np.arange(CLASSES) // 2) * (2 + np.arange(CLASSES) % 2))
+        size = np.bincount(self.classes, minlength=CLASSES)
+        first = np.cumsum(size) - size
+        members = np.argsort(self.classes, kind="stable")
+        number = np.empty(len(classes), dtype=np.int64)
+        number[members] = np.arange(len(classes)) - first[self.classes[members]]
+        # A class is worth its symbols times about what each is found, 2 ** (class / 2).
+        weight = size * ((1 << np.arange(CLASSES) // 2) * (2 + np.arange(CLASSES) % 2))
         exact = weight * ((1 << SCALE) - CLASSES) // max(1, int(weight.sum()))
-        width = np.where(self.size > 0, exact + 1, 0)
+        width = np.where(size > 0, exact + 1, 0)
         width[int(width.argmax())] += (1 << SCALE) - int(width.sum())
-        self.upto = np.concatenate([[0], np.cumsum(width)])
+        self.upto = np.concatenate([[0], np.cumsum(width)]).astype(np.int32)
         self.of = np.repeat(np.arange(CLASSES), width)
-        # Numbers of a class of n take k bits or, from 2 ** (k + 1) - n on, one more.
-        self.bits = np.array([max(1, int(n)).bit_length() - 1 for n in self.size], dtype=np.int64)
-        self.short = (2 << self.bits) - np.maximum(1, self.size)
+        # Numbers of a class of n take k bits or, from 2 ** (k + 1) - n on, one more, which stands above the others.
+        least = np.array([max(1, int(n)).bit_length() - 1 for n in size], dtype=np.int64)
+        bits = least[self.classes]
+        moved = number + (2 << bits) - size[self.classes]
+        long = number >= (2 << bits) - size[self.classes]
+        self.bits = (bits + long).astype(np.uint8)
+        self.value = np.where(long, (moved >> 1) | ((moved & 1) << bits), number).astype(np.uint32)
+        # The symbol that a class and its next bits, as many as its longest numbers have, say.
+        self.mask = (2 << least) - 1
+        self.first = np.cumsum(2 << least) - (2 << least)
+        self.says = np.zeros(int((2 << least).sum()), dtype=np.int64)
+        place = self.first[self.classes] + self.value
+        self.says[place] = np.arange(len(classes))
+        self.says[(place + (1 << bits))[~long]] = np.flatnonzero(~long)
 
     @staticmethod
     def fitted(at: np.ndarray, different: int) -> Tables:
-        counts = np.bincount(at, minlength=different)
+        counts = np.maximum(1, np.bincount(at, minlength=different))
         octave = np.floor(np.log2(counts)).astype(np.int64)
         classes = np.minimum(2 * octave + (2 * counts >= 3 << octave), CLASSES - 1)
         followers = np.full(different, -1)
-        pairs = at[:-1] * np.int64(different)
-        pairs += at[1:]
+        wide = np.uint32 if different < 1 << 16 else np.uint64
+        pairs = at[:-1].astype(wide) * wide(different)
+        pairs += at[1:].astype(wide)
         pairs.sort()
         edge = np.flatnonzero(np.concatenate([np.ones(min(1, len(pairs)), dtype=bool), pairs[1:] != pairs[:-1]]))
         n = np.diff(edge, append=len(pairs))
         # Only pairs that recur are looked at further.
         often = n >= FOLLOWS[0]
         if often.any():
-            pairs, n = pairs[edge[often]], n[often]
+            pairs, n = pairs[edge[often]].astype(np.int64), n[often]
             before, after = pairs // different, pairs % different
             groups = np.flatnonzero(np.diff(before, prepend=-1))
             best = np.maximum.reduceat((n << 32) | after, groups)
@@ -95,150 +127,244 @@ class Tables:
         return Tables(classes, followers)
 
 
+class Belief:
+    """How far one order is believed, by the class and trust of its place and whether both orders agree."""
+
+    def __init__(self, alone: bool):
+        # Order 1 is asked only where it does not say what order 2 does.
+        self.alone = alone
+        # Estimates by agreement and trust, and by class: how often a prediction held, and how often it was asked.
+        trust = np.tile(np.arange(TRUST), 2)
+        self.by_trust = np.stack([(trust + 1) * 8, (trust + 4) * 8]).astype(np.int64)
+        self.by_class = np.stack([np.full(CLASSES, 8), np.full(CLASSES, 24)]).astype(np.int64)
+        self.mix = np.full(2 * TRUST, MIX // 2, dtype=np.int64)
+        self._settle()
+
+    def _settle(self) -> None:
+        self.a, self.b = (self.by_trust[0] * ONE // self.by_trust[1]).reshape(2, 1, TRUST), (self.by_class[0] * ONE // self.by_class[1]).reshape(1, CLASSES, 1)
+        mix = self.mix.reshape(2, 1, TRUST)
+        said = np.clip((self.a * mix + self.b * (MIX - mix)) // MIX, 64, MOST)
+        if self.alone:
+            said[1] = 0
+        self.said = said.ravel().astype(np.int32)
+
+    def learn(self, met: np.ndarray) -> None:
+        """``met``: for each block and step twice the kind of its place, and one more where the prediction held; what is beyond does not count."""
+        n = np.bincount(met, minlength=4 * TAG)[:4 * TAG].reshape(2, CLASSES, TRUST, 2)
+        asked, held = n.sum(axis=3), n[..., 1]
+        by = asked.sum(axis=1).ravel()
+        better = ((self.a - self.b) * (2 * held - asked)).sum(axis=1).ravel()
+        self.mix = np.clip(self.mix + better * MIX_RATE // (ONE * np.maximum(by, 1)), 16, MIX - 16)
+        for kept, new in ((self.by_trust, (held.sum(axis=1).ravel(), by)), (self.by_class, (held.sum(axis=(0, 2)), asked.sum(axis=(0, 2))))):
+            kept += new
+            much = kept[1] > KEPT
+            kept[:, much] = np.maximum(1, kept[:, much] * KEPT // kept[1, much])
+        self._settle()
+
+
 class Model:
-    """State of the blocks that advance together; the same for both directions."""
+    """The model of a batch, whose blocks advance together; the same for both directions.
+
+    Symbols are tags here: their number, their class and no trust, as places hold them.
+    """
 
     def __init__(self, lanes: int, tables: Tables):
-        self.lane, self.tables = np.arange(lanes), tables
-        self.slots = [np.zeros(lanes * n, dtype=np.int32) for n in SLOTS]
-        self.base = [self.lane * n for n in SLOTS]
-        # How far an order is believed, by its trust and whether both agree, and by the class of its id.
-        held = (np.arange(2 * TRUST) // 2 + 1) * ONE // (np.arange(2 * TRUST) // 2 + 4)
-        self.by_trust = [np.tile(held, lanes).astype(np.int32) for _ in range(2)]
-        self.by_class = [np.full(lanes * CLASSES, ONE // 3, dtype=np.int32) for _ in range(2)]
-        self.mix = [np.full(lanes, MIX // 2, dtype=np.int32) for _ in range(2)]
-        self.last = np.zeros(lanes, dtype=np.int64)
-        self.before = np.zeros(lanes, dtype=np.int64)
-        self.none = np.full(lanes, -1, dtype=np.int32)
+        n = len(tables.classes)
+        self.tags = (np.arange(n) * TAG + tables.classes * TRUST).astype(np.int32 if n * TAG < 1 << 31 else np.int64)
+        known = tables.followers >= 0
+        self.one = np.zeros(n, dtype=self.tags.dtype)
+        self.one[known] = self.tags[tables.followers[known]] + 2
+        self.two = np.zeros(1 << PLACED, dtype=self.tags.dtype)
+        self.beliefs = (Belief(False), Belief(True))
+        self.last, self.mixed = np.zeros(lanes, dtype=np.int64), np.zeros(lanes, dtype=np.uint32)
+        self.at = np.zeros(lanes, dtype=np.int64)
+        self.met = np.zeros((2, PERIOD, lanes), dtype=np.int32)
+        self.step = 0
 
     def look(self) -> tuple[np.ndarray, np.ndarray]:
         """Where order 1 begins and where order 0 begins in 2 ** 16; order 2 begins at 0."""
-        one = (self.last * 40503 >> 4) & SLOTS[0] - 1
-        two = (self.last * 40503 + self.before * 30011 >> 3) & SLOTS[1] - 1
-        self.at = [self.base[0] + one, self.base[1] + two]
-        held = [s.take(a) for s, a in zip(self.slots, self.at)]
-        self.trust = [h & 15 for h in held]
-        self.own = [h >> 4 for h in held]
-        self.guess = [np.where(self.trust[0] > 0, self.own[0], self.tables.followers[self.last]), np.where(self.trust[1] > 0, self.own[1], self.none)]
-        same = self.guess[0] == self.guess[1]
-        self.row, self.kind, self.said = [], [], []
-        for k in range(2):
-            self.row.append(self.lane * (2 * TRUST) + 2 * self.trust[k] + same)
-            self.kind.append(self.lane * CLASSES + self.tables.classes[self.guess[k]])
-            a, b = self.by_trust[k].take(self.row[k]), self.by_class[k].take(self.kind[k])
-            self.said.append((a, b, (a * self.mix[k] + b * (MIX - self.mix[k])) >> 8))
-        # An order without a prediction, and order 1 where it says what order 2 does, has no share.
-        self.asked = [(self.guess[0] >= 0) & ~same, self.guess[1] >= 0]
-        first = np.minimum(self.said[1][2], MOST).astype(np.int64) * self.asked[1]
-        share = np.minimum((ONE - first) * self.said[0][2] >> 16, ONE - first - (1 << SCALE))
-        return first, first + share * self.asked[0]
-
-    def learn(self, ids: np.ndarray) -> None:
-        hit = ids == self.guess[1]
-        for k, asked, right in ((1, self.asked[1], hit), (0, self.asked[0] & ~hit, ids == self.guess[0])):
-            a, b, _ = self.said[k]
-            truth = right * np.int32(ONE - 128) + np.int32(64)
-            self.by_trust[k][self.row[k]] = a + ((truth - a) >> RATE) * asked
-            self.by_class[k][self.kind[k]] = b + ((truth - b) >> RATE) * asked
-            better = ((a - b) * (right * np.int32(2) - np.int32(1)) >> MIX_RATE) * asked
-            self.mix[k] = np.minimum(np.maximum(self.mix[k] + better, 16), MIX - 16)
-        for k in range(2):
-            own, trust = self.own[k], self.trust[k]
-            moved = NEXT.take(trust + (own == ids) * np.int32(TRUST) * (trust > 0))
-            # A right prediction stays as it is, being the id.
-            self.slots[k][self.at[k]] = (np.where(trust > 1, own, ids) << 4) | moved
-        self.before, self.last = self.last, ids.astype(np.int64)
-
-
-def _settled(low: np.ndarray, span: np.ndarray, among: np.ndarray | None = None) -> np.ndarray:
-    """Those ``among`` the blocks that have a word to pass on; a span that has become too small ends at its word's end."""
-    a, s = (low, span) if among is None else (low[among], span[among])
-    same = (a ^ (a + s)) < TOP
-    tight = s < BOTTOM
-    if tight.any():
-        small = np.flatnonzero(tight & ~same)
-        span[small if among is None else among[small]] = (~a[small] + np.uint64(1)) & (BOTTOM - np.uint64(1))
-        same |= tight
-    found = np.flatnonzero(same)
-    return found if among is None else among[found]
+        two, one = self.two.take(self.at), self.one.take(self.last)
+        self.says_two, self.says_one = two & -TRUST, one & -TRUST
+        agree = (self.says_one == self.says_two) * np.int32(TAG)
+        self.held_two, self.held_one = two, one
+        self.kind_two, self.kind_one = (two & TAG - 1) + agree, (one & TAG - 1) + agree
+        first = self.beliefs[0].said.take(self.kind_two)
+        left = ONE - first
+        share = np.minimum(left * (self.beliefs[1].said.take(self.kind_one) >> 1) >> 15, left - (1 << SCALE))
+        return first, first + share
+
+    def learn(self, now: np.ndarray, two: np.ndarray, one: np.ndarray) -> None:
+        """``two`` and ``one`` tell where the orders are right."""
+        row = self.step % PERIOD
+        met_two, met_one = 2 * self.kind_two + two, 2 * self.kind_one + one
+        for places, at, held, met in ((self.two, self.at, self.held_two, met_two), (self.one, self.last, self.held_one, met_one)):
+            move = MOVES.take(met)
+            places[at] = np.where(move == PASS, now + 1, held + move)
+        self.met[0, row] = met_two
+        self.met[1, row] = met_one + two * np.int32(4 * TAG)
+        self.last = (now >> TAG_BITS).astype(np.int64)
+        mixed = self.last.astype(np.uint32) * np.uint32(0x9E3779B1)
+        self.at = ((mixed ^ (self.mixed >> np.uint32(5))) >> np.uint32(32 - PLACED)).astype(np.int64)
+        self.mixed = mixed
+        self.step += 1
+        if row == PERIOD - 1:
+            for belief, met in zip(self.beliefs, self.met):
+                belief.learn(met.ravel())
+
+
+def _parts(n: int) -> list[slice]:
+    return [slice(i, min(i + TOGETHER, n)) for i in range(0, n, TOGETHER)]
 
 
 def _numbered(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The different ids in ascending order, and the place among them of each id."""
-    if int(ids.max()) >= DENSE:
+    top = int(ids.max())
+    if top >= DENSE:
         different, at = np.unique(ids, return_inverse=True)
         return different, at.astype(np.int32)
-    different = np.flatnonzero(np.bincount(ids))
-    place = np.zeros(int(different[-1]) + 1, dtype=np.int32)
+    found, at = np.zeros(top + 1, dtype=bool), np.empty(len(ids), dtype=np.int32)
+    for part in _parts(len(ids)):
+        found[ids[part]] = True
+    different = np.flatnonzero(found)
+    place = np.zeros(top + 1, dtype=np.int32)
     place[different] = np.arange(len(different))
-    return different.astype(np.uint32), place[ids]
-
-
-def _code(ids: np.ndarray, tables: Tables) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Codes (steps x blocks) ids: 16-bit words (blocks x room), their numbers, and which ids order 0 codes."""
-    steps, lanes = ids.shape
+    for part in _parts(len(ids)):
+        at[part] = place.take(ids[part])
+    return different.astype(np.uint32), at
+
+
+def _pairs(at: np.ndarray, part: slice) -> np.ndarray:
+    return (at[part].astype(np.uint64) << TAKEN) | at[part.start + 1:part.stop + 1].astype(np.uint64)
+
+
+def _paired(at: np.ndarray, different: int) -> tuple[np.ndarray, np.ndarray]:
+    """``at`` with symbols for pairs that recur, from ``different`` on, and the halves of those pairs (pairs x 2)."""
+    halves, n = [np.zeros((0, 2), dtype=np.uint32)], different
+    for _ in range(ROUNDS):
+        # Of the pairs of one hash the last stands; only pairs equal to it are counted.
+        stands, count = np.zeros(1 << HASHED, dtype=np.uint64), np.zeros((1 << HASHED) + 1, dtype=np.int64)
+        hashes = np.empty(max(0, len(at) - 1), dtype=np.int32)
+        for part in _parts(len(hashes)):
+            pair = _pairs(at, part)
+            hashes[part] = (pair * MULTIPLIER) >> np.uint64(64 - HASHED)
+            stands[hashes[part]] = pair
+        for part in _parts(len(hashes)):
+            hashes[part][stands.take(hashes[part]) != _pairs(at, part)] = 1 << HASHED
+            count += np.bincount(hashes[part], minlength=len(count))
+        often = np.flatnonzero(count[:-1] >= PAIRED)
+        if not len(often):
+            break
+        symbol = np.full(len(count), -1, dtype=np.int32)
+        symbol[often] = np.arange(n, n + len(often))
+        at = _replaced(at, hashes, symbol)
+        halves.append(np.column_stack([stands[often] >> TAKEN, stands[often] & LOW]).astype(np.uint32))
+        n += len(often)
+    return at, np.concatenate(halves)
+
+
+def _replaced(at: np.ndarray, hashes: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+    """``at`` with a symbol for each pair that has one; of pairs that overlap in a row every other one is taken."""
+    out, used = [], False
+    for part in _parts(len(at)):
+        own = at[part].copy()
+        found = symbol.take(hashes[part])
+        if used:
+            # The half of a pair of the part before.
+            found[:1] = -1
+        where = np.flatnonzero(found >= 0)
+        first = np.ones(len(where), dtype=bool)
+        np.not_equal(where[1:], where[:-1] + 1, out=first[1:])
+        rows = np.flatnonzero(first)
+        nth = np.arange(len(where)) - np.repeat(rows, np.diff(rows, append=len(where)))
+        where = where[nth & 1 == 0]
+        own[where] = found.take(where)
+        keep = np.ones(len(own) + 1, dtype=bool)
+        keep[0] = not used
+        keep[where + 1] = False
+        out.append(own[keep[:-1]])
+        used = not keep[-1]
+    return np.concatenate(out)
+
+
+class Spelling:
+    """The ids of every symbol."""
+
+    def __init__(self, different: np.ndarray, halves: np.ndarray):
+        spelt = [(int(i),) for i in different.tolist()]
+        for left, right in halves.tolist():
+            spelt.append(spelt[left] + spelt[right])
+        self.size = np.fromiter(map(len, spelt), dtype=np.int64, count=len(spelt))
+        self.begin = np.cumsum(self.size) - self.size
+        self.ids = np.fromiter((i for s in spelt for i in s), dtype=np.uint32, count=int(self.size.sum()))
+
+    def spell(self, symbols: np.ndarray) -> np.ndarray:
+        size = self.size.take(symbols)
+        ends = np.cumsum(size)
+        return self.ids.take(np.repeat(self.begin.take(symbols) - (ends - size), size) + np.arange(int(size.sum())))
+
+
+def _code(grid: np.ndarray, tables: Tables) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Codes (steps x blocks) symbols: 16-bit words of all blocks one after another, the number of each block's, and which symbols order 0 codes."""
+    steps, lanes = grid.shape
     model = Model(lanes, tables)
     low, span = np.zeros(lanes, dtype=np.uint64), np.full(lanes, SPAN)
-    # A step narrows a span to a 2 ** 16th at least, and one word more is lost where a span becomes too small.
-    out = np.zeros((lanes, 64 + steps), dtype=np.uint16)
-    end = np.zeros(lanes, dtype=np.int64)
+    # A step narrows a span to a 2 ** 16th at least: one word a step at most. A word of 17 bits carries into the one before.
+    room = steps + 3
+    out = np.zeros(lanes * room, dtype=np.uint32)
+    begin = np.arange(lanes) * room
+    end = begin.copy()
     plain = np.zeros((steps, lanes), dtype=bool)
+    lower, upper = tables.upto[:-1].take(tables.classes), tables.upto[1:].take(tables.classes)
     for step in range(steps):
-        now = ids[step]
+        symbols = grid[step]
+        now = model.tags.take(symbols)
         one, zero = model.look()
-        two_right = now == model.guess[1]
-        one_right = model.asked[0] & (now == model.guess[0])
-        rest, kind = ONE - zero, tables.classes[now]
-        start = np.where(two_right, 0, np.where(one_right, one, zero + (rest * tables.upto[kind] >> SCALE)))
-        high = np.where(two_right, one, np.where(one_right, zero, zero + (rest * tables.upto[kind + 1] >> SCALE)))
-        plain[step] = ~(two_right | one_right)
+        two_right, one_right = now == model.says_two, now == model.says_one
+        np.logical_not(two_right | one_right, out=plain[step])
+        rest = ONE - zero
+        start = np.where(two_right, 0, np.where(one_right, one, zero + (rest * lower.take(symbols) >> SCALE)))
+        high = np.where(two_right, one, np.where(one_right, zero, zero + (rest * upper.take(symbols) >> SCALE)))
         unit = span >> WORD
-        low = low + unit * start.astype(np.uint64)
+        low += unit * start.astype(np.uint64)
         span = unit * (high - start).astype(np.uint64)
-        which = _settled(low, span)
-        while len(which):
-            if end.max() + 8 > out.shape[1]:
-                out = np.concatenate([out, np.zeros_like(out)], axis=1)
-            out[which, end[which]] = low[which] >> TAKEN
-            end[which] += 1
-            low[which] = (low[which] << WORD) & SPAN
-            span[which] <<= WORD
-            which = _settled(low, span, which)
-        model.learn(now)
+        which = np.flatnonzero(span < FULL)
+        at, passed = end.take(which), low.take(which)
+        out[at] = passed >> TAKEN
+        end[which] = at + 1
+        low[which] = (passed & LOW) << WORD
+        span[which] = span.take(which) << WORD
+        model.learn(now, two_right, one_right)
     for _ in range(3):
-        if end.max() + 8 > out.shape[1]:
-            out = np.concatenate([out, np.zeros_like(out)], axis=1)
-        out[model.lane, end] = low >> TAKEN
-        low = (low << WORD) & SPAN
+        out[end] = low >> TAKEN
+        low = (low & LOW) << WORD
         end += 1
-    return out, end, plain
-
-
-def _numbers(ids: np.ndarray, plain: np.ndarray, tables: Tables) -> tuple[np.ndarray, np.ndarray]:
-    """Words of the numbers within classes, all blocks one after another, and the number of words of each."""
-    some = max(1, TOGETHER // len(ids))
-    parts = [_some_numbers(ids[:, k:k + some], plain[:, k:k + some], tables) for k in range(0, ids.shape[1], some)]
-    return tuple(np.concatenate(x) for x in zip(*parts))
-
-
-def _some_numbers(ids: np.ndarray, plain: np.ndarray, tables: Tables) -> tuple[np.ndarray, np.ndarray]:
-    kind, number = tables.classes[ids.T], tables.number[ids.T]
-    bits, short = tables.bits[kind], tables.short[kind]
-    long = number >= short
-    moved = number + short
-    value = np.where(long, (moved >> 1) | ((moved & 1) << bits), number).astype(np.uint64)
-    width = np.where(plain.T, bits + long, 0)
-    value[~plain.T] = 0
-    ends = np.cumsum(width, axis=1)
-    words = (ends[:, -1] + 31) // 32
-    first = np.cumsum(words) - words
-    at = (first[:, None] * 32 + ends - width).ravel()
-    shifted = value.ravel() << (at & 31).astype(np.uint64)
-    total = int(words.sum()) + 2
-    # Bits of different ids never overlap, so sums are unions; below 2 ** 53 they are exact.
-    low = np.bincount(at >> 5, weights=(shifted & np.uint64(0xFFFFFFFF)).astype(np.float64), minlength=total)
-    high = np.bincount((at >> 5) + 1, weights=(shifted >> np.uint64(32)).astype(np.float64), minlength=total)
-    return (low[:total] + high[:total]).astype(np.uint32)[:total - 2], words
+    words = np.concatenate([out[b:e] for b, e in zip(begin.tolist(), end.tolist())])
+    while len(carried := np.flatnonzero(words >> 16)):
+        words[carried] &= 0xFFFF
+        words[carried - 1] += 1
+    return words.astype("<u2"), end - begin, plain
+
+
+def _numbers(symbols: np.ndarray, plain: np.ndarray, tables: Tables) -> tuple[np.ndarray, np.ndarray]:
+    """Bits of the numbers within classes, all blocks (blocks x symbols) one after another, in 32-bit words, and the number of bits of each."""
+    width = np.where(plain, tables.bits.take(symbols), 0)
+    counts = width.sum(axis=1, dtype=np.int64)
+    out, done = np.zeros(int(counts.sum()) // 32 + 2, dtype=np.uint32), 0
+    some = max(1, TOGETHER // symbols.shape[1])
+    for k in range(0, len(symbols), some):
+        coded = np.flatnonzero(plain[k:k + some])
+        own = width[k:k + some].ravel().take(coded).astype(np.int64)
+        ends = done + np.cumsum(own)
+        at = ends - own
+        shifted = tables.value.take(symbols[k:k + some].ravel().take(coded)).astype(np.uint64) << (at & 31).astype(np.uint64)
+        place = (at >> 5) - (done >> 5)
+        # Bits of different symbols never overlap, so sums are unions; below 2 ** 53 they are exact.
+        n = int(place[-1]) + 2 if len(place) else 0
+        low = np.bincount(place, weights=(shifted & LOW).astype(np.float64), minlength=n)
+        high = np.bincount(place + 1, weights=(shifted >> TAKEN).astype(np.float64), minlength=n)
+        out[done >> 5:(done >> 5) + n] += (low[:n] + high[:n]).astype(np.uint32)
+        done = int(ends[-1]) if len(ends) else done
+    return out[:-(-done // 32)], counts
 
 
 def encode(ids: np.ndarray, block: int = BLOCK) -> bytes:
@@ -249,24 +375,31 @@ def encode(ids: np.ndarray, block: int = BLOCK) -> bytes:
 
 
 def _encode_batch(ids: np.ndarray, block: int) -> bytes:
-    blocks = -(-len(ids) // block)
     different, at = _numbered(ids)
-    tables = Tables.fitted(at, len(different))
-    whole = np.zeros(blocks * block, dtype=np.int32)
-    whole[:len(ids)] = at
-    grid = np.ascontiguousarray(whole.reshape(blocks, block).T)
-    out, ends, plain = _code(grid, tables)
-    words, counts = _numbers(grid, plain, tables)
+    at, halves = _paired(at, len(different))
+    blocks = -(-len(at) // block)
+    n = len(different) + len(halves)
+    tables, spelling = Tables.fitted(at, n), Spelling(different, halves)
+    whole = np.zeros((blocks, block), dtype=np.int32)
+    whole.ravel()[:len(at)] = at
+    coded, lengths, plain = _code(np.ascontiguousarray(whole.T), tables)
+    words, counts = _numbers(whole, np.ascontiguousarray(plain.T), tables)
     follows = tables.followers >= 0
     noted = zlib.compress(b"".join([
-        np.diff(different, prepend=np.uint32(0)).astype("<u4").tobytes(), tables.classes.astype("u1").tobytes(),
+        np.diff(different, prepend=np.uint32(0)).astype("<u4").tobytes(), halves.astype("<u4").tobytes(), tables.classes.astype("u1").tobytes(),
         np.packbits(follows).tobytes(), tables.followers[follows].astype("<u4").tobytes(),
-    ]), 9)
-    sums = [zlib.crc32(ids[k * block:(k + 1) * block].astype("<u4").tobytes()) for k in range(blocks)]
-    table = np.column_stack([np.array(sums, dtype=np.uint32), ends.astype(np.uint32), counts.astype(np.uint32)]).astype("<u4")
-    parts = [HEAD.pack(MAGIC, len(ids), block, blocks, len(different), len(noted)), noted, table.tobytes()]
-    parts += [out[k, :ends[k]].astype("<u2").tobytes() for k in range(blocks)]
-    return b"".join([*parts, words.astype("<u4").tobytes()])
+    ]), 1)
+    sums = _checksums(ids, at, spelling, block)
+    table = np.column_stack([np.array(sums, dtype=np.uint32), lengths.astype(np.uint32), counts.astype(np.uint32)]).astype("<u4")
+    parts = [HEAD.pack(MAGIC, len(ids), len(at), block, blocks, len(different), len(halves), len(noted)), noted, table.tobytes()]
+    return b"".join([*parts, coded.tobytes(), words.astype("<u4").tobytes()])
+
+
+def _checksums(ids: np.ndarray, symbols: np.ndarray, spelling: Spelling, block: int) -> list[int]:
+    """The checksum of each block's ids."""
+    ends = np.cumsum(np.add.reduceat(spelling.size.take(symbols), np.arange(0, len(symbols), block)))
+    whole = ids.astype("<u4", copy=False)
+    return [zlib.crc32(whole[b:e]) for b, e in zip([0, *ends[:-1].tolist()], ends.tolist())]
 
 
 def decode(data: bytes) -> np.ndarray:
@@ -279,76 +412,85 @@ def decode(data: bytes) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, dtype=np.uint32)
 
 
-def _noted(data: bytes, n: int) -> tuple[np.ndarray, Tables]:
+def _noted(data: bytes, n: int, pairs: int) -> tuple[Spelling, Tables]:
     try:
         plain = zlib.decompress(data)
     except zlib.error as error:
         raise ValueError("the tables of a batch are damaged") from error
     different = np.cumsum(np.frombuffer(plain, dtype="<u4", count=n), dtype=np.uint32)
-    classes = np.frombuffer(plain, dtype="u1", count=n, offset=4 * n)
-    follows = np.unpackbits(np.frombuffer(plain, dtype="u1", count=-(-n // 8), offset=5 * n), count=n).astype(bool)
-    followers = np.full(n, -1)
-    followers[follows] = np.frombuffer(plain, dtype="<u4", offset=5 * n + -(-n // 8))
-    return different, Tables(classes, followers)
+    halves = np.frombuffer(plain, dtype="<u4", count=2 * pairs, offset=4 * n).reshape(pairs, 2)
+    at, both = 4 * n + 8 * pairs, n + pairs
+    classes = np.frombuffer(plain, dtype="u1", count=both, offset=at)
+    follows = np.unpackbits(np.frombuffer(plain, dtype="u1", count=-(-both // 8), offset=at + both), count=both).astype(bool)
+    followers = np.full(both, -1)
+    followers[follows] = np.frombuffer(plain, dtype="<u4", offset=at + both + -(-both // 8))
+    return Spelling(different, halves), Tables(classes, followers)
 
 
 def _decode_batch(view: memoryview) -> tuple[np.ndarray, int]:
-    magic, total, block, blocks, n, noted = HEAD.unpack(view[:HEAD.size])
+    magic, total, total_symbols, block, blocks, n, pairs, noted = HEAD.unpack(view[:HEAD.size])
     if magic != MAGIC:
         raise ValueError("no coded ids here")
     at = HEAD.size
-    different, tables = _noted(bytes(view[at:at + noted]), n)
+    spelling, tables = _noted(bytes(view[at:at + noted]), n, pairs)
     at += noted
     table = np.frombuffer(view[at:at + 12 * blocks], dtype="<u4").reshape(blocks, 3).astype(np.int64)
     at += 12 * blocks
-    lengths, words = table[:, 1], table[:, 2]
+    lengths, counts = table[:, 1], table[:, 2]
     size = 2 * int(lengths.sum())
     # Zeros behind the last block, as a damaged block's decoder may read on.
-    coded = np.concatenate([np.frombuffer(view[at:at + size], dtype="<u2"), np.zeros(4, dtype=np.uint16)]).astype(np.uint64)
+    coded = np.concatenate([np.frombuffer(view[at:at + size], dtype="<u2"), np.zeros(4, dtype=np.uint16)])
     at += size
-    count = int(words.sum())
-    lower = np.concatenate([np.frombuffer(view[at:at + 4 * count], dtype="<u4"), np.zeros(2, dtype=np.uint32)]).astype(np.uint64)
-    at += 4 * count
+    size = -(-int(counts.sum()) // 32)
+    words = np.concatenate([np.frombuffer(view[at:at + 4 * size], dtype="<u4"), np.zeros(2, dtype=np.uint32)]).astype(np.int64)
+    at += 4 * size
+    # From every word on 62 bits, of which a number takes at most 31 behind the first 31.
+    bits = words[:-1] | ((words[1:] & 0x3FFFFFFF) << 32)
+    grid = _decoded(block, blocks, tables, coded, lengths, bits, counts)
+    symbols = np.ascontiguousarray(grid.T).ravel()[:total_symbols]
+    ids = spelling.spell(symbols)
+    if len(ids) != total or _checksums(ids, symbols, spelling, block) != table[:, 0].tolist():
+        raise ValueError("a block does not have its checksum")
+    return ids, at
+
+
+def _decoded(steps: int, lanes: int, tables: Tables, coded: np.ndarray, lengths: np.ndarray, bits: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The symbols (steps x blocks) of coded blocks."""
+    model = Model(lanes, tables)
     place = np.cumsum(lengths) - lengths
-    bit = 32 * (np.cumsum(words) - words)
-    model = Model(blocks, tables)
-    low, span = np.zeros(blocks, dtype=np.uint64), np.full(blocks, SPAN)
-    code = (coded[place] << TAKEN) | (coded[place + 1] << WORD) | coded[place + 2]
-    place = place + 3
-    out = np.zeros((block, blocks), dtype=np.int32)
-    limit, most, one_bit = len(coded) - 1, len(lower) - 2, np.uint64(1)
-    for step in range(block):
+    bit = np.cumsum(counts) - counts
+    span, code = np.full(lanes, SPAN), np.zeros(lanes, dtype=np.uint64)
+    for _ in range(3):
+        code = (code << WORD) | coded.take(place, mode="clip")
+        place += 1
+    out = np.zeros((steps, lanes), dtype=np.int32)
+    says, width = model.tags.take(tables.says), tables.bits.take(tables.says)
+    for step in range(steps):
         one, zero = model.look()
         unit = span >> WORD
-        target = np.minimum(((code - low) & SPAN) // np.maximum(unit, one_bit), np.uint64(ONE - 1)).astype(np.int64)
-        two_right, plain = target < one, target >= zero
-        rest = ONE - zero
+        # Both are below 2 ** 53 and the quotient is below 2 ** 16, so its floor is exact.
+        target = np.minimum(code / np.maximum(unit, 1), ONE - 1).astype(np.int32)
+        two_right, plain = target < one, np.flatnonzero(target >= zero)
+        start, high = np.where(two_right, 0, one), np.where(two_right, one, zero)
+        now = np.where(two_right, model.says_two, model.says_one)
+        base = zero.take(plain)
+        rest = ONE - base
         # The last place of 2 ** 12 whose share of the rest begins at or before the target.
-        kind = tables.of[np.maximum(((target - zero + 1) << SCALE) - 1, 0) // rest]
-        start = np.where(two_right, 0, np.where(plain, zero + (rest * tables.upto[kind] >> SCALE), one))
-        high = np.where(two_right, one, np.where(plain, zero + (rest * tables.upto[kind + 1] >> SCALE), zero))
-        low = low + unit * start.astype(np.uint64)
+        kind = tables.of.take((((target.take(plain) - base + 1) << SCALE) - 1) // rest)
+        start[plain] = base + (rest * tables.upto.take(kind) >> SCALE)
+        high[plain] = base + (rest * tables.upto.take(kind + 1) >> SCALE)
+        code -= unit * start.astype(np.uint64)
         span = unit * (high - start).astype(np.uint64)
-        which = _settled(low, span)
-        while len(which):
-            code[which] = ((code[which] << WORD) & SPAN) | coded[np.minimum(place[which], limit)]
-            place[which] += 1
-            low[which] = (low[which] << WORD) & SPAN
-            span[which] <<= WORD
-            which = _settled(low, span, which)
-        bits, short = tables.bits[kind], tables.short[kind]
-        where = np.minimum(bit >> 5, most)
-        read = ((lower[where] | (lower[where + 1] << TAKEN)) >> (bit & 31).astype(np.uint64)).astype(np.int64)
-        number = read & (1 << bits) - 1
-        long = number >= short
-        number = np.where(long, (number << 1 | (read >> bits & 1)) - short, number)
-        bit = bit + np.where(plain, bits + long, 0)
-        met = tables.members[np.minimum(tables.first[kind] + number, n - 1)]
-        ids = np.where(plain, met, np.where(two_right, model.guess[1], model.guess[0])).astype(np.int32)
-        out[step] = ids
-        model.learn(ids)
-    ids = different[np.ascontiguousarray(out.T).ravel()[:total]]
-    for k in range(blocks):
-        if zlib.crc32(ids[k * block:(k + 1) * block].astype("<u4").tobytes()) != table[k, 0]:
-            raise ValueError(f"block {k} does not have its checksum")
-    return ids, at
+        which = np.flatnonzero(span < FULL)
+        at = place.take(which)
+        code[which] = (code.take(which) << WORD) | coded.take(at, mode="clip")
+        place[which] = at + 1
+        span[which] = span.take(which) << WORD
+        at = bit.take(plain)
+        number = tables.first.take(kind) + (bits.take(at >> 5, mode="clip") >> (at & 31) & tables.mask.take(kind))
+        bit[plain] = at + width.take(number)
+        now[plain] = says.take(number)
+        # Order 0 may have said, in a damaged block only, what an order says too.
+        model.learn(now, now == model.says_two, now == model.says_one)
+        out[step] = model.last
+    return out
