@@ -37,35 +37,35 @@ BLOCK = 1024
 LANES = 16384
 
 # Rounds in which pairs become symbols, how often such a pair is found at least, and the bits of its hash.
-ROUNDS, PAIRED, HASHED = 2, 32, 18
-MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
+ROUNDS, PAIRED, HASHED = 2, 32, 17
+MULTIPLIER = 0x9E3779B97F4A7C15
 # Places of order 2, 2 ** this; order 1 has one for each symbol. A place holds a symbol, its class and a trust.
 PLACED = 19
 TRUST, CLASSES = 16, 64
-TAG_BITS = 10
-TAG = TRUST * CLASSES
+# A place is its symbol, class, trust and one bit that is 0; what stands below the symbol, with a bit for whether both orders agree, is its kind.
+TAG_BITS, HELD = 11, 2 * TRUST
+TAG = 1 << TAG_BITS
 # Probabilities have 16 bits, order-0 classes 12 of them; order 0 keeps at least 2 ** 12 of 2 ** 16.
 ONE, SCALE = 1 << 16, 12
 MOST = ONE - (3 << 11)
 # Steps between two looks at the counts, and how many counts an estimate keeps.
-PERIOD, KEPT = 16, 1 << 12
+PERIOD, KEPT = 32, 1 << 12
 MIX_RATE, MIX = 16, 256
 FOLLOWS = (4, 8)
 DENSE = 1 << 22
-TOGETHER = 1 << 18
+TOGETHER, COUNTED = 1 << 18, 1 << 20
 SPAN, FULL, LOW = np.uint64((1 << 48) - 1), np.uint64(1 << 32), np.uint64((1 << 32) - 1)
 WORD, TAKEN = np.uint64(16), np.uint64(32)
 
 
 def _moves() -> np.ndarray:
-    """How trust changes, by twice the kind of place and one more if its prediction held; ``PASS`` if the place passes to what was met."""
-    trust = np.arange(2 * TAG) // 2 % TRUST
-    held = np.arange(2 * TAG) % 2 == 1
+    """How a place changes, by its kind and one more if its prediction held; ``PASS`` if it passes to what was met."""
+    trust, held = np.arange(TAG) // 2 % TRUST, np.arange(TAG) % 2 == 1
     moved = np.where(held, np.minimum(trust + 1, TRUST - 1), trust >> 1) - trust
-    return np.tile(np.where(held | (trust > 1), moved, PASS), 2).astype(np.int32)
+    return np.tile(np.where(held | (trust > 1), 2 * moved, PASS), 2).astype(np.int32)
 
 
-PASS = -TRUST
+PASS = -HELD
 MOVES = _moves()
 
 
@@ -146,11 +146,11 @@ class Belief:
         said = np.clip((self.a * mix + self.b * (MIX - mix)) // MIX, 64, MOST)
         if self.alone:
             said[1] = 0
-        self.said = said.ravel().astype(np.int32)
+        self.said = np.repeat(said.ravel().astype(np.int32), 2)
 
     def learn(self, met: np.ndarray) -> None:
-        """``met``: for each block and step twice the kind of its place, and one more where the prediction held; what is beyond does not count."""
-        n = np.bincount(met, minlength=4 * TAG)[:4 * TAG].reshape(2, CLASSES, TRUST, 2)
+        """``met``: for each block and step the kind of its place, and one more where the prediction held; what is beyond does not count."""
+        n = np.bincount(met, minlength=2 * TAG)[:2 * TAG].reshape(2, CLASSES, TRUST, 2)
         asked, held = n.sum(axis=3), n[..., 1]
         by = asked.sum(axis=1).ravel()
         better = ((self.a - self.b) * (2 * held - asked)).sum(axis=1).ravel()
@@ -170,10 +170,10 @@ class Model:
 
     def __init__(self, lanes: int, tables: Tables):
         n = len(tables.classes)
-        self.tags = (np.arange(n) * TAG + tables.classes * TRUST).astype(np.int32 if n * TAG < 1 << 31 else np.int64)
+        self.tags = (np.arange(n) * TAG + tables.classes * HELD).astype(np.int32 if n * TAG < 1 << 31 else np.int64)
         known = tables.followers >= 0
         self.one = np.zeros(n, dtype=self.tags.dtype)
-        self.one[known] = self.tags[tables.followers[known]] + 2
+        self.one[known] = self.tags[tables.followers[known]] + 4
         self.two = np.zeros(1 << PLACED, dtype=self.tags.dtype)
         self.beliefs = (Belief(False), Belief(True))
         self.last, self.mixed = np.zeros(lanes, dtype=np.int64), np.zeros(lanes, dtype=np.uint32)
@@ -184,7 +184,7 @@ class Model:
     def look(self) -> tuple[np.ndarray, np.ndarray]:
         """Where order 1 begins and where order 0 begins in 2 ** 16; order 2 begins at 0."""
         two, one = self.two.take(self.at), self.one.take(self.last)
-        self.says_two, self.says_one = two & -TRUST, one & -TRUST
+        self.says_two, self.says_one = two & -HELD, one & -HELD
         agree = (self.says_one == self.says_two) * np.int32(TAG)
         self.held_two, self.held_one = two, one
         self.kind_two, self.kind_one = (two & TAG - 1) + agree, (one & TAG - 1) + agree
@@ -196,12 +196,12 @@ class Model:
     def learn(self, now: np.ndarray, two: np.ndarray, one: np.ndarray) -> None:
         """``two`` and ``one`` tell where the orders are right."""
         row = self.step % PERIOD
-        met_two, met_one = 2 * self.kind_two + two, 2 * self.kind_one + one
+        met_two, met_one = self.kind_two + two, self.kind_one + one
         for places, at, held, met in ((self.two, self.at, self.held_two, met_two), (self.one, self.last, self.held_one, met_one)):
             move = MOVES.take(met)
-            places[at] = np.where(move == PASS, now + 1, held + move)
+            places[at] = np.where(move == PASS, now + 2, held + move)
         self.met[0, row] = met_two
-        self.met[1, row] = met_one + two * np.int32(4 * TAG)
+        self.met[1, row] = met_one + two * np.int32(2 * TAG)
         self.last = (now >> TAG_BITS).astype(np.int64)
         mixed = self.last.astype(np.uint32) * np.uint32(0x9E3779B1)
         self.at = ((mixed ^ (self.mixed >> np.uint32(5))) >> np.uint32(32 - PLACED)).astype(np.int64)
@@ -233,8 +233,12 @@ def _numbered(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return different.astype(np.uint32), at
 
 
-def _pairs(at: np.ndarray, part: slice) -> np.ndarray:
-    return (at[part].astype(np.uint64) << TAKEN) | at[part.start + 1:part.stop + 1].astype(np.uint64)
+def _pairs(at: np.ndarray, part: slice, wide: type) -> np.ndarray:
+    """Pairs of neighbours as numbers of the unsigned type ``wide``."""
+    out = at[part].astype(wide)
+    out <<= wide(4 * out.itemsize)
+    out |= at[part.start + 1:part.stop + 1].astype(wide)
+    return out
 
 
 def _paired(at: np.ndarray, different: int) -> tuple[np.ndarray, np.ndarray]:
@@ -242,22 +246,28 @@ def _paired(at: np.ndarray, different: int) -> tuple[np.ndarray, np.ndarray]:
     halves, n = [np.zeros((0, 2), dtype=np.uint32)], different
     for _ in range(ROUNDS):
         # Of the pairs of one hash the last stands; only pairs equal to it are counted.
-        stands, count = np.zeros(1 << HASHED, dtype=np.uint64), np.zeros((1 << HASHED) + 1, dtype=np.int64)
+        wide = np.uint32 if n <= 1 << 16 else np.uint64
+        size = 8 * wide().itemsize
+        stands, count = np.zeros(1 << HASHED, dtype=wide), np.zeros((1 << HASHED) + 1, dtype=np.int64)
         hashes = np.empty(max(0, len(at) - 1), dtype=np.int32)
         for part in _parts(len(hashes)):
-            pair = _pairs(at, part)
-            hashes[part] = (pair * MULTIPLIER) >> np.uint64(64 - HASHED)
-            stands[hashes[part]] = pair
+            pair = _pairs(at, part, wide)
+            place = ((pair * wide(MULTIPLIER >> 64 - size | 1)) >> wide(size - HASHED)).astype(np.int32)
+            hashes[part] = place
+            stands[place] = pair
         for part in _parts(len(hashes)):
-            hashes[part][stands.take(hashes[part]) != _pairs(at, part)] = 1 << HASHED
-            count += np.bincount(hashes[part], minlength=len(count))
+            place = hashes[part]
+            place[stands.take(place) != _pairs(at, part, wide)] = 1 << HASHED
+        for i in range(0, len(hashes), COUNTED):
+            count += np.bincount(hashes[i:i + COUNTED], minlength=len(count))
         often = np.flatnonzero(count[:-1] >= PAIRED)
         if not len(often):
             break
         symbol = np.full(len(count), -1, dtype=np.int32)
         symbol[often] = np.arange(n, n + len(often))
         at = _replaced(at, hashes, symbol)
-        halves.append(np.column_stack([stands[often] >> TAKEN, stands[often] & LOW]).astype(np.uint32))
+        pair = stands[often]
+        halves.append(np.column_stack([pair >> wide(size // 2), pair & wide((1 << size // 2) - 1)]).astype(np.uint32))
         n += len(often)
     return at, np.concatenate(halves)
 
@@ -490,7 +500,6 @@ def _decoded(steps: int, lanes: int, tables: Tables, coded: np.ndarray, lengths:
         number = tables.first.take(kind) + (bits.take(at >> 5, mode="clip") >> (at & 31) & tables.mask.take(kind))
         bit[plain] = at + width.take(number)
         now[plain] = says.take(number)
-        # Order 0 may have said, in a damaged block only, what an order says too.
-        model.learn(now, now == model.says_two, now == model.says_one)
+        model.learn(now, two_right, now == model.says_one)
         out[step] = model.last
     return out
