@@ -1,10 +1,11 @@
+import os
 from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from starlot.operators.lookup import Side, as_side
-from starlot.plans import dims, facts, kpis, quality
+from starlot.plans import dims, facts, kpis, quality, refresh
 from starlot.plans.refresh import full_refresh, prepare, publish_tables
 from starlot.plans.schemas import TABLES
 from starlot.sources import feeds
@@ -341,6 +342,18 @@ def test_bucketed_sales_move_no_row(spark, landing, run, tmp_path):
     assert lost.count() == 4 and lost.where("comissao = 5.5 or id_veiculo is not null").isEmpty()
 
 
+def test_bucketed_sales_leave_no_copy_and_have_buckets_enough(spark, landing, run, tmp_path, monkeypatch):
+    raw = read_landing(spark, landing)
+    monkeypatch.setattr(refresh, "SALES_A_BUCKET", 1)
+    number = refresh.buckets_of_sales(raw, least=3)
+    assert number == run.counts["fato_vendas"] == 4 and refresh.buckets_of_sales(raw, least=9) == 9
+    made = []
+    monkeypatch.setattr(refresh, "shared_folder", lambda spark, purpose: made.append(f"{tmp_path}/{purpose}") or made[-1])
+    star = prepare(spark, raw, f"{tmp_path}/star", sale_buckets=number)[1]
+    assert rows(star["fato_vendas"]) == rows(run.tables["fato_vendas"])
+    assert made == [f"{tmp_path}/numbered"] and not os.path.exists(made[0])
+
+
 def test_sales_move_once_however_many_sides_are_large(spark, landing, run, tmp_path, small_limits):
     star = prepare(spark, read_landing(spark, landing), str(tmp_path))[1]
     off = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
