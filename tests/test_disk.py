@@ -1,8 +1,9 @@
-"""What tables leave on disk: shuffles go with the write, files are compressed."""
+"""What tables leave on disk: shuffles go with the write, files are compressed, exports too."""
 
 import glob
 import os
 import time
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -72,3 +73,34 @@ def test_what_is_read_again_is_there(spark, tmp_path):
     df = grouped(spark)
     materialise(df, f"{tmp_path}/t", compact=True)
     assert df.count() == len(df.collect()) == len(df.collect()) == 5_000
+
+
+def given_tables(spark, folder):
+    day = lambda k: datetime(2024, 1, 1 + k, 9, 30, k, 120)
+    tables = {
+        "supplier": ([(k, f"Supplier#{k:09d}", 14 + k, [-5.0, 100.0, 9500.0][k % 3]) for k in range(4)],
+                     "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double"),
+        "part": ([(k, f"part {k}", f"Brand {k}", ["PROMO", "ECONOMY"][k % 2], 4 + 12 * k, 1.5) for k in range(4)],
+                 "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"),
+        "orders": ([(k, k, "F", 10.0 * k, day(k), "2-HIGH") for k in range(3)],
+                   "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string"),
+        "lineitem": ([(k // 2, k % 4, k % 4, 1 + k % 2, 49.0, 10.5 * k, 0.1, 0.02, "ANR"[k % 3], "FO"[k % 2], day(k)) for k in range(8)],
+                     "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, "
+                     "l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"),
+        "events": ([(k, day(k + 12), k % 4, ["view", "click", "purchase", "signup", "error"][k % 5], 6.0 * k, f'{{"k": {k}}}' if k else None) for k in range(12)],
+                   "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"),
+    }
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{folder}/{name}.parquet")
+    return str(folder)
+
+
+def test_exports_are_compressed_and_give_the_same_leads(spark, tmp_path, monkeypatch):
+    from benchmarks import queries
+
+    d = given_tables(spark, tmp_path / "given")
+    monkeypatch.setattr(queries, "shared_folder", lambda spark, purpose: f"{tmp_path}/{purpose}-{time.time_ns()}")
+    found, want = (sorted(map(tuple, queries.QUERIES[n](spark, d).collect()), key=repr) for n in ("csv_landing", "fato_leads"))
+    assert found == want and len(found) == 12
+    exports = glob.glob(f"{tmp_path}/landing-*/*.csv/part-*")
+    assert exports and all(p.endswith(".csv.gz") for p in exports)
